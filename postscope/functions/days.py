@@ -41,7 +41,7 @@ def post_day_utc(c="date") -> Column:
 
 def post_day_prefix(c="date") -> Column:
     c = _col(c)
-    return F.try_to_date(F.substring(c, 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")
 
 
 def day_of(c="date", mode: str = "utc") -> Column:

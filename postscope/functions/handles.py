@@ -12,13 +12,14 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lower_handle(c="username") -> Column:
     return F.lower(F.col(c) if isinstance(c, str) else c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     # pandas str.normalize uses unicodedata, which composes (n + U+0303 -> U+00F1).
     return s.str.normalize("NFKC")
