@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postscope.functions.days import parse_ts
+from postscope.functions.days import parse_ts, utc_day
 
-ELLIPSIS = "…"
-ZWJ = "‍"
+# Fixed values.
+ELLIPSIS = "\u2026"
+ZWJ = "\u200D"
 # Java and RE2 both read this class; Python's \w on text (letters, digits, _).
 MENTION_IN_TEXT = "@([\\p{L}\\p{N}_]+)"
+# Whitespace removed by Python's str.strip(), as a class both Java and RE2 read.
+WHITESPACE = (
+    "[\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+    "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+)
+ENDS_WITH_ELLIPSIS = "\\x{2026}" + WHITESPACE + "*\\z"
 
 
 def _c(c) -> Column:
@@ -19,11 +26,13 @@ def _c(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Trim every whitespace character at both ends (tabs and newlines too)."""
-    return F.regexp_replace(_c(c), "^\\s+|\\s+$", "")
+    return F.regexp_replace(_c(c), "^" + WHITESPACE + "+|" + WHITESPACE + "+\\z", "")
 
 
 def ends_with_ellipsis(c="content") -> Column:
-    return F.coalesce(F.endswith(strip_ws(c), F.lit(ELLIPSIS)), F.lit(False))
+    """P10: the text, stripped of trailing whitespace, ends with an ellipsis.
+    One anchored search; the text is not copied."""
+    return F.coalesce(_c(c).rlike(ENDS_WITH_ELLIPSIS), F.lit(False))
 
 
 def is_retweet_text(c="content") -> Column:
@@ -32,7 +41,7 @@ def is_retweet_text(c="content") -> Column:
 
 def outside_year(c="date", year: int = 2021) -> Column:
     """True when the year differs or the date does not parse."""
-    return F.coalesce(F.year(parse_ts(c)) != F.lit(year), F.lit(True))
+    return F.coalesce(F.year(utc_day(parse_ts(c))) != F.lit(year), F.lit(True))
 
 
 def mentions_in_text(c="content") -> Column:

@@ -161,3 +161,100 @@ WHERE day_total_tweets IS NOT NULL""")
 def q_top_days_top_user_by_id(spark, sf):
     """Q4 + J4: authors keyed by id, shown with their latest name."""
     return Q.top_days_top_user_by_id(events_posts(spark, sf), K)
+
+
+@register("mode_parity", f"""
+SELECT *, 'default_only' AS side FROM (({sql_q1(A.EVENTS_POSTS_SQL, EV_DAY)}) EXCEPT ALL ({sql_q1(A.EVENTS_POSTS_SQL, EV_DAY, strict=True)}))
+UNION ALL
+SELECT *, 'strict_only' AS side FROM (({sql_q1(A.EVENTS_POSTS_SQL, EV_DAY, strict=True)}) EXCEPT ALL ({sql_q1(A.EVENTS_POSTS_SQL, EV_DAY)}))""")
+def q_mode_parity(spark, sf):
+    """Q5: where the default and strict Q1 answers differ."""
+    return Q.mode_parity(events_posts(spark, sf), K)
+
+
+# ---------------------------------------------------------------------------
+# Q2: emoji, one query per named definition.
+
+from postscope.functions import emoji as EM  # noqa: E402
+
+_POST_FILTER_SQL = {
+    "run": f"WHERE NOT regexp_full_match(emoji, '{EM.ZWJ}+')",
+}
+
+
+def sql_emoji_counts(definition: str) -> str:
+    return f"""
+posts AS ({A.EVENTS_POSTS_SQL}),
+t AS (SELECT unnest(regexp_extract_all(content, '{EM.pattern(definition)}', 0)) AS emoji FROM posts),
+c AS (SELECT emoji, count(*) AS n FROM t {_POST_FILTER_SQL.get(definition, '')} GROUP BY emoji)"""
+
+
+def _emoji_query(definition: str, top: bool):
+    def q(spark, sf):
+        posts = events_posts(spark, sf)
+        return Q.top_emojis(posts, K, definition) if top else Q.emoji_counts(posts, definition)
+
+    q.__doc__ = f"{'Q2 top-k' if top else 'A5 counts'} with the {definition} definition."
+    return q
+
+
+for _d in ("property", "range", "simple", "run", "grapheme"):
+    _sql = None
+    if _d != "grapheme":  # \X has no RE2 equivalent
+        _sql = f"WITH {sql_emoji_counts(_d)} SELECT emoji, n FROM c ORDER BY n DESC, emoji LIMIT {K}"
+    register("top_emojis" if _d == "property" else f"top_emojis_{_d}", _sql)(_emoji_query(_d, True))
+
+register("emoji_count", f"WITH {sql_emoji_counts('property')} SELECT emoji, n FROM c")(_emoji_query("property", False))
+register("emoji_count_range", f"WITH {sql_emoji_counts('range')} SELECT emoji, n FROM c")(_emoji_query("range", False))
+register("emoji_count_grapheme")(_emoji_query("grapheme", False))
+
+
+# ---------------------------------------------------------------------------
+# Q3: mentions, from lineitem-by-order posts.
+
+_Q3_DEFAULT = f"""
+WITH m AS ({A.LISTED_MENTIONS_SQL}),
+c AS (SELECT lower(username) AS username, count(*) AS n FROM m
+      WHERE username IS NOT NULL AND username <> '' GROUP BY 1)"""
+_Q3_STRICT = f"""
+WITH m AS ({A.LISTED_MENTIONS_SQL}),
+bad AS (SELECT DISTINCT l_orderkey FROM m WHERE username IS NULL),
+c AS (SELECT lower(username) AS username, count(*) AS n FROM m
+      WHERE l_orderkey NOT IN (SELECT l_orderkey FROM bad) GROUP BY 1)"""
+
+
+@register("top_mentioned", f"{_Q3_DEFAULT} SELECT username, n FROM c ORDER BY n DESC, username LIMIT {K}")
+def q_top_mentioned(spark, sf):
+    """Q3, default rules: null and empty names dropped one by one."""
+    return Q.top_mentioned(lineitem_posts(spark, sf), K)
+
+
+@register("top_mentioned_strict", f"{_Q3_STRICT} SELECT username, n FROM c ORDER BY n DESC, username LIMIT {K}")
+def q_top_mentioned_strict(spark, sf):
+    """Q3, typed-reader rules: a list with a null name skips the post, '' counts."""
+    return Q.top_mentioned(lineitem_posts(spark, sf), K, strict=True)
+
+
+@register("mention_count", f"{_Q3_DEFAULT} SELECT username, n FROM c")
+def q_mention_count(spark, sf):
+    """A6 + E7 + F1 + P6: times mentioned per lower-cased name."""
+    return Q.mention_counts(lineitem_posts(spark, sf))
+
+
+@register("explode_list", f"SELECT l_orderkey AS id, username FROM ({A.LISTED_MENTIONS_SQL})")
+def q_explode_list(spark, sf):
+    """E6 + P4 + P7: one row per list element (names as written)."""
+    from postscope.operators.extract import explode_list
+
+    p = lineitem_posts(spark, sf).select("id", F.col("mentionedUsers.username").alias("names"))
+    return explode_list(p, "names", "username", "id")
+
+
+@register("mentions_from_text", f"""
+WITH d AS ({A.DOCUMENTS_POSTS_SQL})
+SELECT id, unnest(list_distinct(regexp_extract_all(content, '{A.MENTION_IN_TEXT}', 1))) AS username FROM d""")
+def q_mentions_from_text(spark, sf):
+    """E8 + F9: distinct @names written in each document."""
+    from postscope.operators.extract import mentions_from_text
+
+    return mentions_from_text(documents_posts(spark, sf), "content", "username", "id")

@@ -36,16 +36,25 @@ from postscope.operators.joins import latest_value_per_key, restrict_to_keys
 
 
 def _day_author(posts: DataFrame, day_mode: str, strict: bool, author: str, by=()) -> DataFrame:
+    """(day, author) per post. Rows with no day are kept here and dropped
+    after the first aggregate: a filter on the parsed day would be pushed
+    below the projection and parse every date twice."""
     p = posts.select(
         *by,
         day_of(F.col("date"), day_mode).alias("date"),
         F.col(author).alias("author"),
-    ).where(F.col("date").isNotNull())
+    )
     if strict:
         p = p.where(F.col("author").isNotNull())
     return p
 
 
+def _pairs(posts: DataFrame, day_mode: str, strict: bool, author: str, by=()) -> DataFrame:
+    """Posts per (day, author), days that parse only."""
+    p = _day_author(posts, day_mode, strict, author, by)
+    return count_by(p, *by, "date", "author").where(F.col("date").isNotNull())
+
+
 def _top_days_per_group(days: DataFrame, k: int, by) -> DataFrame:
     if not by:
         return top_k(days, k, "total", ["date"], descending_keys=True)
@@ -58,7 +67,7 @@ def day_summaries(posts: DataFrame, day_mode: str = "utc", strict: bool = False,
     """Per day: ``total`` (all posts with a valid day), ``day_total_tweets``
     (posts with an author) and ``top_author`` (arg-max, ties smallest)."""
     by = list(by)
-    pairs = count_by(_day_author(posts, day_mode, strict, author, by), *by, "date", "author")
+    pairs = _pairs(posts, day_mode, strict, author, by)
     named = F.col("author").isNotNull()
     key = F.when(named, F.struct((-F.col("n")).alias("neg"), F.col("author").alias("a")))
     return pairs.groupBy(*by, "date").agg(
@@ -83,7 +92,8 @@ def top_days_top_user(posts: DataFrame, k: int = 10, day_mode: str = "utc", stri
         if by:
             raise ValueError("two_scan is for a single answer; use one_scan with by=")
         p = _day_author(posts, day_mode, strict, "user.username")
-        top = top_k(count_by(p, "date"), k, "n", ["date"], descending_keys=True)
+        days = count_by(p, "date").where(F.col("date").isNotNull())
+        top = top_k(days, k, "n", ["date"], descending_keys=True)
         chosen = restrict_to_keys(p.where(F.col("author").isNotNull()), top, "date", bound=k)
         pairs = count_by(chosen, "date", "author")
         out = best_per_group(pairs, "date", "author", best="top_user", total="day_total_tweets")

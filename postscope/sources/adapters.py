@@ -174,13 +174,17 @@ def lineitem_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def documents_posts(documents: DataFrame) -> DataFrame:
-    did, text = F.col("doc_id"), F.col("text")
-    content = (
-        F.when(did % DOC_MOD == DOC_TRUNCATED, F.concat(text, F.lit(" …")))
+def _doc_content(did: Column, text: Column) -> Column:
+    return (
+        F.when(did % DOC_MOD == DOC_TRUNCATED, F.concat(text, F.lit(" \u2026")))
         .when(did % DOC_MOD == DOC_RETWEET, F.concat(F.lit("RT @"), F.col("source"), F.lit(": "), text))
         .otherwise(text)
     )
+
+
+def documents_posts(documents: DataFrame) -> DataFrame:
+    did, text = F.col("doc_id"), F.col("text")
+    content = _doc_content(did, text)
     written = F.transform(
         F.regexp_extract_all(text, F.lit(MENTION_IN_TEXT), 1), lambda x: F.struct(x.alias("username"))
     )
@@ -197,8 +201,9 @@ def documents_posts(documents: DataFrame) -> DataFrame:
 
 
 def documents_records(documents: DataFrame) -> DataFrame:
-    """Untyped records (``VARIANT`` ``v``) with optional keys, for the
-    truncation and retweet profiles. Keys whose value is null are left out."""
+    """``id, content`` and an untyped record ``v`` (VARIANT) with optional
+    keys, for the truncation and retweet profiles. Keys whose value is null
+    are left out; the record holds only small fields, not the text."""
     did = F.col("doc_id")
     rec = F.struct(
         did.alias("id"),
@@ -211,7 +216,9 @@ def documents_records(documents: DataFrame) -> DataFrame:
             F.struct(F.col("source").alias("user")),
         ).alias("retweeted_status"),
     )
-    return documents.select(F.parse_json(F.to_json(rec)).alias("v"))
+    return documents.select(
+        did.alias("id"), _doc_content(did, F.col("text")).alias("content"), F.parse_json(F.to_json(rec)).alias("v")
+    )
 
 
 def events_json_lines(events: DataFrame) -> DataFrame:
