@@ -1 +1,366 @@
-"""Registered queries: extractors, profiles, sources and sketches."""
+"""Registered queries: data-quality profiles, strict parsing, records,
+samples and sketches."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from postscope.functions.text import ENDS_WITH_ELLIPSIS, MENTION_IN_TEXT
+from postscope.operators import aggregate as G
+from postscope.operators import approx as X
+from postscope.plans import profiles as P
+from postscope.plans import questions as Q
+from postscope.plans.catalog import (
+    K, documents_posts, events_posts, lineitem_posts, register, utc,
+)
+from postscope.plans.catalog_questions import USERNAME, USER_ID
+from postscope.sources import adapters as A
+from postscope.sources import posts as S
+
+
+def documents_records(spark, sf):
+    return A.documents_records(A.load(utc(spark), sf, "documents"))
+
+
+def event_lines(spark, sf):
+    return A.events_json_lines(A.load(utc(spark), sf, "events"))
+
+
+EVENTS_YEAR = 2024
+# SQL: NFKC + lower for the names the adapter writes (ASCII or full-width
+# capitals); DuckDB has no NFKC function.
+_WIDE = "".join(chr(c) for c in range(0xFF21, 0xFF3B))
+SQL_NORM_NAME = f"lower(translate({USERNAME}, {A.sql_str(_WIDE)}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'))"
+_PER_USER_SQL = f"""
+posts AS ({A.EVENTS_POSTS_SQL}),
+c AS (SELECT {SQL_NORM_NAME} AS username, count(*) AS n FROM posts
+      WHERE {USERNAME} IS NOT NULL AND {USERNAME} <> '' GROUP BY 1)"""
+
+
+@register("posts_per_user", f"WITH {_PER_USER_SQL} SELECT username, n FROM c")
+def q_posts_per_user(spark, sf):
+    """A7 + F2: posts per NFKC+lower-cased author."""
+    return P.posts_per_user(events_posts(spark, sf))
+
+
+@register("count_of_counts", f"WITH {_PER_USER_SQL} SELECT n, count(*) AS keys FROM c GROUP BY n")
+def q_count_of_counts(spark, sf):
+    """How many authors share each post count."""
+    return G.count_of_counts(P.posts_per_user(events_posts(spark, sf)))
+
+
+@register("handle_collisions", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL}),
+u AS (SELECT {USERNAME} AS raw, {SQL_NORM_NAME} AS norm FROM posts WHERE {USERNAME} IS NOT NULL AND {USERNAME} <> '')
+SELECT count(DISTINCT raw) AS n_raw, count(DISTINCT norm) AS n_normalized,
+       count(DISTINCT raw) - count(DISTINCT norm) AS n_collisions FROM u""")
+def q_handle_collisions(spark, sf):
+    """D4 + A10: distinct raw vs normalised names."""
+    return P.handle_collisions(events_posts(spark, sf))
+
+
+@register("activity_outliers", f"""
+WITH {_PER_USER_SQL},
+s AS (SELECT round(quantile_cont(n, 0.99), 6) AS p99, max(n) AS max_n FROM c)
+SELECT username, n, p99, max_n, max_n > 10.0 * p99 AS alert
+FROM (SELECT * FROM c ORDER BY n DESC, username LIMIT 5), s""")
+def q_activity_outliers(spark, sf):
+    """D5 + A12 + A13: top 5 authors, p99, max and the outlier alert."""
+    return P.activity_outliers(events_posts(spark, sf))
+
+
+@register("cutoff_ties", f"""
+WITH {_PER_USER_SQL},
+top AS (SELECT * FROM c ORDER BY n DESC, username LIMIT {K}),
+cut AS (SELECT CASE WHEN count(*) >= {K} THEN min(n) END AS v FROM top),
+r AS (SELECT (SELECT v FROM cut) AS cutoff_value,
+             (SELECT count(*) FROM c WHERE n = (SELECT v FROM cut)) AS keys_at_cutoff,
+             (SELECT count(*) FROM top WHERE n = (SELECT v FROM cut)) AS keys_at_cutoff_in_top)
+SELECT {K} AS k, cutoff_value, keys_at_cutoff, keys_at_cutoff_in_top,
+       keys_at_cutoff > keys_at_cutoff_in_top AS split_tie FROM r""")
+def q_cutoff_ties(spark, sf):
+    """D6 + K5 + W2: value at rank k and the keys tied on it."""
+    return P.cutoff_ties(events_posts(spark, sf), K)
+
+
+@register("quantile_posts_per_user", f"""
+WITH {_PER_USER_SQL}
+SELECT round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.99), 6) AS p99,
+       min(n) AS min_n, max(n) AS max_n FROM c""")
+def q_quantile_posts_per_user(spark, sf):
+    """A12 + A13: exact quantiles (linear interpolation), min and max."""
+    c = P.posts_per_user(events_posts(spark, sf))
+    return c.agg(
+        F.round(G.quantile(c, 0.5), 6).alias("p50"),
+        F.round(G.quantile(c, 0.99), 6).alias("p99"),
+        F.min("n").alias("min_n"),
+        F.max("n").alias("max_n"),
+    )
+
+
+@register("identity_consistency", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL}),
+u AS (SELECT {USER_ID} AS uid, {USERNAME} AS name FROM posts),
+pairs AS (SELECT DISTINCT uid, name FROM u WHERE uid IS NOT NULL AND name IS NOT NULL)
+SELECT (SELECT count(*) FROM (SELECT name FROM pairs GROUP BY name HAVING count(*) > 1)) AS names_with_many_ids,
+       (SELECT count(*) FROM (SELECT uid FROM pairs GROUP BY uid HAVING count(*) > 1)) AS ids_with_many_names,
+       count(*) AS n_rows, count(DISTINCT name) AS n_distinct_names,
+       round(count(*) / count(DISTINCT name), 6) AS rows_per_name
+FROM u""")
+def q_identity_consistency(spark, sf):
+    """D9 + A11 + A15: names with several ids, ids with several names, repetition."""
+    return P.identity_consistency(events_posts(spark, sf))
+
+
+@register("time_range", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL})
+SELECT min({A.sql_utc_day()}) AS first_day, max({A.sql_utc_day()}) AS last_day,
+       count(*) FILTER (WHERE coalesce(year({A.sql_utc_day()}) <> {EVENTS_YEAR}, true)) AS n_outside_year
+FROM posts""")
+def q_time_range(spark, sf):
+    """D12 + A13 + P12: first/last UTC day, posts outside the year."""
+    return P.time_range(events_posts(spark, sf), EVENTS_YEAR)
+
+
+@register("integrity_counters", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL})
+SELECT count(*) AS n_posts, count(*) FILTER (WHERE id IS NULL) AS null_ids,
+       count(*) FILTER (WHERE "user" IS NULL) AS null_users,
+       count(*) FILTER (WHERE "user" IS NOT NULL AND {USERNAME} IS NULL) AS null_usernames,
+       count(*) FILTER (WHERE {USERNAME} = '') AS empty_usernames,
+       count(*) FILTER (WHERE date IS NULL) AS null_dates,
+       count(*) FILTER (WHERE date IS NOT NULL AND {A.sql_utc_ts()} IS NULL) AS bad_dates,
+       count(*) FILTER (WHERE content IS NULL) AS null_content
+FROM posts""")
+def q_integrity_counters(spark, sf):
+    """Integrity counters of the input."""
+    return P.integrity_counters(events_posts(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Documents: text profiles.
+
+_DOCS = f"d AS ({A.DOCUMENTS_POSTS_SQL})"
+
+
+@register("truncation_profile", f"""
+WITH {_DOCS}
+SELECT count(*) AS n_posts,
+  count(*) FILTER (WHERE n_chars > {A.DOC_LONG_CHARS}) AS n_truncated,
+  round(count(*) FILTER (WHERE n_chars > {A.DOC_LONG_CHARS}) / count(*), 6) AS truncated_share,
+  count(*) FILTER (WHERE id % {A.DOC_MOD} = {A.DOC_TRUNCATED}) AS n_extended,
+  count(*) FILTER (WHERE regexp_matches(content, '{ENDS_WITH_ELLIPSIS}')) AS n_ellipsis,
+  round(count(*) FILTER (WHERE regexp_matches(content, '{ENDS_WITH_ELLIPSIS}')) / count(*), 6) AS ellipsis_share
+FROM d""")
+def q_truncation_profile(spark, sf):
+    """D1 + P10 + P13 + P14: truncated flag, extended text, ellipsis endings."""
+    return P.truncation_profile(documents_records(spark, sf))
+
+
+@register("retweet_profile", f"""
+WITH {_DOCS},
+r AS (SELECT *, (id % {A.DOC_MOD} = {A.DOC_RETWEET} OR id % {A.DOC_EXTRA_RETWEET_MOD} = 0) AS meta,
+             starts_with(content, 'RT @') AS txt FROM d)
+SELECT count(*) AS n_posts, count(*) FILTER (WHERE meta) AS n_retweet_meta,
+  round(count(*) FILTER (WHERE meta) / count(*), 6) AS retweet_meta_share,
+  count(*) FILTER (WHERE txt) AS n_retweet_text,
+  round(count(*) FILTER (WHERE txt) / count(*), 6) AS retweet_text_share
+FROM r""")
+def q_retweet_profile(spark, sf):
+    """D2 + P11 + P13: retweets by metadata and by text."""
+    return P.retweet_profile(documents_records(spark, sf))
+
+
+@register("mention_discrepancy", f"""
+WITH {_DOCS},
+s AS (SELECT id, content, meta_names,
+             list_distinct(regexp_extract_all(content, '{MENTION_IN_TEXT}', 1)) AS text_names FROM d),
+f AS (SELECT id, substring(content, 1, 50) AS snippet,
+             len(list_filter(meta_names, lambda x: NOT list_contains(text_names, x))) > 0 AS hidden,
+             len(list_filter(text_names, lambda x: NOT list_contains(meta_names, x))) > 0 AS fake FROM s)
+SELECT count(*) AS n_posts, count(*) FILTER (WHERE hidden) AS n_hidden, count(*) FILTER (WHERE fake) AS n_fake,
+  min(id) FILTER (WHERE hidden) AS hidden_example_id, arg_min(snippet, id) FILTER (WHERE hidden) AS hidden_example,
+  min(id) FILTER (WHERE fake) AS fake_example_id, arg_min(snippet, id) FILTER (WHERE fake) AS fake_example
+FROM f""")
+def q_mention_discrepancy(spark, sf):
+    """D3 + E8 + F9-F11: hidden and fake mentions."""
+    return P.mention_discrepancy(documents_posts(spark, sf))
+
+
+@register("mention_structure", f"""
+WITH m AS ({A.SUPPLIER_MENTIONS_SQL}),
+o AS (SELECT l_orderkey, bool_or(username IS NULL) AS has_null FROM m GROUP BY l_orderkey)
+SELECT count(*) AS n_posts,
+  count(*) FILTER (WHERE l_orderkey % {A.MENTION_NULL_LIST_MOD} <> 0) AS n_with_list,
+  count(*) FILTER (WHERE l_orderkey % {A.MENTION_NULL_LIST_MOD} <> 0 AND l_orderkey % {A.MENTION_EMPTY_LIST_MOD} <> 0
+                   AND has_null) AS n_with_null_name
+FROM o""")
+def q_mention_structure(spark, sf):
+    """D10 + F12: posts with a list, lists with a null name."""
+    return P.mention_structure(lineitem_posts(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Emoji complexity.
+
+from postscope.plans.catalog_questions import sql_emoji_counts  # noqa: E402
+
+
+@register("emoji_complexity_run", f"""
+WITH {sql_emoji_counts('run')},
+x AS (SELECT *, length(emoji) > 1 OR contains(emoji, chr(8205)) AS complex FROM c)
+SELECT emoji, n, (SELECT CAST(sum(n) AS BIGINT) FROM x) AS total_tokens,
+       (SELECT CAST(sum(n) FILTER (WHERE complex) AS BIGINT) FROM x) AS complex_tokens
+FROM x WHERE complex ORDER BY n DESC, emoji LIMIT 3""")
+def q_emoji_complexity_run(spark, sf):
+    """D11 + F13 with the run definition."""
+    return P.emoji_complexity(events_posts(spark, sf), "run")
+
+
+@register("emoji_complexity")
+def q_emoji_complexity(spark, sf):
+    """D11 with grapheme clusters (no SQL twin for \\X)."""
+    return P.emoji_complexity(events_posts(spark, sf), "grapheme")
+
+
+# ---------------------------------------------------------------------------
+# JSON lines: strict parse, dead letters, untyped records.
+
+_LINES = f"l AS ({A.EVENTS_JSON_LINES_SQL})"
+
+
+@register("strict_parse_summary", f"""
+WITH {_LINES}
+SELECT coalesce(expected_reason, 'ok') AS reject_reason, count(*) AS n FROM l GROUP BY 1""")
+def q_strict_parse_summary(spark, sf):
+    """S2 + S7: lines per reject reason ('ok' for valid posts)."""
+    parsed = S.parse_posts_strict(S.skip_blank_lines(event_lines(spark, sf)))
+    return G.count_by(parsed.select(F.coalesce("reject_reason", F.lit("ok")).alias("reject_reason")), "reject_reason")
+
+
+@register("dead_letter", f"""
+WITH {_LINES}
+SELECT line_no, value AS raw, expected_reason AS reject_reason FROM l WHERE expected_reason IS NOT NULL""")
+def q_dead_letter(spark, sf):
+    """The rejected lines with their reason."""
+    return S.dead_letter(S.parse_posts_strict(event_lines(spark, sf)), keep=("line_no",))
+
+
+@register("corrupt_lines", f"""
+WITH {_LINES}
+SELECT count(*) AS n_lines, count(expected_reason) AS n_corrupt,
+       round(count(expected_reason) / count(*), 6) AS corrupt_share FROM l""")
+def q_corrupt_lines(spark, sf):
+    """Share of lines that do not parse as posts."""
+    return P.corrupt_lines(S.parse_posts_strict(event_lines(spark, sf)))
+
+
+_JSON_TYPE = """CASE WHEN json_type(value, '{p}') IS NULL THEN 'missing'
+  WHEN json_type(value, '{p}') = 'NULL' THEN 'null'
+  WHEN json_type(value, '{p}') = 'VARCHAR' THEN 'string'
+  WHEN json_type(value, '{p}') IN ('BIGINT', 'UBIGINT') THEN 'integer'
+  WHEN json_type(value, '{p}') = 'DOUBLE' THEN 'number'
+  WHEN json_type(value, '{p}') = 'BOOLEAN' THEN 'boolean'
+  WHEN json_type(value, '{p}') = 'OBJECT' THEN 'object'
+  WHEN json_type(value, '{p}') = 'ARRAY' THEN 'array' END"""
+
+
+@register("key_column_profile", f"""
+WITH {_LINES}, ok AS (SELECT value FROM l WHERE json_valid(value)),
+cells AS ({" UNION ALL ".join(f"SELECT '{c}' AS \"column\", {_JSON_TYPE.format(p='$.' + c)} AS type FROM ok" for c in P.KEY_COLUMNS)})
+SELECT "column", type, count(*) AS n FROM cells GROUP BY 1, 2""")
+def q_key_column_profile(spark, sf):
+    """D8 + A9 + F14 + S3: value types of the key columns in untyped records."""
+    from postscope.sources.posts import records_from_text
+
+    return P.key_column_profile(records_from_text(event_lines(spark, sf)))
+
+
+@register("record_field_sum", """
+SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, count(*) AS n
+FROM events GROUP BY 1""")
+def q_record_field_sum(spark, sf):
+    """S3: untyped access to a JSON field (``props``) through VARIANT."""
+    ev = A.load(spark, sf, "events")
+    v = F.try_parse_json("props")
+    return ev.groupBy("event_type").agg(
+        F.sum(F.try_variant_get(v, "$.k", "bigint")).alias("k_sum"), F.count(F.lit(1)).alias("n")
+    )
+
+
+@register("top_days_top_user_json", f"""
+WITH {_LINES}, good AS (SELECT * FROM l WHERE expected_reason IS NULL),
+posts AS (SELECT line_no AS id, json_extract_string(value, '$.date') AS date,
+                 struct_pack(id := CAST(json_extract(value, '$.user.id') AS BIGINT),
+                             username := json_extract_string(value, '$.user.username')) AS "user" FROM good),
+d AS (SELECT {A.sql_utc_day()} AS date, {USERNAME} AS author FROM posts),
+pairs AS (SELECT date, author, count(*) AS n FROM d WHERE date IS NOT NULL GROUP BY date, author),
+days AS (SELECT date, CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) FILTER (WHERE author IS NOT NULL) AS BIGINT) AS dt,
+         first(author ORDER BY n DESC, author ASC) FILTER (WHERE author IS NOT NULL) AS top_author
+         FROM pairs GROUP BY date),
+top AS (SELECT * FROM days ORDER BY total DESC, date DESC LIMIT {K})
+SELECT date, top_author AS top_user FROM top WHERE dt IS NOT NULL""")
+def q_top_days_top_user_json(spark, sf):
+    """S1 + Q1: JSON text lines parsed with the fixed schema (malformed lines
+    give rows of nulls, which carry no day), then Q1."""
+    from postscope.schema import POST
+
+    posts = event_lines(spark, sf).select(F.from_json("value", POST).alias("p")).select("p.*")
+    return Q.top_days_top_user(posts, K)
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf):
+    """Observed structure of the JSON lines against the post schema."""
+    from postscope.sources.posts import records_from_text
+
+    return P.schema_drift(records_from_text(event_lines(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# Samples and sketches.
+
+
+@register("head_sample", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL}) SELECT id, date FROM posts ORDER BY id LIMIT 1000""")
+def q_head_sample(spark, sf):
+    """K6: the first 1,000 posts by id (the limit is the feature)."""
+    return G.head_sample(events_posts(spark, sf), 1000).select("id", "date")
+
+
+@register("reservoir_sample")
+def q_reservoir_sample(spark, sf):
+    """K7: a uniform, seeded sample of exactly 1,500 posts."""
+    return G.reservoir_sample(events_posts(spark, sf), 1500, seed=42).select("id", "date")
+
+
+@register("approx_distinct_users")
+def q_approx_distinct_users(spark, sf):
+    """HyperLogLog distinct authors next to the exact count."""
+    p = events_posts(spark, sf).select(F.col("user.username").alias("u"))
+    return p.agg(
+        X.approx_distinct("u", 0.01).alias("approx_users"),
+        F.hll_sketch_estimate(X.hll_sketch("u")).alias("hll_users"),
+        F.count_distinct("u").alias("exact_users"),
+    )
+
+
+@register("approx_top_users")
+def q_approx_top_users(spark, sf):
+    """Heavy-hitter authors in bounded memory."""
+    p = events_posts(spark, sf).select(F.col("user.username").alias("username")).where("username is not null")
+    return X.approx_top_k(p, "username", K, 10000)
+
+
+@register("daily_rollup_top_days", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL}),
+c AS (SELECT {A.sql_utc_day()} AS date, count(*) AS n FROM posts WHERE {A.sql_utc_day()} IS NOT NULL GROUP BY 1)
+SELECT date, n FROM c ORDER BY n DESC, date DESC LIMIT {K}""")
+def q_daily_rollup_top_days(spark, sf):
+    """Hourly rollup, re-aggregated to days, top k read from it."""
+    from postscope.functions.days import parse_ts
+
+    hourly = X.daily_rollup(events_posts(spark, sf), parse_ts("date"))
+    return G.top_k(X.roll_up_days(hourly), K, "n", ["date"], descending_keys=True).select(
+        "date", F.col("n").cast("long").alias("n")
+    )

@@ -103,9 +103,9 @@ def valid_for(question: str) -> Column:
     raise ValueError(f"unknown question {question!r}")
 
 
-def dead_letter(parsed: DataFrame) -> DataFrame:
+def dead_letter(parsed: DataFrame, keep=("source_file",)) -> DataFrame:
     """Rejected lines (raw text + reason), ready to be written apart."""
-    keep = [c for c in ("source_file",) if c in parsed.columns]
+    keep = [c for c in keep if c in parsed.columns]
     return parsed.where(F.col("reject_reason").isNotNull()).select(
         *keep, F.col(CORRUPT_COLUMN).alias("raw"), "reject_reason"
     )
