@@ -150,19 +150,29 @@ def to_columnar(df: DataFrame, path: str, columns=None, mode: str = "overwrite")
     (df.select(*columns) if columns else df).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwrite") -> None:
+def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwrite",
+                     files_per_day: int = 8) -> None:
     """Write with physical ``year/month/day`` folders; filters on them prune files.
 
-    Rows are clustered by day before the write so each task writes few files.
+    Rows are spread over (day, salt) before the write, the salt being a
+    deterministic hash of the row modulo ``files_per_day``: a day holding a
+    third of all rows is written by ``files_per_day`` tasks, not one, and a
+    retried task sees the same rows.
     """
     out = df.withColumn("_day", day).where(F.col("_day").isNotNull())
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
     out = out.select(
         "*",
         F.year("_day").alias("year"),
         F.month("_day").alias("month"),
         F.dayofmonth("_day").alias("day"),
     ).drop("_day")
-    out.repartition("year", "month", "day").write.mode(mode).partitionBy("year", "month", "day").parquet(path)
+    (
+        out.repartition("year", "month", "day", salt)
+        .write.mode(mode)
+        .partitionBy("year", "month", "day")
+        .parquet(path)
+    )
 
 
 def scan_lines_partitioned(spark: SparkSession, path, partitions: int) -> DataFrame:
