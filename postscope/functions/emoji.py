@@ -85,7 +85,28 @@ DEFINITIONS = {
 
 
 def pattern(definition: str) -> str:
+    """The definition as a portable pattern (Java and RE2)."""
     try:
         return DEFINITIONS[definition]
     except KeyError:
         raise ValueError(f"unknown emoji definition {definition!r}; one of {sorted(DEFINITIONS)}") from None
+
+
+# Every token of every definition holds a non-ASCII codepoint, so a text
+# without one has no token.
+HAS_NON_ASCII = "[^\\x{00}-\\x{7F}]"
+# Guards that let the Java engine reject most start positions with one range
+# test instead of walking the whole class. They never change what matches:
+# a property token starts at U+00A9 or above; a grapheme cluster with an
+# emoji either starts with a non-ASCII codepoint or is an ASCII base followed
+# by a non-ASCII mark (keycaps), and between two ASCII characters there is
+# always a cluster boundary (CR LF, the one exception, holds no emoji).
+_GUARDS = {
+    "property": "(?=[^\\x{00}-\\x{A8}])",
+    "grapheme": "(?=[^\\x{00}-\\x{7F}]|[\\x{00}-\\x{7F}][^\\x{00}-\\x{7F}])",
+}
+
+
+def spark_pattern(definition: str) -> str:
+    """``pattern`` with a lookahead guard for Java (RE2 has no lookahead)."""
+    return _GUARDS.get(definition, "") + pattern(definition)

@@ -51,6 +51,10 @@ def lineitem_posts(spark, sf):
     return A.lineitem_posts(A.load(utc(spark), sf, "lineitem"), A.load(spark, sf, "supplier"))
 
 
+def lineitem_line_posts(spark, sf):
+    return A.lineitem_line_posts(A.load(utc(spark), sf, "lineitem"), A.load(spark, sf, "supplier"))
+
+
 def documents_posts(spark, sf):
     return A.documents_posts(A.load(utc(spark), sf, "documents"))
 

@@ -16,6 +16,7 @@ built from the same fixed values, so the oracle applies the identical rule.
   suppliers of its lines (upper-cased on odd orders, a null name at line 7,
   ``''`` at line 6; null list when ``l_orderkey % 11 = 0``, empty when
   ``% 13 = 0``).
+* ``lineitem_line_posts``: the same mentions, one post per line item.
 * ``documents_posts``: one post per document, some marked truncated (`` …``)
   or retweeted (``RT @source: ``); the mention list is the source plus, on
   even ids, the ``@names`` written in the text.
@@ -174,6 +175,28 @@ def lineitem_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
+def lineitem_line_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """One post per line item whose list holds its one supplier (null list
+    when ``l_orderkey % 11 = 0``, empty when ``% 13 = 0``, as in
+    ``lineitem_posts``). The mentions are the same multiset as in
+    ``lineitem_posts`` without regrouping lines by order (no shuffle), so
+    questions that count element by element give the same answer."""
+    m = supplier_mentions(lineitem, supplier)
+    k = F.col("l_orderkey")
+    lst = (
+        F.when(k % MENTION_NULL_LIST_MOD == 0, F.lit(None))
+        .when(k % MENTION_EMPTY_LIST_MOD == 0, F.array())
+        .otherwise(F.array(F.struct(F.col("username"))))
+    )
+    return m.select(
+        k.alias("id"),
+        F.lit(None).cast("string").alias("date"),
+        F.lit(None).cast("string").alias("content"),
+        F.lit(None).cast(POST["user"].dataType).alias("user"),
+        lst.cast(POST["mentionedUsers"].dataType).alias("mentionedUsers"),
+    )
+
+
 def _doc_content(did: Column, text: Column) -> Column:
     return (
         F.when(did % DOC_MOD == DOC_TRUNCATED, F.concat(text, F.lit(" \u2026")))
