@@ -259,3 +259,55 @@ def q_mentions_from_text(spark, sf):
     from postscope.operators.extract import mentions_from_text
 
     return mentions_from_text(documents_posts(spark, sf), "content", "username", "id")
+
+
+# ---------------------------------------------------------------------------
+# Tie handling at the day cut-off, the dictionary-lookup form of Q1, and the
+# serialised answer.
+
+_ORDER_DAYS = f"""
+posts AS ({A.ORDERS_POSTS_SQL}),
+c AS (SELECT {A.sql_utc_day()} AS date, count(*) AS n FROM posts WHERE {A.sql_utc_day()} IS NOT NULL GROUP BY 1)"""
+
+
+@register("day_cutoff_ties_orders", f"""
+WITH {_ORDER_DAYS},
+top AS (SELECT * FROM c ORDER BY n DESC, date DESC LIMIT {K}),
+cut AS (SELECT CASE WHEN count(*) >= {K} THEN min(n) END AS v FROM top)
+SELECT {K} AS k, (SELECT v FROM cut) AS cutoff_value,
+       (SELECT count(*) FROM c WHERE n = (SELECT v FROM cut)) AS keys_at_cutoff,
+       (SELECT count(*) FROM top WHERE n = (SELECT v FROM cut)) AS keys_at_cutoff_in_top,
+       (SELECT count(*) FROM c WHERE n = (SELECT v FROM cut)) > (SELECT count(*) FROM top WHERE n = (SELECT v FROM cut)) AS split_tie""")
+def q_day_cutoff_ties_orders(spark, sf):
+    """W2 + K5 on order days: how many days tie with the 10th (V5)."""
+    p = orders_posts(spark, sf).select(day_of(F.col("date")).alias("key"))
+    days = G.count_by(p, "key").where(F.col("key").isNotNull())
+    out = G.ties_at_cutoff(days, K, "n", "key")
+    return out
+
+
+@register("top_days_best_user_lookup", f"""
+WITH {sql_days(A.EVENTS_POSTS_SQL, EV_DAY)},
+top AS (SELECT date, total AS n FROM days ORDER BY total DESC, date DESC LIMIT {K}),
+best AS (SELECT date, first(author ORDER BY n DESC, author) AS top_user FROM pairs WHERE author IS NOT NULL GROUP BY date)
+SELECT top.date, n, top_user FROM top JOIN best ON top.date = best.date""")
+def q_top_days_best_user_lookup(spark, sf):
+    """The chosen days looked up in the best-author table (inner join:
+    a day without a named author drops out)."""
+    from postscope.operators.joins import lookup
+
+    posts = events_posts(spark, sf)
+    summaries = Q.day_summaries(posts)
+    top = G.top_k(summaries.select("date", F.col("total").alias("n")), K, "n", ["date"], descending_keys=True)
+    best = summaries.where(F.col("top_author").isNotNull()).select("date", F.col("top_author").alias("top_user"))
+    return lookup(top, best, "date")
+
+
+@register("top_days_top_user_serialized", f"""
+WITH q AS ({sql_q1(A.EVENTS_POSTS_SQL, EV_DAY)})
+SELECT '["' || strftime(date, '%Y-%m-%d') || '","' || top_user || '"]' AS json FROM q""")
+def q_top_days_top_user_serialized(spark, sf):
+    """S9 + F7: the Q1 answer as JSON arrays with ISO dates."""
+    from postscope.sources.posts import result_to_json
+
+    return result_to_json(Q.top_days_top_user(events_posts(spark, sf), K))
