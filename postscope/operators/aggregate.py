@@ -18,9 +18,19 @@ def _cols(keys):
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
-def count_by(df: DataFrame, *keys, name: str = "n") -> DataFrame:
-    """Rows per key (``count(*)``, a bigint)."""
-    return df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(name))
+def count_by(df: DataFrame, *keys, name: str = "n", drop_null: str | None = None) -> DataFrame:
+    """Rows per key (``count(*)``, a bigint).
+
+    ``drop_null`` names a key whose null group is removed. The test is on an
+    aggregate (``count(key) > 0``), which Catalyst cannot push below the
+    aggregate: a filter on the key itself would be pushed down to the scan
+    and evaluate a costly key expression (a parsed date) twice per row.
+    """
+    aggs = [F.count(F.lit(1)).alias(name)]
+    if drop_null is None:
+        return df.groupBy(*_cols(keys)).agg(*aggs)
+    out = df.groupBy(*_cols(keys)).agg(*aggs, F.count(F.col(drop_null)).alias("_nonnull"))
+    return out.where(F.col("_nonnull") > 0).drop("_nonnull")
 
 
 def order_spec(by: str = "n", keys=()) -> list[Column]:

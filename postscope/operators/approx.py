@@ -42,12 +42,36 @@ def count_min(df: DataFrame, column: str, eps: float = 0.001, confidence: float
 
 
 def daily_rollup(df: DataFrame, ts: Column, *keys: str) -> DataFrame:
-    """Counts per (day, hour[, keys]) - the pre-aggregate to store."""
-    return df.where(ts.isNotNull()).groupBy(
-        F.to_date(ts).alias("date"), F.hour(ts).alias("hour"), *keys
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """Counts per UTC (day, hour[, keys]) - the pre-aggregate to store.
+    Rows without a time are dropped by the aggregate, so each time is
+    parsed once."""
+    from postscope.functions.days import utc_day
+    from postscope.operators.aggregate import count_by
+
+    # The instant is projected first: it is used twice below, and Catalyst
+    # does not inline a costly expression into two places.
+    t = df.select(ts.alias("_ts"), *keys)
+    hour = F.floor(F.pmod(F.unix_seconds("_ts"), F.lit(86400)) / F.lit(3600)).cast("int")
+    rows = t.select(utc_day(F.col("_ts")).alias("date"), hour.alias("hour"), *keys)
+    return count_by(rows, "date", "hour", *keys, drop_null="date")
 
 
 def roll_up_days(hourly: DataFrame, *keys: str) -> DataFrame:
     """Re-aggregate an hourly rollup to days (``sum`` of partial counts)."""
     return hourly.groupBy("date", *keys).agg(F.sum("n").alias("n"))
+
+
+def write_rollup(hourly: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store an hourly rollup partitioned by day; rewriting one day replaces
+    only that day's folder (dynamic partition overwrite)."""
+    (
+        hourly.repartition("date")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .parquet(path)
+    )
+
+
+def read_rollup(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)

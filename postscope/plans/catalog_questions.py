@@ -85,8 +85,7 @@ WITH posts AS ({A.EVENTS_POSTS_SQL})
 SELECT {EV_DAY} AS date, count(*) AS n FROM posts WHERE {EV_DAY} IS NOT NULL GROUP BY 1""")
 def q_count_by_day(spark, sf):
     """A1 + P1 + P5: posts per UTC day."""
-    p = events_posts(spark, sf).select(day_of(F.col("date")).alias("date")).where(F.col("date").isNotNull())
-    return G.count_by(p, "date")
+    return Q.day_counts(events_posts(spark, sf))
 
 
 @register("count_by_day_prefix", f"""
@@ -94,8 +93,7 @@ WITH posts AS ({A.EVENTS_POSTS_SQL})
 SELECT {sql_prefix_day()} AS date, count(*) AS n FROM posts WHERE {sql_prefix_day()} IS NOT NULL GROUP BY 1""")
 def q_count_by_day_prefix(spark, sf):
     """A1 + P2: posts per day written in the text."""
-    p = events_posts(spark, sf).select(day_of(F.col("date"), "prefix").alias("date")).where(F.col("date").isNotNull())
-    return G.count_by(p, "date")
+    return Q.day_counts(events_posts(spark, sf), "prefix")
 
 
 @register("top_days", f"""
@@ -117,8 +115,9 @@ def q_count_by_day_user(spark, sf):
 
     p = events_posts(spark, sf).select(
         day_of(F.col("date")).alias("date"), F.col("user.username").alias("username")
-    ).where(F.col("date").isNotNull())
-    top = G.top_k(G.count_by(p, "date"), K, "n", ["date"], descending_keys=True)
+    )
+    top = G.top_k(G.count_by(p, "date", drop_null="date"), K, "n", ["date"], descending_keys=True)
+    # the semi join drops posts without a day (null never equals a key)
     return G.count_by(restrict_to_keys(p.where(F.col("username").isNotNull()), top, "date", bound=K), "date", "username")
 
 
@@ -127,11 +126,8 @@ WITH {sql_days(A.EVENTS_POSTS_SQL, EV_DAY, strict=True)}
 SELECT date, top_author AS top_user, day_total_tweets FROM days""")
 def q_best_user_per_day(spark, sf):
     """A3 + A4 on every day: arg-max author (ties smallest) and named total."""
-    p = events_posts(spark, sf).select(
-        day_of(F.col("date")).alias("date"), F.col("user.username").alias("username")
-    ).where(F.col("date").isNotNull() & F.col("username").isNotNull())
-    pairs = G.count_by(p, "date", "username")
-    return G.best_per_group(pairs, "date", "username", best="top_user", total="day_total_tweets")
+    pairs = Q.day_author_pairs(events_posts(spark, sf), strict=True)
+    return G.best_per_group(pairs, "date", "author", best="top_user", total="day_total_tweets")
 
 
 @register("top_n_users_per_day", f"""
@@ -141,10 +137,7 @@ SELECT date, author AS username, n, rank FROM (
 WHERE rank <= 3""")
 def q_top_n_users_per_day(spark, sf):
     """The three most active authors of every day."""
-    p = events_posts(spark, sf).select(
-        day_of(F.col("date")).alias("date"), F.col("user.username").alias("username")
-    ).where(F.col("date").isNotNull() & F.col("username").isNotNull())
-    pairs = G.count_by(p, "date", "username")
+    pairs = Q.day_author_pairs(events_posts(spark, sf), strict=True).withColumnRenamed("author", "username")
     return G.top_n_per_group(pairs, "date", [F.col("n").desc(), F.col("username").asc()], 3).select(
         "date", "username", "n", F.col("rank").cast("long").alias("rank")
     )
@@ -281,7 +274,7 @@ SELECT {K} AS k, (SELECT v FROM cut) AS cutoff_value,
 def q_day_cutoff_ties_orders(spark, sf):
     """W2 + K5 on order days: how many days tie with the 10th (V5)."""
     p = orders_posts(spark, sf).select(day_of(F.col("date")).alias("key"))
-    days = G.count_by(p, "key").where(F.col("key").isNotNull())
+    days = G.count_by(p, "key", drop_null="key")
     out = G.ties_at_cutoff(days, K, "n", "key")
     return out
 

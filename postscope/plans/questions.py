@@ -37,8 +37,8 @@ from postscope.operators.joins import latest_value_per_key, restrict_to_keys
 
 def _day_author(posts: DataFrame, day_mode: str, strict: bool, author: str, by=()) -> DataFrame:
     """(day, author) per post. Rows with no day are kept here and dropped
-    after the first aggregate: a filter on the parsed day would be pushed
-    below the projection and parse every date twice."""
+    by the first aggregate (``count_by(drop_null=...)``), so each date is
+    parsed once."""
     p = posts.select(
         *by,
         day_of(F.col("date"), day_mode).alias("date"),
@@ -52,7 +52,19 @@ def _day_author(posts: DataFrame, day_mode: str, strict: bool, author: str, by=(
 def _pairs(posts: DataFrame, day_mode: str, strict: bool, author: str, by=()) -> DataFrame:
     """Posts per (day, author), days that parse only."""
     p = _day_author(posts, day_mode, strict, author, by)
-    return count_by(p, *by, "date", "author").where(F.col("date").isNotNull())
+    return count_by(p, *by, "date", "author", drop_null="date")
+
+
+def day_author_pairs(posts: DataFrame, day_mode: str = "utc", strict: bool = False,
+                     author: str = "user.username") -> DataFrame:
+    """A2: posts per (day, author) with columns ``date, author, n``."""
+    return _pairs(posts, day_mode, strict, author)
+
+
+def day_counts(posts: DataFrame, day_mode: str = "utc") -> DataFrame:
+    """A1: posts per day (``date, n``); the day is parsed once per post."""
+    p = posts.select(day_of(F.col("date"), day_mode).alias("date"))
+    return count_by(p, "date", drop_null="date")
 
 
 def _top_days_per_group(days: DataFrame, k: int, by) -> DataFrame:
@@ -92,7 +104,7 @@ def top_days_top_user(posts: DataFrame, k: int = 10, day_mode: str = "utc", stri
         if by:
             raise ValueError("two_scan is for a single answer; use one_scan with by=")
         p = _day_author(posts, day_mode, strict, "user.username")
-        days = count_by(p, "date").where(F.col("date").isNotNull())
+        days = count_by(p, "date", drop_null="date")
         top = top_k(days, k, "n", ["date"], descending_keys=True)
         chosen = restrict_to_keys(p.where(F.col("author").isNotNull()), top, "date", bound=k)
         pairs = count_by(chosen, "date", "author")

@@ -30,10 +30,19 @@ def answers_per_file(batch: DataFrame, k: int = 10, day_mode: str = "utc") -> Da
     )
 
 
-def start_file_arrival(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
+def start_file_arrival(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str | None = None,
                        k: int = 10, max_files_per_trigger: int = 1, available_now: bool = True,
                        processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    The stream checkpoint defaults to a sub-folder of the shared folder the
+    cluster names in ``spark.checkpoint.dir`` (it must survive the loss of
+    any executor or of the driver host).
+    """
+    if checkpoint_dir is None:
+        from postscope.session import shared_dir
+
+        checkpoint_dir = shared_dir(spark, "file_arrival")
     src = (
         spark.readStream.schema(POST)
         .option("maxFilesPerTrigger", max_files_per_trigger)

@@ -48,3 +48,10 @@ def test_counts_combine_map_side(spark):
 def test_element_wise_q3_does_not_regroup_lines(spark):
     p = plan(spark, "top_mentioned")
     assert "collect_list" not in p
+
+
+@pytest.mark.parametrize("name", ["top_days_top_user", "count_by_day", "best_user_per_day", "daily_rollup_top_days"])
+def test_date_text_parsed_once(spark, name):
+    df = E.queries()[name](spark, SF)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert p.count("yyyy-MM-dd'T'HH:mm:ssXXX, TimestampType") == 1, p
