@@ -2,9 +2,8 @@
 
 ``lower_handle`` is the shipped rule (lower-case only). ``normalize_handle``
 adds Unicode NFKC before lower-casing. Spark has no built-in NFKC, so it is a
-pandas UDF (Arrow batches); it only runs on rows that contain a non-ASCII
-character, because NFKC leaves ASCII unchanged. The ``CASE`` keeps the common
-ASCII path inside whole-stage codegen.
+pandas UDF (Arrow batches); only values with a non-ASCII character are sent to
+it (others go as NULL), because NFKC leaves ASCII unchanged.
 """
 
 from __future__ import annotations
@@ -26,8 +25,12 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def nfkc(c) -> Column:
+    """NFKC of a string column. Spark evaluates a Python UDF on every row even
+    inside ``CASE WHEN``, so ASCII values (already NFKC) are sent as NULL:
+    the Arrow batches stay almost empty and the result falls back to the
+    original value."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.rlike("[^\\x00-\\x7F]"), _nfkc(c)).otherwise(c)
+    return F.coalesce(_nfkc(F.when(c.rlike("[^\\x00-\\x7F]"), c)), c)
 
 
 def normalize_handle(c="username") -> Column:
