@@ -33,11 +33,6 @@ def count_by(df: DataFrame, *keys, name: str = "n", drop_null: str | None = None
     return out.where(F.col("_nonnull") > 0).drop("_nonnull")
 
 
-def order_spec(by: str = "n", keys=()) -> list[Column]:
-    """Count descending, then keys ascending (byte order = codepoint order)."""
-    return [F.col(by).desc()] + [F.col(k).asc_nulls_last() for k in keys]
-
-
 def top_k(df: DataFrame, k: int, by: str = "n", keys=None, descending_keys: bool = False) -> DataFrame:
     """K1/K4: the k rows with the largest ``by``; ties broken by the keys.
 
@@ -115,8 +110,9 @@ def quantile(counts: DataFrame, q: float, by: str = "n", exact: bool = True, acc
 
 
 def ratio(numerator: Column, denominator: Column, digits: int = 6) -> Column:
-    """A share, rounded so results compare across engines."""
-    return F.round(numerator.cast("double") / denominator.cast("double"), digits)
+    """A share, rounded so results compare across engines; null for
+    an empty input (``try_divide``: no error under ANSI mode)."""
+    return F.round(F.try_divide(numerator.cast("double"), denominator.cast("double")), digits)
 
 
 def head_sample(df: DataFrame, n: int, order: str = "id") -> DataFrame:

@@ -22,8 +22,6 @@ from postscope.schema import CORRUPT_COLUMN, POST, POST_DDL
 # Reasons written to the dead-letter output.
 REASON_MALFORMED = "malformed_json"
 REASON_NOT_OBJECT = "not_an_object"
-REASON_MISSING = "missing_field"
-REASON_BAD_DATE = "bad_date"
 
 
 def scan_posts(spark: SparkSession, path, schema=POST) -> DataFrame:
