@@ -148,31 +148,41 @@ def to_columnar(df: DataFrame, path: str, columns=None, mode: str = "overwrite")
     (df.select(*columns) if columns else df).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwrite",
-                     files_per_day: int = 8) -> None:
-    """Write with physical ``year/month/day`` folders; filters on them prune files.
-
-    Rows are spread over (day, salt) before the write, the salt being a
-    deterministic hash of the row modulo ``files_per_day``: a day holding a
-    third of all rows is written by ``files_per_day`` tasks, not one, and a
-    retried task sees the same rows.
-    """
-    out = df.withColumn("_day", day).where(F.col("_day").isNotNull())
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
-    out = out.select(
-        "*",
+def with_day_columns(df: DataFrame, day: Column) -> DataFrame:
+    """Add ``year``, ``month``, ``day`` partition columns from a DATE column
+    (null when there is no day)."""
+    out = df.withColumn("_day", day)
+    return out.select(
+        *[c for c in df.columns],
         F.year("_day").alias("year"),
         F.month("_day").alias("month"),
         F.dayofmonth("_day").alias("day"),
-    ).drop("_day")
-    (
-        out.repartition("year", "month", "day", salt)
-        .write.mode(mode)
-        .partitionBy("year", "month", "day")
-        .parquet(path)
     )
 
 
+def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwrite",
+                     files_per_day: int | None = None, keep_null_days: bool = False,
+                     extra_partitions=()) -> None:
+    """Write with physical ``year/month/day`` folders; filters and joins
+    on them prune files (static and dynamic partition pruning).
+
+    By default nothing is shuffled: the writer sorts each task's rows by the
+    partition columns and writes one file per day the task holds, so no day,
+    however large, is funnelled into one task. ``files_per_day`` instead
+    shuffles rows to (day, salt) with a deterministic row-hash salt, giving
+    about that many files per day; a hot day is still spread over that many
+    tasks and a retried task sees the same rows.
+    """
+    out = with_day_columns(df, day)
+    if not keep_null_days:
+        out = out.where(F.col("year").isNotNull())
+    parts = [*extra_partitions, "year", "month", "day"]
+    if files_per_day:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
+        out = out.repartition(*[F.col(c) for c in parts], salt)
+    out.write.mode(mode).partitionBy(*parts).parquet(path)
+
+
 def scan_lines_partitioned(spark: SparkSession, path, partitions: int) -> DataFrame:
     """The input split into a given number of partitions of lines."""
     return scan_lines(spark, path).repartition(partitions)
