@@ -61,3 +61,4 @@ def documents_posts(spark, sf):
 # Importing the query modules fills the registry.
 from postscope.plans import catalog_questions  # noqa: E402,F401
 from postscope.plans import catalog_profiles  # noqa: E402,F401
+from postscope.plans import catalog_files  # noqa: E402,F401
