@@ -21,6 +21,10 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("event", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("total_duration_ms", T.DoubleType()),
+    T.StructField("memory_usage", T.StructType([
+        T.StructField("driver_python_peak_mb", T.DoubleType()),
+        T.StructField("driver_jvm_used_mb", T.DoubleType()),
+    ])),
     T.StructField("context", T.MapType(T.StringType(), T.StringType())),
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("steps", T.MapType(T.StringType(), T.DoubleType())),
@@ -38,6 +42,7 @@ class RunEvent:
         self.errors: list[str] = []
         self._t0 = time.perf_counter()
         self.total_ms: float | None = None
+        self.memory: tuple[float | None, float | None] = (None, None)
 
     def add_context(self, **kv) -> None:
         self.context.update({k: str(v) for k, v in kv.items()})
@@ -69,12 +74,14 @@ class RunEvent:
             if v is not None:
                 self.add_metric(k, v)
 
-    def finish(self, status: str = "success") -> None:
+    def finish(self, status: str = "success", spark: SparkSession | None = None) -> None:
         self.status = status
         self.total_ms = round((time.perf_counter() - self._t0) * 1000, 4)
+        self.memory = (_python_peak_mb(), _jvm_used_mb(spark))
 
     def as_row(self) -> tuple:
-        return (self.event, self.status, self.total_ms, self.context, self.metrics, self.steps, self.errors)
+        return (self.event, self.status, self.total_ms, self.memory, self.context, self.metrics,
+                self.steps, self.errors)
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([self.as_row()], EVENT_SCHEMA)
@@ -93,11 +100,11 @@ def canonical_run(event_name: str, log_path: str | None = None):
             ev = RunEvent(event_name)
             try:
                 result = fn(spark, *args, ctx=ev, **kwargs)
-                ev.finish("success")
+                ev.finish("success", spark)
                 return result
             except Exception as e:
                 ev.add_error("".join(traceback.format_exception_only(type(e), e)).strip())
-                ev.finish("error")
+                ev.finish("error", spark)
                 raise
             finally:
                 wrapper.last_event = ev
@@ -110,6 +117,27 @@ def canonical_run(event_name: str, log_path: str | None = None):
     return deco
 
 
+def _python_peak_mb() -> float | None:
+    """Peak resident memory of this (driver) Python process."""
+    try:
+        import resource
+
+        return round(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024.0, 2)
+    except Exception:  # noqa: BLE001 - not available on every platform
+        return None
+
+
+def _jvm_used_mb(spark: SparkSession | None) -> float | None:
+    """Heap in use in the driver JVM (executors report their own metrics)."""
+    if spark is None:
+        return None
+    try:
+        rt = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+        return round((rt.totalMemory() - rt.freeMemory()) / 1048576.0, 2)
+    except Exception:  # noqa: BLE001 - e.g. no JVM gateway (Spark Connect)
+        return None
+
+
 def answer_with_event(spark: SparkSession, df: DataFrame, event: RunEvent) -> list:
     """Collect a small answer, recording ``output_rows`` through an Observation
     and the collect time as the ``execution_collect`` step."""

@@ -38,6 +38,7 @@ def test_run_event(spark, tmp_path):
     ev = job.last_event
     assert ev.status == "success" and ev.metrics["output_rows"] == 5.0
     assert "execution_collect" in ev.steps and ev.errors == ["minor"]
+    assert ev.memory[0] > 0 and ev.memory[1] > 0
     back = spark.read.json(str(tmp_path / "log")).collect()[0]
     assert back.event == "q_test" and back.status == "success"
 
