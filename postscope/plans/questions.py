@@ -96,22 +96,30 @@ def top_days_top_user(posts: DataFrame, k: int = 10, day_mode: str = "utc", stri
     (e.g. per input file)."""
     by = list(by)
     if plan == "one_scan":
-        days = _top_days_per_group(day_summaries(posts, day_mode, strict, by=by), k, by)
-        out = days.where(F.col("day_total_tweets").isNotNull()).select(
-            *by, "date", F.col("top_author").alias("top_user"), "day_total_tweets"
-        )
-    elif plan == "two_scan":
-        if by:
-            raise ValueError("two_scan is for a single answer; use one_scan with by=")
-        p = _day_author(posts, day_mode, strict, "user.username")
-        days = count_by(p, "date", drop_null="date")
-        top = top_k(days, k, "n", ["date"], descending_keys=True)
-        chosen = restrict_to_keys(p.where(F.col("author").isNotNull()), top, "date", bound=k)
-        pairs = count_by(chosen, "date", "author")
-        out = best_per_group(pairs, "date", "author", best="top_user", total="day_total_tweets")
-    else:
+        return answer_from_summaries(day_summaries(posts, day_mode, strict, by=by), k, by, with_counts)
+    if plan != "two_scan":
         raise ValueError(f"unknown plan {plan!r}; use 'one_scan' or 'two_scan'")
-    out = out.orderBy(*by, F.col("day_total_tweets").desc(), F.col("date").desc())
+    if by:
+        raise ValueError("two_scan is for a single answer; use one_scan with by=")
+    p = _day_author(posts, day_mode, strict, "user.username")
+    days = count_by(p, "date", drop_null="date")
+    top = top_k(days, k, "n", ["date"], descending_keys=True)
+    chosen = restrict_to_keys(p.where(F.col("author").isNotNull()), top, "date", bound=k)
+    pairs = count_by(chosen, "date", "author")
+    out = best_per_group(pairs, "date", "author", best="top_user", total="day_total_tweets")
+    out = out.orderBy(F.col("day_total_tweets").desc(), F.col("date").desc())
+    return out if with_counts else out.drop("day_total_tweets")
+
+
+def answer_from_summaries(days: DataFrame, k: int = 10, by=(), with_counts: bool = False) -> DataFrame:
+    """Q1's last steps on ``day_summaries``: the top k days by total (later
+    day first on ties), days with a named author only, ordered by the named
+    total then day."""
+    by = list(by)
+    top = _top_days_per_group(days, k, by)
+    out = top.where(F.col("day_total_tweets").isNotNull()).select(
+        *by, "date", F.col("top_author").alias("top_user"), "day_total_tweets"
+    ).orderBy(*by, F.col("day_total_tweets").desc(), F.col("date").desc())
     return out if with_counts else out.drop("day_total_tweets")
 
 

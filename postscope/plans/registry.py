@@ -9,9 +9,12 @@ the names are kept so existing callers can switch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from postscope.operators.aggregate import top_k
 from postscope.plans import questions as Q
+from postscope.plans.events import RunEvent
 from postscope.sources.posts import scan_posts, scan_posts_strict, valid_for
 
 QUESTIONS = {
@@ -40,3 +43,52 @@ def run(spark: SparkSession, question: str = "q1", strategy: str = "time", path=
     if not path:
         raise ValueError("a file path is required")
     return fn(posts_for(spark, question, strategy, path), k)
+
+
+def _observed(question: str, strategy: str, posts: DataFrame, k: int) -> tuple[DataFrame, Observation]:
+    """The answer plus an Observation on the aggregate before the top-k (O2):
+    ``total_dates`` for q1, ``unique_emojis`` for q2, ``unique_mentions`` for
+    q3. Filled by the job that computes the answer."""
+    strict = strategy == "memory"
+    obs = Observation(f"{question}_{strategy}")
+    one = F.count(F.lit(1))
+    if question == "q1":
+        days = Q.day_summaries(posts, strict=strict).observe(obs, one.alias("total_dates"))
+        return Q.answer_from_summaries(days, k), obs
+    if question == "q2":
+        counts = Q.emoji_counts(posts, "range" if strict else "property").observe(obs, one.alias("unique_emojis"))
+        return top_k(counts, k, "n", ["emoji"]), obs
+    if question == "q3":
+        counts = Q.mention_counts(posts, strict).observe(obs, one.alias("unique_mentions"))
+        return top_k(counts, k, "n", ["username"]), obs
+    raise ValueError(f"unknown question {question!r}")
+
+
+def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time", path=None,
+               k: int = 10, log_path: str | None = None) -> tuple[list, RunEvent]:
+    """O1-O3 around T2: the answer rows and one run event with context
+    (file, question, strategy), steps (plan, collect) and metrics (output
+    rows and the question's key count). Errors are recorded and re-raised."""
+    ev = RunEvent(f"{question}_{strategy}_execution")
+    ev.add_context(file_path=path, question=question, strategy=strategy)
+    try:
+        if (question, strategy) not in QUESTIONS:
+            raise ValueError(f"unknown question/strategy {question!r}/{strategy!r}")
+        if not path:
+            raise ValueError("a file path is required")
+        with ev.step("build_query_plan"):
+            ans, obs = _observed(question, strategy, posts_for(spark, question, strategy, path), k)
+            ans, out_obs = ev.observe(ans, f"{question}_{strategy}_out", output_rows=F.count(F.lit(1)))
+        with ev.step("execution_collect"):
+            rows = ans.collect()
+        ev.collect_observation(obs)
+        ev.collect_observation(out_obs)
+        ev.finish("success", spark)
+        return rows, ev
+    except Exception as e:
+        ev.add_error(f"{type(e).__name__}: {e}")
+        ev.finish("error", spark)
+        raise
+    finally:
+        if log_path:
+            ev.append(spark, log_path)

@@ -52,3 +52,21 @@ def test_run_event_error(spark):
         bad(spark)
     assert bad.last_event.status == "error" and "RuntimeError" in bad.last_event.errors[0]
     assert RunEvent("e").to_dataframe(spark).count() == 1
+
+
+def test_run_logged_metrics(spark, write_posts, tmp_path):
+    p = write_posts([
+        post("2021-02-12T10:00:00Z", "a", "hi \u2708\ufe0f \U0001F600", mentions=["X", "y"]),
+        post("2021-02-13T11:00:00Z", "b", "\u2708\ufe0f", mentions=["x"]),
+    ])
+    rows, ev = registry.run_logged(spark, "q1", "time", p, log_path=str(tmp_path / "log"))
+    assert len(rows) == 2 and ev.metrics == {"total_dates": 2.0, "output_rows": 2.0}
+    assert [tuple(r) for r in rows] == [tuple(r) for r in registry.run(spark, "q1", "time", p).collect()]
+    _, ev2 = registry.run_logged(spark, "q2", "time", p)
+    assert ev2.metrics["unique_emojis"] == 2.0
+    _, ev3 = registry.run_logged(spark, "q3", "memory", p)
+    assert ev3.metrics["unique_mentions"] == 2.0
+    assert set(ev3.steps) == {"build_query_plan", "execution_collect"}
+    with pytest.raises(ValueError):
+        registry.run_logged(spark, "q7", "time", p)
+    assert spark.read.json(str(tmp_path / "log")).count() == 1
