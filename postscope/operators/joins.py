@@ -32,7 +32,7 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on, bound: int | None = Non
 
 def lookup(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Attach the columns of ``right`` by key; rows without a match are
-    dropped (inner) as in the reference's dictionary lookup."""
+    dropped (inner), like a dictionary lookup."""
     return left.join(right, on, how)
 
 
