@@ -49,11 +49,12 @@ def mentions_from_metadata(df: DataFrame, strict: bool = False, normalize: bool
             F.coalesce(~F.exists("mentionedUsers", lambda m: m.getField("username").isNull()), F.lit(True))
         )
     names = src.select(*keep, F.explode(F.col("mentionedUsers").getField("username")).alias("_name"))
+    if not strict:
+        # Folding keeps null and '' as they are, so test the raw name and
+        # fold only the names that stay (one fold per name).
+        names = names.where(F.col("_name").isNotNull() & (F.col("_name") != F.lit("")))
     fold = normalize_handle if normalize else lower_handle
-    names = names.select(*keep, fold(F.col("_name")).alias(out))
-    if strict:
-        return names
-    return names.where(F.col(out).isNotNull() & (F.col(out) != F.lit("")))
+    return names.select(*keep, fold(F.col("_name")).alias(out))
 
 
 def mentions_from_text(df: DataFrame, content: str = "content", out: str = "username", *keep: str) -> DataFrame:
