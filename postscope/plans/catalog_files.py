@@ -26,7 +26,7 @@ _GOOD_POSTS_Q1_STRICT = f"""
 WITH {_LINES}, good AS (SELECT * FROM l WHERE expected_reason IS NULL),
 posts AS (SELECT json_extract_string(value, '$.date') AS date,
                  json_extract_string(value, '$.user.username') AS author FROM good),
-d AS (SELECT {A.sql_utc_day()} AS date, author FROM posts),
+d AS (SELECT try_strptime(substring(date, 1, 10), '%Y-%m-%d')::DATE AS date, author FROM posts),
 pairs AS (SELECT date, author, count(*) AS n FROM d WHERE date IS NOT NULL AND author IS NOT NULL GROUP BY 1, 2),
 days AS (SELECT date, CAST(sum(n) AS BIGINT) AS total, first(author ORDER BY n DESC, author) AS top_author
          FROM pairs GROUP BY date),
@@ -37,7 +37,7 @@ SELECT date, top_author AS top_user FROM top"""
 @register("on_demand_q1_memory", _GOOD_POSTS_Q1_STRICT)
 def q_on_demand_q1_memory(spark, sf):
     """``run(spark, "q1", "memory", path)`` over staged NDJSON files
-    (strict parse, posts valid for Q1, strict Q1)."""
+    (strict parse, posts valid for Q1, strict Q1 on the written day)."""
     from postscope.plans.registry import run
 
     base = stage_lines(utc(spark), sf, "on_demand")

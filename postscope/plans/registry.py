@@ -1,9 +1,10 @@
 """Run a named question with a named strategy over an input path.
 
 ``strategy="time"`` reads with the fixed schema (malformed lines become
-nulls and carry nothing). ``strategy="memory"`` keeps the typed-reader rules:
-lines are parsed strictly, a post must be valid for the question (V13) and
-the question runs in its strict form. Both are the same kind of Spark plan;
+nulls and carry nothing) and takes the UTC day. ``strategy="memory"`` keeps
+the typed-reader rules: lines are parsed strictly, a post must be valid for
+the question (V13), the question runs in its strict form, and Q1 takes the
+day written in the text (its first ten characters, V1). Both are the same kind of Spark plan;
 the names are kept so existing callers can switch.
 """
 
@@ -19,7 +20,7 @@ from postscope.sources.posts import scan_posts, scan_posts_strict, valid_for
 
 QUESTIONS = {
     ("q1", "time"): lambda p, k: Q.top_days_top_user(p, k),
-    ("q1", "memory"): lambda p, k: Q.top_days_top_user(p, k, strict=True),
+    ("q1", "memory"): lambda p, k: Q.top_days_top_user(p, k, day_mode="prefix", strict=True),
     ("q2", "time"): lambda p, k: Q.top_emojis(p, k, "property"),
     ("q2", "memory"): lambda p, k: Q.top_emojis(p, k, "range"),
     ("q3", "time"): lambda p, k: Q.top_mentioned(p, k),
@@ -53,7 +54,8 @@ def _observed(question: str, strategy: str, posts: DataFrame, k: int) -> tuple[D
     obs = Observation(f"{question}_{strategy}")
     one = F.count(F.lit(1))
     if question == "q1":
-        days = Q.day_summaries(posts, strict=strict).observe(obs, one.alias("total_dates"))
+        day_mode = "prefix" if strict else "utc"
+        days = Q.day_summaries(posts, day_mode, strict=strict).observe(obs, one.alias("total_dates"))
         return Q.answer_from_summaries(days, k), obs
     if question == "q2":
         counts = Q.emoji_counts(posts, "range" if strict else "property").observe(obs, one.alias("unique_emojis"))

@@ -70,3 +70,11 @@ def test_run_logged_metrics(spark, write_posts, tmp_path):
     with pytest.raises(ValueError):
         registry.run_logged(spark, "q7", "time", p)
     assert spark.read.json(str(tmp_path / "log")).count() == 1
+
+
+def test_time_and_memory_days_differ(spark, write_posts):
+    import datetime as dt
+
+    p = write_posts([post("2021-02-12T23:59:59-05:00", "a")])
+    assert registry.run(spark, "q1", "time", p).collect()[0].date == dt.date(2021, 2, 13)
+    assert registry.run(spark, "q1", "memory", p).collect()[0].date == dt.date(2021, 2, 12)
