@@ -38,24 +38,60 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Loaded tables and adapter outputs are lazy plans; they are built once per
+# session and input folder and reused by every query (as a user keeps a
+# DataFrame), which saves reading Parquet footers, listing files and
+# analysing the adapter on each call. No data is cached.
+_PLANS: dict = {}
+
+
+def cached_plan(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    k = (id(spark), spark.sparkContext.applicationId, *key)
+    df = _PLANS.get(k)
+    if df is None:
+        df = _PLANS[k] = build()
+    return df
+
+
+def clear_plans() -> None:
+    """Forget cached plans (e.g. after the input folders changed)."""
+    _PLANS.clear()
+
+
+def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return cached_plan(utc(spark), ("table", sf, name), lambda: A.load(spark, sf, name))
+
+
 def events_posts(spark, sf):
-    return A.events_posts(A.load(utc(spark), sf, "events"))
+    return cached_plan(utc(spark), ("events_posts", sf), lambda: A.events_posts(load(spark, sf, "events")))
 
 
 def orders_posts(spark, sf):
-    return A.orders_posts(A.load(utc(spark), sf, "orders"), A.load(spark, sf, "customer"))
+    return cached_plan(utc(spark), ("orders_posts", sf),
+                       lambda: A.orders_posts(load(spark, sf, "orders"), load(spark, sf, "customer")))
 
 
 def lineitem_posts(spark, sf):
-    return A.lineitem_posts(A.load(utc(spark), sf, "lineitem"), A.load(spark, sf, "supplier"))
+    return cached_plan(utc(spark), ("lineitem_posts", sf),
+                       lambda: A.lineitem_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier")))
 
 
 def lineitem_line_posts(spark, sf):
-    return A.lineitem_line_posts(A.load(utc(spark), sf, "lineitem"), A.load(spark, sf, "supplier"))
+    return cached_plan(utc(spark), ("lineitem_line_posts", sf),
+                       lambda: A.lineitem_line_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier")))
 
 
 def documents_posts(spark, sf):
-    return A.documents_posts(A.load(utc(spark), sf, "documents"))
+    return cached_plan(utc(spark), ("documents_posts", sf), lambda: A.documents_posts(load(spark, sf, "documents")))
+
+
+def documents_records(spark, sf):
+    return cached_plan(utc(spark), ("documents_records", sf),
+                       lambda: A.documents_records(load(spark, sf, "documents")))
+
+
+def event_lines(spark, sf):
+    return cached_plan(utc(spark), ("event_lines", sf), lambda: A.events_json_lines(load(spark, sf, "events")))
 
 
 # Importing the query modules fills the registry.

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import uuid
 
-from postscope.plans.catalog import K, register, utc
-from postscope.plans.catalog_profiles import _LINES, event_lines
+from postscope.plans.catalog import K, event_lines, register, utc
+from postscope.plans.catalog_profiles import _LINES
 from postscope.session import shared_dir
 from postscope.sources import adapters as A
 

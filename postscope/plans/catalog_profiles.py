@@ -11,21 +11,13 @@ from postscope.operators import approx as X
 from postscope.plans import profiles as P
 from postscope.plans import questions as Q
 from postscope.plans.catalog import (
-    K, documents_posts, events_posts, lineitem_posts, register, utc,
+    K, documents_posts, documents_records, event_lines, events_posts, lineitem_posts, load, register,
 )
 from postscope.plans.catalog_questions import USERNAME, USER_ID
 from postscope.sources import adapters as A
 from postscope.sources import posts as S
 
 
-def documents_records(spark, sf):
-    return A.documents_records(A.load(utc(spark), sf, "documents"))
-
-
-def event_lines(spark, sf):
-    return A.events_json_lines(A.load(utc(spark), sf, "events"))
-
-
 EVENTS_YEAR = 2024
 # SQL: NFKC + lower for the names the adapter writes (ASCII or full-width
 # capitals); DuckDB has no NFKC function.
@@ -281,7 +273,7 @@ SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGIN
 FROM events GROUP BY 1""")
 def q_record_field_sum(spark, sf):
     """S3: untyped access to a JSON field (``props``) through VARIANT."""
-    ev = A.load(spark, sf, "events")
+    ev = load(spark, sf, "events")
     v = F.try_parse_json("props")
     return ev.groupBy("event_type").agg(
         F.sum(F.try_variant_get(v, "$.k", "bigint")).alias("k_sum"), F.count(F.lit(1)).alias("n")
