@@ -56,3 +56,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_split_bytes: int = 256 << 20,
+                 shuffle_bytes_per_partition: int = 256 << 20, shuffle_ratio: float = 0.1) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of posts.
+
+    * input splits of ``target_split_bytes`` (JSON and Parquet alike);
+    * shuffle partitions sized for the expected shuffle volume
+      (``shuffle_ratio`` x input: the questions shuffle partially
+      aggregated rows, a small fraction of the input) at
+      ``shuffle_bytes_per_partition`` each, never fewer than 2 x cores;
+      AQE coalesces what turns out smaller and splits skewed partitions.
+
+    For 100 TB on 1000 executors x 8 cores this gives 256 MB splits
+    (~400k scan tasks) and ~41,000 shuffle partitions of ~256 MB.
+    """
+    shuffle_parts = max(2 * total_cores, int(input_bytes * shuffle_ratio // shuffle_bytes_per_partition) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes_per_partition // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

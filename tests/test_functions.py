@@ -54,3 +54,13 @@ def test_emoji_patterns_compile(spark):
     df = spark.createDataFrame([("x",)], "c string")
     for name in E.DEFINITIONS:
         df.select(F.regexp_extract_all("c", F.lit(E.pattern(name)), 0)).collect()
+
+
+def test_cluster_conf_scales_with_input():
+    from postscope.session import cluster_conf
+
+    small = cluster_conf(400 << 20, 8)
+    big = cluster_conf(100 << 40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) > 40000
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
