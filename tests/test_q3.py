@@ -8,7 +8,7 @@ def got(df, **kw):
 
 def test_happy_path(posts_df):
     df = posts_df([post(mentions=["UserA", "userb"]), post(mentions=["UserA"])])
-    assert got(df)[0] == ("usera", 2)
+    assert got(df) == [("usera", 2), ("userb", 1)]
 
 
 def test_case_folded(posts_df):
