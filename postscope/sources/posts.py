@@ -45,14 +45,18 @@ def skip_blank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(F.trim(F.col(column)) != F.lit(""))
 
 
-def parse_posts_strict(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str = "skip") -> DataFrame:
     """S2 on a DataFrame of JSON text lines.
 
     Output: the post columns, ``_corrupt_record`` (raw text of a rejected
     line) and ``reject_reason``. A line is rejected when it is not valid JSON
     or is not a JSON object, or a field has a type that cannot be read (e.g.
-    ``"user": "str"``).
+    ``"user": "str"``). ``on_error="fail"`` (V12) makes the job fail on the
+    first rejected line instead; the check is a filter, so no later column
+    selection can prune it away.
     """
+    if on_error not in ("skip", "fail"):
+        raise ValueError(f"on_error must be 'skip' or 'fail', not {on_error!r}")
     raw = F.col(column)
     parsed = F.from_json(
         raw,
@@ -69,17 +73,25 @@ def parse_posts_strict(lines: DataFrame, column: str = "value") -> DataFrame:
         .when(F.col(f"_p.{CORRUPT_COLUMN}").isNotNull(), F.lit(REASON_MALFORMED))
     )
     cols = [c for c in lines.columns if c != column]
-    return out.select(
+    res = out.select(
         *cols,
         *[F.col(f"_p.{f.name}").alias(f.name) for f in POST.fields],
         F.when(reason.isNotNull(), raw).alias(CORRUPT_COLUMN),
         reason.alias("reject_reason"),
     )
+    if on_error == "fail":
+        res = res.where(
+            F.when(
+                F.col("reject_reason").isNotNull(),
+                F.raise_error(F.concat(F.col("reject_reason"), F.lit(": "), F.substring(CORRUPT_COLUMN, 1, 200))),
+            ).otherwise(F.lit(True))
+        )
+    return res
 
 
-def scan_posts_strict(spark: SparkSession, path) -> DataFrame:
+def scan_posts_strict(spark: SparkSession, path, on_error: str = "skip") -> DataFrame:
     """Text lines -> typed posts with a reject reason per line."""
-    return parse_posts_strict(scan_lines(spark, path))
+    return parse_posts_strict(scan_lines(spark, path), on_error=on_error)
 
 
 def valid_for(question: str) -> Column:

@@ -91,3 +91,13 @@ def test_columnar_and_partition_pruning(spark, write_posts, tmp_path):
 def test_inferred_schema(spark, write_posts):
     p = write_posts([{"date": "x", "extra": 5}])
     assert "extra" in S.scan_posts_inferred(spark, p).columns
+
+
+def test_on_error_fail_v12(spark, write_posts):
+    import pytest
+
+    p = write_posts([post("2021-02-12T10:00:00Z", "a"), '{"date": "2021-02-12T10:'])
+    with pytest.raises(Exception, match="malformed_json"):
+        S.scan_posts_strict(spark, p, on_error="fail").select("date").collect()
+    ok = write_posts([post("2021-02-12T10:00:00Z", "a")])
+    assert S.scan_posts_strict(spark, ok, on_error="fail").count() == 1
