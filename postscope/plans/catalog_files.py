@@ -55,3 +55,43 @@ def q_file_arrival_answers(spark, sf):
                            K, max_files_per_trigger=64)
     q.awaitTermination()
     return read_answers(spark, f"{base}/output")
+
+
+_INGEST_COUNTS = f"""
+WITH {_LINES},
+s AS (SELECT CASE WHEN expected_reason IS NULL THEN 'ok' ELSE 'rejected' END AS status,
+             CASE WHEN expected_reason IS NULL THEN {A.sql_utc_day("json_extract_string(value, '$.date')")} END AS d
+      FROM l)
+SELECT status, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day, count(*) AS n
+FROM s GROUP BY ALL"""
+
+
+def _ingested(spark, sf) -> str:
+    from postscope.plans.ingest import ingest_posts
+
+    base = stage_lines(utc(spark), sf, "ingest")
+    ingest_posts(spark, f"{base}/input", f"{base}/posts")
+    return f"{base}/posts"
+
+
+@register("ingest_day_counts", _INGEST_COUNTS)
+def q_ingest_day_counts(spark, sf):
+    """S2 + S10 + S11 + S12: staged NDJSON ingested once into
+    status/year/month/day Parquet; rows per partition read back."""
+    from pyspark.sql import functions as F
+
+    from postscope.operators.aggregate import count_by
+
+    posts = spark.read.parquet(_ingested(spark, sf))
+    return count_by(posts.select(F.col("status"), "year", "month", "day"), "status", "year", "month", "day")
+
+
+@register("top_days_top_user_ingested", _GOOD_POSTS_Q1_STRICT.replace(
+    "try_strptime(substring(date, 1, 10), '%Y-%m-%d')::DATE", A.sql_utc_day()))
+def q_top_days_top_user_ingested(spark, sf):
+    """Q1 over the ingested layout: days from partition counts, authors read
+    from the k chosen days only (dynamic partition pruning)."""
+    from postscope.plans.ingest import top_days_top_user_ingested
+
+    return top_days_top_user_ingested(spark, _ingested(spark, sf), K)

@@ -55,3 +55,7 @@ def test_date_text_parsed_once(spark, name):
     df = E.queries()[name](spark, SF)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert p.count("yyyy-MM-dd'T'HH:mm:ssXXX, TimestampType") == 1, p
+
+
+def test_ingested_q1_prunes_partitions_dynamically(spark):
+    assert "dynamicpruning" in plan(spark, "top_days_top_user_ingested")
