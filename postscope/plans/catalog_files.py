@@ -95,3 +95,18 @@ def q_top_days_top_user_ingested(spark, sf):
     from postscope.plans.ingest import top_days_top_user_ingested
 
     return top_days_top_user_ingested(spark, _ingested(spark, sf), K)
+
+
+@register("inferred_field_counts")
+def q_inferred_field_counts(spark, sf):
+    """Staged NDJSON read with a schema inferred from every record; the
+    non-null values of each inferred top-level field (one row). Inference
+    widens ``user`` to a string because some lines hold ``"user": "str"``,
+    which is why the fixed schema is the default."""
+    from pyspark.sql import functions as F
+
+    from postscope.sources.posts import scan_posts_inferred
+
+    base = stage_lines(utc(spark), sf, "inferred")
+    df = scan_posts_inferred(spark, f"{base}/input")
+    return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
