@@ -36,8 +36,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a fresh scratch folder is
-    chosen.
+    as is; if it is unset there, this raises instead of falling back to a
+    machine-local folder. Only in local mode (tests) is a fresh scratch folder
+    chosen when it is unset.
     """
     try:
         current = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,6 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = current or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+            "(stream checkpoints and written tables must survive the loss of any machine)"
+        )
     path = tempfile.mkdtemp(prefix="postscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
