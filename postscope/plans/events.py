@@ -28,7 +28,11 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("context", T.MapType(T.StringType(), T.StringType())),
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("steps", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("errors", T.ArrayType(T.StringType())),
+    T.StructField("errors", T.ArrayType(T.StructType([
+        T.StructField("type", T.StringType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("details", T.MapType(T.StringType(), T.StringType())),
+    ]))),
 ])
 
 
@@ -39,7 +43,7 @@ class RunEvent:
         self.context: dict[str, str] = {}
         self.metrics: dict[str, float] = {}
         self.steps: dict[str, float] = {}
-        self.errors: list[str] = []
+        self.errors: list[tuple[str, str, dict[str, str]]] = []
         self._t0 = time.perf_counter()
         self.total_ms: float | None = None
         self.memory: tuple[float | None, float | None] = (None, None)
@@ -50,9 +54,9 @@ class RunEvent:
     def add_metric(self, name: str, value) -> None:
         self.metrics[name] = float(value)
 
-    def add_error(self, message: str) -> None:
-        """O3: a non-fatal error, kept with the event."""
-        self.errors.append(str(message))
+    def add_error(self, message: str, error_type: str = "error", **details) -> None:
+        """O3: a non-fatal error (type, message, details), kept with the event."""
+        self.errors.append((error_type, str(message), {k: str(v) for k, v in details.items()}))
 
     @contextmanager
     def step(self, name: str):
@@ -103,7 +107,7 @@ def canonical_run(event_name: str, log_path: str | None = None):
                 ev.finish("success", spark)
                 return result
             except Exception as e:
-                ev.add_error("".join(traceback.format_exception_only(type(e), e)).strip())
+                ev.add_error("".join(traceback.format_exception_only(type(e), e)).strip(), type(e).__name__)
                 ev.finish("error", spark)
                 raise
             finally:

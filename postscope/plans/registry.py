@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from postscope.operators.aggregate import top_k
 from postscope.plans import questions as Q
 from postscope.plans.events import RunEvent
-from postscope.sources.posts import scan_posts, scan_posts_strict, valid_for
+from postscope.sources.posts import (
+    REASON_MALFORMED, REASON_NOT_OBJECT, scan_posts, scan_posts_strict, valid_for,
+)
 
 QUESTIONS = {
     ("q1", "time"): lambda p, k: Q.top_days_top_user(p, k),
@@ -79,16 +81,30 @@ def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time"
         if not path:
             raise ValueError("a file path is required")
         with ev.step("build_query_plan"):
-            ans, obs = _observed(question, strategy, posts_for(spark, question, strategy, path), k)
+            rejects = None
+            if strategy == "memory":
+                parsed = scan_posts_strict(spark, path)
+                parsed, rejects = ev.observe(parsed, f"{question}_{strategy}_rejects", **{
+                    r: F.count_if(F.col("reject_reason") == F.lit(r)) for r in (REASON_MALFORMED, REASON_NOT_OBJECT)
+                })
+                posts = parsed.where(valid_for(question))
+            else:
+                posts = scan_posts(spark, path)
+            ans, obs = _observed(question, strategy, posts, k)
             ans, out_obs = ev.observe(ans, f"{question}_{strategy}_out", output_rows=F.count(F.lit(1)))
         with ev.step("execution_collect"):
             rows = ans.collect()
         ev.collect_observation(obs)
         ev.collect_observation(out_obs)
+        if rejects is not None:
+            # O3: rejected lines are non-fatal errors of the run, by reason.
+            for reason, n in rejects.get.items():
+                if n:
+                    ev.add_error(f"{n} lines rejected", reason, lines=n)
         ev.finish("success", spark)
         return rows, ev
     except Exception as e:
-        ev.add_error(f"{type(e).__name__}: {e}")
+        ev.add_error(str(e), type(e).__name__)
         ev.finish("error", spark)
         raise
     finally:

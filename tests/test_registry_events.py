@@ -31,13 +31,13 @@ def test_run_event(spark, tmp_path):
         ctx.add_context(file_path="mem")
         df = spark.range(5).select(F.col("id"))
         rows = answer_with_event(spark, df, ctx)
-        ctx.add_error("minor")
+        ctx.add_error("minor", "data_warning", rows=3)
         return rows
 
     assert len(job(spark)) == 5
     ev = job.last_event
     assert ev.status == "success" and ev.metrics["output_rows"] == 5.0
-    assert "execution_collect" in ev.steps and ev.errors == ["minor"]
+    assert "execution_collect" in ev.steps and ev.errors == [("data_warning", "minor", {"rows": "3"})]
     assert ev.memory[0] > 0 and ev.memory[1] > 0
     back = spark.read.json(str(tmp_path / "log")).collect()[0]
     assert back.event == "q_test" and back.status == "success"
@@ -50,7 +50,7 @@ def test_run_event_error(spark):
 
     with pytest.raises(RuntimeError):
         bad(spark)
-    assert bad.last_event.status == "error" and "RuntimeError" in bad.last_event.errors[0]
+    assert bad.last_event.status == "error" and bad.last_event.errors[0][0] == "RuntimeError"
     assert RunEvent("e").to_dataframe(spark).count() == 1
 
 
@@ -78,3 +78,10 @@ def test_time_and_memory_days_differ(spark, write_posts):
     p = write_posts([post("2021-02-12T23:59:59-05:00", "a")])
     assert registry.run(spark, "q1", "time", p).collect()[0].date == dt.date(2021, 2, 13)
     assert registry.run(spark, "q1", "memory", p).collect()[0].date == dt.date(2021, 2, 12)
+
+
+def test_run_logged_reports_rejects(spark, write_posts):
+    p = write_posts([post("2021-02-12T10:00:00Z", "a", mentions=["x"]), '{"date": "2021', "[1]"])
+    rows, ev = registry.run_logged(spark, "q3", "memory", p)
+    assert [(r.username, r.n) for r in rows] == [("x", 1)]
+    assert sorted((t, d["lines"]) for t, _, d in ev.errors) == [("malformed_json", "1"), ("not_an_object", "1")]
