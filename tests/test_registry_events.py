@@ -85,3 +85,11 @@ def test_run_logged_reports_rejects(spark, write_posts):
     rows, ev = registry.run_logged(spark, "q3", "memory", p)
     assert [(r.username, r.n) for r in rows] == [("x", 1)]
     assert sorted((t, d["lines"]) for t, _, d in ev.errors) == [("malformed_json", "1"), ("not_an_object", "1")]
+
+
+def test_command_line(spark, write_posts, capsys):
+    from postscope.__main__ import main
+
+    p = write_posts([post("2021-02-12T10:00:00Z", "a"), post("2021-02-12T11:00:00Z", "a")])
+    assert main(["q1", "time", p, "--master", "local[2]"]) == 0
+    assert capsys.readouterr().out.strip() == '["2021-02-12","a"]'
