@@ -80,3 +80,39 @@ def test_q1_matches_model(posts_df, rows, k, strict):
 def test_q3_matches_model(posts_df, rows, k, strict):
     got = [(r.username, r.n) for r in top_mentioned(_df(posts_df, rows), k, strict=strict).collect()]
     assert got == model_q3(rows, k, strict)
+
+
+# Q2 against Python's `regex` engine (same \x{...} syntax, \X supported).
+import regex as pyre  # noqa: E402
+
+from postscope.functions import emoji as E  # noqa: E402
+from postscope.plans.questions import emoji_counts  # noqa: E402
+from postscope.sources.adapters import SNIPPETS  # noqa: E402
+
+PIECES = SNIPPETS + ["a", " ", "#", "5", "é", "नमस्ते", "‍", "️"]
+texts_st = st.lists(st.lists(st.sampled_from(PIECES), max_size=6).map("".join), max_size=12)
+
+
+def py(pattern):
+    r"""The portable pattern in Python syntax: ``\x{1F600}`` -> ``\U0001F600``."""
+    return pyre.sub(r"\\x\{([0-9A-Fa-f]+)\}", lambda m: "\\U%08X" % int(m.group(1), 16), pattern)
+
+
+def model_emoji(texts, definition):
+    c = Counter()
+    for t in texts:
+        for tok in pyre.findall(py(E.pattern(definition)), t):
+            if definition == "run" and pyre.fullmatch(py(E.ZWJ) + "+", tok):
+                continue
+            if definition == "grapheme" and not pyre.search(py(E.GRAPHEME_KEEP), tok):
+                continue
+            c[tok] += 1
+    return sorted(c.items())
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts_st, st.sampled_from(sorted(E.DEFINITIONS)))
+def test_q2_matches_python_regex(posts_df, texts, definition):
+    df = posts_df([post(content=t) for t in texts])
+    got = sorted((r.emoji, r.n) for r in emoji_counts(df, definition).collect())
+    assert got == model_emoji(texts, definition)
