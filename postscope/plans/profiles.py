@@ -239,16 +239,40 @@ def observe_integrity(posts: DataFrame, name: str = "integrity") -> tuple[DataFr
 
 def schema_drift(records: DataFrame, expected=None) -> DataFrame:
     """Per top-level field, the merged observed type of all records
-    (``schema_of_variant_agg``) next to the expected one."""
+    (``schema_of_variant_agg``) next to the expected one, with a status:
+    ``ok`` (same kind), ``mixed`` (records disagree: the merge is VARIANT),
+    ``different`` (one other kind) or ``absent`` (no record has a value)."""
     from postscope.schema import POST
 
-    expected = expected or {f.name: f.dataType.simpleString() for f in POST.fields}
+    def kind(dtype) -> str:
+        name = dtype.simpleString()
+        if name.startswith("struct"):
+            return "OBJECT"
+        if name.startswith("array"):
+            return "ARRAY"
+        return {"bigint": "BIGINT", "int": "BIGINT", "string": "STRING", "double": "DOUBLE",
+                "boolean": "BOOLEAN"}.get(name, name.upper())
+
+    expected = expected or {f.name: f.dataType for f in POST.fields}
     obs = records.agg(
         *[F.schema_of_variant_agg(F.try_variant_get("v", f"$.{k}", "variant")).alias(k) for k in expected]
     )
-    rows = F.array(*[F.struct(F.lit(k).alias("field"), F.lit(t).alias("expected"), F.col(k).alias("observed"))
-                     for k, t in expected.items()])
-    return obs.select(F.inline(rows)).withColumn(
-        "status",
-        F.when(F.col("observed").isNull() | (F.col("observed") == "VOID"), F.lit("absent")).otherwise(F.lit("present")),
+    rows = F.array(*[
+        F.struct(F.lit(k).alias("field"), F.lit(t.simpleString()).alias("expected"),
+                 F.lit(kind(t)).alias("_kind"), F.col(k).alias("observed"))
+        for k, t in expected.items()
+    ])
+    o = F.col("observed")
+    observed_kind = (
+        F.when(o.startswith("OBJECT"), F.lit("OBJECT"))
+        .when(o.startswith("ARRAY"), F.lit("ARRAY"))
+        .when(o.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("BIGINT"))
+        .otherwise(o)
+    )
+    status = (
+        F.when(o.isNull() | (o == "VOID"), F.lit("absent"))
+        .when(o == "VARIANT", F.lit("mixed"))
+        .when(observed_kind == F.col("_kind"), F.lit("ok"))
+        .otherwise(F.lit("different"))
     )
+    return obs.select(F.inline(rows)).select("field", "expected", "observed", status.alias("status"))

@@ -68,3 +68,27 @@ def test_top_n_per_group_uses_group_limit(posts_df, spark):
 def test_value_at_rank_short(spark):
     df = spark.createDataFrame([("a", 3)], "key string, n bigint")
     assert G.value_at_rank(df, 10, "n", ["key"]).collect()[0].value is None
+
+
+def test_reservoir_sample_exact_and_repeatable(spark):
+    df = spark.range(10000).select(F.col("id"))
+    a = [r.id for r in G.reservoir_sample(df, 150, seed=7).collect()]
+    b = [r.id for r in G.reservoir_sample(df.repartition(13), 150, seed=7).collect()]
+    c = [r.id for r in G.reservoir_sample(df, 150, seed=8).collect()]
+    assert len(a) == 150 and len(set(a)) == 150 and sorted(a) == sorted(b) and set(a) != set(c)
+    # roughly uniform: each half of the id range gets a fair share
+    low = sum(1 for x in a if x < 5000)
+    assert 45 < low < 105
+
+
+def test_schema_drift(spark):
+    from postscope.sources.posts import records_from_text
+
+    lines = spark.createDataFrame(
+        [('{"id": 1, "date": "2021-01-01", "user": {"id": 1, "username": "a"}}',),
+         ('{"id": 2, "date": 5, "user": "str"}',)], "value string")
+    got = {r.field: r.status for r in P.schema_drift(records_from_text(lines)).collect()}
+    assert got == {"id": "ok", "date": "mixed", "content": "absent", "user": "mixed", "mentionedUsers": "absent"}
+    one = spark.createDataFrame([('{"id": "x", "date": "d"}',)], "value string")
+    got = {r.field: r.status for r in P.schema_drift(records_from_text(one)).collect()}
+    assert got["id"] == "different" and got["date"] == "ok"
