@@ -46,7 +46,9 @@ def top_k(df: DataFrame, k: int, by: str = "n", keys=None, descending_keys: bool
 def best_per_group(pairs: DataFrame, group: str, item: str, count: str = "n",
                    best: str = "top_item", total: str = "total") -> DataFrame:
     """A3+A4: per group, the item with the largest count (tie: smallest item)
-    and the sum of counts, in one aggregate (partial + final, no sort)."""
+    and the sum of counts, in one partial + final aggregate. ``min_by`` keeps
+    a string, so Spark plans it sort-based; it sorts the (group, item) count
+    rows, not the input rows."""
     key = F.struct((-F.col(count)).alias("neg"), F.col(item).alias("item"))
     return pairs.groupBy(group).agg(
         F.min_by(F.col(item), key).alias(best),

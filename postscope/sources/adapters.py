@@ -179,7 +179,7 @@ def lineitem_line_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """One post per line item whose list holds its one supplier (null list
     when ``l_orderkey % 11 = 0``, empty when ``% 13 = 0``, as in
     ``lineitem_posts``). The mentions are the same multiset as in
-    ``lineitem_posts`` without regrouping lines by order (no shuffle), so
+    ``lineitem_posts`` without regrouping lines by order (no shuffle by order), so
     questions that count element by element give the same answer."""
     m = supplier_mentions(lineitem, supplier)
     k = F.col("l_orderkey")
