@@ -110,3 +110,25 @@ def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time"
     finally:
         if log_path:
             ev.append(spark, log_path)
+
+
+def answer(spark: SparkSession, question: str, strategy: str, path, k: int = 10) -> list[tuple]:
+    """The answer as a list of tuples (dates as ``datetime.date``): the
+    action at the edge, for callers that want plain values."""
+    return [tuple(r) for r in run(spark, question, strategy, path, k).collect()]
+
+
+def _named(question: str, strategy: str):
+    def fn(spark: SparkSession, path, k: int = 10) -> list[tuple]:
+        return answer(spark, question, strategy, path, k)
+
+    fn.__name__ = f"{question}_{strategy}"
+    fn.__doc__ = f"{question.upper()} with the {strategy} strategy; list of tuples."
+    return fn
+
+
+# One function per (question, strategy), for callers switching from the
+# six-function interface: ``q1_time(spark, path)`` and so on.
+q1_time, q1_memory = _named("q1", "time"), _named("q1", "memory")
+q2_time, q2_memory = _named("q2", "time"), _named("q2", "memory")
+q3_time, q3_memory = _named("q3", "time"), _named("q3", "memory")

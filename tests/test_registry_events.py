@@ -8,8 +8,8 @@ from postscope.plans.events import RunEvent, answer_with_event, canonical_run
 
 def test_run_time_and_memory(spark, write_posts):
     p = write_posts([
-        post("2021-02-12T10:00:00Z", "a", "hi ✈️", mentions=["X", None]),
-        post("2021-02-12T11:00:00Z", "a", "✈️", mentions=["x"]),
+        post("2021-02-12T10:00:00Z", "a", "hi \u2708\ufe0f", mentions=["X", None]),
+        post("2021-02-12T11:00:00Z", "a", "\u2708\ufe0f", mentions=["x"]),
         '{"date": broken',
     ])
     assert [tuple(r) for r in registry.run(spark, "q1", "time", p).collect()][0][1] == "a"
@@ -93,3 +93,14 @@ def test_command_line(spark, write_posts, capsys):
     p = write_posts([post("2021-02-12T10:00:00Z", "a"), post("2021-02-12T11:00:00Z", "a")])
     assert main(["q1", "time", p, "--master", "local[2]"]) == 0
     assert capsys.readouterr().out.strip() == '["2021-02-12","a"]'
+
+
+def test_six_function_interface(spark, write_posts):
+    import datetime as dt
+
+    p = write_posts([post("2021-02-12T10:00:00Z", "a", "\u2708\ufe0f", mentions=["X"]),
+                     post("2021-02-12T11:00:00Z", "a", "\u2708\ufe0f", mentions=["x"])])
+    assert registry.q1_time(spark, p) == [(dt.date(2021, 2, 12), "a")]
+    assert registry.q1_memory(spark, p) == [(dt.date(2021, 2, 12), "a")]
+    assert registry.q2_time(spark, p) == [("\u2708", 2)]
+    assert registry.q3_memory(spark, p) == [("x", 2)]
