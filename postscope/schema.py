@@ -35,13 +35,10 @@ POST_DDL = (
 CORRUPT_COLUMN = "_corrupt_record"
 
 # Fields each question needs in strict mode (a post missing one of them is
-# rejected for that question only).
+# rejected for that question only). For q3 the list may be null, but no
+# element may lack its name (see ``sources.posts.valid_for``).
 REQUIRED_FIELDS = {
     "q1": ("date", "user.username"),
     "q2": ("content",),
     "q3": ("mentionedUsers",),
 }
-
-DAY_COUNTS = T.StructType(
-    [T.StructField("date", T.DateType()), T.StructField("n", T.LongType())]
-)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.schema import CORRUPT_COLUMN, POST, POST_DDL
+from postscope.schema import CORRUPT_COLUMN, POST, POST_DDL, REQUIRED_FIELDS
 
 # Reasons written to the dead-letter output.
 REASON_MALFORMED = "malformed_json"
@@ -100,17 +100,17 @@ def valid_for(question: str) -> Column:
     q1 needs ``date`` and ``user.username``; q2 needs ``content``; q3 needs the
     ``mentionedUsers`` list (it may be null) with no element missing its name.
     """
+    if question not in REQUIRED_FIELDS:
+        raise ValueError(f"unknown question {question!r}")
     ok = F.col("reject_reason").isNull()
-    if question == "q1":
-        return ok & F.col("date").isNotNull() & F.col("user.username").isNotNull()
-    if question == "q2":
-        return ok & F.col("content").isNotNull()
-    if question == "q3":
-        return ok & F.coalesce(
-            ~F.exists(F.col("mentionedUsers"), lambda m: m.getField("username").isNull()),
-            F.lit(True),
-        )
-    raise ValueError(f"unknown question {question!r}")
+    for field in REQUIRED_FIELDS[question]:
+        if field == "mentionedUsers":
+            ok = ok & F.coalesce(
+                ~F.exists(F.col(field), lambda m: m.getField("username").isNull()), F.lit(True)
+            )
+        else:
+            ok = ok & F.col(field).isNotNull()
+    return ok
 
 
 def dead_letter(parsed: DataFrame, keep=("source_file",)) -> DataFrame:
