@@ -53,4 +53,5 @@ def day_of(c="date", mode: str = "utc") -> Column:
 
 
 def year_of(c="date") -> Column:
-    return F.year(parse_ts(c))
+    """Year of the UTC day (independent of the session zone)."""
+    return F.year(utc_day(parse_ts(c)))

@@ -64,3 +64,18 @@ def test_cluster_conf_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.shuffle.partitions"]) > 40000
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_strip_and_year(spark):
+    assert one(spark, text.strip_ws, " \t\u3000 hi there \n\u00a0") == "hi there"
+    assert one(spark, days.year_of, "2020-12-31T23:00:00-05:00") == 2021
+    assert one(spark, days.year_of, "nope") is None
+
+
+def test_clear_plans(spark):
+    from postscope.plans import catalog
+
+    a = catalog.events_posts(spark, "/root/testdata/sf0.001")
+    assert catalog.events_posts(spark, "/root/testdata/sf0.001") is a
+    catalog.clear_plans()
+    assert catalog.events_posts(spark, "/root/testdata/sf0.001") is not a
