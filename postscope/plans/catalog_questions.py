@@ -304,3 +304,15 @@ def q_top_days_top_user_serialized(spark, sf):
     from postscope.sources.posts import result_to_json
 
     return result_to_json(Q.top_days_top_user(events_posts(spark, sf), K))
+
+
+@register("top_mentioned_approx")
+def q_top_mentioned_approx(spark, sf):
+    """A17 on Q3: the most mentioned names in bounded memory."""
+    return Q.top_mentioned_approx(lineitem_line_posts(spark, sf), K)
+
+
+@register("top_emojis_approx")
+def q_top_emojis_approx(spark, sf):
+    """A17 on Q2: the most used emoji in bounded memory."""
+    return Q.top_emojis_approx(events_posts(spark, sf), K)

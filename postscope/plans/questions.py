@@ -170,3 +170,19 @@ def mode_parity(posts: DataFrame, k: int = 10) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("default_only")).unionByName(
         b.exceptAll(a).withColumn("side", F.lit("strict_only"))
     )
+
+
+def top_mentioned_approx(posts: DataFrame, k: int = 10, max_items: int = 10000) -> DataFrame:
+    """Q3 in bounded memory (``approx_top_k``): exact while the distinct names
+    fit in ``max_items``, approximate counts beyond that."""
+    from postscope.operators.approx import approx_top_k
+
+    return approx_top_k(mentions_from_metadata(posts), "username", k, max_items)
+
+
+def top_emojis_approx(posts: DataFrame, k: int = 10, definition: str = "property",
+                      max_items: int = 10000) -> DataFrame:
+    """Q2 in bounded memory (``approx_top_k``)."""
+    from postscope.operators.approx import approx_top_k
+
+    return approx_top_k(emoji_tokens(posts, definition), "emoji", k, max_items)
