@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postscope.sources import adapters as A
+from postscope.sources.posts import spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -62,36 +63,42 @@ def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return cached_plan(utc(spark), ("table", sf, name), lambda: A.load(spark, sf, name))
 
 
+def load_fact(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose rows feed per-row work, spread over the cores when it
+    has fewer splits than the session can run (``spread_small``)."""
+    return cached_plan(utc(spark), ("fact", sf, name), lambda: spread_small(load(spark, sf, name)))
+
+
 def events_posts(spark, sf):
-    return cached_plan(utc(spark), ("events_posts", sf), lambda: A.events_posts(load(spark, sf, "events")))
+    return cached_plan(utc(spark), ("events_posts", sf), lambda: A.events_posts(load_fact(spark, sf, "events")))
 
 
 def orders_posts(spark, sf):
     return cached_plan(utc(spark), ("orders_posts", sf),
-                       lambda: A.orders_posts(load(spark, sf, "orders"), load(spark, sf, "customer")))
+                       lambda: A.orders_posts(load_fact(spark, sf, "orders"), load(spark, sf, "customer")))
 
 
 def lineitem_posts(spark, sf):
     return cached_plan(utc(spark), ("lineitem_posts", sf),
-                       lambda: A.lineitem_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier")))
+                       lambda: A.lineitem_posts(load_fact(spark, sf, "lineitem"), load(spark, sf, "supplier")))
 
 
 def lineitem_line_posts(spark, sf):
     return cached_plan(utc(spark), ("lineitem_line_posts", sf),
-                       lambda: A.lineitem_line_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier")))
+                       lambda: A.lineitem_line_posts(load_fact(spark, sf, "lineitem"), load(spark, sf, "supplier")))
 
 
 def documents_posts(spark, sf):
-    return cached_plan(utc(spark), ("documents_posts", sf), lambda: A.documents_posts(load(spark, sf, "documents")))
+    return cached_plan(utc(spark), ("documents_posts", sf), lambda: A.documents_posts(load_fact(spark, sf, "documents")))
 
 
 def documents_records(spark, sf):
     return cached_plan(utc(spark), ("documents_records", sf),
-                       lambda: A.documents_records(load(spark, sf, "documents")))
+                       lambda: A.documents_records(load_fact(spark, sf, "documents")))
 
 
 def event_lines(spark, sf):
-    return cached_plan(utc(spark), ("event_lines", sf), lambda: A.events_json_lines(load(spark, sf, "events")))
+    return cached_plan(utc(spark), ("event_lines", sf), lambda: A.events_json_lines(load_fact(spark, sf, "events")))
 
 
 # Importing the query modules fills the registry.

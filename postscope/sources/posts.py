@@ -195,6 +195,17 @@ def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwri
     out.write.mode(mode).partitionBy(*parts).parquet(path)
 
 
+def spread_small(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that has fewer splits than the session can run at
+    once (one small file, one row group) round-robin over that many
+    partitions, so the per-row work after it (date parsing, regex
+    extraction) uses every core. An input with enough splits (any large
+    input) is returned unchanged: no shuffle is added at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def scan_lines_partitioned(spark: SparkSession, path, partitions: int) -> DataFrame:
     """The input split into a given number of partitions of lines."""
     return scan_lines(spark, path).repartition(partitions)

@@ -101,3 +101,10 @@ def test_on_error_fail_v12(spark, write_posts):
         S.scan_posts_strict(spark, p, on_error="fail").select("date").collect()
     ok = write_posts([post("2021-02-12T10:00:00Z", "a")])
     assert S.scan_posts_strict(spark, ok, on_error="fail").count() == 1
+
+
+def test_spread_small_only_spreads_narrow_inputs(spark):
+    narrow = spark.range(0, 1000, 1, 1)
+    wide = spark.range(0, 1000, 1, 64)
+    assert S.spread_small(narrow, 8).rdd.getNumPartitions() == 8
+    assert S.spread_small(wide, 8) is wide
