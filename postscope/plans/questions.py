@@ -134,7 +134,10 @@ def top_days_top_user_by_id(posts: DataFrame, k: int = 10, day_mode: str = "utc"
         parse_ts(F.col("date")).alias("ts"),
         F.col("id"),
     )
-    latest = latest_value_per_key(named, "user_id", "username", "ts", "id", out="top_user")
+    # Only the (at most k) chosen authors need a latest name: the semi-join
+    # (broadcast, k rows) keeps the aggregate and its shuffle to their posts.
+    chosen = restrict_to_keys(named, days.select(F.col("top_author").alias("user_id")), "user_id", bound=k)
+    latest = latest_value_per_key(chosen, "user_id", "username", "ts", "id", out="top_user")
     return (
         days.join(latest, days["top_author"] == latest["user_id"], "left")
         .select("date", F.col("top_author").alias("top_user_id"), "top_user")
