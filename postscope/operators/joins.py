@@ -47,3 +47,45 @@ def latest_value_per_key(df: DataFrame, key: str, value: str, ts: str, tie: str
         .groupBy(key)
         .agg(F.max_by(F.col(value), F.struct(F.col(ts), F.col(tie))).alias(out))
     )
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float, top: int = 100, max_items: int = 10000) -> list:
+    """Keys holding at least ``min_share`` of all rows, from one bounded pass
+    (``count`` + ``approx_top_k``): at most ``top`` keys reach the driver."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_top_k(`{key}`, {int(top)}, {int(max_items)})").alias("t"),
+    ).collect()[0]
+    if not row["n"]:
+        return []
+    return [r["item"] for r in row["t"] if r["item"] is not None and r["count"] >= min_share * row["n"]]
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", buckets: int = 16,
+                hot: list | None = None, min_share: float | None = None) -> DataFrame:
+    """Equi-join that splits hot keys of ``left`` over ``buckets`` tasks
+    without relying on AQE.
+
+    Rows of ``left`` with a hot key get a salt from a deterministic hash of
+    the row (a retried task salts the same way); rows of ``right`` with a hot
+    key are replicated once per salt, which adds at most
+    ``len(hot) x buckets`` rows. Other keys join with salt 0 as usual.
+    ``hot`` defaults to the keys holding more than an average shuffle
+    partition's share of ``left``. Supports ``inner``, ``left``,
+    ``left_semi`` and ``left_anti`` (replicating ``right`` would break the
+    outer side of right and full joins).
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join supports inner/left/left_semi/left_anti, not {how!r}")
+    if hot is None:
+        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot = hot_keys(left, on, min_share if min_share is not None else 1.0 / max(parts, 1))
+    if not hot:
+        return left.join(right, on, how)
+    is_hot_l, is_hot_r = F.col(on).isin(hot), F.col(on).isin(hot)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets))
+    l2 = left.withColumn("_salt", F.when(is_hot_l, salt).otherwise(F.lit(0)))
+    r2 = right.withColumn(
+        "_salt", F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
+    )
+    return l2.join(r2, [on, "_salt"], how).drop("_salt")

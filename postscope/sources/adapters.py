@@ -124,12 +124,21 @@ def events_posts(events: DataFrame) -> DataFrame:
     )
 
 
-def orders_posts(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """One post per order; left join keeps orders without a customer (no user)."""
-    c = customer.select("c_custkey", "c_name")
-    j = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
-        c, orders["o_custkey"] == c["c_custkey"], "left"
-    )
+def orders_posts(orders: DataFrame, customer: DataFrame, salt_buckets: int | None = None) -> DataFrame:
+    """One post per order; left join keeps orders without a customer (no user).
+
+    By default a customer with a huge share of orders is left to AQE's skew
+    join; ``salt_buckets`` instead salts hot customers explicitly
+    (``operators.joins.salted_join``, one extra bounded pass to find them).
+    """
+    c = customer.select(F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_name")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    if salt_buckets:
+        from postscope.operators.joins import salted_join
+
+        j = salted_join(o, c, "o_custkey", "left", buckets=salt_buckets)
+    else:
+        j = o.join(c, "o_custkey", "left")
     return j.select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("date"),
@@ -142,12 +151,17 @@ def orders_posts(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def supplier_mentions(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    """(l_orderkey, username) per line: the supplier name with the fixed quirks."""
-    s = supplier.select("s_suppkey", "s_name")
-    j = lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").join(
-        s, F.col("l_suppkey") == F.col("s_suppkey"), "inner"
-    )
+def supplier_mentions(lineitem: DataFrame, supplier: DataFrame, salt_buckets: int | None = None) -> DataFrame:
+    """(l_orderkey, username) per line: the supplier name with the fixed quirks.
+    ``salt_buckets`` salts hot suppliers explicitly, as in ``orders_posts``."""
+    s = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    li = lineitem.select("l_orderkey", "l_suppkey", "l_linenumber")
+    if salt_buckets:
+        from postscope.operators.joins import salted_join
+
+        j = salted_join(li, s, "l_suppkey", "inner", buckets=salt_buckets)
+    else:
+        j = li.join(s, "l_suppkey", "inner")
     name = (
         F.when(F.col("l_linenumber") == LINE_NULL_NAME, F.lit(None).cast("string"))
         .when(F.col("l_linenumber") == LINE_EMPTY_NAME, F.lit(""))
@@ -157,9 +171,9 @@ def supplier_mentions(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     return j.select("l_orderkey", name.alias("username"))
 
 
-def lineitem_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+def lineitem_posts(lineitem: DataFrame, supplier: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """One post per order with its mention list (groups are bounded: ≤ 7 lines)."""
-    m = supplier_mentions(lineitem, supplier)
+    m = supplier_mentions(lineitem, supplier, salt_buckets)
     k = F.col("l_orderkey")
     elem = F.when(k % MENTION_EMPTY_LIST_MOD == 0, F.lit(None)).otherwise(F.struct(F.col("username")))
     posts = m.groupBy("l_orderkey").agg(F.collect_list(elem).alias("mentionedUsers"))
@@ -175,13 +189,13 @@ def lineitem_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def lineitem_line_posts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+def lineitem_line_posts(lineitem: DataFrame, supplier: DataFrame, salt_buckets: int | None = None) -> DataFrame:
     """One post per line item whose list holds its one supplier (null list
     when ``l_orderkey % 11 = 0``, empty when ``% 13 = 0``, as in
     ``lineitem_posts``). The mentions are the same multiset as in
     ``lineitem_posts`` without regrouping lines by order (no shuffle by order), so
     questions that count element by element give the same answer."""
-    m = supplier_mentions(lineitem, supplier)
+    m = supplier_mentions(lineitem, supplier, salt_buckets)
     k = F.col("l_orderkey")
     lst = (
         F.when(k % MENTION_NULL_LIST_MOD == 0, F.lit(None))

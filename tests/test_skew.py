@@ -92,3 +92,22 @@ def test_adapter_join_splits_a_hot_customer(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_join_equals_plain_join(spark):
+    from postscope.operators.joins import hot_keys, salted_join
+
+    n = 20000
+    i = F.col("id")
+    left = spark.range(0, n, 1, 8).select(
+        i.alias("row"), F.when(i % 3 == 0, F.lit(7)).otherwise(i % 500).cast("long").alias("k"))
+    right = spark.range(0, 500, 1, 2).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    assert hot_keys(left, "k", 0.1) == [7]
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = left.join(right.where("k % 10 <> 3"), "k", how)
+        salted = salted_join(left, right.where("k % 10 <> 3"), "k", how, buckets=8)
+        assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    # the hot key's rows are spread over the salt buckets
+    spread = salted_join(left, right, "k", "inner", buckets=8, hot=[7]).where("k = 7")
+    per_part = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_part) > 1
