@@ -16,6 +16,9 @@ from postscope.session import shared_dir
 from postscope.sources import adapters as A
 
 
+STREAM_TIMEOUT_S = 600
+
+
 def stage_lines(spark, sf, name: str) -> str:
     base = shared_dir(spark, f"staging/{name}-{uuid.uuid4().hex[:12]}")
     event_lines(spark, sf).select("value").write.text(f"{base}/input")
@@ -53,7 +56,10 @@ def q_file_arrival_answers(spark, sf):
     base = stage_lines(utc(spark), sf, "arrival")
     q = start_file_arrival(spark, f"{base}/input", f"{base}/output", f"{base}/checkpoint",
                            K, max_files_per_trigger=64)
-    q.awaitTermination()
+    # available-now ends by itself; never wait without bound
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"file-arrival stream did not finish within {STREAM_TIMEOUT_S} s")
     return read_answers(spark, f"{base}/output")
 
 
