@@ -47,7 +47,11 @@ _PLANS: dict = {}
 
 
 def cached_plan(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    k = (id(spark), spark.sparkContext.applicationId, *key)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
+        app = None
+    k = (id(spark), app, *key)
     df = _PLANS.get(k)
     if df is None:
         df = _PLANS[k] = build()

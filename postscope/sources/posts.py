@@ -201,9 +201,12 @@ def spread_small(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions, so the per-row work after it (date parsing, regex
     extraction) uses every core. An input with enough splits (any large
     input) is returned unchanged: no shuffle is added at scale."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def scan_lines_partitioned(spark: SparkSession, path, partitions: int) -> DataFrame:
