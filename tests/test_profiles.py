@@ -92,3 +92,33 @@ def test_schema_drift(spark):
     one = spark.createDataFrame([('{"id": "x", "date": "d"}',)], "value string")
     got = {r.field: r.status for r in P.schema_drift(records_from_text(one)).collect()}
     assert got["id"] == "different" and got["date"] == "ok"
+
+
+def test_everything_runs_on_empty_input(spark, posts_df):
+    """Empty posts: every profile and question answers (no division or
+    scalar-subquery error under ANSI mode)."""
+    from pyspark.sql import functions as F
+
+    from postscope.plans import questions as Q
+
+    empty = posts_df([])
+    records = empty.select("id", "content", F.parse_json(F.lit("{}")).alias("v"))
+    outs = [
+        P.truncation_profile(records), P.retweet_profile(records), P.mention_discrepancy(empty),
+        P.posts_per_user(empty), P.handle_collisions(empty), P.activity_outliers(empty),
+        P.cutoff_ties(empty), P.identity_consistency(empty), P.mention_structure(empty),
+        P.emoji_complexity(empty), P.time_range(empty), P.integrity_counters(empty),
+        P.key_column_profile(records), P.schema_drift(records),
+        Q.top_days_top_user(empty), Q.top_days_top_user(empty, plan="two_scan"),
+        Q.top_days_top_user_by_id(empty), Q.top_emojis(empty), Q.top_mentioned(empty, strict=True),
+        Q.mode_parity(empty),
+    ]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        for df in outs:
+            df.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    r = P.cutoff_ties(empty).collect()[0]
+    assert r.cutoff_value is None and r.keys_at_cutoff == 0
