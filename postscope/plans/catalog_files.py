@@ -1,4 +1,6 @@
-"""Registered queries that run the file-based jobs.
+"""Registered queries that run the file-based jobs: the on-demand runner
+(T2), the file-arrival stream (T1), schema inference (S4) and the ingest
+into day-partitioned Parquet (S11, S12).
 
 Each call stages the events JSON lines (``adapters.events_json_lines``, the
 whole table) as text files with an ordinary distributed write into a new
@@ -25,11 +27,14 @@ def stage_lines(spark, sf, name: str) -> str:
     return base
 
 
-_GOOD_POSTS_Q1_STRICT = f"""
+def sql_q1_good_lines(day_sql: str) -> str:
+    """DuckDB: Q1 over the valid staged lines (all of them have an author),
+    with the day taken by ``day_sql`` from the ``date`` text."""
+    return f"""
 WITH {_LINES}, good AS (SELECT * FROM l WHERE expected_reason IS NULL),
 posts AS (SELECT json_extract_string(value, '$.date') AS date,
                  json_extract_string(value, '$.user.username') AS author FROM good),
-d AS (SELECT try_strptime(substring(date, 1, 10), '%Y-%m-%d')::DATE AS date, author FROM posts),
+d AS (SELECT {day_sql} AS date, author FROM posts),
 pairs AS (SELECT date, author, count(*) AS n FROM d WHERE date IS NOT NULL AND author IS NOT NULL GROUP BY 1, 2),
 days AS (SELECT date, CAST(sum(n) AS BIGINT) AS total, first(author ORDER BY n DESC, author) AS top_author
          FROM pairs GROUP BY date),
@@ -37,7 +42,10 @@ top AS (SELECT * FROM days ORDER BY total DESC, date DESC LIMIT {K})
 SELECT date, top_author AS top_user FROM top"""
 
 
-@register("on_demand_q1_memory", _GOOD_POSTS_Q1_STRICT)
+PREFIX_DAY = "try_strptime(substring(date, 1, 10), '%Y-%m-%d')::DATE"
+
+
+@register("on_demand_q1_memory", sql_q1_good_lines(PREFIX_DAY))
 def q_on_demand_q1_memory(spark, sf):
     """``run(spark, "q1", "memory", path)`` over staged NDJSON files
     (strict parse, posts valid for Q1, strict Q1 on the written day)."""
@@ -93,8 +101,7 @@ def q_ingest_day_counts(spark, sf):
     return count_by(posts.select(F.col("status"), "year", "month", "day"), "status", "year", "month", "day")
 
 
-@register("top_days_top_user_ingested", _GOOD_POSTS_Q1_STRICT.replace(
-    "try_strptime(substring(date, 1, 10), '%Y-%m-%d')::DATE", A.sql_utc_day()))
+@register("top_days_top_user_ingested", sql_q1_good_lines(A.sql_utc_day()))
 def q_top_days_top_user_ingested(spark, sf):
     """Q1 over the ingested layout: days from partition counts, authors read
     from the k chosen days only (dynamic partition pruning)."""
