@@ -37,7 +37,7 @@ def scan_posts_inferred(spark: SparkSession, path) -> DataFrame:
 def scan_lines(spark: SparkSession, path) -> DataFrame:
     """Raw lines with their file, blank lines removed."""
     return skip_blank_lines(
-        spark.read.text(path).withColumn("source_file", F.input_file_name())
+        spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
     )
 
 
