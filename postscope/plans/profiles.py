@@ -276,3 +276,36 @@ def schema_drift(records: DataFrame, expected=None) -> DataFrame:
         .otherwise(F.lit("different"))
     )
     return obs.select(F.inline(rows)).select("field", "expected", "observed", status.alias("status"))
+
+
+def report(posts: DataFrame, records: DataFrame | None = None, year: int = 2021, k: int = 10,
+           sample: int | None = None, seed: int = 42) -> dict[str, DataFrame]:
+    """All profiles at once, as lazy DataFrames keyed by name (nothing runs
+    until a result is used). ``records`` (``content`` + VARIANT ``v``) adds
+    the key-presence profiles; ``sample`` profiles a seeded uniform sample of
+    that many posts instead of all of them."""
+    from postscope.operators.aggregate import reservoir_sample
+
+    if sample:
+        posts = reservoir_sample(posts, sample, seed)
+        if records is not None:
+            records = reservoir_sample(records, sample, seed)
+    out = {
+        "mention_discrepancy": mention_discrepancy(posts),
+        "handle_collisions": handle_collisions(posts),
+        "activity_outliers": activity_outliers(posts),
+        "cutoff_ties": cutoff_ties(posts, k),
+        "identity_consistency": identity_consistency(posts),
+        "mention_structure": mention_structure(posts),
+        "emoji_complexity": emoji_complexity(posts),
+        "time_range": time_range(posts, year),
+        "integrity_counters": integrity_counters(posts),
+    }
+    if records is not None:
+        out.update({
+            "truncation_profile": truncation_profile(records),
+            "retweet_profile": retweet_profile(records),
+            "key_column_profile": key_column_profile(records),
+            "schema_drift": schema_drift(records),
+        })
+    return out

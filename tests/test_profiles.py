@@ -6,7 +6,7 @@ from postscope.plans import profiles as P
 
 
 def test_posts_per_user_and_collisions(posts_df):
-    df = posts_df([post(username="Ｕser1"), post(username="user1"), post(username=""), post(username="b")])
+    df = posts_df([post(username="\uff35ser1"), post(username="user1"), post(username=""), post(username="b")])
     got = sorted((r.username, r.n) for r in P.posts_per_user(df).collect())
     assert got == [("b", 1), ("user1", 2)]
     r = P.handle_collisions(df).collect()[0]
@@ -53,7 +53,7 @@ def test_time_range(posts_df):
 
 
 def test_emoji_complexity(posts_df):
-    df = posts_df([post(content="✈️ ✈️ \U0001F600")])
+    df = posts_df([post(content="\u2708\ufe0f \u2708\ufe0f \U0001F600")])
     r = P.emoji_complexity(df, "grapheme").collect()
     assert (r[0].n, r[0].total_tokens, r[0].complex_tokens) == (2, 3, 2)
 
@@ -122,3 +122,16 @@ def test_everything_runs_on_empty_input(spark, posts_df):
         spark.conf.set("spark.sql.ansi.enabled", old)
     r = P.cutoff_ties(empty).collect()[0]
     assert r.cutoff_value is None and r.keys_at_cutoff == 0
+
+
+def test_report(spark, posts_df):
+    from postscope.sources.posts import records_from_text
+
+    df = posts_df([post("2021-02-12T10:00:00Z", f"u{i % 3}", "hi \u2708\ufe0f", mentions=["a"], pid=i) for i in range(30)])
+    lines = spark.createDataFrame([('{"id": 1, "truncated": true}',)], "value string")
+    records = records_from_text(lines).select(F.lit(1).cast("long").alias("id"), F.lit("x").alias("content"), "v")
+    rep = P.report(df, records, sample=20)
+    assert len(rep) == 13
+    for name, out in rep.items():
+        out.collect()
+    assert rep["integrity_counters"].collect()[0].n_posts == 20
