@@ -116,3 +116,54 @@ def test_q2_matches_python_regex(posts_df, texts, definition):
     df = posts_df([post(content=t) for t in texts])
     got = sorted((r.emoji, r.n) for r in emoji_counts(df, definition).collect())
     assert got == model_emoji(texts, definition)
+
+
+# Q4 (authors keyed by id, latest name) against a brute-force model.
+from postscope.plans.questions import top_days_top_user_by_id  # noqa: E402
+
+# date text -> (UTC day, instant) ; None when it does not parse
+TS = {
+    "2021-03-01T10:00:00+00:00": (dt.date(2021, 3, 1), dt.datetime(2021, 3, 1, 10)),
+    "2021-03-01T23:30:00-05:00": (dt.date(2021, 3, 2), dt.datetime(2021, 3, 2, 4, 30)),
+    "2021-03-02T02:00:00+05:30": (dt.date(2021, 3, 1), dt.datetime(2021, 3, 1, 20, 30)),
+    "2021-03-02T12:00:00Z": (dt.date(2021, 3, 2), dt.datetime(2021, 3, 2, 12)),
+    "2021-03-03T08:00:00+00:00": (dt.date(2021, 3, 3), dt.datetime(2021, 3, 3, 8)),
+    "garbage": None,
+}
+q4_st = st.lists(
+    st.tuples(st.sampled_from(sorted(TS)), st.sampled_from([1, 2, 3, None]),
+              st.sampled_from(["ann", "bob", "cy", None])),
+    max_size=30,
+)
+
+
+def model_q4(rows, k):
+    days, pairs, latest = Counter(), Counter(), {}
+    for pid, (date, uid, name) in enumerate(rows):
+        t = TS[date]
+        if uid is not None and name is not None:
+            key = (t[1] if t else dt.datetime.min, pid)
+            if uid not in latest or key > latest[uid][0]:
+                latest[uid] = (key, name)
+        if t is None:
+            continue
+        days[t[0]] += 1
+        if uid is not None:
+            pairs[(t[0], uid)] += 1
+    top = sorted(days, key=lambda d: (-days[d], -d.toordinal()))[:k]
+    out = []
+    for d in top:
+        named = {u: c for (dd, u), c in pairs.items() if dd == d}
+        if named:
+            best = min(named, key=lambda u: (-named[u], u))
+            out.append((d, best, latest[best][1] if best in latest else None))
+    return sorted(out, key=lambda r: r[0], reverse=True)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(q4_st, st.integers(1, 3))
+def test_q4_matches_model(posts_df, rows, k):
+    df = posts_df([post(d, n, uid=u, pid=i) if u is not None else post(d, pid=i)
+                   for i, (d, u, n) in enumerate(rows)])
+    got = [tuple(r) for r in top_days_top_user_by_id(df, k).collect()]
+    assert got == model_q4(rows, k)
