@@ -167,3 +167,46 @@ def test_q4_matches_model(posts_df, rows, k):
                    for i, (d, u, n) in enumerate(rows)])
     got = [tuple(r) for r in top_days_top_user_by_id(df, k).collect()]
     assert got == model_q4(rows, k)
+
+
+# Profiles against brute-force models.
+from postscope.plans import profiles as PR  # noqa: E402
+
+prof_st = st.lists(
+    st.tuples(st.sampled_from(sorted(TS)), st.sampled_from([1, 2, 3, None]),
+              st.sampled_from(["ann", "bob", "", None]),
+              st.one_of(st.none(), st.lists(st.sampled_from(["x", None]), max_size=3))),
+    max_size=30,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(prof_st)
+def test_profiles_match_model(posts_df, rows):
+    df = posts_df([
+        (post(d, n, uid=u, mentions=m if m is not None else "null") if u is not None
+         else post(d, mentions=m if m is not None else "null"))
+        for d, u, n, m in rows
+    ])
+    # identity consistency
+    pairs = {(u, n) for _, u, n, _ in rows if u is not None and n is not None}
+    names = {n for _, u, n, _ in rows if u is not None and n is not None}
+    r = PR.identity_consistency(df).collect()[0]
+    assert r.names_with_many_ids == sum(1 for nm in names if len({u for u, x in pairs if x == nm}) > 1)
+    assert r.ids_with_many_names == sum(1 for u in {u for u, _ in pairs} if len({x for v, x in pairs if v == u}) > 1)
+    assert r.n_rows == len(rows)
+    assert r.n_distinct_names == len({n for _, u, n, _ in rows if u is not None and n is not None})
+    # time range (year 2021)
+    t = PR.time_range(df, 2021).collect()[0]
+    parsed = [TS[d][0] for d, *_ in rows if TS[d] is not None]
+    assert (t.first_day, t.last_day) == ((min(parsed), max(parsed)) if parsed else (None, None))
+    assert t.n_outside_year == sum(1 for d, *_ in rows if TS[d] is None or TS[d][0].year != 2021)
+    # mention structure
+    m = PR.mention_structure(df).collect()[0]
+    assert m.n_with_list == sum(1 for *_, ms in rows if ms is not None)
+    assert m.n_with_null_name == sum(1 for *_, ms in rows if ms is not None and None in ms)
+    # integrity counters
+    c = PR.integrity_counters(df).collect()[0]
+    assert c.null_users == sum(1 for _, u, _, _ in rows if u is None)
+    assert c.empty_usernames == sum(1 for _, u, n, _ in rows if u is not None and n == "")
+    assert c.bad_dates == sum(1 for d, *_ in rows if TS[d] is None)
