@@ -89,7 +89,7 @@ from postscope.functions import emoji as E  # noqa: E402
 from postscope.plans.questions import emoji_counts  # noqa: E402
 from postscope.sources.adapters import SNIPPETS  # noqa: E402
 
-PIECES = SNIPPETS + ["a", " ", "#", "5", "é", "नमस्ते", "‍", "️"]
+PIECES = SNIPPETS + ["a", " ", "#", "5", "\u00e9", "\u0928\u092e\u0938\u094d\u0924\u0947", "\u200d", "\ufe0f"]
 texts_st = st.lists(st.lists(st.sampled_from(PIECES), max_size=6).map("".join), max_size=12)
 
 
@@ -210,3 +210,23 @@ def test_profiles_match_model(posts_df, rows):
     assert c.null_users == sum(1 for _, u, _, _ in rows if u is None)
     assert c.empty_usernames == sum(1 for _, u, n, _ in rows if u is not None and n == "")
     assert c.bad_dates == sum(1 for d, *_ in rows if TS[d] is None)
+
+
+# NFKC + lower-case names against unicodedata.
+import unicodedata  # noqa: E402
+
+NAME_PARTS = ["ann", "ANN", "\uff21nn", "\ufb01", "fi", "Pe\u00f1a", "Pen\u0303a", "\u00c5", "A\u030a", "x"]
+names_st = st.lists(st.one_of(st.none(), st.lists(st.sampled_from(NAME_PARTS), min_size=1, max_size=2).map("".join)),
+                    max_size=25)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(names_st)
+def test_normalized_handles_match_unicodedata(posts_df, names):
+    df = posts_df([post(username=n) if n is not None else post(date="x") for n in names])
+    got = sorted((r.username, r.n) for r in PR.posts_per_user(df).collect())
+    want = Counter(unicodedata.normalize("NFKC", n).lower() for n in names if n)
+    assert got == sorted(want.items())
+    h = PR.handle_collisions(df).collect()[0]
+    raw = {n for n in names if n}
+    assert (h.n_raw, h.n_normalized) == (len(raw), len({unicodedata.normalize("NFKC", n).lower() for n in raw}))
