@@ -297,7 +297,7 @@ def q_top_days_top_user_json(spark, sf):
     give rows of nulls, which carry no day), then Q1."""
     from postscope.schema import POST
 
-    posts = event_lines(spark, sf).select(F.from_json("value", POST).alias("p")).select("p.*")
+    posts = event_lines(spark, sf).select(F.from_json("value", POST, S.JSON_OPTIONS).alias("p")).select("p.*")
     return Q.top_days_top_user(posts, K)
 
 

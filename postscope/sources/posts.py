@@ -22,16 +22,19 @@ from postscope.schema import CORRUPT_COLUMN, POST, POST_DDL, REQUIRED_FIELDS
 # Reasons written to the dead-letter output.
 REASON_MALFORMED = "malformed_json"
 REASON_NOT_OBJECT = "not_an_object"
+# Standard JSON only: Spark's reader accepts 'single-quoted' strings and
+# NaN/Infinity by default, which a JSON decoder rejects.
+JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def scan_posts(spark: SparkSession, path, schema=POST) -> DataFrame:
     """NDJSON posts with the fixed schema (no inference pass)."""
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(**JSON_OPTIONS).json(path)
 
 
 def scan_posts_inferred(spark: SparkSession, path) -> DataFrame:
     """Schema inferred from every record (one extra pass over the input)."""
-    return spark.read.option("samplingRatio", 1.0).json(path)
+    return spark.read.options(**JSON_OPTIONS).option("samplingRatio", 1.0).json(path)
 
 
 def scan_lines(spark: SparkSession, path) -> DataFrame:
@@ -61,7 +64,7 @@ def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str =
     parsed = F.from_json(
         raw,
         POST_DDL + f", {CORRUPT_COLUMN} STRING",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, **JSON_OPTIONS},
     )
     is_object = F.ltrim(raw).startswith("{")
     out = lines.select(

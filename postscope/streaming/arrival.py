@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postscope.plans.questions import top_days_top_user
 from postscope.schema import POST
+from postscope.sources.posts import JSON_OPTIONS
 
 
 def answers_per_file(batch: DataFrame, k: int = 10, day_mode: str = "utc") -> DataFrame:
@@ -45,6 +46,7 @@ def start_file_arrival(spark: SparkSession, input_dir: str, output_dir: str, che
         checkpoint_dir = shared_dir(spark, "file_arrival")
     src = (
         spark.readStream.schema(POST)
+        .options(**JSON_OPTIONS)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .json(input_dir)
         .select("*", F.col("_metadata.file_path").alias("source_file"))

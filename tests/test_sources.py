@@ -108,3 +108,12 @@ def test_spread_small_only_spreads_narrow_inputs(spark):
     wide = spark.range(0, 1000, 1, 64)
     assert S.spread_small(narrow, 8).rdd.getNumPartitions() == 8
     assert S.spread_small(wide, 8) is wide
+
+
+def test_standard_json_only(spark, write_posts):
+    p = write_posts(["{'date': '2021-02-12T10:00:00Z', 'user': {'username': 'a'}}", '{"id": NaN}',
+                     post("2021-02-12T10:00:00Z", "b")])
+    parsed = S.scan_posts_strict(spark, p)
+    assert sorted(r.reject_reason or "ok" for r in parsed.collect()) == ["malformed_json", "malformed_json", "ok"]
+    fixed = S.scan_posts(spark, p)
+    assert fixed.where("date is not null").count() == 1
