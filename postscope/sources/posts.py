@@ -22,6 +22,7 @@ from postscope.schema import CORRUPT_COLUMN, POST, POST_DDL, REQUIRED_FIELDS
 # Reasons written to the dead-letter output.
 REASON_MALFORMED = "malformed_json"
 REASON_NOT_OBJECT = "not_an_object"
+REASON_WRONG_TYPE = "wrong_type"
 # Standard JSON only: Spark's reader accepts 'single-quoted' strings and
 # NaN/Infinity by default, which a JSON decoder rejects.
 JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
@@ -48,7 +49,28 @@ def skip_blank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(F.trim(F.col(column)) != F.lit(""))
 
 
-def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str = "skip") -> DataFrame:
+def _wrong_types(raw: Column) -> Column:
+    """True when a string field holds another JSON type (``"date": 5``),
+    which Spark's reader would otherwise coerce to text (V14)."""
+    v = F.try_parse_json(raw)
+
+    def not_text(x: Column) -> Column:
+        t = F.schema_of_variant(x)
+        return x.isNotNull() & ~F.is_variant_null(x) & (t != F.lit("STRING"))
+
+    def at(path: str) -> Column:
+        return F.try_variant_get(v, path, "variant")
+
+    mentions = F.try_variant_get(v, "$.mentionedUsers", "array<variant>")
+    bad_mention = F.exists(
+        F.coalesce(mentions, F.array().cast("array<variant>")),
+        lambda m: not_text(F.try_variant_get(m, "$.username", "variant")),
+    )
+    return not_text(at("$.date")) | not_text(at("$.content")) | not_text(at("$.user.username")) | bad_mention
+
+
+def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str = "skip",
+                       exact_types: bool = False) -> DataFrame:
     """S2 on a DataFrame of JSON text lines.
 
     Output: the post columns, ``_corrupt_record`` (raw text of a rejected
@@ -56,7 +78,9 @@ def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str =
     or is not a JSON object, or a field has a type that cannot be read (e.g.
     ``"user": "str"``). ``on_error="fail"`` (V12) makes the job fail on the
     first rejected line instead; the check is a filter, so no later column
-    selection can prune it away.
+    selection can prune it away. ``exact_types=True`` also rejects a string
+    field holding another JSON type (``wrong_type``, V14) instead of reading
+    ``5`` as ``"5"``; it parses each line a second time (as VARIANT).
     """
     if on_error not in ("skip", "fail"):
         raise ValueError(f"on_error must be 'skip' or 'fail', not {on_error!r}")
@@ -75,6 +99,8 @@ def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str =
         F.when(~is_object, F.lit(REASON_NOT_OBJECT))
         .when(F.col(f"_p.{CORRUPT_COLUMN}").isNotNull(), F.lit(REASON_MALFORMED))
     )
+    if exact_types:
+        reason = reason.when(_wrong_types(raw), F.lit(REASON_WRONG_TYPE))
     cols = [c for c in lines.columns if c != column]
     res = out.select(
         *cols,
@@ -92,9 +118,9 @@ def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str =
     return res
 
 
-def scan_posts_strict(spark: SparkSession, path, on_error: str = "skip") -> DataFrame:
+def scan_posts_strict(spark: SparkSession, path, on_error: str = "skip", exact_types: bool = False) -> DataFrame:
     """Text lines -> typed posts with a reject reason per line."""
-    return parse_posts_strict(scan_lines(spark, path), on_error=on_error)
+    return parse_posts_strict(scan_lines(spark, path), on_error=on_error, exact_types=exact_types)
 
 
 def valid_for(question: str) -> Column:

@@ -117,3 +117,17 @@ def test_standard_json_only(spark, write_posts):
     assert sorted(r.reject_reason or "ok" for r in parsed.collect()) == ["malformed_json", "malformed_json", "ok"]
     fixed = S.scan_posts(spark, p)
     assert fixed.where("date is not null").count() == 1
+
+
+def test_exact_types_v14(spark, write_posts):
+    p = write_posts([
+        '{"date": 5, "user": {"username": "a"}}',
+        '{"date": "2021-02-12T10:00:00Z", "user": {"username": 7}}',
+        '{"date": "2021-02-12T10:00:00Z", "mentionedUsers": [{"username": "x"}, {"username": 3}]}',
+        '{"date": "2021-02-12T10:00:00Z", "content": null, "user": {"username": "ok"}, "mentionedUsers": null}',
+    ])
+    lenient = S.scan_posts_strict(spark, p).collect()
+    assert [r.reject_reason for r in lenient] == [None, None, None, None]
+    assert lenient[0].date == "5"
+    exact = S.scan_posts_strict(spark, p, exact_types=True).collect()
+    assert [r.reject_reason for r in exact] == ["wrong_type", "wrong_type", "wrong_type", None]
