@@ -2,9 +2,9 @@
 
 ``strategy="time"`` reads with the fixed schema (malformed lines become
 nulls and carry nothing) and takes the UTC day. ``strategy="memory"`` keeps
-the typed-reader rules: lines are parsed strictly, a post must be valid for
-the question (V13), the question runs in its strict form, and Q1 takes the
-day written in the text (its first ten characters, V1). Both are the same kind of Spark plan;
+the typed-reader rules: lines are parsed strictly with exact JSON types (V14),
+a post must be valid for the question (V13), the question runs in its strict
+form, and Q1 takes the day written in the text (its first ten characters, V1). Both are the same kind of Spark plan;
 the names are kept so existing callers can switch.
 """
 
@@ -17,7 +17,7 @@ from postscope.operators.aggregate import top_k
 from postscope.plans import questions as Q
 from postscope.plans.events import RunEvent
 from postscope.sources.posts import (
-    REASON_MALFORMED, REASON_NOT_OBJECT, scan_posts, scan_posts_strict, valid_for,
+    REASON_MALFORMED, REASON_NOT_OBJECT, REASON_WRONG_TYPE, scan_posts, scan_posts_strict, valid_for,
 )
 
 QUESTIONS = {
@@ -33,7 +33,7 @@ QUESTIONS = {
 def posts_for(spark: SparkSession, question: str, strategy: str, path) -> DataFrame:
     if strategy == "time":
         return scan_posts(spark, path)
-    return scan_posts_strict(spark, path).where(valid_for(question))
+    return scan_posts_strict(spark, path, exact_types=True).where(valid_for(question))
 
 
 def run(spark: SparkSession, question: str = "q1", strategy: str = "time", path=None, k: int = 10) -> DataFrame:
@@ -83,9 +83,10 @@ def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time"
         with ev.step("build_query_plan"):
             rejects = None
             if strategy == "memory":
-                parsed = scan_posts_strict(spark, path)
+                parsed = scan_posts_strict(spark, path, exact_types=True)
                 parsed, rejects = ev.observe(parsed, f"{question}_{strategy}_rejects", **{
-                    r: F.count_if(F.col("reject_reason") == F.lit(r)) for r in (REASON_MALFORMED, REASON_NOT_OBJECT)
+                    r: F.count_if(F.col("reject_reason") == F.lit(r))
+                    for r in (REASON_MALFORMED, REASON_NOT_OBJECT, REASON_WRONG_TYPE)
                 })
                 posts = parsed.where(valid_for(question))
             else:

@@ -104,3 +104,10 @@ def test_six_function_interface(spark, write_posts):
     assert registry.q1_memory(spark, p) == [(dt.date(2021, 2, 12), "a")]
     assert registry.q2_time(spark, p) == [("\u2708", 2)]
     assert registry.q3_memory(spark, p) == [("x", 2)]
+
+
+def test_memory_strategy_rejects_wrong_types(spark, write_posts):
+    p = write_posts([post("2021-02-12T10:00:00Z", "a"), '{"date": "2021-02-13T10:00:00Z", "user": {"username": 5}}'])
+    assert len(registry.run(spark, "q1", "time", p).collect()) == 2
+    rows, ev = registry.run_logged(spark, "q1", "memory", p)
+    assert len(rows) == 1 and [t for t, _, _ in ev.errors] == ["wrong_type"]
