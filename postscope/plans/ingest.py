@@ -28,11 +28,12 @@ DAY_KEYS = ["year", "month", "day"]
 
 
 def ingest_posts(spark: SparkSession, src, dest: str, mode: str = "overwrite",
-                 files_per_day: int | None = None) -> Observation:
+                 files_per_day: int | None = None, exact_types: bool = False) -> Observation:
     """Parse ``src`` strictly and write the layout above. Returns an
     ``Observation`` with ``lines``, ``rejected`` and ``without_day`` counts,
-    filled by the same job."""
-    parsed = scan_posts_strict(spark, src)
+    filled by the same job. ``exact_types`` also rejects string fields that
+    hold other JSON types (a second parse per line)."""
+    parsed = scan_posts_strict(spark, src, exact_types=exact_types)
     ts = parse_ts(F.col("date"))
     rows = parsed.select(
         *[f.name for f in POST.fields],

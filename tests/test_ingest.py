@@ -44,3 +44,11 @@ def test_salted_layout_same_answer(spark, write_posts, tmp_path):
     I.ingest_posts(spark, src, dest, files_per_day=3)
     direct = Q.top_days_top_user(scan_posts(spark, src), 10).collect()
     assert I.top_days_top_user_ingested(spark, dest, 10).collect() == direct
+
+
+def test_ingest_exact_types(spark, write_posts, tmp_path):
+    src = write_posts([post("2021-03-01T10:00:00Z", "a"), '{"date": 5, "user": {"username": "b"}}'])
+    dest = str(tmp_path / "exact")
+    obs = I.ingest_posts(spark, src, dest, exact_types=True)
+    assert obs.get["rejected"] == 1
+    assert [r.reject_reason for r in I.read_dead_letters(spark, dest).collect()] == ["wrong_type"]
