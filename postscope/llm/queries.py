@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, quality_rules
-from postscope.llm.common import table
+from postscope.llm import byte_bpe, language_id, quality_fm, quality_rules
+from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,9 +31,25 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
 
 
+@register
+def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *(F.col(f"__q_{n}").alias(n) for n in names))
+
+
+@register
+def op9_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = quality_fm.train(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    scored = quality_fm.score(docs, machine)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
