@@ -147,8 +147,7 @@ def calibrate(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), tex
     marked = stats.where(~base_failed(policy)).drop("__text").join(marks, "doc_id")
     named = rules()
     bins = F.explode(F.array(*(
-        F.struct(F.lit(r).alias("rule"), F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c, v=v: c < v)).alias("bin"))
-        for r, (v, cuts) in named.items()
+        F.struct(F.lit(r).alias("rule"), sum((v > c).cast("int") for c in cuts).alias("bin")) for r, (v, cuts) in named.items()
     ))).alias("b")
     counted = (marked.select(F.coalesce("__lang", F.lit(OTHER)).alias("stratum"), "__good", bins)
                .groupBy("stratum", "b.rule", "b.bin", "__good").agg(F.count("*").alias("n")))

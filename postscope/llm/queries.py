@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, language_id, quality_fm, quality_rules
+from postscope.llm import byte_bpe, language_id, quality_fm, quality_rules, secret_scan
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,25 @@ def vocabulary() -> tuple[str, str]:
     return P.path("byte_bpe_50k.json"), P.PATTERN
 
 
+def span_text(spans):
+    """kind:start:end of each span, comma-joined in the given order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def count_kind(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+@register
+def op2_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *(count_kind(base, k).alias(f"n_{k}") for k in secret_scan.KINDS),
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
+
+
 @register
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
