@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, language_id, quality_fm, quality_rules, secret_scan
+from postscope.llm import byte_bpe, language_id, ngram_join, quality_fm, quality_rules, secret_scan
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def vocabulary() -> tuple[str, str]:
     return P.path("byte_bpe_50k.json"), P.PATTERN
 
 
+@register
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def span_text(spans):
     """kind:start:end of each span, comma-joined in the given order."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
