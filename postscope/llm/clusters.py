@@ -6,7 +6,7 @@ band) and pass an exact pairwise test, and returns their components without
 ever making all pairs of a large group:
 
 1. items with a common key become candidate clusters (components over one
-   star per key, whose centre is found by a partial aggregate);
+   star per key, ``stars``);
 2. a cluster is dealt into chunks of about ``CHUNK`` items, each chunk also
    gets about ``LEADERS`` items of the whole cluster; a task links the items
    of one chunk, testing only pairs that share a key and are not connected
@@ -145,19 +145,74 @@ def _verify(grouped, payload: list[str], make: Callable[[pa.Table], Callable[[in
     return grouped.applyInArrow(run, "a long, b long")
 
 
-def link(scratch: Scratch, items: DataFrame, payload: list[str], make: Callable[[pa.Table], Callable[[int, int], bool]]) -> DataFrame:
+def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
+    """Edges (a, b) that connect all nodes with a common key: one star per key.
+
+    ``postings``: key long, node long. Each task first connects what it has
+    and sends one node per key, so a key of very many nodes reaches its reducer
+    as one row per task (and per ``flush`` postings)."""
+
+    def star(key: np.ndarray, node: np.ndarray):
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        centre = np.repeat(node[first], np.diff(first, append=len(key)))
+        spoke = node != centre
+        return key[first], node[first], np.unique(np.stack([node[spoke], centre[spoke]], axis=1), axis=0)
+
+    def rows(key: np.ndarray, a: np.ndarray, b: np.ndarray | None):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)], names=["key", "a", "b"])
+
+    def combine(batches):
+        parts, size = [], 0
+
+        def out():
+            key, node, edges = star(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
+            yield rows(key, node, None)
+            if len(edges):
+                yield rows(edges[:, 0], edges[:, 0], edges[:, 1])  # edges pass on; any key does
+
+        for batch in batches:
+            parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= flush:
+                yield from out()
+                parts, size = [], 0
+        if size:
+            yield from out()
+
+    def reduce(batches):  # postings in order of their key
+        last = None
+        for batch in batches:
+            key, a = batch.column("key").to_numpy(), batch.column("a").to_numpy()
+            edge = batch.column("b").is_valid().to_numpy(zero_copy_only=False)
+            if edge.any():
+                yield pa.RecordBatch.from_arrays([pa.array(a[edge]), batch.column("b").filter(pa.array(edge))], names=["a", "b"])
+            key, a = key[~edge], a[~edge]
+            if not len(key):
+                continue
+            if last is not None and last[0] == key[0]:
+                key, a = np.r_[last[0], key], np.r_[last[1], a]
+            keys, centres, edges = star(key, a)
+            last = keys[-1], centres[-1]
+            if len(edges):
+                yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+
+    local = postings.select("key", "node").mapInArrow(combine, "key long, a long, b long")
+    parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(reduce, "a long, b long")
+
+
+def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
+         make: Callable[[pa.Table], Callable[[int, int], bool]]) -> DataFrame:
     """(node, root) of items connected by similar pairs that share a key.
 
     ``items``: node long (distinct), keys array<long> (distinct), and the
-    payload columns; it should be a written table, as it is read repeatedly.
-    ``make(table)`` returns the exact test of two rows of a group.
+    payload columns; ``cluster``: node and root, the components of
+    ``stars`` over the keys. Both should be written tables, as they are read
+    repeatedly. ``make(table)`` returns the exact test of two rows of a group.
     """
-    postings = items.select("node", F.explode("keys").alias("key"))
-    stars = postings.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last")
-    spokes = postings.select("node", F.bitwise_not("key").alias("k")).join(
-        stars.select(F.bitwise_not("key").alias("k"), "centre"), "k").where("node <> centre")
-    cluster = scratch.write(components(scratch, spokes.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct())
-                            .withColumnRenamed("root", "cluster"))
+    cluster = cluster.withColumnRenamed("root", "cluster")
     sizes = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
     chunks = F.ceil(F.col("size") / CHUNK).cast("long")
     member = (cluster.withColumn("k", F.bitwise_not("cluster"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -79,6 +80,9 @@ class Scratch:
         self.written += 1
         path = f"{self.base}/{self.written}"
         df.write.parquet(path)
+        # Shuffle files of finished steps go once the driver has dropped their plans.
+        gc.collect()
+        self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

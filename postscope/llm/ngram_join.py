@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.clusters import link
+from postscope.llm.clusters import components, link, stars
 from postscope.llm.common import Scratch, WordHashes, mix, texts
 
 #: Odd multipliers, one per place in a shingle, and seeds of the further orders.
@@ -352,7 +352,9 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -
     packed = dealt(docs, hot, ranges, settings, text).repartitionById(ranges, "to")
     back = counted(packed, ranges).repartitionById(ranges, "to")
     items = scratch.write(survivors(back, settings))
-    found = link(scratch, items, ["n", "k", "tokens"], test(settings.percent))
+    postings = items.select(F.explode("keys").alias("key"), "node")
+    cluster = scratch.write(components(scratch, stars(postings)))
+    found = link(scratch, items, cluster, ["n", "k", "tokens"], test(settings.percent))
     rooted = sets.join(found.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("root"), "least")
     rooted = scratch.write(rooted)
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

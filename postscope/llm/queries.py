@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, language_id, ngram_join, quality_fm, quality_rules, secret_scan
+from postscope.llm import byte_bpe, language_id, line_dedup, ngram_join, poisson_mix, quality_fm, quality_rules, secret_scan
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
 
 
+@register
+def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = poisson_mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", F.col("__n").alias("n_copies"), F.col("__copy").alias("copy"), F.col("__place").alias("place"), "text")
+
+
+ORACLE_SQL["op5_poisson_mix"] = poisson_mix.SQL.strip()
+
+
 @register
 def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -62,6 +71,13 @@ def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.marked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.col("__lines").cast("long").alias("n_lines"), F.size("__drops").cast("long").alias("n_dropped"),
+                       line_dedup.without(F.col("text"), F.col("__drops")).alias("text"))
+
+
 @register
 def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
