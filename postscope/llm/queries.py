@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, language_id, line_dedup, ngram_join, poisson_mix, quality_fm, quality_rules, secret_scan
+from postscope.llm import byte_bpe, language_id, line_dedup, ngram_join, pii_disclosure, poisson_mix, quality_fm, quality_rules, secret_scan
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,12 @@ def op9_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_fm.score(docs, machine)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register
+def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_disclosure.find(table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"] != pii_disclosure.TERM)
+    return found.select(
+        "doc_id", *(count_kind(base, k).alias(f"n_{k}") for k in pii_disclosure.KINDS),
+        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
