@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, language_id, line_dedup, ngram_join, pii_disclosure, poisson_mix, quality_fm, quality_rules, secret_scan
+from postscope.llm import byte_bpe, language_id, line_dedup, ngram_join, pii_disclosure, poisson_mix, quality_fm, quality_rules, secret_scan, spotsigs
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op2_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
 
 
+@register
+def op3_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
