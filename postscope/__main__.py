@@ -35,7 +35,8 @@ def main(argv=None) -> int:
         df = spark.createDataFrame(rows)
         for r in result_to_json(df).collect():
             print(r.json)
-    print(f"# {event.status} in {event.total_ms} ms, metrics {event.metrics}", file=sys.stderr)
+    done = event.first()
+    print(f"# {done.status} in {done.total_duration_ms} ms, metrics {done.metrics}", file=sys.stderr)
     return 0
 
 

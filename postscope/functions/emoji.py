@@ -15,9 +15,12 @@ Definitions (all must be applied to the whole text):
 * ``simple``: one codepoint in 2600-27BF, 1F300-1F6FF or 1F900-1F9FF.
 * ``run``: a maximal run of skin tones, 2600-27BF, 1F300-1FAFF and ZWJ;
   tokens made only of ZWJ (Indic joiners) are dropped.
-* ``grapheme``: extended grapheme clusters (``\\X``) that contain an emoji
-  codepoint, a regional indicator or a keycap mark. U+00A9 and similar
-  text-default pictographs are kept: they are Extended_Pictographic.
+* ``grapheme``: whole emoji sequences: a flag (pair of regional indicators), a
+  keycap (digit, ``#`` or ``*`` with U+20E3), or emoji characters, each with
+  its variation selector, skin tone or tag sequence, joined by ZWJ. Characters
+  without the Unicode property Emoji (a black star, a lone regional indicator,
+  a letter with U+20E3) are no tokens; U+00A9 and similar unqualified emoji
+  are.
 """
 
 from __future__ import annotations
@@ -36,6 +39,26 @@ A9 AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 2388 23CF 23E9-23F3
 1F80C-1F80F 1F848-1F84F 1F85A-1F85F 1F888-1F88F 1F8AE-1F8FF 1F90C-1F93A
 1F93C-1F945 1F947-1FAFF 1FC00-1FFFD
 """
+# Unicode property Emoji, without digits, ``#``, ``*`` and regional indicators.
+EMOJI_RANGES = """
+A9 AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 23CF 23E9-23F3
+23F8-23FA 24C2 25AA-25AB 25B6 25C0 25FB-25FE 2600-2604 260E 2611 2614-2615 2618
+261D 2620 2622-2623 2626 262A 262E-262F 2638-263A 2640 2642 2648-2653 265F-2660
+2663 2665-2666 2668 267B 267E-267F 2692-2697 2699 269B-269C 26A0-26A1 26A7
+26AA-26AB 26B0-26B1 26BD-26BE 26C4-26C5 26C8 26CE-26CF 26D1 26D3-26D4 26E9-26EA
+26F0-26F5 26F7-26FA 26FD 2702 2705 2708-270D 270F 2712 2714 2716 271D 2721 2728
+2733-2734 2744 2747 274C 274E 2753-2755 2757 2763-2764 2795-2797 27A1 27B0 27BF
+2934-2935 2B05-2B07 2B1B-2B1C 2B50 2B55 3030 303D 3297 3299 1F004 1F0CF
+1F170-1F171 1F17E-1F17F 1F18E 1F191-1F19A 1F201-1F202 1F21A 1F22F 1F232-1F23A
+1F250-1F251 1F300-1F321 1F324-1F393 1F396-1F397 1F399-1F39B 1F39E-1F3F0
+1F3F3-1F3F5 1F3F7-1F4FD 1F4FF-1F53D 1F549-1F54E 1F550-1F567 1F56F-1F570
+1F573-1F57A 1F587 1F58A-1F58D 1F590 1F595-1F596 1F5A4-1F5A5 1F5A8 1F5B1-1F5B2
+1F5BC 1F5C2-1F5C4 1F5D1-1F5D3 1F5DC-1F5DE 1F5E1 1F5E3 1F5E8 1F5EF 1F5F3
+1F5FA-1F64F 1F680-1F6C5 1F6CB-1F6D2 1F6D5-1F6D7 1F6DC-1F6E5 1F6E9 1F6EB-1F6EC
+1F6F0 1F6F3-1F6FC 1F7E0-1F7EB 1F7F0 1F90C-1F93A 1F93C-1F945 1F947-1F9FF
+1FA70-1FA7C 1FA80-1FA89 1FA8F-1FAC6 1FACE-1FADC 1FADF-1FAE9 1FAF0-1FAF8
+"""
+TAGS, TAG_END = "E0020-E007E", "E007F"
 REGIONAL_INDICATORS = "1F1E6-1F1FF"
 SKIN_TONES = "1F3FB-1F3FF"
 VARIATION_SELECTOR_16 = "FE0F"
@@ -70,9 +93,8 @@ RANGE = (
 )
 SIMPLE = char_class(SIMPLE_BASE)
 RUN = char_class(RUN_MEMBERS) + "+"
-GRAPHEME = "\\X"
-# A cluster counts as an emoji when it holds one of these codepoints.
-GRAPHEME_KEEP = char_class(" ".join([EMOJI_PICTOGRAPHIC_RANGES, REGIONAL_INDICATORS, KEYCAP]))
+_PART = f"{char_class(EMOJI_RANGES)}(?:{VS16}|{TONE})?(?:{char_class(TAGS)}+\\x{{{TAG_END}}})?"
+GRAPHEME = f"(?:{RI}{{2}}|[0-9#*]{VS16}?\\x{{{KEYCAP}}}|{_PART}(?:{ZWJ}{_PART})*)"
 ONLY_ZWJ = f"^{ZWJ}+$"
 
 DEFINITIONS = {
@@ -97,10 +119,8 @@ def pattern(definition: str) -> str:
 HAS_NON_ASCII = "[^\\x{00}-\\x{7F}]"
 # Guards that let the Java engine reject most start positions with one range
 # test instead of walking the whole class. They never change what matches:
-# a property token starts at U+00A9 or above; a grapheme cluster with an
-# emoji either starts with a non-ASCII codepoint or is an ASCII base followed
-# by a non-ASCII mark (keycaps), and between two ASCII characters there is
-# always a cluster boundary (CR LF, the one exception, holds no emoji).
+# a property token starts at U+00A9 or above; an emoji sequence starts with a
+# non-ASCII codepoint, or is an ASCII base followed by one (keycaps).
 _GUARDS = {
     "property": "(?=[^\\x{00}-\\x{A8}])",
     "grapheme": "(?=[^\\x{00}-\\x{7F}]|[\\x{00}-\\x{7F}][^\\x{00}-\\x{7F}])",

@@ -122,11 +122,13 @@ def head_sample(df: DataFrame, n: int, order: str = "id") -> DataFrame:
     return df.orderBy(F.col(order).asc_nulls_last()).limit(n)
 
 
-def reservoir_sample(df: DataFrame, n: int, seed: int = 42, key: str = "id") -> DataFrame:
+def reservoir_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """K7: a uniform sample of exactly ``n`` rows, repeatable for a seed.
 
-    Rows are ranked by a seeded 64-bit hash of their key; the ``n`` smallest
-    are kept with a bounded heap per task (``TakeOrderedAndProject``).
+    Rows are ranked by the MD5 of the seed and the whole row as JSON text, so
+    null or repeated keys don't tie; equal rows are interchangeable. The ``n``
+    smallest are kept with a bounded heap per task (``TakeOrderedAndProject``).
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", F.col(key)).limit(n).drop("_h")
+    whole = F.to_json(F.struct(*(F.col(c) for c in df.columns)))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), whole))
+    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")

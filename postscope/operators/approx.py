@@ -29,11 +29,15 @@ def hll_merge_estimate(sketch_col: str) -> Column:
 
 
 def approx_top_k(df: DataFrame, column: str, k: int = 10, max_items: int = 10000) -> DataFrame:
-    """Top ``k`` values with estimated counts: rows ``(item, n)``."""
-    agg = df.select(F.expr(f"approx_top_k(`{column}`, {int(k)}, {int(max_items)})").alias("t"))
-    return agg.select(F.inline("t")).select(
-        F.col("item").alias(column), F.col("count").alias("n")
-    )
+    """Top ``k`` values with estimated counts: rows ``(item, n)``. All
+    ``max_items`` counters come back in one row, and the k are taken in
+    complete order (count, then value), so ties don't depend on the sketch;
+    counts are exact while the distinct values fit."""
+    from postscope.operators.aggregate import top_k
+
+    agg = df.where(F.col(column).isNotNull()).select(F.expr(f"approx_top_k(`{column}`, {int(max_items)}, {int(max_items)})").alias("t"))
+    rows = agg.select(F.inline("t")).select(F.col("item").alias(column), F.col("count").alias("n"))
+    return top_k(rows, k, "n", [column])
 
 
 def count_min(df: DataFrame, column: str, eps: float = 0.001, confidence: float = 0.99, seed: int = 42) -> DataFrame:
@@ -63,9 +67,10 @@ def roll_up_days(hourly: DataFrame, *keys: str) -> DataFrame:
 
 def write_rollup(hourly: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store an hourly rollup partitioned by day; rewriting one day replaces
-    only that day's folder (dynamic partition overwrite)."""
+    only that day's folder (dynamic partition overwrite). Rows are rebalanced
+    by day: a day with very many keys is split over several tasks."""
     (
-        hourly.repartition("date")
+        hourly.hint("rebalance", F.col("date"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")

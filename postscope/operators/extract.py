@@ -30,8 +30,6 @@ def emoji_tokens(df: DataFrame, definition: str = "property", content: str = "co
     toks = df.select(*keep, F.explode(found).alias(out))
     if definition == "run":
         toks = toks.where(~F.col(out).rlike(E.ONLY_ZWJ))
-    elif definition == "grapheme":
-        toks = toks.where(F.col(out).rlike(E.GRAPHEME_KEEP))
     return toks
 
 

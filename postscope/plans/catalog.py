@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postscope.sources import adapters as A
-from postscope.sources.posts import spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,78 +32,36 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def utc(spark: SparkSession) -> SparkSession:
-    """All questions use UTC days; the session zone only affects display."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
-# Loaded tables and adapter outputs are lazy plans; they are built once per
-# session and input folder and reused by every query (as a user keeps a
-# DataFrame), which saves reading Parquet footers, listing files and
-# analysing the adapter on each call. No data is cached.
-_PLANS: dict = {}
-
-
-def cached_plan(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
-        app = None
-    k = (id(spark), app, *key)
-    df = _PLANS.get(k)
-    if df is None:
-        df = _PLANS[k] = build()
-    return df
-
-
-def clear_plans() -> None:
-    """Forget cached plans (e.g. after the input folders changed)."""
-    _PLANS.clear()
-
-
 def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return cached_plan(utc(spark), ("table", sf, name), lambda: A.load(spark, sf, name))
-
-
-def load_fact(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table whose rows feed heavy per-row work (date parsing, regex,
-    JSON), spread over the cores when it has fewer splits than the session
-    can run (``spread_small``). Line items feed only a join and an explode:
-    spreading them costs more than it saves, so they are read as they are."""
-    return cached_plan(utc(spark), ("fact", sf, name), lambda: spread_small(load(spark, sf, name)))
+    return A.load(spark, sf, name)
 
 
 def events_posts(spark, sf):
-    return cached_plan(utc(spark), ("events_posts", sf), lambda: A.events_posts(load_fact(spark, sf, "events")))
+    return A.events_posts(load(spark, sf, "events"))
 
 
 def orders_posts(spark, sf):
-    return cached_plan(utc(spark), ("orders_posts", sf),
-                       lambda: A.orders_posts(load_fact(spark, sf, "orders"), load(spark, sf, "customer")))
+    return A.orders_posts(load(spark, sf, "orders"), load(spark, sf, "customer"))
 
 
 def lineitem_posts(spark, sf):
-    return cached_plan(utc(spark), ("lineitem_posts", sf),
-                       lambda: A.lineitem_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier")))
+    return A.lineitem_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier"))
 
 
 def lineitem_line_posts(spark, sf):
-    return cached_plan(utc(spark), ("lineitem_line_posts", sf),
-                       lambda: A.lineitem_line_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier")))
+    return A.lineitem_line_posts(load(spark, sf, "lineitem"), load(spark, sf, "supplier"))
 
 
 def documents_posts(spark, sf):
-    return cached_plan(utc(spark), ("documents_posts", sf), lambda: A.documents_posts(load_fact(spark, sf, "documents")))
+    return A.documents_posts(load(spark, sf, "documents"))
 
 
 def documents_records(spark, sf):
-    return cached_plan(utc(spark), ("documents_records", sf),
-                       lambda: A.documents_records(load_fact(spark, sf, "documents")))
+    return A.documents_records(load(spark, sf, "documents"))
 
 
 def event_lines(spark, sf):
-    return cached_plan(utc(spark), ("event_lines", sf), lambda: A.events_json_lines(load_fact(spark, sf, "events")))
+    return A.events_json_lines(load(spark, sf, "events"))
 
 
 # Importing the query modules fills the registry.

@@ -1,74 +1,143 @@
 """Registered queries that run the file-based jobs: the on-demand runner
-(T2), the file-arrival stream (T1), schema inference (S4) and the ingest
-into day-partitioned Parquet (S11, S12).
+(T2) for every question and strategy, its run event (O1-O3), the file-arrival
+stream (T1), schema inference (S4), the ingest into day-partitioned Parquet
+(S11, S12) and the stored rollup (A18).
 
 Each call stages the events JSON lines (``adapters.events_json_lines``, the
-whole table) as text files with an ordinary distributed write into a new
-folder under the shared folder named by ``spark.checkpoint.dir``, then runs
-the job on those files exactly as a user would on their own input.
+whole table) as text files with an ordinary distributed write into a folder
+under the shared folder named by ``spark.checkpoint.dir``, then runs the job
+on those files exactly as a user would on their own input. The folder of a
+query is named after the query and the session, so a repeated call rewrites it
+instead of adding another copy.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from postscope.plans.catalog import K, event_lines, register, utc
+from pyspark.sql import functions as F
+
+from postscope.functions import emoji as EM
+from postscope.plans.catalog import K, event_lines, events_posts, register
 from postscope.plans.catalog_profiles import _LINES
+from postscope.plans.catalog_questions import USERNAME, sql_q1
 from postscope.session import shared_dir
 from postscope.sources import adapters as A
 
-
-STREAM_TIMEOUT_S = 600
+_SESSION = uuid.uuid4().hex[:12]
 
 
-def stage_lines(spark, sf, name: str) -> str:
-    base = shared_dir(spark, f"staging/{name}-{uuid.uuid4().hex[:12]}")
-    event_lines(spark, sf).select("value").write.text(f"{base}/input")
-    return base
+def staging(spark, name: str) -> str:
+    return shared_dir(spark, f"staging-{_SESSION}/{name}")
 
 
-def sql_q1_good_lines(day_sql: str) -> str:
-    """DuckDB: Q1 over the valid staged lines (all of them have an author),
-    with the day taken by ``day_sql`` from the ``date`` text."""
-    return f"""
-WITH {_LINES}, good AS (SELECT * FROM l WHERE expected_reason IS NULL),
-posts AS (SELECT json_extract_string(value, '$.date') AS date,
-                 json_extract_string(value, '$.user.username') AS author FROM good),
-d AS (SELECT {day_sql} AS date, author FROM posts),
-pairs AS (SELECT date, author, count(*) AS n FROM d WHERE date IS NOT NULL AND author IS NOT NULL GROUP BY 1, 2),
-days AS (SELECT date, CAST(sum(n) AS BIGINT) AS total, first(author ORDER BY n DESC, author) AS top_author
-         FROM pairs GROUP BY date),
-top AS (SELECT * FROM days ORDER BY total DESC, date DESC LIMIT {K})
-SELECT date, top_author AS top_user FROM top"""
+def stage_lines(spark, sf, name: str, parts: int | None = None) -> str:
+    """Write the lines below ``<base>/input``; with ``parts`` as one file in
+    each of that many folders (``event_id`` modulo)."""
+    base = staging(spark, name)
+    lines = event_lines(spark, sf)
+    if parts is None:
+        lines.select("value").write.mode("overwrite").text(f"{base}/input")
+    else:
+        folder = (F.col("line_no") % parts).cast("int").alias("part")
+        lines.select("value", folder).repartitionById(parts, "part").write.mode("overwrite").partitionBy("part").text(f"{base}/input")
+    return base
 
 
+# Posts of the lines, as the strict reader of a question takes them: judged
+# per question from the text; of a repeated key the last value counts (both
+# values are equal in these lines).
+_OBJECTS = f"""o AS (SELECT value FROM ({A.EVENTS_LINES_SQL}) x WHERE json_valid(value) AND json_type(value) = 'OBJECT')"""
+_Q1_OK = "json_type(value, '$.date') = 'VARCHAR' AND json_type(value, '$.user.username') = 'VARCHAR'"
+_Q2_OK = "json_type(value, '$.content') = 'VARCHAR'"
+_Q3_OK = """json_type(value, '$.mentionedUsers') IN ('NULL', 'ARRAY')
+  AND len(list_filter(coalesce(json_extract(value, '$.mentionedUsers[*]'), []),
+    lambda x: NOT coalesce(json_type(x, '$.username') = 'VARCHAR', false))) = 0"""
 PREFIX_DAY = "try_strptime(substring(date, 1, 10), '%Y-%m-%d')::DATE"
-
-
-@register("on_demand_q1_memory", sql_q1_good_lines(PREFIX_DAY))
-def q_on_demand_q1_memory(spark, sf):
-    """``run(spark, "q1", "memory", path)`` over staged NDJSON files
-    (strict parse, posts valid for Q1, strict Q1 on the written day)."""
-    from postscope.plans.registry import run
-
-    base = stage_lines(utc(spark), sf, "on_demand")
-    return run(spark, "q1", "memory", f"{base}/input", K)
-
-
-@register("file_arrival_answers")
+_STRICT_POSTS = f"""SELECT json_extract_string(value, '$.date') AS date,
+  struct_pack(username := json_extract_string(value, '$.user.username')) AS "user"
+FROM (SELECT value FROM ({A.EVENTS_LINES_SQL}) x WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND {_Q1_OK}) v"""
+
+
+def _emojis(content_sql: str, definition: str) -> str:
+    return f"""WITH p AS ({content_sql}),
+t AS (SELECT unnest(regexp_extract_all(content, '{EM.pattern(definition)}', 0)) AS emoji FROM p)
+SELECT emoji, count(*) AS n FROM t GROUP BY emoji ORDER BY n DESC, emoji LIMIT {K}"""
+
+
+_ON_DEMAND = {
+    ("q1", "time"): sql_q1(A.EVENTS_LENIENT_SQL, A.sql_utc_day()),
+    ("q1", "memory"): sql_q1(_STRICT_POSTS, PREFIX_DAY, strict=True),
+    ("q2", "time"): _emojis(f"SELECT content FROM ({A.EVENTS_LENIENT_SQL}) l", "property"),
+    ("q2", "memory"): _emojis(
+        f"SELECT json_extract_string(value, '$.content') AS content FROM ({A.EVENTS_LINES_SQL}) x "
+        f"WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND {_Q2_OK}", "range"),
+    ("q3", "time"): f"""WITH n AS (SELECT unnest(names) AS name FROM ({A.EVENTS_LENIENT_SQL}) l)
+SELECT lower(name) AS username, count(*) AS n FROM n WHERE name IS NOT NULL AND name <> '' GROUP BY 1 ORDER BY n DESC, username LIMIT {K}""",
+    ("q3", "memory"): f"""WITH {_OBJECTS}, n AS (SELECT unnest(json_extract_string(value, '$.mentionedUsers[*].username')) AS name FROM o WHERE {_Q3_OK})
+SELECT lower(name) AS username, count(*) AS n FROM n GROUP BY 1 ORDER BY n DESC, username LIMIT {K}""",
+}
+
+
+def _on_demand(question: str, strategy: str):
+    def q(spark, sf):
+        from postscope.plans.registry import run
+
+        base = stage_lines(spark, sf, f"on_demand_{question}_{strategy}")
+        return run(spark, question, strategy, f"{base}/input", K)
+
+    q.__doc__ = f"T2: ``run(spark, {question!r}, {strategy!r}, path)`` over staged NDJSON files."
+    return q
+
+
+for (_q, _s), _sql in _ON_DEMAND.items():
+    register(f"on_demand_{_q}_{_s}", _sql)(_on_demand(_q, _s))
+
+
+@register("run_event_q2_memory", f"""
+WITH {_OBJECTS}, lines AS (SELECT value FROM ({A.EVENTS_LINES_SQL}) x WHERE NOT regexp_full_match(value, '[ \\t\\r\\n]*')),
+p AS (SELECT json_extract_string(value, '$.content') AS content FROM o WHERE {_Q2_OK}),
+t AS (SELECT unnest(regexp_extract_all(content, '{EM.pattern("range")}', 0)) AS emoji FROM p)
+SELECT 'q2_memory_execution' AS event, 'success' AS status, 'q2' AS question,
+  CAST(least({K}, (SELECT count(DISTINCT emoji) FROM t)) AS DOUBLE) AS output_rows,
+  CAST((SELECT count(DISTINCT emoji) FROM t) AS DOUBLE) AS unique_emojis,
+  (SELECT count(*) FROM lines WHERE NOT json_valid(value)) AS malformed_json,
+  (SELECT count(*) FROM lines WHERE json_valid(value) AND json_type(value) <> 'OBJECT') AS not_an_object,
+  (SELECT count(*) FROM o WHERE NOT coalesce({_Q2_OK}, false)) AS invalid_post""")
+def q_run_event(spark, sf):
+    """O1-O3: the event row of a logged run; its counts, without the times."""
+    from postscope.plans.registry import run_logged
+
+    base = stage_lines(spark, sf, "run_event")
+    _, event = run_logged(spark, "q2", "memory", f"{base}/input", K)
+
+    def lines(reason):
+        of = F.filter("errors", lambda e: e["type"] == reason)
+        return F.coalesce(F.get(of, 0)["lines"], F.lit(0).cast("long")).alias(reason)
+
+    return event.select(
+        "event", "status", F.col("context")["question"].alias("question"), F.col("metrics")["output_rows"].alias("output_rows"),
+        F.col("metrics")["unique_emojis"].alias("unique_emojis"), *map(lines, ("malformed_json", "not_an_object", "invalid_post")))
+
+
+@register("file_arrival_answers", f"""
+WITH d AS (SELECT line_no % {A.STAGED_PARTS} AS part, {A.sql_utc_day()} AS date, {USERNAME} AS author FROM ({A.EVENTS_LENIENT_SQL}) l),
+pairs AS (SELECT part, date, author, count(*) AS n FROM d WHERE date IS NOT NULL GROUP BY ALL),
+days AS (SELECT part, date, CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) FILTER (WHERE author IS NOT NULL) AS BIGINT) AS day_total_tweets,
+         first(author ORDER BY n DESC, author) FILTER (WHERE author IS NOT NULL) AS top_user FROM pairs GROUP BY part, date),
+r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY total DESC, date DESC) AS i FROM days)
+SELECT 'part=' || CAST(part AS VARCHAR) AS folder, date, top_user, day_total_tweets FROM r WHERE i <= {K} AND day_total_tweets IS NOT NULL""")
 def q_file_arrival_answers(spark, sf):
-    """The file-arrival stream (available-now) over staged NDJSON files;
-    one Q1 answer per file, read back from the output folder."""
+    """The file-arrival stream (available-now) over staged NDJSON files in
+    sub-folders; one Q1 answer per file, read back from the output folder."""
     from postscope.streaming.arrival import read_answers, start_file_arrival
 
-    base = stage_lines(utc(spark), sf, "arrival")
-    q = start_file_arrival(spark, f"{base}/input", f"{base}/output", f"{base}/checkpoint",
-                           K, max_files_per_trigger=64)
-    # available-now ends by itself; never wait without bound
-    if not q.awaitTermination(STREAM_TIMEOUT_S):
-        q.stop()
-        raise TimeoutError(f"file-arrival stream did not finish within {STREAM_TIMEOUT_S} s")
-    return read_answers(spark, f"{base}/output")
+    base = stage_lines(spark, sf, "arrival", A.STAGED_PARTS)
+    run = uuid.uuid4().hex  # a new checkpoint, so that the staged files are new to the stream
+    q = start_file_arrival(spark, f"{base}/input", f"{base}/output-{run}", f"{base}/checkpoint-{run}", K, max_files_per_trigger=64)
+    q.awaitTermination()  # the available-now trigger ends by itself
+    folder = F.regexp_extract("source_name", r"^(.*)/[^/]*$", 1).alias("folder")
+    return read_answers(spark, f"{base}/output-{run}").select(folder, "date", "top_user", "day_total_tweets")
 
 
 _INGEST_COUNTS = f"""
@@ -81,10 +150,10 @@ SELECT status, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS mo
 FROM s GROUP BY ALL"""
 
 
-def _ingested(spark, sf) -> str:
+def _ingested(spark, sf, name: str) -> str:
     from postscope.plans.ingest import ingest_posts
 
-    base = stage_lines(utc(spark), sf, "ingest")
+    base = stage_lines(spark, sf, name)
     ingest_posts(spark, f"{base}/input", f"{base}/posts")
     return f"{base}/posts"
 
@@ -93,33 +162,52 @@ def _ingested(spark, sf) -> str:
 def q_ingest_day_counts(spark, sf):
     """S2 + S10 + S11 + S12: staged NDJSON ingested once into
     status/year/month/day Parquet; rows per partition read back."""
-    from pyspark.sql import functions as F
-
     from postscope.operators.aggregate import count_by
 
-    posts = spark.read.parquet(_ingested(spark, sf))
+    posts = spark.read.parquet(_ingested(spark, sf, "ingest"))
     return count_by(posts.select(F.col("status"), "year", "month", "day"), "status", "year", "month", "day")
 
 
-@register("top_days_top_user_ingested", sql_q1_good_lines(A.sql_utc_day()))
+_INGESTED_POSTS = f"""SELECT json_extract_string(value, '$.date') AS date,
+  struct_pack(username := json_extract_string(value, '$.user.username')) AS "user"
+FROM ({A.EVENTS_JSON_LINES_SQL}) v WHERE expected_reason IS NULL"""
+
+
+@register("top_days_top_user_ingested", sql_q1(_INGESTED_POSTS, A.sql_utc_day()))
 def q_top_days_top_user_ingested(spark, sf):
     """Q1 over the ingested layout: days from partition counts, authors read
     from the k chosen days only (dynamic partition pruning)."""
     from postscope.plans.ingest import top_days_top_user_ingested
 
-    return top_days_top_user_ingested(spark, _ingested(spark, sf), K)
+    return top_days_top_user_ingested(spark, _ingested(spark, sf, "ingest_q1"), K)
 
 
-@register("inferred_field_counts")
+@register("stored_rollup_top_days", f"""
+WITH posts AS ({A.EVENTS_POSTS_SQL}),
+c AS (SELECT {A.sql_utc_day()} AS date, count(*) AS n FROM posts WHERE {A.sql_utc_day()} IS NOT NULL GROUP BY 1)
+SELECT date, n FROM c ORDER BY n DESC, date DESC LIMIT {K}""")
+def q_stored_rollup_top_days(spark, sf):
+    """The hourly rollup stored by day, read back and re-aggregated."""
+    from postscope.functions.days import parse_ts
+    from postscope.operators import approx as X
+    from postscope.operators.aggregate import top_k
+
+    path = f"{staging(spark, 'rollup')}/hourly"
+    X.write_rollup(X.daily_rollup(events_posts(spark, sf), parse_ts("date")), path)
+    return top_k(X.roll_up_days(X.read_rollup(spark, path)), K, "n", ["date"], descending_keys=True).select("date", F.col("n").cast("long").alias("n"))
+
+
+@register("inferred_field_counts", f"""
+WITH l AS ({A.EVENTS_LENIENT_SQL}),
+x AS (SELECT value FROM ({A.EVENTS_LINES_SQL}) y WHERE NOT regexp_full_match(value, '[ \\t\\r\\n]*'))
+SELECT (SELECT count(*) FROM l) AS id, (SELECT count(date) FROM l) AS date, (SELECT count(content) FROM l) AS content""")
 def q_inferred_field_counts(spark, sf):
     """Staged NDJSON read with a schema inferred from every record; the
-    non-null values of each inferred top-level field (one row). Inference
-    widens ``user`` to a string because some lines hold ``"user": "str"``,
+    non-null values of the text fields (one row). Inference widens ``id`` and
+    ``user`` to text because some lines hold ``"id":"x"`` or ``"user":"str"``,
     which is why the fixed schema is the default."""
-    from pyspark.sql import functions as F
-
     from postscope.sources.posts import scan_posts_inferred
 
-    base = stage_lines(utc(spark), sf, "inferred")
+    base = stage_lines(spark, sf, "inferred")
     df = scan_posts_inferred(spark, f"{base}/input")
-    return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return df.agg(*[F.count(F.col(c)).alias(c) for c in ("id", "date", "content")])

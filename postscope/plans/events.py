@@ -1,152 +1,50 @@
-"""Run events (O1-O3): one structured record per run.
+"""Run events (O1-O3): one row per run of a question.
 
-A ``RunEvent`` gathers context, per-step durations, metrics and non-fatal
-errors, and ends as one row (``to_dataframe``) appended to a JSON or Parquet
-log. Row counts come from ``Observation`` metrics filled by the job that
-computes the answer, so logging adds no Spark job.
+An event is built once, at the end of a run, from plain values: wall times
+between marks, counts that ``Observation`` metrics collected during the job
+(so logging adds no Spark job), and rejected lines as typed errors that don't
+stop the run. It is stored by appending the row to a JSON or Parquet folder.
 """
 
 from __future__ import annotations
 
-import functools
-import time
-import traceback
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-EVENT_SCHEMA = T.StructType([
-    T.StructField("event", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("total_duration_ms", T.DoubleType()),
-    T.StructField("memory_usage", T.StructType([
-        T.StructField("driver_python_peak_mb", T.DoubleType()),
-        T.StructField("driver_jvm_used_mb", T.DoubleType()),
-    ])),
-    T.StructField("context", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("steps", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("errors", T.ArrayType(T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("message", T.StringType()),
-        T.StructField("details", T.MapType(T.StringType(), T.StringType())),
-    ]))),
-])
-
-
-class RunEvent:
-    def __init__(self, event: str):
-        self.event = event
-        self.status = "running"
-        self.context: dict[str, str] = {}
-        self.metrics: dict[str, float] = {}
-        self.steps: dict[str, float] = {}
-        self.errors: list[tuple[str, str, dict[str, str]]] = []
-        self._t0 = time.perf_counter()
-        self.total_ms: float | None = None
-        self.memory: tuple[float | None, float | None] = (None, None)
-
-    def add_context(self, **kv) -> None:
-        self.context.update({k: str(v) for k, v in kv.items()})
-
-    def add_metric(self, name: str, value) -> None:
-        self.metrics[name] = float(value)
-
-    def add_error(self, message: str, error_type: str = "error", **details) -> None:
-        """O3: a non-fatal error (type, message, details), kept with the event."""
-        self.errors.append((error_type, str(message), {k: str(v) for k, v in details.items()}))
-
-    @contextmanager
-    def step(self, name: str):
-        t0 = time.perf_counter()
-        try:
-            yield
-        finally:
-            self.steps[name] = round((time.perf_counter() - t0) * 1000, 4)
-
-    def observe(self, df: DataFrame, name: str, **exprs) -> tuple[DataFrame, Observation]:
-        """O2: attach metrics (e.g. ``output_rows=F.count(F.lit(1))``) to ``df``;
-        call ``collect_observation`` after the action."""
-        obs = Observation(name)
-        cols = [c.alias(k) for k, c in exprs.items()]
-        return df.observe(obs, *cols), obs
-
-    def collect_observation(self, obs: Observation) -> None:
-        for k, v in obs.get.items():
-            if v is not None:
-                self.add_metric(k, v)
-
-    def finish(self, status: str = "success", spark: SparkSession | None = None) -> None:
-        self.status = status
-        self.total_ms = round((time.perf_counter() - self._t0) * 1000, 4)
-        self.memory = (_python_peak_mb(), _jvm_used_mb(spark))
-
-    def as_row(self) -> tuple:
-        return (self.event, self.status, self.total_ms, self.memory, self.context, self.metrics,
-                self.steps, self.errors)
-
-    def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([self.as_row()], EVENT_SCHEMA)
-
-    def append(self, spark: SparkSession, path: str, fmt: str = "json") -> None:
-        self.to_dataframe(spark).write.mode("append").format(fmt).save(path)
-
-
-def canonical_run(event_name: str, log_path: str | None = None):
-    """Decorator: run ``fn(spark, ..., ctx=event)``, time it, record the
-    outcome (success or the error, re-raised) and optionally append the event."""
-
-    def deco(fn):
-        @functools.wraps(fn)
-        def wrapper(spark: SparkSession, *args, **kwargs):
-            ev = RunEvent(event_name)
-            try:
-                result = fn(spark, *args, ctx=ev, **kwargs)
-                ev.finish("success", spark)
-                return result
-            except Exception as e:
-                ev.add_error("".join(traceback.format_exception_only(type(e), e)).strip(), type(e).__name__)
-                ev.finish("error", spark)
-                raise
-            finally:
-                wrapper.last_event = ev
-                if log_path:
-                    ev.append(spark, log_path)
-
-        wrapper.last_event = None
-        return wrapper
-
-    return deco
-
-
-def _python_peak_mb() -> float | None:
-    """Peak resident memory of this (driver) Python process."""
-    try:
-        import resource
-
-        return round(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024.0, 2)
-    except Exception:  # noqa: BLE001 - not available on every platform
-        return None
-
-
-def _jvm_used_mb(spark: SparkSession | None) -> float | None:
-    """Heap in use in the driver JVM (executors report their own metrics)."""
-    if spark is None:
-        return None
-    try:
-        rt = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
-        return round((rt.totalMemory() - rt.freeMemory()) / 1048576.0, 2)
-    except Exception:  # noqa: BLE001 - e.g. no JVM gateway (Spark Connect)
-        return None
-
-
-def answer_with_event(spark: SparkSession, df: DataFrame, event: RunEvent) -> list:
-    """Collect a small answer, recording ``output_rows`` through an Observation
-    and the collect time as the ``execution_collect`` step."""
-    observed, obs = event.observe(df, f"{event.event}_metrics", output_rows=F.count(F.lit(1)))
-    with event.step("execution_collect"):
-        rows = observed.collect()
-    event.collect_observation(obs)
-    return rows
+import resource
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+EVENT_DDL = (
+    "event STRING, status STRING, total_duration_ms DOUBLE, "
+    "memory_usage STRUCT<driver_python_peak_mb: DOUBLE, driver_jvm_used_mb: DOUBLE>, "
+    "context MAP<STRING, STRING>, metrics MAP<STRING, DOUBLE>, steps MAP<STRING, DOUBLE>, "
+    "errors ARRAY<STRUCT<type: STRING, message: STRING, lines: BIGINT>>"
+)
+
+
+def driver_memory(spark: SparkSession) -> tuple[float, float | None]:
+    """Peak memory of the driver's Python process and heap in use in its JVM
+    (null without a JVM handle); executors report their own metrics."""
+    peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return round(peak, 2), None
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    return round(peak, 2), round((runtime.totalMemory() - runtime.freeMemory()) / 2**20, 2)
+
+
+def event_frame(spark: SparkSession, name: str, status: str, context: Mapping[str, object],
+                marks: Sequence[tuple[str, float]], metrics: Mapping[str, float | None] = {},
+                errors: Sequence[tuple[str, str, int | None]] = ()) -> DataFrame:
+    """The event as a one-row frame. ``marks`` are (name of the step that ends
+    there, clock in seconds); the first one only starts the clock."""
+    times = {after[0]: round((after[1] - before[1]) * 1000, 4) for before, after in zip(marks, marks[1:])}
+    row = (
+        name, status, round((marks[-1][1] - marks[0][1]) * 1000, 4), driver_memory(spark),
+        {k: str(v) for k, v in context.items()}, {k: float(v) for k, v in metrics.items() if v is not None},
+        times, [tuple(e) for e in errors],
+    )
+    return spark.createDataFrame([row], EVENT_DDL)
+
+
+def append_event(event: DataFrame, path: str, fmt: str = "json") -> None:
+    event.write.mode("append").format(fmt).save(path)

@@ -7,7 +7,8 @@ NDJSON is row-wise: every question over raw JSON tokenises every line again.
     <dest>/status=ok/year=__HIVE_DEFAULT_PARTITION__/...        valid posts without a day
     <dest>/status=rejected/...                                  dead letters (raw line + reason)
 
-in one pass with no shuffle. The questions then read only the columns they
+in one pass over the input; rows are rebalanced by day before the write, so
+files are neither tiny nor a hot day one task. The questions then read only the columns they
 need, and ``top_days_top_user_ingested`` picks the k days from partition row
 counts (no column is read) and scans only those k days for authors: the
 semi-join on the partition columns becomes dynamic partition pruning.
@@ -28,12 +29,11 @@ DAY_KEYS = ["year", "month", "day"]
 
 
 def ingest_posts(spark: SparkSession, src, dest: str, mode: str = "overwrite",
-                 files_per_day: int | None = None, exact_types: bool = False) -> Observation:
+                 files_per_day: int | None = None) -> Observation:
     """Parse ``src`` strictly and write the layout above. Returns an
     ``Observation`` with ``lines``, ``rejected`` and ``without_day`` counts,
-    filled by the same job. ``exact_types`` also rejects string fields that
-    hold other JSON types (a second parse per line)."""
-    parsed = scan_posts_strict(spark, src, exact_types=exact_types)
+    filled by the same job."""
+    parsed = scan_posts_strict(spark, src)
     ts = parse_ts(F.col("date"))
     rows = parsed.select(
         *[f.name for f in POST.fields],

@@ -80,20 +80,22 @@ def mention_discrepancy(posts: DataFrame) -> DataFrame:
 
 
 def posts_per_user(posts: DataFrame, normalize: bool = True) -> DataFrame:
-    """Posts per (normalised) author; empty and null names dropped."""
-    name = F.col("user.username")
-    p = posts.select(name.alias("raw")).where(is_present("raw"))
-    key = normalize_handle(F.col("raw")) if normalize else F.col("raw")
-    return count_by(p.select(key.alias("username")), "username")
+    """Posts per (normalised) author; empty and null names dropped. Names
+    are counted as written first, so the Python normaliser sees each distinct
+    name once, not every post."""
+    raw = count_by(posts.select(F.col("user.username").alias("username")).where(is_present("username")), "username")
+    if not normalize:
+        return raw
+    return raw.select(normalize_handle("username").alias("username"), "n").groupBy("username").agg(F.sum("n").alias("n"))
 
 
 def handle_collisions(posts: DataFrame) -> DataFrame:
     """Distinct raw names, distinct NFKC+lower names, and the difference."""
-    p = posts.select(F.col("user.username").alias("raw")).where(is_present("raw"))
-    p = p.select("raw", normalize_handle(F.col("raw")).alias("norm"))
-    return p.agg(
-        F.count_distinct("raw").alias("n_raw"),
-        F.count_distinct("norm").alias("n_normalized"),
+    p = posts.select(F.col("user.username").alias("raw")).where(is_present("raw")).distinct()
+    p = p.select(normalize_handle(F.col("raw")).alias("norm"))
+    return p.groupBy("norm").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_raw"),
+        F.count(F.lit(1)).alias("n_normalized"),
     ).withColumn("n_collisions", F.col("n_raw") - F.col("n_normalized"))
 
 
@@ -161,17 +163,19 @@ def identity_consistency(posts: DataFrame) -> DataFrame:
     """Names used by several ids, ids with several names, and
     rows per distinct name (rows include posts without a name)."""
     u = posts.select(F.col("user.id").alias("uid"), F.col("user.username").alias("name"))
-    pairs = u.where(F.col("uid").isNotNull() & F.col("name").isNotNull()).groupBy("uid", "name").agg(_n().alias("c"))
-    by_name = pairs.groupBy("name").agg(F.count(F.lit(1)).alias("ids"))
-    by_id = pairs.groupBy("uid").agg(F.count(F.lit(1)).alias("names"))
-    names_many = by_name.agg(F.count_if(F.col("ids") > 1)).scalar()
+    pairs = count_by(u, "uid", "name")
+    # count(column) skips the null side of a pair; all figures come from the pairs
+    by_name = pairs.groupBy("name").agg(F.sum("n").alias("rows"), F.count("uid").alias("ids"))
+    by_id = pairs.where(F.col("uid").isNotNull()).groupBy("uid").agg(F.count("name").alias("names"))
     ids_many = by_id.agg(F.count_if(F.col("names") > 1)).scalar()
-    return u.agg(
-        names_many.alias("names_with_many_ids"),
-        ids_many.alias("ids_with_many_names"),
-        _n().alias("n_rows"),
-        F.count_distinct("name").alias("n_distinct_names"),
-        ratio(_n(), F.count_distinct("name")).alias("rows_per_name"),
+    names = by_name.agg(
+        F.count_if(F.col("name").isNotNull() & (F.col("ids") > 1)).alias("names_with_many_ids"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"),
+        F.count("name").alias("n_distinct_names"),
+    )
+    return names.select(
+        "names_with_many_ids", ids_many.alias("ids_with_many_names"), "n_rows", "n_distinct_names",
+        ratio(F.col("n_rows"), F.col("n_distinct_names")).alias("rows_per_name"),
     )
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from postscope.functions.days import day_of, parse_ts
 from postscope.operators.aggregate import best_per_group, count_by, top_k
 from postscope.operators.extract import emoji_tokens, mentions_from_metadata
-from postscope.operators.joins import latest_value_per_key, restrict_to_keys
+from postscope.operators.joins import restrict_to_keys
 
 
 def _day_author(posts: DataFrame, day_mode: str, strict: bool, author: str, by=()) -> DataFrame:
@@ -90,13 +90,13 @@ def day_summaries(posts: DataFrame, day_mode: str = "utc", strict: bool = False,
 
 
 def top_days_top_user(posts: DataFrame, k: int = 10, day_mode: str = "utc", strict: bool = False,
-                      plan: str = "one_scan", by=(), with_counts: bool = False) -> DataFrame:
+                      plan: str = "one_scan", by=(), with_counts: bool = False, ordered: bool = True) -> DataFrame:
     """Q1. Columns ``date, top_user`` (plus ``day_total_tweets`` with
     ``with_counts``); ``by`` answers the question separately per group
-    (e.g. per input file)."""
+    (e.g. per input file). ``ordered=False`` leaves out the last sort."""
     by = list(by)
     if plan == "one_scan":
-        return answer_from_summaries(day_summaries(posts, day_mode, strict, by=by), k, by, with_counts)
+        return answer_from_summaries(day_summaries(posts, day_mode, strict, by=by), k, by, with_counts, ordered)
     if plan != "two_scan":
         raise ValueError(f"unknown plan {plan!r}; use 'one_scan' or 'two_scan'")
     if by:
@@ -111,7 +111,7 @@ def top_days_top_user(posts: DataFrame, k: int = 10, day_mode: str = "utc", stri
     return out if with_counts else out.drop("day_total_tweets")
 
 
-def answer_from_summaries(days: DataFrame, k: int = 10, by=(), with_counts: bool = False) -> DataFrame:
+def answer_from_summaries(days: DataFrame, k: int = 10, by=(), with_counts: bool = False, ordered: bool = True) -> DataFrame:
     """Q1's last steps on ``day_summaries``: the top k days by total (later
     day first on ties), days with a named author only, ordered by the named
     total then day."""
@@ -119,27 +119,36 @@ def answer_from_summaries(days: DataFrame, k: int = 10, by=(), with_counts: bool
     top = _top_days_per_group(days, k, by)
     out = top.where(F.col("day_total_tweets").isNotNull()).select(
         *by, "date", F.col("top_author").alias("top_user"), "day_total_tweets"
-    ).orderBy(*by, F.col("day_total_tweets").desc(), F.col("date").desc())
+    )
+    if ordered:
+        out = out.orderBy(*by, F.col("day_total_tweets").desc(), F.col("date").desc())
     return out if with_counts else out.drop("day_total_tweets")
 
 
 def top_days_top_user_by_id(posts: DataFrame, k: int = 10, day_mode: str = "utc") -> DataFrame:
     """Q4: Q1 keyed by the immutable ``user.id``; the name shown is the
-    author's latest (J4), so a renamed author is counted once."""
-    days = top_k(day_summaries(posts, day_mode, author="user.id"), k, "total", ["date"], descending_keys=True)
-    days = days.where(F.col("day_total_tweets").isNotNull())
-    named = posts.select(
-        F.col("user.id").alias("user_id"),
-        F.col("user.username").alias("username"),
-        parse_ts(F.col("date")).alias("ts"),
-        F.col("id"),
-    )
-    # Only the (at most k) chosen authors need a latest name: the semi-join
-    # (broadcast, k rows) keeps the aggregate and its shuffle to their posts.
-    chosen = restrict_to_keys(named, days.select(F.col("top_author").alias("user_id")), "user_id", bound=k)
-    latest = latest_value_per_key(chosen, "user_id", "username", "ts", "id", out="top_user")
+    author's latest (J4), so a renamed author is counted once.
+
+    One pass: each (day, id) group also keeps the latest name seen in it. The
+    k days and the names of the chosen ids then come from those group rows
+    (a broadcast semi-join of at most k ids), not from the posts again.
+    """
+    ts = parse_ts(F.col("date"))
+    rows = posts.select(day_of(F.col("date"), day_mode).alias("date"), F.col("user.id").alias("author"),
+                        F.col("user.username").alias("username"), F.struct(ts.alias("ts"), F.col("id").alias("id")).alias("at"))
+    named = F.when(F.col("username").isNotNull(), F.col("at"))
+    groups = rows.groupBy("date", "author").agg(
+        F.count(F.lit(1)).alias("n"), F.max(named).alias("at"), F.max_by("username", named).alias("username"))
+    key = F.when(F.col("author").isNotNull(), F.struct((-F.col("n")).alias("neg"), F.col("author").alias("a")))
+    days = groups.where(F.col("date").isNotNull()).groupBy("date").agg(
+        F.sum("n").alias("total"),
+        F.sum(F.when(F.col("author").isNotNull(), F.col("n"))).alias("day_total_tweets"),
+        F.min_by("author", key).alias("top_author"))
+    top = top_k(days, k, "total", ["date"], descending_keys=True).where(F.col("day_total_tweets").isNotNull())
+    chosen = restrict_to_keys(groups.withColumnRenamed("author", "user_id"), top.select(F.col("top_author").alias("user_id")), "user_id", bound=k)
+    latest = chosen.where(F.col("at").isNotNull()).groupBy("user_id").agg(F.max_by("username", "at").alias("top_user"))
     return (
-        days.join(latest, days["top_author"] == latest["user_id"], "left")
+        top.join(latest, top["top_author"] == latest["user_id"], "left")
         .select("date", F.col("top_author").alias("top_user_id"), "top_user")
         .orderBy(F.col("date").desc())
     )
@@ -167,12 +176,13 @@ def top_mentioned(posts: DataFrame, k: int = 10, strict: bool = False) -> DataFr
 
 def mode_parity(posts: DataFrame, k: int = 10) -> DataFrame:
     """Q5: rows where the default and strict Q1 answers differ, with the
-    side they appear on. Empty on clean data."""
-    a = top_days_top_user(posts, k, strict=False)
-    b = top_days_top_user(posts, k, strict=True)
-    return a.exceptAll(b).withColumn("side", F.lit("default_only")).unionByName(
-        b.exceptAll(a).withColumn("side", F.lit("strict_only"))
-    )
+    side they appear on. Both come from one set of day summaries: the strict
+    answer ranks days by their named posts."""
+    days = day_summaries(posts)
+    lenient = answer_from_summaries(days, k, ordered=False).withColumn("side", F.lit("default_only"))
+    strict = answer_from_summaries(days.withColumn("total", F.col("day_total_tweets")).where(F.col("total").isNotNull()), k, ordered=False)
+    both = lenient.unionByName(strict.withColumn("side", F.lit("strict_only")))  # 2 k rows at most
+    return both.groupBy("date", "top_user").agg(F.count(F.lit(1)).alias("n"), F.min("side").alias("side")).where(F.col("n") == 1).drop("n")
 
 
 def top_mentioned_approx(posts: DataFrame, k: int = 10, max_items: int = 10000) -> DataFrame:

@@ -10,15 +10,15 @@ the names are kept so existing callers can switch.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postscope.operators.aggregate import top_k
 from postscope.plans import questions as Q
-from postscope.plans.events import RunEvent
-from postscope.sources.posts import (
-    REASON_MALFORMED, REASON_NOT_OBJECT, REASON_WRONG_TYPE, scan_posts, scan_posts_strict, valid_for,
-)
+from postscope.plans.events import append_event, event_frame
+from postscope.sources.posts import REASON_INVALID, REASON_MALFORMED, REASON_NOT_OBJECT, scan_posts, scan_posts_strict
 
 QUESTIONS = {
     ("q1", "time"): lambda p, k: Q.top_days_top_user(p, k),
@@ -33,7 +33,7 @@ QUESTIONS = {
 def posts_for(spark: SparkSession, question: str, strategy: str, path) -> DataFrame:
     if strategy == "time":
         return scan_posts(spark, path)
-    return scan_posts_strict(spark, path, exact_types=True).where(valid_for(question))
+    return scan_posts_strict(spark, path, question=question).where(F.col("reject_reason").isNull())
 
 
 def run(spark: SparkSession, question: str = "q1", strategy: str = "time", path=None, k: int = 10) -> DataFrame:
@@ -69,48 +69,44 @@ def _observed(question: str, strategy: str, posts: DataFrame, k: int) -> tuple[D
 
 
 def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time", path=None,
-               k: int = 10, log_path: str | None = None) -> tuple[list, RunEvent]:
-    """O1-O3 around T2: the answer rows and one run event with context
-    (file, question, strategy), steps (plan, collect) and metrics (output
-    rows and the question's key count). Errors are recorded and re-raised."""
-    ev = RunEvent(f"{question}_{strategy}_execution")
-    ev.add_context(file_path=path, question=question, strategy=strategy)
+               k: int = 10, log_path: str | None = None) -> tuple[list, DataFrame]:
+    """O1-O3 around T2: the answer rows and the run's event (one row): context
+    (file, question, strategy), steps, metrics (output rows and the
+    question's key count) and rejected lines by reason as errors. A failure is
+    recorded as an error event and raised."""
+    marks = [("start", time.perf_counter())]
+    context = {"file_path": path, "question": question, "strategy": strategy}
+    metrics, errors, rows, failure = {}, [], [], None
     try:
         if (question, strategy) not in QUESTIONS:
             raise ValueError(f"unknown question/strategy {question!r}/{strategy!r}")
         if not path:
             raise ValueError("a file path is required")
-        with ev.step("build_query_plan"):
-            rejects = None
-            if strategy == "memory":
-                parsed = scan_posts_strict(spark, path, exact_types=True)
-                parsed, rejects = ev.observe(parsed, f"{question}_{strategy}_rejects", **{
-                    r: F.count_if(F.col("reject_reason") == F.lit(r))
-                    for r in (REASON_MALFORMED, REASON_NOT_OBJECT, REASON_WRONG_TYPE)
-                })
-                posts = parsed.where(valid_for(question))
-            else:
-                posts = scan_posts(spark, path)
-            ans, obs = _observed(question, strategy, posts, k)
-            ans, out_obs = ev.observe(ans, f"{question}_{strategy}_out", output_rows=F.count(F.lit(1)))
-        with ev.step("execution_collect"):
-            rows = ans.collect()
-        ev.collect_observation(obs)
-        ev.collect_observation(out_obs)
+        rejects = None
+        if strategy == "memory":
+            rejects = Observation(f"{question}_rejects")
+            parsed = scan_posts_strict(spark, path, question=question).observe(
+                rejects, *(F.count_if(F.col("reject_reason") == r).alias(r) for r in (REASON_MALFORMED, REASON_NOT_OBJECT, REASON_INVALID)))
+            posts = parsed.where(F.col("reject_reason").isNull())
+        else:
+            posts = scan_posts(spark, path)
+        frame, keys = _observed(question, strategy, posts, k)
+        marks.append(("build_query_plan", time.perf_counter()))
+        rows = frame.collect()
+        marks.append(("execution_collect", time.perf_counter()))
+        metrics = {**keys.get, "output_rows": len(rows)}
         if rejects is not None:
-            # O3: rejected lines are non-fatal errors of the run, by reason.
-            for reason, n in rejects.get.items():
-                if n:
-                    ev.add_error(f"{n} lines rejected", reason, lines=n)
-        ev.finish("success", spark)
-        return rows, ev
-    except Exception as e:
-        ev.add_error(str(e), type(e).__name__)
-        ev.finish("error", spark)
-        raise
-    finally:
-        if log_path:
-            ev.append(spark, log_path)
+            errors = [(reason, f"{n} lines rejected", n) for reason, n in sorted(rejects.get.items()) if n]
+    except Exception as e:  # recorded, then raised below
+        failure = e
+        errors.append((type(e).__name__, str(e), None))
+        marks.append(("failed", time.perf_counter()))
+    event = event_frame(spark, f"{question}_{strategy}_execution", "error" if failure else "success", context, marks, metrics, errors)
+    if log_path:
+        append_event(event, log_path)
+    if failure:
+        raise failure
+    return rows, event
 
 
 def answer(spark: SparkSession, question: str, strategy: str, path, k: int = 10) -> list[tuple]:

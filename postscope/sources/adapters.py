@@ -80,8 +80,14 @@ DOC_LONG_CHARS = 10000
 # Mention lists from lineitem.
 LINE_NULL_NAME, LINE_EMPTY_NAME = 7, 6
 MENTION_NULL_LIST_MOD, MENTION_EMPTY_LIST_MOD = 11, 13
-# JSON lines: broken on purpose.
-CUT_MOD, ARRAY_MOD, WRONG_TYPE_MOD = 97, 89, 83
+# JSON lines, by event_id: cut short, an array, wrong field types, a text id,
+# led by a tab, blank (tab only), text after the object, two objects, a
+# repeated key. The first that applies is used.
+CUT_MOD, ARRAY_MOD, WRONG_TYPE_MOD, TEXT_ID_MOD = 97, 89, 83, 79
+TAB_MOD, BLANK_MOD, TRAILING_MOD, TWO_MOD, REPEAT_MOD = 73, 71, 67, 61, 57
+TRAILING_TEXT = " trailing"
+# Staged input files (one folder each).
+STAGED_PARTS = 16
 # ---------------------------------------------------------------------------
 
 
@@ -89,6 +95,13 @@ def _pick(values, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + F.lit(1)).cast("int"))
 
 
+def iso_seconds(ts: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss`` of a timestamp, from its text: a timestamp
+    without zone gives the same text whatever the session zone."""
+    text = ts.cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+
+
 def name_id(user_id: Column) -> Column:
     return F.when((user_id % 25) == 24, user_id - 1).otherwise(user_id)
 
@@ -97,8 +110,8 @@ def events_posts(events: DataFrame) -> DataFrame:
     eid, uid, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     date = (
         F.when(eid % BAD_DATE_MOD == 0, F.lit(BAD_DATE_TEXT))
-        .when(eid % DATE_ONLY_MOD == 0, F.date_format(ts, "yyyy-MM-dd"))
-        .otherwise(F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), _pick(OFFSETS, eid % 4)))
+        .when(eid % DATE_ONLY_MOD == 0, F.substring(ts.cast("string"), 1, 10))
+        .otherwise(F.concat(iso_seconds(ts), _pick(OFFSETS, eid % 4)))
     )
     prefix = F.when(((uid % 10) == 3) & ((eid % 2) == 0), F.lit(WIDE_PREFIX)).otherwise(F.lit(PLAIN_PREFIX))
     username = F.when(eid % NO_NAME_MOD == 0, F.lit(None).cast("string")).otherwise(
@@ -141,7 +154,7 @@ def orders_posts(orders: DataFrame, customer: DataFrame, salt_buckets: int | Non
         j = o.join(c, "o_custkey", "left")
     return j.select(
         F.col("o_orderkey").alias("id"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("date"),
+        F.concat(iso_seconds(F.col("o_orderdate")), F.lit("+00:00")).alias("date"),
         F.lit(None).cast("string").alias("content"),
         F.when(F.col("c_custkey").isNull(), F.lit(None))
         .otherwise(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("username")))
@@ -259,23 +272,36 @@ def documents_records(documents: DataFrame) -> DataFrame:
 
 
 def events_json_lines(events: DataFrame) -> DataFrame:
-    """Events as JSON text lines (``value``), built by plain concatenation so the
-    text is byte-identical in the oracle. ``event_id % 97 = 0`` is cut short,
-    ``% 89 = 0`` is a JSON array, ``% 83 = 0`` has wrong field types."""
+    """Events as JSON text lines (``value``), built by plain concatenation so
+    the text is byte-identical in the oracle: posts with an emoji text and
+    five kinds of mention list, damaged as listed in the fixed values."""
     eid, uid = F.col("event_id"), F.col("user_id")
-    date = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), _pick(OFFSETS, eid % 4))
-    good = F.concat(
-        F.lit('{"id":'), eid.cast("string"),
-        F.lit(',"date":"'), date,
-        F.lit('","user":{"id":'), uid.cast("string"),
-        F.lit(',"username":"user_'), uid.cast("string"),
-        F.lit('"},"content":"'), F.col("event_type"),
-        F.lit('"}'),
+    num = eid.cast("string")
+    date = F.concat(iso_seconds(F.col("ts")), _pick(OFFSETS, eid % 4))
+    content = F.concat(F.lit('"content":"'), F.col("event_type"), F.lit(" "), _pick(SNIPPETS, uid % len(SNIPPETS)), F.lit('"'))
+    name = F.concat(F.lit('{"username":"User_'), (uid % 50).cast("string"), F.lit('"}'))
+    mentions = (
+        F.when(eid % 5 == 0, F.lit(""))
+        .when(eid % 5 == 1, F.lit(',"mentionedUsers":null'))
+        .when(eid % 5 == 2, F.lit(',"mentionedUsers":[]'))
+        .when(eid % 5 == 3, F.concat(F.lit(',"mentionedUsers":['), name, F.lit(',{"username":""}]')))
+        .otherwise(F.concat(F.lit(',"mentionedUsers":[{"username":null},'), name, F.lit("]")))
+    )
+    rest = F.concat(
+        F.lit(',"date":"'), date, F.lit('","user":{"id":'), uid.cast("string"), F.lit(',"username":"user_'), uid.cast("string"),
+        F.lit('"},'), content, mentions, F.lit("}"),
     )
+    good = F.concat(F.lit('{"id":'), num, rest)
     line = (
         F.when(eid % CUT_MOD == 0, F.substring(good, 1, 20))
-        .when(eid % ARRAY_MOD == 0, F.concat(F.lit("["), eid.cast("string"), F.lit("]")))
-        .when(eid % WRONG_TYPE_MOD == 0, F.concat(F.lit('{"id":'), eid.cast("string"), F.lit(',"date":5,"user":"str"}')))
+        .when(eid % ARRAY_MOD == 0, F.concat(F.lit("["), num, F.lit("]")))
+        .when(eid % WRONG_TYPE_MOD == 0, F.concat(F.lit('{"id":'), num, F.lit(',"date":5,"user":"str",'), content, F.lit("}")))
+        .when(eid % TEXT_ID_MOD == 0, F.concat(F.lit('{"id":"x"'), rest))
+        .when(eid % TAB_MOD == 0, F.concat(F.lit("\t"), good))
+        .when(eid % BLANK_MOD == 0, F.lit("\t "))
+        .when(eid % TRAILING_MOD == 0, F.concat(good, F.lit(TRAILING_TEXT)))
+        .when(eid % TWO_MOD == 0, F.concat(good, F.lit('{"id":'), num, F.lit("}")))
+        .when(eid % REPEAT_MOD == 0, F.concat(F.lit('{"id":'), num, F.lit(',"id":'), num, rest))
         .otherwise(good)
     )
     return events.select(eid.alias("line_no"), line.alias("value"))
@@ -351,20 +377,62 @@ SELECT doc_id AS id,
   lang, n_chars, source
 FROM documents"""
 
-EVENTS_JSON_LINES_SQL = f"""
+_CONTENT_SQL = f"""'"content":"' || event_type || ' ' || {sql_list(SNIPPETS)}[user_id % {_N} + 1] || '"'"""
+_NAME_SQL = """'{"username":"User_' || CAST(user_id % 50 AS VARCHAR) || '"}'"""
+#: The lines themselves: line_no, value, and ``head``, the first object of a
+#: line that starts with a whole one (what a lenient reader takes).
+EVENTS_LINES_SQL = f"""
 SELECT event_id AS line_no,
   CASE WHEN event_id % {CUT_MOD} = 0 THEN substring(good, 1, 20)
-       WHEN event_id % {ARRAY_MOD} = 0 THEN '[' || CAST(event_id AS VARCHAR) || ']'
-       WHEN event_id % {WRONG_TYPE_MOD} = 0 THEN '{{"id":' || CAST(event_id AS VARCHAR) || ',"date":5,"user":"str"}}'
-       ELSE good END AS value,
-  CASE WHEN event_id % {CUT_MOD} = 0 THEN 'malformed_json'
-       WHEN event_id % {ARRAY_MOD} = 0 THEN 'not_an_object'
-       WHEN event_id % {WRONG_TYPE_MOD} = 0 THEN 'malformed_json' END AS expected_reason
-FROM (SELECT event_id, '{{"id":' || CAST(event_id AS VARCHAR)
-        || ',"date":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || {sql_list(OFFSETS)}[event_id % 4 + 1]
-        || '","user":{{"id":' || CAST(user_id AS VARCHAR) || ',"username":"user_' || CAST(user_id AS VARCHAR)
-        || '"}},"content":"' || event_type || '"}}' AS good
-      FROM events) e"""
+       WHEN event_id % {ARRAY_MOD} = 0 THEN '[' || num || ']'
+       WHEN event_id % {WRONG_TYPE_MOD} = 0 THEN '{{"id":' || num || ',"date":5,"user":"str",' || content || '}}'
+       WHEN event_id % {TEXT_ID_MOD} = 0 THEN '{{"id":"x"' || rest
+       WHEN event_id % {TAB_MOD} = 0 THEN chr(9) || good
+       WHEN event_id % {BLANK_MOD} = 0 THEN chr(9) || ' '
+       WHEN event_id % {TRAILING_MOD} = 0 THEN good || '{TRAILING_TEXT}'
+       WHEN event_id % {TWO_MOD} = 0 THEN good || '{{"id":' || num || '}}'
+       WHEN event_id % {REPEAT_MOD} = 0 THEN '{{"id":' || num || ',"id":' || num || rest
+       ELSE good END AS value, good
+FROM (SELECT *, '{{"id":' || num || rest AS good FROM (
+  SELECT event_id, CAST(event_id AS VARCHAR) AS num, {_CONTENT_SQL} AS content,
+    ',"date":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || {sql_list(OFFSETS)}[event_id % 4 + 1]
+      || '","user":{{"id":' || CAST(user_id AS VARCHAR) || ',"username":"user_' || CAST(user_id AS VARCHAR) || '"}},'
+      || {_CONTENT_SQL}
+      || CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN ',"mentionedUsers":null' WHEN 2 THEN ',"mentionedUsers":[]'
+           WHEN 3 THEN ',"mentionedUsers":[' || {_NAME_SQL} || ',{{"username":""}}]'
+           ELSE ',"mentionedUsers":[{{"username":null}},' || {_NAME_SQL} || ']' END || '}}' AS rest
+  FROM events) e) g"""
+
+
+def _is(path: str, *kinds: str) -> str:
+    """DuckDB: the value at ``path`` is absent, null or of one of the JSON types."""
+    return f"coalesce(json_type(value, '{path}') IN ('NULL', {', '.join(repr(k) for k in kinds)}), true)"
+
+
+_ELEMENTS = "coalesce(CAST(json_extract(value, '$.mentionedUsers') AS JSON[]), [])"
+#: Judged from the text alone: every line that isn't blank, with the reason
+#: why it is no post (null for a post).
+EVENTS_JSON_LINES_SQL = f"""
+SELECT line_no, value, CASE
+    WHEN NOT json_valid(value) THEN 'malformed_json'
+    WHEN json_type(value) <> 'OBJECT' THEN 'not_an_object'
+    WHEN NOT ({_is("$.id", "BIGINT", "UBIGINT")} AND {_is("$.date", "VARCHAR")} AND {_is("$.content", "VARCHAR")}
+      AND {_is("$.user", "OBJECT")} AND {_is("$.user.id", "BIGINT", "UBIGINT")} AND {_is("$.user.username", "VARCHAR")}
+      AND {_is("$.mentionedUsers", "ARRAY")}
+      AND len(list_filter({_ELEMENTS}, lambda x: NOT coalesce(json_type(x) IN ('NULL', 'OBJECT'), true)
+            OR NOT coalesce(json_type(x, '$.username') IN ('NULL', 'VARCHAR'), true))) = 0) THEN 'wrong_type' END AS expected_reason
+FROM ({EVENTS_LINES_SQL}) x WHERE NOT regexp_full_match(value, '[ \\t\\r\\n]*')"""
+
+#: Posts a lenient reader with a fixed schema makes of the lines: the first
+#: object of each line; a field of another type reads as text.
+EVENTS_LENIENT_SQL = f"""
+SELECT json_extract_string(head, '$.date') AS date, json_extract_string(head, '$.content') AS content,
+  CASE WHEN json_type(head, '$.user') = 'OBJECT' THEN struct_pack(id := CAST(json_extract(head, '$.user.id') AS BIGINT),
+    username := json_extract_string(head, '$.user.username')) END AS "user",
+  CASE WHEN json_type(head, '$.mentionedUsers') = 'ARRAY' THEN json_extract_string(head, '$.mentionedUsers[*].username') END AS names,
+  line_no
+FROM (SELECT line_no, CASE WHEN json_valid(value) THEN value WHEN starts_with(value, good) THEN good END AS head
+      FROM ({EVENTS_LINES_SQL}) x) h WHERE json_type(head) = 'OBJECT'"""
 
 # SQL expression: UTC day of an ISO text with offset (``Z`` read as +00:00).
 SQL_UTC_DAY = (

@@ -3,26 +3,31 @@
 * ``scan_posts``: fixed-schema NDJSON scan. Malformed lines become rows of
   nulls (Spark's PERMISSIVE mode); nested column pruning means only the fields
   a question touches are materialised.
-* ``scan_posts_strict`` / ``parse_posts_strict``: every line is parsed against
-  the full schema, whatever the caller selects later, and each row carries a
+* ``scan_posts_strict`` / ``parse_posts_strict``: every line is parsed once as
+  a whole, whatever the caller selects later, and each row carries a
   ``reject_reason`` (null for a valid post). Validity is judged per question
-  (``valid_for``). Reading the lines as text first makes the reject set
-  independent of column pruning, which ``DROPMALFORMED`` is not.
+  and by exact JSON types (``valid_for``). Reading the lines as text first
+  makes the reject set independent of column pruning, which ``DROPMALFORMED``
+  is not.
 * ``scan_records``: untyped access through ``VARIANT``.
 * ``dead_letter``: the rejected lines with their reason, for a side output.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from postscope.schema import CORRUPT_COLUMN, POST, POST_DDL, REQUIRED_FIELDS
+from postscope.schema import CORRUPT_COLUMN, POST, REQUIRED_FIELDS
 
 # Reasons written to the dead-letter output.
 REASON_MALFORMED = "malformed_json"
 REASON_NOT_OBJECT = "not_an_object"
 REASON_WRONG_TYPE = "wrong_type"
+REASON_INVALID = "invalid_post"
 # Standard JSON only: Spark's reader accepts 'single-quoted' strings and
 # NaN/Infinity by default, which a JSON decoder rejects.
 JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
@@ -34,8 +39,18 @@ def scan_posts(spark: SparkSession, path, schema=POST) -> DataFrame:
 
 
 def scan_posts_inferred(spark: SparkSession, path) -> DataFrame:
-    """Schema inferred from every record (one extra pass over the input)."""
-    return spark.read.options(**JSON_OPTIONS).option("samplingRatio", 1.0).json(path)
+    """Schema inferred from every record (one extra pass over the input).
+
+    The observed types of all objects are merged by ``schema_of_variant_agg``
+    (one row); a field of several kinds reads as text. Lines that are no
+    object give rows of nulls."""
+    lines = scan_lines(spark, path).select("value")
+    v = records_from_text(lines).where(F.schema_of_variant("v").startswith("OBJECT"))
+    merged = v.agg(F.schema_of_variant_agg("v")).first()[0]
+    if merged is None:  # no record, no field
+        return lines.select()
+    ddl = re.sub(r"\b(VARIANT|VOID)\b", "STRING", merged.replace("OBJECT<", "STRUCT<"))
+    return lines.select(F.from_json("value", ddl, JSON_OPTIONS).alias("p")).select("p.*")
 
 
 def scan_lines(spark: SparkSession, path) -> DataFrame:
@@ -46,68 +61,103 @@ def scan_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def skip_blank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    return lines.where(F.trim(F.col(column)) != F.lit(""))
+    """Without lines of JSON white space only (null lines go too)."""
+    return lines.where(F.col(column).rlike(r"[^ \t\r\n]"))
 
 
-def _wrong_types(raw: Column) -> Column:
-    """True when a string field holds another JSON type (``"date": 5``),
-    which Spark's reader would otherwise coerce to text (V14)."""
-    v = F.try_parse_json(raw)
+def _type(v: Column, path: str) -> Column:
+    """JSON type at a path: STRING, BIGINT, OBJECT<...>, VOID (null), ...; null if absent."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
-    def not_text(x: Column) -> Column:
-        t = F.schema_of_variant(x)
-        return x.isNotNull() & ~F.is_variant_null(x) & (t != F.lit("STRING"))
 
-    def at(path: str) -> Column:
-        return F.try_variant_get(v, path, "variant")
-
-    mentions = F.try_variant_get(v, "$.mentionedUsers", "array<variant>")
-    bad_mention = F.exists(
-        F.coalesce(mentions, F.array().cast("array<variant>")),
-        lambda m: not_text(F.try_variant_get(m, "$.username", "variant")),
-    )
-    return not_text(at("$.date")) | not_text(at("$.content")) | not_text(at("$.user.username")) | bad_mention
+def _only(kind: Column, *names: str) -> Column:
+    """Absent, JSON null, or of a type that starts with one of the names."""
+    return kind.isNull() | (kind == "VOID") | kind.rlike("^(" + "|".join(names) + ")")
 
 
 def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str = "skip",
-                       exact_types: bool = False) -> DataFrame:
-    """S2 on a DataFrame of JSON text lines.
-
-    Output: the post columns, ``_corrupt_record`` (raw text of a rejected
-    line) and ``reject_reason``. A line is rejected when it is not valid JSON
-    or is not a JSON object, or a field has a type that cannot be read (e.g.
-    ``"user": "str"``). ``on_error="fail"`` (V12) makes the job fail on the
-    first rejected line instead; the check is a filter, so no later column
-    selection can prune it away. ``exact_types=True`` also rejects a string
-    field holding another JSON type (``wrong_type``, V14) instead of reading
-    ``5`` as ``"5"``; it parses each line a second time (as VARIANT).
+                       question: str | None = None) -> DataFrame:
+    """S2 on a DataFrame of JSON text lines, blank lines removed.
+
+    Output: the other columns, the post columns (a field of another JSON type
+    is null), ``valid`` (struct of q1, q2, q3: the typed reader of that
+    question accepts the line), ``_corrupt_record`` (raw text of a rejected
+    line) and ``reject_reason``.
+
+    Each line is parsed once, as VARIANT and within brackets: text after the
+    object or a second object then shows, and JSON white space around it is
+    ignored. ``malformed_json`` and ``not_an_object`` hold for every
+    question. With ``question`` a line that this question's reader refuses is
+    ``invalid_post``, whatever the fields it doesn't read look like; without,
+    a post field of another JSON type is ``wrong_type``. Of a repeated key the
+    last value counts (VARIANT refuses such lines; only they are parsed again,
+    with the fixed schema). ``on_error="fail"`` (V12) makes the job fail on
+    the first rejected line; the check is a filter, so no later column
+    selection can prune it away.
     """
     if on_error not in ("skip", "fail"):
         raise ValueError(f"on_error must be 'skip' or 'fail', not {on_error!r}")
+    if question is not None and question not in REQUIRED_FIELDS:
+        raise ValueError(f"unknown question {question!r}")
     raw = F.col(column)
-    parsed = F.from_json(
-        raw,
-        POST_DDL + f", {CORRUPT_COLUMN} STRING",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, **JSON_OPTIONS},
-    )
-    is_object = F.ltrim(raw).startswith("{")
-    out = lines.select(
-        "*",
-        parsed.alias("_p"),
-    )
-    reason = (
-        F.when(~is_object, F.lit(REASON_NOT_OBJECT))
-        .when(F.col(f"_p.{CORRUPT_COLUMN}").isNotNull(), F.lit(REASON_MALFORMED))
-    )
-    if exact_types:
-        reason = reason.when(_wrong_types(raw), F.lit(REASON_WRONG_TYPE))
+    boxed = F.concat(F.lit("["), raw, F.lit("]"))
+    again = F.when(F.col("_v").isNull(), F.from_json(boxed, T.ArrayType(POST), JSON_OPTIONS))
+    base = lines.withColumn("_v", F.try_parse_json(boxed)).withColumn("_again", again)
+    one = F.when(F.try_variant_get("_v", "$[1]", "variant").isNull(), F.try_variant_get("_v", "$[0]", "variant"))
+    twice = F.when((F.size("_again") == 1) & raw.rlike(r"^[ \t\r\n]*\{"), F.col("_again")[0])
+    base = base.select(*lines.columns, one.alias("_o"), twice.alias("_p"))
+    v = F.col("_o")
+    kinds = {n: _type(v, p) for n, p in (
+        ("id", "$.id"), ("date", "$.date"), ("content", "$.content"), ("user", "$.user"),
+        ("uid", "$.user.id"), ("username", "$.user.username"), ("mentions", "$.mentionedUsers"))}
+    base = base.withColumns({"_root": F.schema_of_variant(v), **{f"_t_{n}": k for n, k in kinds.items()},
+                             "_m": F.try_variant_get(v, "$.mentionedUsers", "array<variant>")})
+    k = {n: F.col(f"_t_{n}") for n in kinds}
+    names = F.transform("_m", lambda m: F.struct(
+        F.schema_of_variant(m).alias("e"), F.schema_of_variant(F.try_variant_get(m, "$.username", "variant")).alias("t"),
+        F.try_variant_get(m, "$.username", "string").alias("username")))
+    base = base.withColumn("_names", names)
+
+    def text(kind: Column, path: str) -> Column:
+        return F.when(kind == "STRING", F.try_variant_get(v, path, "string"))
+
+    def number(kind: Column, path: str) -> Column:
+        return F.when(kind == "BIGINT", F.try_variant_get(v, path, "bigint"))
+
+    user = F.when(k["user"].startswith("OBJECT"), F.struct(
+        number(k["uid"], "$.user.id").alias("id"), text(k["username"], "$.user.username").alias("username")))
+    mentioned = F.transform("_names", lambda m: F.struct(F.when(m["t"] == "STRING", m["username"]).alias("username")))
+    typed = {"id": number(k["id"], "$.id"), "date": text(k["date"], "$.date"), "content": text(k["content"], "$.content"),
+             "user": user, "mentionedUsers": mentioned}
+    second = F.col("_p").isNotNull()
+    posts = {f.name: F.when(second, F.col(f"_p.{f.name}")).otherwise(typed[f.name].cast(f.dataType)) for f in POST.fields}
+    is_post = second | F.coalesce(F.col("_root").startswith("OBJECT"), F.lit(False))
+    listed = F.coalesce(F.forall("_names", lambda m: F.coalesce(m["t"] == "STRING", F.lit(False))), F.lit(False))
+    # the fixed schema can't tell an absent list from a null one: a repeated key's line counts for q3 either way
+    again_listed = F.coalesce(F.forall("_p.mentionedUsers", lambda m: m["username"].isNotNull()), F.lit(True))
+    ok = {
+        "q1": F.when(second, F.col("_p.date").isNotNull() & F.col("_p.user.username").isNotNull()).otherwise(
+            (k["date"] == "STRING") & (k["username"] == "STRING")),
+        "q2": F.when(second, F.col("_p.content").isNotNull()).otherwise(k["content"] == "STRING"),
+        "q3": F.when(second, again_listed).otherwise((k["mentions"] == "VOID") | (k["mentions"].startswith("ARRAY") & listed)),
+    }
+    valid = F.struct(*((is_post & F.coalesce(c, F.lit(False))).alias(q) for q, c in ok.items()))
+    # an element is an object with a text or null name, or null
+    elements = F.coalesce(F.forall("_names", lambda m: _only(m["e"], "OBJECT") & _only(m["t"], "STRING")), F.lit(True))
+    right = second | (
+        _only(k["id"], "BIGINT$") & _only(k["date"], "STRING") & _only(k["content"], "STRING") & _only(k["user"], "OBJECT")
+        & _only(k["uid"], "BIGINT$") & _only(k["username"], "STRING") & _only(k["mentions"], "ARRAY") & elements)
+    # a single value that is no object, or an array: JSON, but no post
+    reason = (F.when(~is_post & F.col("_root").isNotNull(), F.lit(REASON_NOT_OBJECT))
+              .when(~is_post, F.lit(REASON_MALFORMED)))
+    if question is None:
+        reason = reason.when(~right, F.lit(REASON_WRONG_TYPE))
+    else:
+        reason = reason.when(~F.coalesce(ok[question], F.lit(False)), F.lit(REASON_INVALID))
     cols = [c for c in lines.columns if c != column]
-    res = out.select(
-        *cols,
-        *[F.col(f"_p.{f.name}").alias(f.name) for f in POST.fields],
-        F.when(reason.isNotNull(), raw).alias(CORRUPT_COLUMN),
-        reason.alias("reject_reason"),
-    )
+    res = base.select(*cols, raw.alias("_raw"), *(c.alias(n) for n, c in posts.items()), valid.alias("valid"), reason.alias("reject_reason"))
+    res = skip_blank_lines(res, "_raw").select(
+        *cols, *posts, "valid", F.when(F.col("reject_reason").isNotNull(), F.col("_raw")).alias(CORRUPT_COLUMN), "reject_reason")
     if on_error == "fail":
         res = res.where(
             F.when(
@@ -118,28 +168,18 @@ def parse_posts_strict(lines: DataFrame, column: str = "value", on_error: str =
     return res
 
 
-def scan_posts_strict(spark: SparkSession, path, on_error: str = "skip", exact_types: bool = False) -> DataFrame:
+def scan_posts_strict(spark: SparkSession, path, on_error: str = "skip", question: str | None = None) -> DataFrame:
     """Text lines -> typed posts with a reject reason per line."""
-    return parse_posts_strict(scan_lines(spark, path), on_error=on_error, exact_types=exact_types)
+    return parse_posts_strict(scan_lines(spark, path), on_error=on_error, question=question)
 
 
 def valid_for(question: str) -> Column:
-    """Per-question validity of a strictly parsed post.
-
-    q1 needs ``date`` and ``user.username``; q2 needs ``content``; q3 needs the
-    ``mentionedUsers`` list (it may be null) with no element missing its name.
-    """
+    """Per-question validity of a strictly parsed line (V13): q1 needs
+    ``date`` and ``user.username``; q2 ``content``; q3 the ``mentionedUsers``
+    key (null allowed) with no element missing its name, each as text."""
     if question not in REQUIRED_FIELDS:
         raise ValueError(f"unknown question {question!r}")
-    ok = F.col("reject_reason").isNull()
-    for field in REQUIRED_FIELDS[question]:
-        if field == "mentionedUsers":
-            ok = ok & F.coalesce(
-                ~F.exists(F.col(field), lambda m: m.getField("username").isNull()), F.lit(True)
-            )
-        else:
-            ok = ok & F.col(field).isNotNull()
-    return ok
+    return F.col(f"valid.{question}")
 
 
 def dead_letter(parsed: DataFrame, keep=("source_file",)) -> DataFrame:
@@ -156,32 +196,45 @@ def scan_records(spark: SparkSession, path) -> DataFrame:
 
 
 def records_from_text(lines: DataFrame, column: str = "value") -> DataFrame:
-    return lines.select(F.try_parse_json(F.col(column)).alias("v")).where(F.col("v").isNotNull())
+    """One ``VARIANT`` per line that is a single JSON value. The line is parsed
+    within brackets, so text after the value shows. VARIANT has no repeated
+    keys: a line with one is no record (S2 reads it)."""
+    boxed = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
+    one = F.when(F.try_variant_get("b", "$[1]", "variant").isNull(), F.try_variant_get("b", "$[0]", "variant"))
+    return lines.select(boxed.alias("b")).select(one.alias("v")).where(F.col("v").isNotNull())
 
 
 def write_result_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a result as JSON lines (one small file per result)."""
-    df.coalesce(1).write.mode(mode).json(path)
+    """Write a result as JSON lines (a top-k answer is one file)."""
+    df.write.mode(mode).json(path)
 
 
 def output_path_for(input_col: Column) -> Column:
-    """``.../input/x.json`` -> ``.../output/x.json``; else ``output/<basename>``."""
-    base = F.regexp_extract(input_col, r"([^/]+)$", 1)
-    return F.when(
-        input_col.contains("/input/"),
-        F.regexp_replace(input_col, "/input/", "/output/"),
-    ).otherwise(F.concat(F.lit("output/"), base))
+    """Where the answer of an input goes. Within the same store (scheme
+    and bucket) ``input/`` becomes ``output/`` and sub-folders stay; a name
+    without ``input/`` goes to ``output/<basename>``."""
+    store = F.regexp_extract(input_col, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*/)", 1)
+    name = F.substring(input_col, F.length(store) + 1, F.length(input_col))
+    moved = F.replace(name, F.lit("input/"), F.lit("output/"))
+    base = F.concat(F.lit("output/"), F.regexp_extract(name, r"([^/]*)$", 1))
+    return F.concat(store, F.when(moved == name, base).otherwise(moved))
 
 
 def result_to_json(df: DataFrame) -> DataFrame:
-    """Each row as a JSON array text; dates become ISO ``yyyy-MM-dd``."""
-    cols = []
+    """Each row as a JSON array text; numbers stay numbers, dates become
+    ISO text, missing values ``null``."""
+    cells = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if f.dataType.simpleString() == "date":
+        kind = f.dataType.simpleString()
+        if kind == "date":
             c = F.date_format(c, "yyyy-MM-dd")
-        cols.append(c)
-    return df.select(F.to_json(F.array(*[c.cast("string") for c in cols])).alias("json"))
+        elif kind.startswith("timestamp"):
+            c = F.replace(c.cast("string"), F.lit(" "), F.lit("T"))
+        # the one element of a JSON array text, without the brackets
+        text = F.to_json(F.array(c))
+        cells.append(F.when(c.isNull(), F.lit("null")).otherwise(F.substring(text, F.lit(2), F.length(text) - 2)))
+    return df.select(F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]")).alias("json"))
 
 
 def to_columnar(df: DataFrame, path: str, columns=None, mode: str = "overwrite") -> None:
@@ -207,12 +260,11 @@ def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwri
     """Write with physical ``year/month/day`` folders; filters and joins
     on them prune files (static and dynamic partition pruning).
 
-    By default nothing is shuffled: the writer sorts each task's rows by the
-    partition columns and writes one file per day the task holds, so no day,
-    however large, is funnelled into one task. ``files_per_day`` instead
-    shuffles rows to (day, salt) with a deterministic row-hash salt, giving
-    about that many files per day; a hot day is still spread over that many
-    tasks and a retried task sees the same rows.
+    Rows are rebalanced on the partition columns (the ``REBALANCE`` hint):
+    small days share a task, so unsorted input doesn't give a file per task
+    and day, and a day larger than the advisory partition size is split over
+    several tasks. ``files_per_day`` instead shuffles rows to (day, salt) with
+    a deterministic row-hash salt, giving about that many files per day.
     """
     out = with_day_columns(df, day)
     if not keep_null_days:
@@ -221,23 +273,11 @@ def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwri
     if files_per_day:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
         out = out.repartition(*[F.col(c) for c in parts], salt)
+    else:
+        out = out.hint("rebalance", *[F.col(c) for c in parts])
     out.write.mode(mode).partitionBy(*parts).parquet(path)
 
 
-def spread_small(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that has fewer splits than the session can run at
-    once (one small file, one row group) round-robin over that many
-    partitions, so the per-row work after it (date parsing, regex
-    extraction) uses every core. An input with enough splits (any large
-    input) is returned unchanged: no shuffle is added at scale."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def scan_lines_partitioned(spark: SparkSession, path, partitions: int) -> DataFrame:
     """The input split into a given number of partitions of lines."""
     return scan_lines(spark, path).repartition(partitions)

@@ -72,10 +72,10 @@ def test_strip_and_year(spark):
     assert one(spark, days.year_of, "nope") is None
 
 
-def test_clear_plans(spark):
+def test_queries_see_files_added_later(spark, tmp_path):
     from postscope.plans import catalog
 
-    a = catalog.events_posts(spark, "/root/testdata/sf0.001")
-    assert catalog.events_posts(spark, "/root/testdata/sf0.001") is a
-    catalog.clear_plans()
-    assert catalog.events_posts(spark, "/root/testdata/sf0.001") is not a
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for n in (50, 100):
+        rows.limit(50).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+        assert catalog.QUERIES["integrity_counters"](spark, str(tmp_path)).first().n_posts == n

@@ -104,8 +104,6 @@ def model_emoji(texts, definition):
         for tok in pyre.findall(py(E.pattern(definition)), t):
             if definition == "run" and pyre.fullmatch(py(E.ZWJ) + "+", tok):
                 continue
-            if definition == "grapheme" and not pyre.search(py(E.GRAPHEME_KEEP), tok):
-                continue
             c[tok] += 1
     return sorted(c.items())
 

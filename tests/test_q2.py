@@ -24,7 +24,7 @@ CASES = [
     (TONE, 1, 2, 2, 1, 1),
     (HEARTS, 2, 1, 2, 2, 2),
     (FLAG, 1, 1, 0, 0, 1),
-    (LONE_RI + " x", 1, 0, 0, 0, 1),
+    (LONE_RI + " x", 1, 0, 0, 0, 0),
     (NEW, 1, 0, 0, 1, 1),
     (INDIC, 0, 0, 0, 0, 0),
     ("\u00a9 5 #", 1, 0, 0, 0, 1),
@@ -63,3 +63,24 @@ def test_tie_smaller_key_first(posts_df):
 def test_empty_and_null_content(posts_df):
     assert top_emojis(posts_df([]), 10).collect() == []
     assert top_emojis(posts_df([post(date="2021-01-01")]), 10).collect() == []
+
+
+def test_grapheme_takes_emoji_only(posts_df):
+    assert toks(posts_df, "\u2605 \u2710 a\u20e3 \U0001F1EE", "grapheme") == []
+    england = "\U0001F3F4\U000E0067\U000E0062\U000E0065\U000E006E\U000E0067\U000E007F"
+    assert toks(posts_df, f"{england}7\ufe0f\u20e3", "grapheme") == [england, "7\ufe0f\u20e3"]
+
+
+def test_emoji_ranges_are_the_unicode_property():
+    import regex
+
+    from postscope.functions import emoji as E
+
+    listed = set()
+    for item in E.EMOJI_RANGES.split():
+        low, _, high = item.partition("-")
+        listed |= set(range(int(low, 16), int(high or low, 16) + 1))
+    apart = {*map(ord, "0123456789#*"), *range(0x1F1E6, 0x1F200)}
+    emoji = regex.compile(r"\p{Emoji}")
+    known = {i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and emoji.match(chr(i))} - apart
+    assert listed <= known and len(known - listed) <= 20  # a later Unicode version may know some more

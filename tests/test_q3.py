@@ -6,22 +6,19 @@ def got(df, **kw):
     return [(r.username, r.n) for r in top_mentioned(df, 10, **kw).collect()]
 
 
-def test_happy_path(posts_df):
-    df = posts_df([post(mentions=["UserA", "userb"]), post(mentions=["UserA"])])
-    assert got(df) == [("usera", 2), ("userb", 1)]
+def test_counts_every_mention_and_folds_case(posts_df):
+    df = posts_df([post(mentions=["Nadia", "OMAR", "nadia"]), post(mentions=["NADIA"]), post(mentions=["omar", "zoe"])])
+    assert got(df) == [("nadia", 3), ("omar", 2), ("zoe", 1)]
 
 
-def test_case_folded(posts_df):
-    assert got(posts_df([post(mentions=["LATAM", "latam"])])) == [("latam", 2)]
-
-
-def test_null_and_empty(posts_df):
-    df = posts_df([post(mentions="null"), post(mentions=[]), post(mentions=["", None])])
+def test_posts_without_names(posts_df):
+    df = posts_df([post(mentions=[None, ""]), post(mentions=[]), post(mentions="null"), post()])
     assert got(df) == []
 
 
-def test_tie(posts_df):
-    assert got(posts_df([post(mentions=["userB", "userA"])])) == [("usera", 1), ("userb", 1)]
+def test_equal_counts_in_name_order(posts_df):
+    df = posts_df([post(mentions=["Wren", "abel"]), post(mentions=["mia"])])
+    assert got(df) == [("abel", 1), ("mia", 1), ("wren", 1)]
 
 
 def test_null_inside_list_v10(posts_df):

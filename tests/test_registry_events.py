@@ -1,9 +1,8 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import post
 from postscope.plans import registry
-from postscope.plans.events import RunEvent, answer_with_event, canonical_run
+from postscope.plans.events import append_event, event_frame
 
 
 def test_run_time_and_memory(spark, write_posts):
@@ -25,33 +24,24 @@ def test_unknown_and_missing(spark):
         registry.run(spark, "q1", "time", None)
 
 
-def test_run_event(spark, tmp_path):
-    @canonical_run("q_test", log_path=str(tmp_path / "log"))
-    def job(spark, ctx=None):
-        ctx.add_context(file_path="mem")
-        df = spark.range(5).select(F.col("id"))
-        rows = answer_with_event(spark, df, ctx)
-        ctx.add_error("minor", "data_warning", rows=3)
-        return rows
+def test_event_row(spark, tmp_path):
+    event = event_frame(spark, "job", "success", {"file_path": "mem", "k": 3}, [("start", 1.0), ("plan", 1.5), ("collect", 3.5)],
+                        {"output_rows": 5, "missing": None}, [("bad_line", "3 lines", 3)])
+    append_event(event, str(tmp_path / "log"))
+    append_event(event, str(tmp_path / "log"))
+    row = event.first()
+    assert (row.event, row.status, row.total_duration_ms) == ("job", "success", 2500.0)
+    assert row.steps == {"plan": 500.0, "collect": 2000.0} and row.metrics == {"output_rows": 5.0}
+    assert row.context == {"file_path": "mem", "k": "3"} and tuple(row.errors[0]) == ("bad_line", "3 lines", 3)
+    assert row.memory_usage.driver_python_peak_mb > 0 and row.memory_usage.driver_jvm_used_mb > 0
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
 
-    assert len(job(spark)) == 5
-    ev = job.last_event
-    assert ev.status == "success" and ev.metrics["output_rows"] == 5.0
-    assert "execution_collect" in ev.steps and ev.errors == [("data_warning", "minor", {"rows": "3"})]
-    assert ev.memory[0] > 0 and ev.memory[1] > 0
-    back = spark.read.json(str(tmp_path / "log")).collect()[0]
-    assert back.event == "q_test" and back.status == "success"
 
-
-def test_run_event_error(spark):
-    @canonical_run("boom")
-    def bad(spark, ctx=None):
-        raise RuntimeError("x")
-
-    with pytest.raises(RuntimeError):
-        bad(spark)
-    assert bad.last_event.status == "error" and bad.last_event.errors[0][0] == "RuntimeError"
-    assert RunEvent("e").to_dataframe(spark).count() == 1
+def test_failed_run_is_logged_and_raised(spark, tmp_path):
+    with pytest.raises(ValueError):
+        registry.run_logged(spark, "q7", "time", "/x", log_path=str(tmp_path / "log"))
+    row = spark.read.json(str(tmp_path / "log")).first()
+    assert row.status == "error" and row.errors[0]["type"] == "ValueError"
 
 
 def test_run_logged_metrics(spark, write_posts, tmp_path):
@@ -60,13 +50,13 @@ def test_run_logged_metrics(spark, write_posts, tmp_path):
         post("2021-02-13T11:00:00Z", "b", "\u2708\ufe0f", mentions=["x"]),
     ])
     rows, ev = registry.run_logged(spark, "q1", "time", p, log_path=str(tmp_path / "log"))
-    assert len(rows) == 2 and ev.metrics == {"total_dates": 2.0, "output_rows": 2.0}
+    assert len(rows) == 2 and ev.first().metrics == {"total_dates": 2.0, "output_rows": 2.0}
     assert [tuple(r) for r in rows] == [tuple(r) for r in registry.run(spark, "q1", "time", p).collect()]
     _, ev2 = registry.run_logged(spark, "q2", "time", p)
-    assert ev2.metrics["unique_emojis"] == 2.0
+    assert ev2.first().metrics["unique_emojis"] == 2.0
     _, ev3 = registry.run_logged(spark, "q3", "memory", p)
-    assert ev3.metrics["unique_mentions"] == 2.0
-    assert set(ev3.steps) == {"build_query_plan", "execution_collect"}
+    assert ev3.first().metrics["unique_mentions"] == 2.0
+    assert set(ev3.first().steps) == {"build_query_plan", "execution_collect"}
     with pytest.raises(ValueError):
         registry.run_logged(spark, "q7", "time", p)
     assert spark.read.json(str(tmp_path / "log")).count() == 1
@@ -84,7 +74,7 @@ def test_run_logged_reports_rejects(spark, write_posts):
     p = write_posts([post("2021-02-12T10:00:00Z", "a", mentions=["x"]), '{"date": "2021', "[1]"])
     rows, ev = registry.run_logged(spark, "q3", "memory", p)
     assert [(r.username, r.n) for r in rows] == [("x", 1)]
-    assert sorted((t, d["lines"]) for t, _, d in ev.errors) == [("malformed_json", "1"), ("not_an_object", "1")]
+    assert sorted((e.type, e.lines) for e in ev.first().errors) == [("malformed_json", 1), ("not_an_object", 1)]
 
 
 def test_command_line(spark, write_posts, capsys):
@@ -110,4 +100,13 @@ def test_memory_strategy_rejects_wrong_types(spark, write_posts):
     p = write_posts([post("2021-02-12T10:00:00Z", "a"), '{"date": "2021-02-13T10:00:00Z", "user": {"username": 5}}'])
     assert len(registry.run(spark, "q1", "time", p).collect()) == 2
     rows, ev = registry.run_logged(spark, "q1", "memory", p)
-    assert len(rows) == 1 and [t for t, _, _ in ev.errors] == ["wrong_type"]
+    assert len(rows) == 1 and [e.type for e in ev.first().errors] == ["invalid_post"]
+
+
+def test_strict_lines_judged_per_question(spark, write_posts):
+    e = "\U0001F600"
+    p = write_posts([
+        '{"content":"%s"}' % e, '{"date":5,"content":"%s"}' % e, '{"user":"str","content":"%s"}' % e, '{"id":"x","content":"%s"}' % e,
+        '\t{"content":"%s"}' % e, '{"content":"%s"} trailing' % e, "\t ", '{"content":"%s"}{"content":"%s"}' % (e, e),
+    ])
+    assert [tuple(r) for r in registry.run(spark, "q2", "memory", p).collect()] == [(e, 5)]

@@ -103,6 +103,11 @@ def test_salted_join_equals_plain_join(spark):
         i.alias("row"), F.when(i % 3 == 0, F.lit(7)).otherwise(i % 500).cast("long").alias("k"))
     right = spark.range(0, 500, 1, 2).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
     assert hot_keys(left, "k", 0.1) == [7]
+    many = spark.range(0, 15000).select((F.col("id") % 150).alias("k"))
+    assert len(hot_keys(many, "k", 1 / 150)) == 150  # no more than 1 / share keys can be hot, and all are found
+    nulls = spark.range(0, 1000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
+    parts = salted_join(nulls.withColumn("r", F.monotonically_increasing_id()), right, "k", "left", buckets=8)
+    assert parts.count() == 1000
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = left.join(right.where("k % 10 <> 3"), "k", how)
         salted = salted_join(left, right.where("k % 10 <> 3"), "k", how, buckets=8)

@@ -36,7 +36,7 @@ def test_null_values(spark, write_posts):
 
 
 def test_blank_lines_skipped(spark, write_posts):
-    p = write_posts([post("2021-02-12", "a"), "", "   ", post("2021-02-13", "b")])
+    p = write_posts([post("2021-02-12", "a"), "", "   ", "\t", post("2021-02-13", "b")])
     assert S.scan_posts_strict(spark, p).count() == 2
 
 
@@ -47,7 +47,7 @@ def test_malformed_rejected_whatever_is_selected_h1(spark, write_posts):
     assert parsed.where("reject_reason is not null").select("date").count() == 3
     assert parsed.where(S.valid_for("q1")).select(F.col("user.username")).collect()[0][0] == "ok"
     reasons = sorted(r.reject_reason for r in parsed.where("reject_reason is not null").collect())
-    assert reasons == ["malformed_json", "malformed_json", "not_an_object"]
+    assert reasons == ["malformed_json", "not_an_object", "wrong_type"]
 
 
 def test_validity_per_question_v13(spark, write_posts):
@@ -66,11 +66,12 @@ def test_records_variant(spark, write_posts):
 
 
 def test_result_to_json_and_output_path(spark):
-    df = spark.createDataFrame([(dt.date(2021, 2, 12), "u")], "date date, top_user string")
-    assert S.result_to_json(df).collect()[0].json == '["2021-02-12","u"]'
-    paths = spark.createDataFrame([("b/input/x.json",), ("b/y.json",)], "p string")
-    got = [r[0] for r in paths.select(S.output_path_for(F.col("p"))).collect()]
-    assert got == ["b/output/x.json", "output/y.json"]
+    df = spark.createDataFrame([(dt.date(2021, 2, 12), 'u"\\', 7, None, 1.5)], "date date, top_user string, n long, m long, x double")
+    assert S.result_to_json(df).collect()[0].json == '["2021-02-12","u\\"\\\\",7,null,1.5]'
+    paths = {"b/input/x.json": "b/output/x.json", "input/sub/x.json": "output/sub/x.json", "b/y.json": "output/y.json",
+             "gs://b/data/x.json": "gs://b/output/x.json", "gs://b/input/a/x.json": "gs://b/output/a/x.json"}
+    df = spark.createDataFrame([(k,) for k in paths], "p string")
+    assert {r.p: r.o for r in df.select("p", S.output_path_for(F.col("p")).alias("o")).collect()} == paths
 
 
 def test_columnar_and_partition_pruning(spark, write_posts, tmp_path):
@@ -103,13 +104,6 @@ def test_on_error_fail_v12(spark, write_posts):
     assert S.scan_posts_strict(spark, ok, on_error="fail").count() == 1
 
 
-def test_spread_small_only_spreads_narrow_inputs(spark):
-    narrow = spark.range(0, 1000, 1, 1)
-    wide = spark.range(0, 1000, 1, 64)
-    assert S.spread_small(narrow, 8).rdd.getNumPartitions() == 8
-    assert S.spread_small(wide, 8) is wide
-
-
 def test_standard_json_only(spark, write_posts):
     p = write_posts(["{'date': '2021-02-12T10:00:00Z', 'user': {'username': 'a'}}", '{"id": NaN}',
                      post("2021-02-12T10:00:00Z", "b")])
@@ -126,8 +120,34 @@ def test_exact_types_v14(spark, write_posts):
         '{"date": "2021-02-12T10:00:00Z", "mentionedUsers": [{"username": "x"}, {"username": 3}]}',
         '{"date": "2021-02-12T10:00:00Z", "content": null, "user": {"username": "ok"}, "mentionedUsers": null}',
     ])
-    lenient = S.scan_posts_strict(spark, p).collect()
-    assert [r.reject_reason for r in lenient] == [None, None, None, None]
-    assert lenient[0].date == "5"
-    exact = S.scan_posts_strict(spark, p, exact_types=True).collect()
-    assert [r.reject_reason for r in exact] == ["wrong_type", "wrong_type", "wrong_type", None]
+    rows = S.scan_posts_strict(spark, p).collect()
+    assert [r.reject_reason for r in rows] == ["wrong_type", "wrong_type", "wrong_type", None]
+    assert rows[0].date is None and rows[0].user.username == "a"
+    assert [tuple(r.valid) for r in rows] == [(False, False, False), (False, False, False), (False, False, False), (True, False, True)]
+
+
+def test_repeated_key_takes_the_last_value(spark, write_posts):
+    p = write_posts(['{"id": 1, "id": 2, "content": "a", "content": "b"}'])
+    row = S.scan_posts_strict(spark, p).first()
+    assert (row.id, row.content, row.reject_reason, row.valid.q2, row.valid.q1) == (2, "b", None, True, False)
+
+
+def test_trailing_text_is_no_record(spark, write_posts):
+    p = write_posts(['{"x": 1} more', '{"x": 1}{"x": 2}', '{"x": 1},{"x": 2}', ' {"x": 3} '])
+    assert [r[0] for r in S.scan_records(spark, p).select(F.variant_get("v", "$.x", "int")).collect()] == [3]
+
+
+def test_partition_by_day_bounds_files_and_splits_hot_days(spark, tmp_path):
+    df = spark.range(0, 60000, 1, 16).select(
+        "id", F.date_add(F.lit("2021-01-01").cast("date"), F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 20).cast("int")).alias("d"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64k")
+        S.partition_by_day(df, F.col("d"), str(tmp_path / "days"))
+    finally:
+        spark.conf.set(key, old)
+    back = spark.read.parquet(str(tmp_path / "days")).select("*", "_metadata.file_path")
+    files = {tuple(r)[:3]: r.n for r in back.groupBy("year", "month", "day").agg(F.count_distinct("file_path").alias("n")).collect()}
+    assert back.count() == 60000 and len(files) == 20
+    assert max(files.values()) > 1 and sum(files.values()) < 16 * 20 / 2

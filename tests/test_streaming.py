@@ -34,3 +34,18 @@ def test_two_files_then_rerun_then_third(spark, tmp_path):
     assert sum(p["numInputRows"] for p in q3.recentProgress) == 1
     names = sorted({r.source_name for r in read_answers(spark, out).collect()})
     assert names == ["a.json", "b.json", "c.json"]
+
+
+def test_sub_folders_and_empty_files(spark, tmp_path):
+    inp, out, ck = (str(tmp_path / x) for x in ("in put", "output", "ck"))
+    for d in ("a", "b"):
+        os.makedirs(f"{inp}/{d}")
+        _write(f"{inp}/{d}/x.json", [post("2021-02-12T10:00:00Z", f"user-{d}")])
+    with open(f"{inp}/none.json", "w") as f:
+        f.write("\n")
+    _write(f"{inp}/nobody.json", [post("2021-02-12T10:00:00Z")])
+    start_file_arrival(spark, inp, out, ck, max_files_per_trigger=3).awaitTermination()
+    got = sorted((r.source_name, r.top_user) for r in read_answers(spark, out).collect())
+    assert got == [("a/x.json", "user-a"), ("b/x.json", "user-b")]
+    every = {r.source_name for r in read_answers(spark, out, empty=True).collect()}
+    assert every == {"a/x.json", "b/x.json", "none.json", "nobody.json"}
