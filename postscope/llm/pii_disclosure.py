@@ -19,7 +19,8 @@ Null text reads as empty. Spans are code points, end exclusive. Rows are
 addressed by a hash of (doc_id, text): null ids are fine, rows that repeat both
 are alike and count once in the estimates. Entities without a term that
 reaches the threshold add nothing. Other columns are ignored by ``find``,
-whatever their names, and kept by ``sanitise``.
+whatever their names, and kept by ``sanitise`` (``__rid`` and ``__found`` are
+reserved there).
 """
 
 from __future__ import annotations
@@ -191,9 +192,9 @@ def find(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -
 def sanitise(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """Every column of ``docs``, with the text sanitised: of spans that overlap
     the first in order of start (then the longest) is replaced."""
-    found = find(docs, settings, text).select("rid", "found").dropDuplicates(["rid"])
+    found = find(docs, settings, text).select(F.col("rid").alias("__rid"), F.col("found").alias("__found")).dropDuplicates(["__rid"])
     t = F.coalesce(F.col(text), F.lit(""))
-    order = F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind"), s["only"].alias("only"))))
+    order = F.array_sort(F.transform("__found", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind"), s["only"].alias("only"))))
     state = "struct<at:bigint,out:string>"
 
     def step(acc, s):
@@ -205,5 +206,5 @@ def sanitise(docs: DataFrame, settings: Settings = Settings(), text: str = "text
     done = F.aggregate(order, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")).cast(state), step,
                        lambda acc: F.concat(acc["out"], F.substring(t, (acc["at"] + 1).cast("int"), F.length(t))))
     keyed = docs.withColumn("__rid", F.xxhash64(F.col("doc_id").cast("string"), t))
-    clean = F.when(F.size("found") > 0, done).otherwise(F.col(text))
-    return keyed.join(found, keyed["__rid"] == found["rid"], "left").withColumn(text, clean).select(*docs.columns)
+    clean = F.when(F.size("__found") > 0, done).otherwise(F.col(text))
+    return keyed.join(found, "__rid", "left").withColumn(text, clean).select(*docs.columns)

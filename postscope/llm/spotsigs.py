@@ -115,7 +115,7 @@ def fingerprints(docs: DataFrame, settings: Settings = Settings(), text: str = "
         columns = [pa.array(list(map(fingerprint, signs)), type=pa.string()), pa.array([length_class(len(s), settings.least) for s in signs], type=pa.int32())]
         return pa.RecordBatch.from_arrays([*batch.columns[:n], *columns], names=[*batch.schema.names[:n], "fingerprint", "length_class"])
 
-    return arrow_map(sub, run, kept.add("fingerprint", "string").add("length_class", "int"))
+    return arrow_map(sub, run, kept.add("fingerprint", "string").add("length_class", "integer"))
 
 
 def in_order(docs: DataFrame, text: str = "text") -> DataFrame:

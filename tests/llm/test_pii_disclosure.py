@@ -1,0 +1,72 @@
+import re
+
+from postscope.llm import pii_disclosure as D
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def valid(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    return {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in value.split(".")),
+            "card": 13 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, text) if valid(k, m[0])]
+
+
+TEXTS = [
+    "mail a.b+c@mail.example.co.uk. or x@y or a@b.c@d.e and \U0001F600 q_r%s@t-u.v-w-",
+    "hosts 10.0.0.1, 256.1.1.1, 1.2.3.4.5.6.7.8, 010.001.255.0 and 9.9.9",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112, 4111  1111 1111 1111, 5500005555555559é 4111111111111111111111",
+    "call +1 (988) 555-2485, +49.30.1234567- or +1 2 or +123456789012345678",
+    "digits " + "1 2 3 4 5 " * 4000 + "+" + "1.1.1.1 " * 300 + "a@" + "b." * 5000 + "c",
+    "\x01a@b\x01c.d 4111\x011111\x011111\x011111 1.2.3.4",
+    "", "no data here",
+]
+
+
+def test_base_spans_match_the_patterns(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.found if s.kind != D.TERM] for r in D.find(docs).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(TEXTS)}
+
+
+def test_disclosing_terms(spark):
+    """A term that is found with one address only gives it away; common words and rare single contexts don't."""
+    rows = [(i, f"Report {chr(97 + i)}x from Zebrowski, write to hidden{1}@mail.example.com about the matter {'abcdefg'[i] * 5}") for i in range(6)]
+    rows += [(100 + i, f"about the matter and the report from others {i} write more") for i in range(200)]
+    rows += [(500, "lonely unique words beside other@mail.example.com here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, rows_text[s.start : s.end]) for s in r.found] for r in D.find(docs).collect()
+             for rows_text in [dict(rows)[r.doc_id]]}
+    for i in range(6):
+        assert [x for x in found[i] if x[0] == "term"] == [("term", "Zebrowski")]
+    assert found[500] == [("email", "other@mail.example.com")] and not any(found[100 + i] for i in range(200))
+    clean = {r.doc_id: r.text for r in D.sanitise(docs).collect()}
+    assert clean[0] == "Report ax from , write to [EMAIL] about the matter aaaaa" and clean[100] == dict(rows)[100]
+
+
+def test_copies_of_one_passage_are_one_context(spark):
+    rows = [(i, "Contact Zebrowski at one@mail.example.com today") for i in range(50)] + [(100 + i, "other words") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {s.kind for r in D.find(docs).collect() for s in r.found} == {"email"}
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    plan = D.marked(docs, D.Settings(), "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
