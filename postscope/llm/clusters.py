@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.common import Scratch
+from postscope.llm.common import Scratch, mix
 
 CHUNK = 400
 LEADERS = 8
@@ -71,24 +71,28 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.withColumn("k", F.bitwise_not("u")).join(least, "k").drop("k")
 
 
+def _stars_only(edges: DataFrame) -> bool:
+    """Every node hangs on one other node (a, b), and none hangs on a node
+    that hangs itself: one star per component."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(
+        edges.select(F.col("b").alias("x"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    seen = ends.groupBy("x").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return seen.where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty()
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge (a, b); the root is the least
     node of its component. Loops, repeated edges and both directions are
     allowed; no edges give no rows."""
     now = scratch.write(forest(edges).distinct())
-    seen = None
-    while True:
+    del edges  # its shuffle files may go
+    while not _stars_only(now):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         small = _with_least(scratch.write(large)).select(
             F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b")))).alias("e")
         ).select("e.*").where("a <> b").distinct()
         now = scratch.write(small)
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
-    # a fixed point is one star per component
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
@@ -152,25 +156,28 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
     and sends one node per key, so a key of very many nodes reaches its reducer
     as one row per task (and per ``flush`` postings)."""
 
-    def star(key: np.ndarray, node: np.ndarray):
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
+    def star(key: np.ndarray, node: np.ndarray):  # in order of the key
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        centre = np.repeat(node[first], np.diff(first, append=len(key)))
+        least = np.minimum.reduceat(node, first)
+        centre = np.repeat(least, np.diff(first, append=len(key)))
         spoke = node != centre
-        return key[first], node[first], np.unique(np.stack([node[spoke], centre[spoke]], axis=1), axis=0)
+        edges = np.ascontiguousarray(np.stack([node[spoke], centre[spoke]], axis=1))
+        return key[first], least, np.unique(edges.view("i8,i8")).view(np.int64).reshape(-1, 2)
 
-    def rows(key: np.ndarray, a: np.ndarray, b: np.ndarray | None):
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)], names=["key", "a", "b"])
+    def rows(key: np.ndarray, node: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], names=["key", "node"])
 
     def combine(batches):
         parts, size = [], 0
 
         def out():
-            key, node, edges = star(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
-            yield rows(key, node, None)
-            if len(edges):
-                yield rows(edges[:, 0], edges[:, 0], edges[:, 1])  # edges pass on; any key does
+            key, node = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            order = np.argsort(key)
+            key, node, edges = star(key[order], node[order])
+            yield rows(key, node)
+            if len(edges):  # an edge goes on as two nodes of a key of its own
+                own = mix(mix(edges[:, 0].view(np.uint64)) + edges[:, 1].view(np.uint64)).view(np.int64)
+                yield rows(np.r_[own, own], np.r_[edges[:, 0], edges[:, 1]])
 
         for batch in batches:
             parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
@@ -181,24 +188,20 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
         if size:
             yield from out()
 
-    def reduce(batches):  # postings in order of their key
+    def reduce(batches):  # in order of the key
         last = None
         for batch in batches:
-            key, a = batch.column("key").to_numpy(), batch.column("a").to_numpy()
-            edge = batch.column("b").is_valid().to_numpy(zero_copy_only=False)
-            if edge.any():
-                yield pa.RecordBatch.from_arrays([pa.array(a[edge]), batch.column("b").filter(pa.array(edge))], names=["a", "b"])
-            key, a = key[~edge], a[~edge]
+            key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(key):
                 continue
             if last is not None and last[0] == key[0]:
-                key, a = np.r_[last[0], key], np.r_[last[1], a]
-            keys, centres, edges = star(key, a)
+                key, node = np.r_[last[0], key], np.r_[last[1], node]
+            keys, centres, edges = star(key, node)
             last = keys[-1], centres[-1]
             if len(edges):
-                yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(edges[:, i])) for i in (0, 1)], names=["a", "b"])
 
-    local = postings.select("key", "node").mapInArrow(combine, "key long, a long, b long")
+    local = postings.select("key", "node").mapInArrow(combine, "key long, node long")
     parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(reduce, "a long, b long")
 
@@ -231,15 +234,16 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
     if split.isEmpty():
         return found
 
-    label = scratch.write(split.join(found, "node", "left").select(
-        "node", "cluster", "chunk", F.coalesce("root", "node").alias("label")))
+    label = split.join(found, "node", "left").select("node", "cluster", "chunk", F.coalesce("root", "node").alias("label"))
+    # the items of these clusters only, with where they are
+    some = scratch.write(items.join(label, "node"))
+    label = some.select("node", "cluster", "chunk", "label")
     by_size = label.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     largest = by_size.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-    open_ = label.withColumn("k", F.bitwise_not("cluster")).join(
-        largest.select(F.bitwise_not("cluster").alias("k"), "largest"), "k").where("label <> largest").drop("k", "largest")
-    seen = label.select("node", "cluster", "chunk", "label").join(items.select("node", F.explode("keys").alias("key")), "node")
-    present = seen.select(F.bitwise_not("key").alias("k"), F.col("chunk").alias("to"), F.col("label").alias("there"), "cluster").distinct()
-    asking = open_.join(items.select("node", F.explode("keys").alias("key")), "node").select(F.bitwise_not("key").alias("k"), "node", "chunk", "label")
+    seen = some.select("node", "cluster", "chunk", "label", F.explode("keys").alias("key"))
+    present = seen.select(F.bitwise_not("key").alias("k"), F.col("chunk").alias("to"), F.col("label").alias("there")).distinct()
+    asking = seen.select(F.bitwise_not("key").alias("k"), F.bitwise_not("cluster").alias("c"), "node", "cluster", "chunk", "label").join(
+        largest.select(F.bitwise_not("cluster").alias("c"), "largest"), "c").where("label <> largest")
     visits = scratch.write(asking.join(present, "k").where("`to` <> chunk and there <> label").select("node", "cluster", "to").distinct())
     if visits.isEmpty():
         return found
@@ -248,6 +252,7 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
         "node", "cluster", "chunk", "label", F.lit(False).alias("visitor"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     guests = visits.join(crowd, ["cluster", "to"]).join(label.select("node", "label"), "node").select(
         "node", "cluster", F.col("to").alias("chunk"), "label", F.lit(True).alias("visitor"), F.pmod(F.xxhash64("node"), "parts").alias("part"))
-    rows = hosts.unionByName(guests).join(items, "node").select("cluster", "chunk", "part", "node", "keys", "label", "visitor", *payload)
+    rows = hosts.unionByName(guests).join(some.select("node", "keys", *payload), "node").select(
+        "cluster", "chunk", "part", "node", "keys", "label", "visitor", *payload)
     more = scratch.write(_verify(rows.groupBy("cluster", "chunk", "part"), payload, make))
     return components(scratch, links.union(more))

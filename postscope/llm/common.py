@@ -65,15 +65,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Byte values and powers of the polynomial word hash; the powers grow with the longest text seen.
+_BYTES = mix(np.arange(0x200, 0x300, dtype=np.uint64))
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse modulo 2 ** 64."""
+    if len(_powers[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        for k, base in enumerate((_BASE, _INVERSE)):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            _powers[k] = np.multiply.accumulate(steps)
+    return _powers[0], _powers[1]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hash of every word (run of anything but ASCII white space), in
+    order: a polynomial over the word's bytes, from prefix sums of the text."""
+    x = np.frombuffer(data, dtype=np.uint8)
+    space = _SPACE[x]
+    edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    up, down = powers(len(x))
+    sums = np.zeros(len(x) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[x] * up[: len(x)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
 class Scratch:
     """Tables written to the shared folder named by ``spark.checkpoint.dir``.
 
-    A written table cuts lineage and survives the loss of executors. ``drop``
-    removes tables that no returned DataFrame reads any more.
+    A written table cuts lineage and survives the loss of executors. ``keep``
+    deletes the tables that no returned DataFrame reads any more.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+        self.paths: dict[DataFrame, str] = {}
         self.written = 0
 
     def write(self, df: DataFrame) -> DataFrame:
@@ -84,14 +119,12 @@ class Scratch:
         gc.collect()
         self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
+        self.paths[out] = path
         return out
 
-    def drop(self, *tables: DataFrame) -> None:
-        for t in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def empty_like(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    def keep(self, *tables: DataFrame) -> None:
+        wanted = {self.paths[t] for t in tables}
+        for path in set(self.paths.values()) - wanted:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths = {t: p for t, p in self.paths.items() if p in wanted}

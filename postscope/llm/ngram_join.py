@@ -24,7 +24,8 @@ list may go to every task. They come last in the first order and need no
 counting, so a shingle that a third of all documents share lands in no single
 task.
 
-Tokens and signatures are 64-bit hashes. Null or empty text, or text without
+Signatures are 64-bit hashes, tokens 64-bit hashes that travel in 40 bits and
+their range (``_pack``). Null or empty text, or text without
 words, has the empty set: size 0, linked with nothing. Null ids are allowed:
 such a row takes part, and its component takes the least id of the others.
 Repeated rows and ids are fine: similarity is a matter of sets. Other columns
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postscope.llm.clusters import components, link, stars
-from postscope.llm.common import Scratch, WordHashes, mix, texts
+from postscope.llm.common import Scratch, mix, texts, word_hashes
 
 #: Odd multipliers, one per place in a shingle, and seeds of the further orders.
 PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -57,21 +58,16 @@ LAST = 0xFFFF  # frequency written for tokens at and beyond it; hot tokens too
 class Settings:
     words: int = 5
     percent: int = 75
-    flush: int = 2_000_000  #: tokens that a task packs at once
-
-
-@lru_cache(maxsize=1)
-def hashes() -> WordHashes:
-    return WordHashes()
+    flush: int = 1_000_000  #: tokens that a task packs at once
 
 
 def shingles(text: str, k: int = 5) -> np.ndarray:
     """Distinct shingle hashes, ascending."""
-    words = text.encode().lower().split()  # bytes: A-Z and ASCII white space only
-    n = len(words)
+    data = text.encode().lower()  # bytes: A-Z and ASCII white space only
+    w = word_hashes(data)
+    n = len(w)
     if n < k:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)] if n else [], dtype=np.uint64)
-    w = np.fromiter(map(hashes().__getitem__, words), dtype=np.uint64, count=n)
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(data.split()), seed=n)] if n else [], dtype=np.uint64)
     total = w[: n - k + 1] * PLACES[0]
     for j in range(1, k):
         total += w[j : n - k + 1 + j] * PLACES[j]
@@ -101,7 +97,7 @@ def members(docs: DataFrame, settings: Settings, text: str = "text") -> DataFram
                 often &= n > 1
             k = int(often.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64()), pa.array(n[often].astype(np.int64)), pa.array(tokens[often].view(np.int64)), pa.array([True] * k)],
+                [pa.nulls(k, pa.int64()), pa.array(n[often].astype(np.int64)), pa.array(tokens[often].view(np.int64)), pa.array([True] * k, type=pa.bool_())],
                 names=["doc_id", "n", "key", "counted"])
 
         size = 0
@@ -112,7 +108,7 @@ def members(docs: DataFrame, settings: Settings, text: str = "text") -> DataFram
                 keys = [signature(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], type=pa.int64()),
-                     pa.array(keys, type=pa.int64()), pa.array([False] * len(sets))], names=["doc_id", "n", "key", "counted"])
+                     pa.array(keys, type=pa.int64()), pa.array([False] * len(sets), type=pa.bool_())], names=["doc_id", "n", "key", "counted"])
                 for s, key in zip(sets, keys, strict=True):
                     if key is not None and key not in seen:
                         seen.add(key)
@@ -138,16 +134,29 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _pack(tokens: np.ndarray) -> bytes:
-    """The low seven bytes of each token (its range tells most of the rest)."""
-    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+    """The low five bytes of each token. With the range that is 40 bits and
+    the logarithm of the number of ranges, which grows with the corpus: two
+    given sets of a thousand tokens share a false one once in 10 ** 7 pairs
+    (50 ranges) or less."""
+    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 7, 8), dtype=np.uint8)
-    out[:, :7] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 7)
+    out = np.zeros((len(data) // 5, 8), dtype=np.uint8)
+    out[:, :5] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 5)
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
+def _counts(counts: np.ndarray) -> bytes:
+    """Two bytes each where they fit, else four."""
+    return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint32).tobytes()
+
+
+def _read_counts(row: dict) -> np.ndarray:
+    width = len(row["counts"]) // max(len(row["sigs"]) // 8, 1)
+    return np.frombuffer(row["counts"], dtype=np.uint16 if width == 2 else np.uint32).astype(np.int64)
+
+
 def dealt(docs: DataFrame, hot: np.ndarray, ranges: int, settings: Settings, text: str = "text") -> DataFrame:
     """Packed rows of each task: the tokens by range, and (``back``) each
     set's size and hot tokens, which only pass through the ranges."""
@@ -168,7 +177,7 @@ def dealt(docs: DataFrame, hot: np.ndarray, ranges: int, settings: Settings, tex
             hot_tokens = np.split(tokens[is_hot], np.cumsum(hot_counts)[:-1])
             for d in np.unique(to).tolist():
                 mine = np.flatnonzero(to == d)
-                out.append((d, True, sigs[mine].tobytes(), ns[mine].tobytes(), hot_counts[mine].astype(np.uint32).tobytes(),
+                out.append((d, True, sigs[mine].tobytes(), ns[mine].tobytes(), _counts(hot_counts[mine]),
                             np.concatenate([hot_tokens[i] for i in mine]).tobytes(), None))
             tokens, owner = tokens[~is_hot], owner[~is_hot]
             r = ((tokens >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
@@ -177,7 +186,7 @@ def dealt(docs: DataFrame, hot: np.ndarray, ranges: int, settings: Settings, tex
             for d, a, b in _runs(r):
                 who = owner[a:b]
                 cuts = np.flatnonzero(np.diff(who, prepend=-1))
-                out.append((d, False, sigs[who[cuts]].tobytes(), None, np.diff(cuts, append=b - a).astype(np.uint32).tobytes(), _pack(tokens[a:b]), None))
+                out.append((d, False, sigs[who[cuts]].tobytes(), None, _counts(np.diff(cuts, append=b - a)), _pack(tokens[a:b]), None))
             return _rows(out)
 
         for batch in batches:
@@ -229,7 +238,7 @@ def counted(packed: DataFrame, ranges: int) -> DataFrame:
         for r in list(by):
             rows = by.pop(r)
             sigs = np.concatenate([np.frombuffer(x["sigs"], dtype=np.int64) for x in rows])
-            counts = np.concatenate([np.frombuffer(x["counts"], dtype=np.uint32) for x in rows]).astype(np.int64)
+            counts = np.concatenate([_read_counts(x) for x in rows])
             tokens = np.concatenate([_unpack(x["tokens"]) for x in rows])
             rows.clear()
             # copies of a set from several tasks count once
@@ -254,7 +263,7 @@ def counted(packed: DataFrame, ranges: int) -> DataFrame:
                 who = owner[a:b]
                 cuts = np.flatnonzero(np.diff(who, prepend=-1))
                 high = np.uint64(r) << np.uint64(40)  # ranges differ: no mix-up among the low bytes of two ranges
-                out.append((d, True, sigs[who[cuts]].tobytes(), None, np.diff(cuts, append=b - a).astype(np.uint32).tobytes(),
+                out.append((d, True, sigs[who[cuts]].tobytes(), None, _counts(np.diff(cuts, append=b - a)),
                             mix(tokens[a:b] ^ mix(np.array([high | np.uint64(1)]))).tobytes(), df[a:b].tobytes()))
             if out:
                 yield _rows(out)
@@ -271,7 +280,7 @@ def survivors(back: DataFrame, settings: Settings) -> DataFrame:
         info, parts = [], []
         for batch in batches:
             for row in batch.to_pylist():
-                sigs, counts = np.frombuffer(row["sigs"], dtype=np.int64), np.frombuffer(row["counts"], dtype=np.uint32)
+                sigs, counts = np.frombuffer(row["sigs"], dtype=np.int64), _read_counts(row)
                 tokens = np.frombuffer(row["tokens"], dtype=np.uint64)
                 if row["ns"] is not None:
                     info.append((sigs, np.frombuffer(row["ns"], dtype=np.uint32)))
@@ -352,6 +361,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -
     packed = dealt(docs, hot, ranges, settings, text).repartitionById(ranges, "to")
     back = counted(packed, ranges).repartitionById(ranges, "to")
     items = scratch.write(survivors(back, settings))
+    del packed, back  # the dealt tokens' files may go
     postings = items.select(F.explode("keys").alias("key"), "node")
     cluster = scratch.write(components(scratch, stars(postings)))
     found = link(scratch, items, cluster, ["n", "k", "tokens"], test(settings.percent))
@@ -360,6 +370,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = scratch.write(rooted.select("sig", F.bitwise_not("root").alias("k")).join(
         lowest.select(F.bitwise_not("root").alias("k"), "component_id"), "k").select("sig", "component_id"))
+    scratch.keep(rows, named)
     return member.join(named, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
