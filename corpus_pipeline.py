@@ -57,4 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = scratch.write(stage(spark, docs, sf_dir))
+        scratch.keep(docs)
     return docs

@@ -179,6 +179,7 @@ def find(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -
     added = (near.join(pairs, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("only").alias("only"))
              .groupBy("rid").agg(F.collect_list(F.struct("start", "end", "only")).alias("added")))
     added = scratch.write(added)
+    scratch.keep(rows, added)
     base = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(False).alias("only")))
     more = F.transform("added", lambda s: F.struct(F.lit(len(KINDS)).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["only"].alias("only")))
     # a term inside a base span adds nothing
