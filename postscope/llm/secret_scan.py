@@ -243,8 +243,11 @@ def labelled(docs: DataFrame, settings: Settings, text: str = "text") -> dict[st
                 names=["kind", "s", "h"])
 
     found = docs.select(F.col(text).alias("__text")).mapInArrow(run, "kind string, s string, h long")
+    # in two steps, so that no task gets what all tasks found of a kind
+    some = Window.partitionBy("kind", F.pmod(F.xxhash64("s"), F.lit(64))).orderBy("h", "s")
     order = Window.partitionBy("kind").orderBy("h", "s")
-    rows = found.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.sample).collect()
+    least = found.distinct().withColumn("n", F.row_number().over(some)).where(F.col("n") <= settings.sample)
+    rows = least.withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.sample).collect()
     out = defaultdict(list)
     for r in sorted(rows, key=lambda r: (r.kind, r.n)):
         out[r.kind].append(r.s)
