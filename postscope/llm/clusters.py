@@ -132,21 +132,48 @@ def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], lab
     return links
 
 
-def _verify(grouped, payload: list[str], make: Callable[[pa.Table], Callable[[int, int], bool]]) -> DataFrame:
-    """Links (a, b) within each group; rows: node, keys, label, visitor, payload."""
+def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callable[[dict], Callable[[int, int], bool]]) -> DataFrame:
+    """Links (a, b) within each group. ``rows``: the group columns (long),
+    node, keys, label, visitor and the payload. A task takes its groups one
+    after the other from sorted rows and holds one at a time."""
+
+    def links(part: pa.RecordBatch | pa.Table, out: tuple[list, list]) -> None:
+        nodes = part.column("node").to_numpy()
+        if len(nodes) < 2:
+            return
+        visitor = part.column("visitor").to_numpy(zero_copy_only=False)
+        keys = [np.asarray(k, dtype=np.int64) for k in part.column("keys").to_pylist()]
+        _, label = np.unique(part.column("label").to_numpy(), return_inverse=True)
+        similar = make({c: part.column(c).to_pylist() for c in payload})
+        for x, y in local_links(keys, similar, label, visitor if visitor.any() else None):
+            out[0].append(nodes[x])
+            out[1].append(nodes[y])
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("visitor", "ascending"), ("node", "ascending")])
-        nodes = table.column("node").to_numpy()
-        visitor = table.column("visitor").to_numpy(zero_copy_only=False)
-        keys = [np.asarray(k.values) for k in table.column("keys")]
-        _, label = np.unique(table.column("label").to_numpy(), return_inverse=True)
-        side = visitor if visitor.any() else None
-        links = local_links(keys, make(table), label, side)
-        a, b = ([nodes[p[i]] for p in links] for i in (0, 1))
-        return pa.table({"a": pa.array(a, type=pa.int64()), "b": pa.array(b, type=pa.int64())})
-
-    return grouped.applyInArrow(run, "a long, b long")
+    def run(batches):
+        held: list[pa.RecordBatch] = []  # of the group that isn't complete yet
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(c).to_numpy() for c in group])
+            starts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist()]
+            out: tuple[list, list] = ([], [])
+            for at, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                this = tuple(ids[:, at].tolist())
+                if this != last and held:
+                    links(pa.concat_batches(held), out)
+                    held = []
+                last = this
+                held.append(batch.slice(at, end - at))
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in out], names=["a", "b"])
+        if held:
+            out = ([], [])
+            links(pa.concat_batches(held), out)
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in out], names=["a", "b"])
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(*group, "node", "keys", "label", "visitor", *payload).repartition(parts, *group)
+    return dealt.sortWithinPartitions(*group, "visitor", "node").mapInArrow(run, "a long, b long")
 
 
 def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
@@ -207,13 +234,14 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
 
 
 def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
-         make: Callable[[pa.Table], Callable[[int, int], bool]]) -> DataFrame:
+         make: Callable[[dict], Callable[[int, int], bool]]) -> DataFrame:
     """(node, root) of items connected by similar pairs that share a key.
 
     ``items``: node long (distinct), keys array<long> (distinct), and the
     payload columns; ``cluster``: node and root, the components of
     ``stars`` over the keys. Both should be written tables, as they are read
-    repeatedly. ``make(table)`` returns the exact test of two rows of a group.
+    repeatedly. ``make(columns)`` returns the exact
+    test of two rows of a group, given the payload columns as lists.
     """
     cluster = cluster.withColumnRenamed("root", "cluster")
     sizes = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
@@ -228,7 +256,7 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
     placed = items.join(member, "node")
     groups = placed.withColumn("chunk", F.explode(F.when(F.col("leader"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
     rows = groups.select("cluster", "chunk", "node", "keys", F.col("node").alias("label"), F.lit(False).alias("visitor"), *payload)
-    links = scratch.write(_verify(rows.groupBy("cluster", "chunk"), payload, make))
+    links = scratch.write(_verify(rows, ["cluster", "chunk"], payload, make))
     found = components(scratch, links)
     split = member.where("chunks > 1")
     if split.isEmpty():
@@ -254,5 +282,5 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
         "node", "cluster", F.col("to").alias("chunk"), "label", F.lit(True).alias("visitor"), F.pmod(F.xxhash64("node"), "parts").alias("part"))
     rows = hosts.unionByName(guests).join(some.select("node", "keys", *payload), "node").select(
         "cluster", "chunk", "part", "node", "keys", "label", "visitor", *payload)
-    more = scratch.write(_verify(rows.groupBy("cluster", "chunk", "part"), payload, make))
+    more = scratch.write(_verify(rows, ["cluster", "chunk", "part"], payload, make))
     return components(scratch, links.union(more))

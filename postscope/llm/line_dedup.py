@@ -5,7 +5,7 @@ ends. Lines link when the Jaccard similarity of their sets of
 ``Settings.shingle``-character shingles is at least ``percent`` / 100; equal
 lines always do. One-permutation MinHash signatures with densified empty bins
 are cut into bands; lines that share a band are candidates (at the threshold
-``1 - (1 - s ** rows) ** bands`` of them, 0.998 with the defaults), tested by
+``1 - (1 - s ** rows) ** bands`` of them, 0.995 with the defaults), tested by
 exact Jaccard and united by distributed union-find (``clusters``). Of each
 component one occurrence stays: the first by (doc_id, null last; row key;
 line number).
@@ -35,20 +35,21 @@ from postscope.llm.clusters import components, link, stars
 from postscope.llm.common import Scratch, arrow_map, mix, texts
 
 SPACES = " \t\n\v\f\r"
-PLACES = mix(np.arange(101, 133, dtype=np.uint64)) | np.uint64(1)
-EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+PLACES = (mix(np.arange(101, 133, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+EMPTY = np.uint32(0xFFFFFFFF)
 
 
 @dataclass(frozen=True)
 class Settings:
     shingle: int = 5
-    percent: int = 80
-    rows: int = 4
-    bands: int = 12
+    percent: int = 85
+    rows: int = 7
+    bands: int = 14
 
 
 def line_hash(line: str) -> int:
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(line.encode()))))
+    value = xxhash.xxh3_64_intdigest(line.encode())
+    return value - (1 << 64) if value >> 63 else value
 
 
 def lines_of(text: str) -> list[tuple[int, str]]:
@@ -59,32 +60,38 @@ def lines_of(text: str) -> list[tuple[int, str]]:
 def band_keys(lines: list[str], settings: Settings) -> np.ndarray:
     """One row of band keys per line; lines must have a shingle."""
     k, bins = settings.shingle, settings.rows * settings.bands
-    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     n = len(chars) - k + 1
     total = chars[:n] * PLACES[0]
     for j in range(1, k):
         total += chars[j : n + j] * PLACES[j]
-    total = mix(total)
-    line = np.repeat(np.arange(len(lines)), sizes)
-    inside = line[:n] == line[k - 1 :]  # the window ends in the line it starts in
-    total, line = total[inside], line[:n][inside]
-    least = np.full(len(lines) * bins, EMPTY)
-    np.minimum.at(least, line * bins + ((total >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), total)
-    least = least.reshape(-1, bins)
+    for shift, factor in ((16, 0x21F0AAAD), (15, 0x735A2D97)):  # a 32-bit finaliser
+        total ^= total >> np.uint32(shift)
+        total *= np.uint32(factor)
+    total ^= total >> np.uint32(15)
+    # place of each window's line among the bins; windows that leave their line go to a spare row
+    row = np.repeat(np.arange(len(lines), dtype=np.int32) * np.int32(bins), sizes)[:n]
+    last = np.cumsum(sizes)[:-1]
+    for j in range(1, k):
+        row[last - j] = len(lines) * bins
+    row += ((total >> np.uint32(16)) * np.uint32(bins) >> np.uint32(16)).view(np.int32)
+    least = np.full((len(lines) + 1) * bins, EMPTY)
+    np.minimum.at(least, row, total)
+    least = least.reshape(-1, bins)[:-1]
     filled = least != EMPTY
     row, column = np.nonzero(~filled)
     attempt = 0
     while len(row):  # an empty bin takes another's value, along a fixed random path
         attempt += 1
-        other = (mix(column.astype(np.uint64) + np.uint64(1000 * attempt)) % np.uint64(bins)).astype(np.int64)
+        other = (mix(np.arange(bins, dtype=np.uint64) + np.uint64(1000 * attempt)) % np.uint64(bins)).astype(np.int64)[column]
         hit = filled[row, other]
-        least[row[hit], column[hit]] = mix(least[row[hit], other[hit]] + np.uint64(attempt))
+        least[row[hit], column[hit]] = least[row[hit], other[hit]] + np.uint32(attempt)
         row, column = row[~hit], column[~hit]
     bands = least.reshape(len(lines), settings.bands, settings.rows)
     keys = np.arange(settings.bands, dtype=np.uint64) + np.zeros((len(lines), 1), dtype=np.uint64)
     for r in range(settings.rows):
-        keys = mix(keys ^ bands[:, :, r])
+        keys = mix(keys + bands[:, :, r])
     return keys.view(np.int64)
 
 
@@ -134,9 +141,9 @@ def with_keys(found: DataFrame, settings: Settings) -> DataFrame:
     return arrow_map(found, run, "node long, s string, keys array<long>")
 
 
-def test(settings: Settings) -> Callable[[pa.Table], Callable[[int, int], bool]]:
-    def make(table: pa.Table):
-        lines, k = table.column("s").to_pylist(), settings.shingle
+def test(settings: Settings) -> Callable[[dict], Callable[[int, int], bool]]:
+    def make(columns: dict):
+        lines, k = columns["s"], settings.shingle
 
         @lru_cache(maxsize=None)
         def grams(i: int) -> frozenset:
@@ -173,6 +180,7 @@ def marked(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
     drops = (seen.join(verdict, "node").where(~place.eqNullSafe(F.col("keep")))
              .select("rid", "line").distinct().groupBy("rid").agg(F.collect_list("line").alias("__drops")))
     drops = scratch.write(drops)
+    scratch.keep(drops)
     lines = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: F.trim(F.translate(x, SPACES, " ")) != ""))
     return docs.join(drops.withColumnRenamed("rid", "__rid"), "__rid", "left").drop("__rid").withColumns(
         {"__lines": lines, "__drops": F.coalesce("__drops", F.array().cast("array<int>"))})

@@ -314,13 +314,12 @@ def survivors(back: DataFrame, settings: Settings) -> DataFrame:
     return back.mapInArrow(run, "node long, n long, k long, tokens binary, keys array<long>")
 
 
-def test(percent: int) -> Callable[[pa.Table], Callable[[int, int], bool]]:
+def test(percent: int) -> Callable[[dict], Callable[[int, int], bool]]:
     """The exact test of two sets: sizes, prefixes under the further orders,
     intersection."""
 
-    def make(table: pa.Table):
-        ns, ks = table.column("n").to_pylist(), table.column("k").to_pylist()
-        raw = table.column("tokens").to_pylist()
+    def make(columns: dict):
+        ns, ks, raw = columns["n"], columns["k"], columns["tokens"]
 
         @lru_cache(maxsize=None)
         def whole(i: int) -> frozenset:
