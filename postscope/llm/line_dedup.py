@@ -5,7 +5,7 @@ ends. Lines link when the Jaccard similarity of their sets of
 ``Settings.shingle``-character shingles is at least ``percent`` / 100; equal
 lines always do. One-permutation MinHash signatures with densified empty bins
 are cut into bands; lines that share a band are candidates (at the threshold
-``1 - (1 - s ** rows) ** bands`` of them, 0.995 with the defaults), tested by
+``1 - (1 - s ** rows) ** bands`` of them, 0.998 with the defaults), tested by
 exact Jaccard and united by distributed union-find (``clusters``). Of each
 component one occurrence stays: the first by (doc_id, null last; row key;
 line number).
@@ -42,9 +42,9 @@ EMPTY = np.uint32(0xFFFFFFFF)
 @dataclass(frozen=True)
 class Settings:
     shingle: int = 5
-    percent: int = 85
-    rows: int = 7
-    bands: int = 14
+    percent: int = 80
+    rows: int = 5
+    bands: int = 17
 
 
 def line_hash(line: str) -> int:
