@@ -7,13 +7,14 @@ whole corpus the operator estimates how strongly a term reveals an entity: with
 
     PMI(t, e) = log2(n(t, e) * N / (n(t) * n(e))),   IC(e) = log2(N / n(e)),
 
-where ``n(t, e)`` counts rows with the term in the entity's context
-(``Settings.window`` characters to either side). A term whose PMI reaches
-``threshold`` times the information content of the entity discloses it, if the
-estimate rests on at least ``support`` different contexts (copies of one
-passage are one context). Its occurrences in contexts of that entity become
-``term`` spans; ``sanitise`` replaces base spans by their kind, generalises
-disclosing terms to ``[TERM]`` and removes those that occur nowhere else.
+where ``n(t, e)`` counts rows with both, wherever they stand; words of e-mail
+addresses are no terms. A term whose PMI reaches ``threshold`` times the
+information content of the entity discloses it, if the estimate rests on rows
+with at least ``support`` different contexts of the entity (``Settings.window``
+characters to either side; copies of one passage are one context). All its
+occurrences in all texts become ``term`` spans, with the entity beside it or
+not; ``sanitise`` replaces base spans by their kind, generalises disclosing
+terms to ``[TERM]`` and removes those that occur in no row without the entity.
 
 Null text reads as empty. Spans are code points, end exclusive. Rows are
 addressed by a hash of (doc_id, text): null ids are fine, rows that repeat both
@@ -57,9 +58,10 @@ class Settings:
     threshold: float = 0.9  #: part of an entity's information content
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """(start, end, value) of the leftmost non-overlapping matches."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found,
                         lambda gap, value: F.struct(F.length(gap).cast("long").alias("gap"), value.alias("value")))
     step = "struct<at:bigint,out:" + SPAN + ">"
@@ -109,8 +111,9 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def marked(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
-    """rid, doc_id and ``base``: kind (place in KINDS), start, end, value and
-    the text before and after, of every row."""
+    """rid, doc_id, ``base``: kind (place in KINDS), start, end, value and the
+    text before and after, and ``words``: the distinct words outside e-mail
+    addresses, of every row."""
     w = settings.window
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), t).alias("rid"), t.alias("t"))
@@ -129,38 +132,32 @@ def marked(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
         return one
 
     base = F.concat(*(F.transform(f"s_{k}", context(i)) for i, k in enumerate(KINDS)))
-    return rows.select("rid", "doc_id", base.alias("base"))
+    bare = F.regexp_replace(F.regexp_replace(F.translate("t", JOINT, "\x02"), DOT, JOINT), EMAIL, " ")
+    bare = F.when(F.col("t").contains("@"), bare).otherwise(F.col("t"))
+    words = F.array_distinct(F.regexp_extract_all(bare, F.lit(f"\\p{{L}}{{{settings.letters},}}"), F.lit(0)))
+    return rows.select("rid", "doc_id", base.alias("base"), words.alias("words"))
 
 
 def mentions(rows: DataFrame) -> DataFrame:
-    """One row per base span: rid, entity, start, end, before, after."""
-    return rows.where(F.size("base") > 0).select("rid", F.explode("base").alias("b")).select(
-        "rid", F.concat_ws(":", "b.kind", "b.value").alias("entity"), "b.start", "b.end", "b.before", "b.after").distinct()
-
-
-def terms(found: DataFrame, settings: Settings) -> DataFrame:
-    """One row per term in a mention's context: rid, entity, term, start, end
-    and ctx, a hash of the context."""
-    word = f"\\p{{L}}{{{settings.letters},}}"
-    before = F.transform(located(F.col("before"), f"(?<=\\P{{L}}){word}"), lambda s: F.struct(
-        s["value"].alias("term"), (F.col("start") - F.length("before") + s["start"]).alias("start")))
-    after = F.transform(located(F.col("after"), f"{word}(?=\\P{{L}})"), lambda s: F.struct(
-        s["value"].alias("term"), (F.col("end") + s["start"]).alias("start")))
-    return found.select("rid", "entity", F.xxhash64("before", "after").alias("ctx"), F.explode(F.concat(before, after)).alias("x")).select(
-        "rid", "entity", "ctx", F.lower("x.term").alias("term"), "x.start", (F.col("x.start") + F.length("x.term")).alias("end"))
-
-
-def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, settings: Settings, text: str) -> DataFrame:
-    """entity, term, share (PMI / IC) of the disclosing pairs."""
-    n_rows = docs.count()
-    pairs = (near.groupBy("rid", "entity", "term").agg(F.min("ctx").alias("ctx"))
+    """rid, entity and ctx, a hash of the entity's contexts there, once each."""
+    found = rows.where(F.size("base") > 0).select("rid", F.explode("base").alias("b")).select(
+        "rid", F.concat_ws(":", "b.kind", "b.value").alias("entity"), F.xxhash64("b.before", "b.after").alias("ctx")).distinct()
+    return found.groupBy("rid", "entity").agg(F.bit_xor("ctx").alias("ctx"))
+
+
+def disclosing(rows: DataFrame, found: DataFrame, entities: DataFrame, settings: Settings) -> DataFrame:
+    """entity, term, share (PMI / IC) of the disclosing pairs. ``entities``:
+    entity, n_entity (rows) and contexts."""
+    n_rows = rows.count()
+    folded = F.explode(F.array_distinct(F.transform("words", F.lower))).alias("term")
+    # of fewer contexts no pair can have enough
+    asked = found.join(entities.where(F.col("contexts") >= settings.support).select("entity"), "entity")
+    words = rows.where(F.size("base") > 0).select("rid", "words").dropDuplicates(["rid"])
+    pairs = (asked.join(words, "rid").select("entity", "ctx", folded)
              .groupBy("entity", "term", "ctx").agg(F.count("*").alias("n"))
              .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("support"))
              .where(F.col("support") >= settings.support))
-    entities = found.select("rid", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.split(F.lower(text), r"\P{L}+", -1))
-    corpus = docs.where(F.col(text).isNotNull()).select(F.explode(F.filter(words, lambda x: F.length(x) >= settings.letters)).alias("term"))
-    counted = corpus.groupBy("term").agg(F.count("*").alias("n_term")).join(pairs.select("term").distinct(), "term")
+    counted = rows.select(folded).groupBy("term").agg(F.count("*").alias("n_term"))
     pmi = F.log2(F.col("n_both") * F.lit(float(n_rows)) / (F.col("n_term") * F.col("n_entity")))
     information = F.log2(F.lit(float(n_rows)) / F.col("n_entity"))
     return pairs.join(entities, "entity").join(counted, "term").where(information > 0).select(
@@ -168,16 +165,31 @@ def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, settings: Set
         F.col("share") >= settings.threshold)
 
 
+def occurrences(docs: DataFrame, rows: DataFrame, terms: DataFrame, text: str) -> DataFrame:
+    """rid and ``added``: start, end, only of every occurrence of the terms in
+    all texts. ``terms``: term, only."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    # words as written: they are runs of letters, so they stand for themselves in a pattern
+    hits = (rows.select("rid", F.explode("words").alias("word")).withColumn("term", F.lower("word")).join(terms, "term")
+            .select("rid", "word", "only").distinct().groupBy("rid").agg(F.collect_list(F.struct("word", "only")).alias("hits")))
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.col("hits.word"), "|"), F.lit(r")(?!\p{L})"))
+    texts = docs.select(F.xxhash64(F.col("doc_id").cast("string"), t).alias("rid"), t.alias("t")).where("t <> ''")
+    return (texts.join(hits, "rid").dropDuplicates(["rid"]).withColumn("only", F.map_from_entries("hits"))
+            .select("rid", F.transform(located(F.col("t"), pattern), lambda s: F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), F.col("only")[s["value"]].alias("only"))).alias("added")))
+
+
 def find(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """rid, doc_id and ``found`` of every row: (kind, start, end, only) by kind
     as listed with ``term`` last, then start."""
     scratch = Scratch(docs.sparkSession, "pii-disclosure")
     rows = scratch.write(marked(docs, settings, text))
     found = scratch.write(mentions(rows))
-    near = terms(found, settings)
-    pairs = scratch.write(disclosing(docs, found, near, settings, text))
-    added = (near.join(pairs, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("only").alias("only"))
-             .groupBy("rid").agg(F.collect_list(F.struct("start", "end", "only")).alias("added")))
+    entities = scratch.write(found.groupBy("entity", "ctx").agg(F.count("*").alias("n"))
+                             .groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("contexts")))
+    pairs = scratch.write(disclosing(rows, found, entities, settings))
+    terms = scratch.write(pairs.groupBy("term").agg(F.max("only").alias("only")))
+    added = occurrences(docs, rows, terms, text)
     added = scratch.write(added)
     scratch.keep(rows, added)
     base = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(False).alias("only")))
