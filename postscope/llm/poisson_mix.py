@@ -7,8 +7,8 @@ and the document's id; the document is exploded by that count, and all copies
 are dealt to partitions and ordered by a hash of (seed, id, copy).
 
 Weights default to the square root of a source's size (sampling temperature
-2), over at most ``max_sources`` sources, the largest; smaller ones share the
-pooled rest. Null is a source like any other. Documents with equal ids (null
+2); every source has a rate of its own, unless ``max_sources`` asks for the
+smaller ones to be pooled. Null is a source like any other. Documents with equal ids (null
 included) draw alike, so repeated rows keep equal counts. Given weights:
 sources without one, or with a weight of 0, get no copy. An empty table gives
 no rows. Null and empty texts are copied like others. Columns named ``__*``
@@ -21,8 +21,12 @@ import math
 from collections.abc import Mapping
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from postscope.llm.common import Scratch, arrow_map
 
 HEX = 13  # digits of a hash that make a uniform number: 52 bits
 
@@ -46,8 +50,8 @@ def cumulative(rate: float) -> list[float]:
 
 
 def rates(docs: DataFrame, weights: Mapping[str, float] | None, total: float | None, max_sources: int, source: str) -> tuple[dict, float]:
-    """Source -> rate, and the rate of the pooled rest. The driver receives
-    one count per source, ``max_sources`` at most, and two sums."""
+    """Source -> rate, and the rate of the pooled rest, for given weights or
+    ``max_sources``, which bound what the driver receives."""
     counts = docs.groupBy(source).agg(F.count("*").alias("n"))
     n_all = counts.agg(F.sum("n")).first()[0] or 0
     if weights is not None:
@@ -65,24 +69,61 @@ def rates(docs: DataFrame, weights: Mapping[str, float] | None, total: float | N
     return per, wanted * pooled / whole / rest if rest else 0.0
 
 
+def own_rates(docs: DataFrame, total: float | None, source: str) -> tuple[DataFrame, int]:
+    """__source, __rows and __cdf of every source, at default weights, and the
+    number of rows. The driver receives two sums."""
+    counts = docs.groupBy(F.col(source).alias("__source")).agg(F.count("*").alias("__rows"))
+    scratch = Scratch(docs.sparkSession, "poisson-mix")
+    counts = scratch.write(counts)
+    # decimals: the sum doesn't depend on its order
+    root = F.sum(F.sqrt("__rows").cast("decimal(28,15)"))
+    n_all, whole = counts.agg(F.sum("__rows"), root).first()
+    wanted, whole = float((n_all or 0) if total is None else total), float(whole or 0)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cdf = {n: cumulative(wanted * math.sqrt(n) / whole / n) for n in set(batch.column("__rows").to_pylist())}
+        lists = pa.array([cdf[n] for n in batch.column("__rows").to_pylist()], type=pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "__cdf"])
+
+    table = scratch.write(arrow_map(counts, run, T.StructType([*counts.schema.fields, T.StructField("__cdf", T.ArrayType(T.DoubleType()))])))
+    scratch.keep(table)
+    return table, n_all or 0
+
+
+def with_own_rates(docs: DataFrame, total: float | None, source: str) -> DataFrame:
+    """Every column of ``docs`` plus __source, __rows and __cdf."""
+    table, n_all = own_rates(docs, total, source)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    same = F.col(source).eqNullSafe(F.col("__source"))
+    # at most ``parts`` sources hold a partition's share of the rows each
+    large = F.col("__rows") * parts >= n_all
+    found = docs.join(F.broadcast(table.where(large)), same)
+    if table.where(~large).isEmpty():
+        return found
+    rest = docs.join(F.broadcast(table.where(large).select("__source")), same, "left_anti")
+    return found.unionByName(rest.join(table.where(~large), same))
+
+
 def copies(docs: DataFrame, weights: Mapping[str, float] | None = None, total: float | None = None, seed: str = "mix",
-           max_sources: int = 10_000, source: str = "source") -> DataFrame:
+           max_sources: int | None = None, source: str = "source") -> DataFrame:
     """Every column of ``docs`` plus ``__n``, the number of copies (0 possible)."""
-    per, rest = rates(docs, weights, total, max_sources, source)
-    spark = docs.sparkSession
-    kind = docs.schema[source].dataType.simpleString()
-    rows = [(s, cumulative(r)) for s, r in per.items()]
-    table = spark.createDataFrame(rows, f"__source {kind}, __cdf array<double>")
-    # at most max_sources (or len(weights)) rows
-    found = docs.join(F.broadcast(table), F.col(source).eqNullSafe(F.col("__source")), "left")
-    cdf = F.coalesce("__cdf", F.array(*map(F.lit, cumulative(rest))))
+    if weights is None and max_sources is None:
+        found, cdf = with_own_rates(docs, total, source), F.col("__cdf")
+    else:
+        per, rest = rates(docs, weights, total, max_sources, source)
+        kind = docs.schema[source].dataType.simpleString()
+        rows = [(s, cumulative(r)) for s, r in per.items()]
+        table = docs.sparkSession.createDataFrame(rows, f"__source {kind}, __cdf array<double>")
+        # at most max_sources (or len(weights)) rows
+        found = docs.join(F.broadcast(table), F.col(source).eqNullSafe(F.col("__source")), "left")
+        cdf = F.coalesce("__cdf", F.array(*map(F.lit, cumulative(rest))))
     u = uniform(draw(seed, F.col("doc_id")))
     return found.withColumn("__u", u).withColumn("__n", F.size(F.filter(cdf, lambda c: c < F.col("__u"))).cast("long")).drop(
-        "__source", "__cdf", "__u")
+        "__source", "__rows", "__cdf", "__u")
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, total: float | None = None, seed: str = "mix",
-        max_sources: int = 10_000, source: str = "source") -> DataFrame:
+        max_sources: int | None = None, source: str = "source") -> DataFrame:
     """Every column of ``docs`` plus ``__n`` (copies of the document), ``__copy``
     (from 0) and ``__place`` (the hash that orders the rows), one row per copy,
     shuffled globally."""
