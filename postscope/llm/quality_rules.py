@@ -10,8 +10,9 @@ bad documents caught and that upper bound is used, if the margin is positive;
 otherwise the rule stays off in that stratum, so with few labels nothing is
 rejected beyond the fixed base rules.
 
-Null text has no words and fails the base rule. Null or rare languages form
-the stratum ``other``. Without labels only the base rules act. Repeated rows
+Null text has no words and fails the base rule. Every labelled language is a
+stratum, null too; where a language has no labels only the base rules act.
+Repeated rows
 are judged one by one (each labelled row counts once per label row; a
 document with both labels counts as good). Statistics travel in columns named
 ``__q_*``; every other column passes through untouched.
@@ -20,7 +21,6 @@ document with both labels counts as good). Statistics travel in columns named
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,12 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postscope.llm.common import arrow_map, texts
+from postscope.llm.common import Scratch, arrow_map, texts
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-OTHER = "other"
 
 
 def q(name: str) -> Column:
@@ -58,7 +57,6 @@ def rules() -> dict[str, tuple[Column, tuple[float, ...]]]:
 class Policy:
     alpha: float = 0.05  #: bound of the share of good documents rejected per stratum, by all rules together
     delta: float = 0.05  #: chance that any bound fails
-    max_strata: int = 50  #: most labelled languages that are strata of their own
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -135,80 +133,80 @@ def lower_bound(k: int, n: int, delta: float) -> float:
     return 1 - upper_bound(n - k, n, delta) if n else 0.0
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), text: str = "text",
-              lang: str = "lang") -> dict[str, dict[str, float]]:
-    """Stratum -> rule -> cutoff, from all labelled documents.
+def best_cutoffs(by_bin: list[np.ndarray], choices: list[tuple[float, ...]], policy: Policy, tests: int) -> list[float | None]:
+    """The cutoff of each rule in one stratum, None where it stays off.
+    ``by_bin``: (bad, good) labelled documents per bin of each rule."""
+    out = []
+    for seen, cuts in zip(by_bin, choices, strict=True):
+        n_bad, n_good = seen.sum(axis=0).tolist()
+        best = (0.0, None)
+        for j, cut in enumerate(cuts):
+            bad, good = seen[j + 1 :].sum(axis=0).tolist()
+            false = upper_bound(good, n_good, policy.delta / tests)
+            margin = lower_bound(bad, n_bad, policy.delta / tests) - false
+            if false <= policy.alpha / len(choices) and margin >= best[0] and margin > 0:
+                best = (margin, cut)
+        out.append(best[1])
+    return out
+
 
-    ``labels``: doc_id, quality (1 good, 0 bad). The driver receives counts
-    per (stratum, rule, bin, label) only, at most ``max_strata`` + 1 strata.
+def cutoffs(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), text: str = "text", lang: str = "lang") -> DataFrame:
+    """``__q_stratum`` and ``__q_cuts`` (per rule, null where it is off) of every
+    labelled language, from all labelled documents.
+
+    ``labels``: doc_id, quality (1 good, 0 bad). The driver receives the number
+    of strata only.
     """
+    scratch = Scratch(docs.sparkSession, "quality-rules")
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("__good"))
     stats = with_statistics(docs.select("doc_id", F.col(lang).alias("__lang"), F.col(text).alias("__text")), "__text")
     marked = stats.where(~base_failed(policy)).drop("__text").join(marks, "doc_id")
     named = rules()
+    choices = [cuts for _, cuts in named.values()]
     bins = F.explode(F.array(*(
-        F.struct(F.lit(r).alias("rule"), sum((v > c).cast("int") for c in cuts).alias("bin")) for r, (v, cuts) in named.items()
+        F.struct(F.lit(i).alias("rule"), sum((v > c).cast("int") for c in cuts).alias("bin")) for i, (v, cuts) in enumerate(named.values())
     ))).alias("b")
-    counted = (marked.select(F.coalesce("__lang", F.lit(OTHER)).alias("stratum"), "__good", bins)
-               .groupBy("stratum", "b.rule", "b.bin", "__good").agg(F.count("*").alias("n")))
-    total = F.sum("n").over(_by("stratum"))
-    ranked = counted.withColumn("total", total)
-    top = ranked.select("stratum", "total").distinct().orderBy(F.desc("total"), "stratum").limit(policy.max_strata)
-    pooled = (ranked.drop("total").join(top.select("stratum", F.lit(True).alias("own")), "stratum", "left")
-              .groupBy(F.when(F.col("own"), F.col("stratum")).otherwise(OTHER).alias("stratum"), "rule", "bin", "__good")
-              .agg(F.sum("n").alias("n")))
-    counts: dict[str, dict[tuple[str, int], np.ndarray]] = defaultdict(lambda: defaultdict(lambda: np.zeros(2, dtype=np.int64)))
-    for r in pooled.collect():
-        counts[r.stratum][r.rule, r.bin][int(r["__good"] == 1)] += r.n
-    tests = max(1, len(counts)) * sum(len(cuts) for _, cuts in named.values()) * 2  # an upper and a lower bound each
-    out: dict[str, dict[str, float]] = {}
-    for stratum, seen in counts.items():
-        chosen = {}
-        for rule, (_, cuts) in named.items():
-            by_bin = np.array([seen[rule, b] for b in range(len(cuts) + 1)])
-            n_bad, n_good = by_bin.sum(axis=0).tolist()
-            best = (0.0, None)
-            for j, cut in enumerate(cuts):
-                bad, good = by_bin[j + 1 :].sum(axis=0).tolist()
-                false = upper_bound(good, n_good, policy.delta / tests)
-                margin = lower_bound(bad, n_bad, policy.delta / tests) - false
-                if false <= policy.alpha / len(named) and margin >= best[0] and margin > 0:
-                    best = (margin, cut)
-            if best[1] is not None:
-                chosen[rule] = best[1]
-        out[stratum] = chosen
-    return out
+    counted = (marked.select(F.col("__lang").alias("__q_stratum"), (F.col("__good") == 1).cast("int").alias("good"), bins)
+               .groupBy("__q_stratum", "b.rule", "b.bin", "good").agg(F.count("*").alias("n")))
+    seen = scratch.write(counted.groupBy("__q_stratum").agg(F.collect_list(F.struct("rule", "bin", "good", "n")).alias("seen")))
+    tests = max(1, seen.count()) * sum(map(len, choices)) * 2  # an upper and a lower bound each
 
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for rows in batch.column("seen").to_pylist():
+            by_bin = [np.zeros((len(cuts) + 1, 2), dtype=np.int64) for cuts in choices]
+            for r in rows:
+                by_bin[r["rule"]][r["bin"], r["good"]] += r["n"]
+            out.append(best_cutoffs(by_bin, choices, policy, tests))
+        return pa.RecordBatch.from_arrays([batch.column("__q_stratum"), pa.array(out, type=pa.list_(pa.float64()))], names=["__q_stratum", "__q_cuts"])
+
+    found = scratch.write(arrow_map(seen, run, T.StructType([seen.schema["__q_stratum"], T.StructField("__q_cuts", T.ArrayType(T.DoubleType()))])))
+    scratch.keep(found)
+    return found
 
-def _by(*columns: str):
-    from pyspark.sql import Window
 
-    return Window.partitionBy(*columns)
+def calibrate(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), text: str = "text",
+              lang: str = "lang") -> dict[str | None, dict[str, float]]:
+    """Stratum -> rule -> cutoff, of ``cutoffs``, for inspection."""
+    return {r["__q_stratum"]: {rule: cut for rule, cut in zip(rules(), r["__q_cuts"], strict=True) if cut is not None}
+            for r in cutoffs(docs, labels, policy, text, lang).collect()}
 
 
-def verdict(cutoffs: dict[str, dict[str, float]], lang: Column) -> Column:
-    """True where every rule of the document's stratum lets it pass."""
-    named = rules()
-    fail = F.lit(False)
-    for stratum, chosen in sorted(cutoffs.items()):
-        if not chosen:
-            continue
-        inside = lang == stratum if stratum != OTHER else ~F.coalesce(lang.isin(*(s for s in cutoffs if s != OTHER)), F.lit(False))
-        broken = F.lit(False)
-        for rule, cut in sorted(chosen.items()):
-            broken = broken | (named[rule][0] > cut)
-        fail = fail | (F.coalesce(inside, F.lit(False)) & broken)
-    return ~fail
+def verdict(cuts: Column) -> Column:
+    """True where every rule with a cutoff lets the document pass."""
+    return ~F.coalesce(F.greatest(F.lit(False), *(v > F.get(cuts, F.lit(i)) for i, (v, _) in enumerate(rules().values()))), F.lit(False))
 
 
 def judge(docs: DataFrame, labels: DataFrame, policy: Policy = Policy(), text: str = "text", lang: str = "lang") -> DataFrame:
     """Every column of ``docs``, the ``__q_*`` statistics, ``__q_base_failed``
     and ``__q_kept``."""
-    cutoffs = calibrate(docs, labels, policy, text, lang)
-    return with_statistics(docs, text).withColumns({
+    # only languages with a rule; the planner knows the written table's size
+    found = cutoffs(docs, labels, policy, text, lang).where(F.exists("__q_cuts", lambda c: c.isNotNull()))
+    judged = with_statistics(docs, text).join(found, F.col(lang).eqNullSafe(F.col("__q_stratum")), "left")
+    return judged.withColumns({
         "__q_base_failed": base_failed(policy),
-        "__q_kept": ~base_failed(policy) & verdict(cutoffs, F.col(lang)),
-    })
+        "__q_kept": ~base_failed(policy) & verdict(F.col("__q_cuts")),
+    }).drop("__q_stratum", "__q_cuts")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, policy: Policy = Policy()) -> DataFrame:
