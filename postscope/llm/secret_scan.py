@@ -13,8 +13,9 @@ likelier there than under the background.
 Null text reads as empty. Spans are code points, end exclusive. Repeated rows
 are scanned one by one. Without labelled strings of a kind that kind has no
 automaton and adds nothing. Sampling keeps the distinct strings with the
-smallest hashes (``Settings.sample`` per kind): it fits models only, all
-texts are scanned whole.
+smallest hashes (``Settings.sample`` per kind): it fits models only, every
+other labelled string counts for a format's likelihood cutoff, and all texts
+are scanned whole.
 """
 
 from __future__ import annotations
@@ -188,20 +189,19 @@ def _rate(a: Automaton, s: str) -> float:
 
 
 class Grammar:
-    """An automaton and a likelihood cutoff per kind, and the background."""
+    """An automaton per kind, and the background; ``formats`` holds a kind's
+    automaton and likelihood cutoff once the cutoff is known."""
 
     def __init__(self, strings: dict[str, list[str]], settings: Settings):
         self.settings, self.formats = settings, {}
+        self.machines: dict[str, tuple[Automaton, frozenset]] = {}  # with the strings it learnt from
         cut = {k: [s[: settings.most] for s in v] for k, v in strings.items()}
         self.background = Automaton(cut.get(ADDED, []), settings.compat)
         for kind in KINDS:
             known = cut.get(kind, [])
             if len(known) < 20:  # too few for a frequency test and a cutoff
                 continue
-            fit, rest = known[::2], sorted(known[1::2])
-            machine = Automaton(fit, settings.compat)
-            rates = sorted(_rate(machine, s) for s in rest)
-            self.formats[kind] = machine, rates[int(settings.tolerated * len(rates))]
+            self.machines[kind] = Automaton(known[::2], settings.compat), frozenset(strings[kind][::2])
 
     def accepts(self, token: str) -> bool:
         rates = [(r, least) for m, least in self.formats.values() if (r := _rate(m, token)) >= least]
@@ -254,10 +254,45 @@ def labelled(docs: DataFrame, settings: Settings, text: str = "text") -> dict[st
     return out
 
 
+BUCKET = 10_000  #: buckets of the log-likelihood per character, to a unit
+
+
+def learn(docs: DataFrame, settings: Settings, text: str = "text") -> Grammar:
+    """The grammar, with cutoffs from all distinct labelled strings that its
+    automata did not learn from. The driver receives counts per bucket."""
+    grammar = Grammar(labelled(docs, settings, text), settings)
+    if not grammar.machines:
+        return grammar
+    held = docs.sparkSession.sparkContext.broadcast(grammar)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        machines, found = held.value.machines, set()
+        for t in texts(batch, "__text"):
+            for a, k, b in base_spans(t):
+                found.add((KINDS[k], ASSIGN.match(t, a)[2] if k == 0 else t[a:b]))
+        rows = sorted((k, s) for k, s in found if k in machines and s not in machines[k][1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in rows], type=pa.string()), pa.array([xxhash.xxh3_128_digest(s.encode("utf-8")) for _, s in rows], type=pa.binary()),
+             pa.array([_rate(machines[k][0], s) for k, s in rows], type=pa.float64())], names=["kind", "h", "rate"])
+
+    rates = arrow_map(docs.select(F.col(text).alias("__text")), run, "kind string, h binary, rate double")
+    one = rates.groupBy("kind", "h").agg(F.min("rate").alias("rate"))
+    counts = one.groupBy("kind", F.floor(F.col("rate") * BUCKET).alias("b")).agg(F.count("*").alias("n"), F.min("rate").alias("least")).collect()
+    for kind, (machine, _) in grammar.machines.items():
+        mine = sorted((r.b, r.n, r.least) for r in counts if r.kind == kind)
+        rank = int(settings.tolerated * sum(n for _, n, _ in mine))
+        for _, n, least in mine:
+            if rank < n:
+                grammar.formats[kind] = machine, least
+                break
+            rank -= n
+    return grammar
+
+
 def scan(docs: DataFrame, settings: Settings = Settings(), text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``found``: array of (kind, start, end, base), in
     order of start, then kind as listed with ``format`` last."""
-    held = docs.sparkSession.sparkContext.broadcast(Grammar(labelled(docs, settings, text), settings))
+    held = docs.sparkSession.sparkContext.broadcast(learn(docs, settings, text))
     sub = docs.select(*keep, F.col(text).alias("__text"))
     kept = docs.select(*keep).schema
     n = len(kept.fields)
