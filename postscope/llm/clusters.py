@@ -269,10 +269,11 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
     by_size = label.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     largest = by_size.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
     seen = some.select("node", "cluster", "chunk", "label", F.explode("keys").alias("key"))
-    present = seen.select(F.bitwise_not("key").alias("k"), F.col("chunk").alias("to"), F.col("label").alias("there")).distinct()
+    # another component is there where its least or its greatest label differs
+    present = seen.groupBy(F.bitwise_not("key").alias("k"), F.col("chunk").alias("to")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
     asking = seen.select(F.bitwise_not("key").alias("k"), F.bitwise_not("cluster").alias("c"), "node", "cluster", "chunk", "label").join(
         largest.select(F.bitwise_not("cluster").alias("c"), "largest"), "c").where("label <> largest")
-    visits = scratch.write(asking.join(present, "k").where("`to` <> chunk and there <> label").select("node", "cluster", "to").distinct())
+    visits = scratch.write(asking.join(present, "k").where("`to` <> chunk and (low <> label or high <> label)").select("node", "cluster", "to").distinct())
     if visits.isEmpty():
         return found
     crowd = visits.groupBy("cluster", "to").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("parts"))
