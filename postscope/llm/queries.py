@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import byte_bpe, language_id, line_dedup, ngram_join, pii_disclosure, poisson_mix, quality_fm, quality_rules, secret_scan, spotsigs
+from postscope.llm import (byte_bpe, language_id, line_dedup, ngram_join, periodic_runs, pii_disclosure, poisson_mix, quality_fm, quality_rules,
+                           secret_scan, spotsigs)
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,34 @@ def op10_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(count_kind(base, k).alias(f"n_{k}") for k in pii_disclosure.KINDS),
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"))
+
+
+#: White space between the words of op11, as a regular expression.
+_BLANKS = r"[\x20\x09-\x0D]+"
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and ``text``. With h the crc32 of the decimal id and g = h div
+    10: where h ends in 0, every word from a = g mod n on becomes original
+    word a + (i - a) mod p, p = 1 + (n - a) div (3 + g mod 8). Rows with a null
+    id and texts without a word stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(F.pmod(h, F.lit(10)) == 0, F.filter(F.split("text", _BLANKS), lambda w: w != ""))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("__g"), chosen.alias("__words"))
+    n = F.size("__words")
+    rows = rows.withColumn("__a", F.when(n > 0, F.pmod("__g", F.nullif(n, F.lit(0)))).cast("int"))
+    rows = rows.withColumn("__p", (F.lit(1) + F.floor((n - F.col("__a")) / (F.lit(3) + F.pmod("__g", F.lit(8))))).cast("int"))
+    changed = F.transform("__words", lambda w, i: F.when(i < F.col("__a"), w).otherwise(
+        F.get("__words", F.col("__a") + F.pmod(i - F.col("__a"), F.col("__p")))))
+    return rows.select("doc_id", F.when(F.col("__a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(planted_repeats(table(spark, sf_dir, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("__best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col("__best")[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("(1000 * __best.length) div __best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
