@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postscope.llm import (byte_bpe, language_id, line_dedup, ngram_join, periodic_runs, pii_disclosure, poisson_mix, quality_fm, quality_rules,
+from postscope.llm import (byte_bpe, importance, language_id, line_dedup, ngram_join, periodic_runs, pii_disclosure, poisson_mix, quality_fm, quality_rules,
                            secret_scan, spotsigs)
 from postscope.llm.common import held_out, table
 
@@ -139,3 +139,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col("__best")[c].alias(c) for c in ("start", "length", "period")),
         F.expr("(1000 * __best.length) div __best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=("doc_id",))
+
+
+ORACLE_SQL["op13_importance_resampling"] = importance.sql().strip()
