@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postscope.llm import (byte_bpe, importance, language_id, line_dedup, ngram_join, periodic_runs, pii_disclosure, poisson_mix, quality_fm, quality_rules,
-                           secret_scan, spotsigs)
+                           secret_scan, spotsigs, suffix_dedup)
 from postscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@register
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", suffix_dedup.n_removed(F.col("spans")).alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=("doc_id",))
