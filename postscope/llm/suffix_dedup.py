@@ -328,16 +328,21 @@ def split_groups(found: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
                      pa.array(windows, type=pa.list_(pa.int64()))], names=["core", "__row", "count", "start", "windows"])
 
     rows = scratch.write(found.mapInArrow(run, "core long, __row long, count long, start long, windows array<long>"))
-    shared = rows.groupBy("core").agg(F.sum("count").alias("total")).where("total > 1").select(F.bitwise_not("core").alias("not_core"))
-    rows = rows.join(shared, F.bitwise_not("core") == F.col("not_core"), "left_semi")
+    rows = rows.join(lone(rows, "core"), ["__row", "start"], "left_anti")
     single = rows.select("core", "__row", "count", "start", F.posexplode("windows").alias("place", "window"))
     single = scratch.write(single.select("core", "window", "__row", "count", (F.col("start") + F.col("place")).alias("start")))
-    again = single.groupBy("core", "window").agg(F.sum("count").alias("total")).where("total > 1").select(
-        F.bitwise_not("window").alias("not_window"), F.col("core").alias("same_core"))
-    hit = single.where("count = 1").join(again, (F.bitwise_not("window") == F.col("not_window")) & (F.col("core") == F.col("same_core")), "left_semi")
+    hit = single.where("count = 1").join(lone(single, "core", "window"), ["__row", "start"], "left_anti")
     return hit.select("__row", "start", (F.col("start") + s.length).alias("end"))
 
 
+def lone(rows: DataFrame, *keys: str) -> DataFrame:
+    """__row and start of the rows that stand for one occurrence and share their
+    keys with no other. Leaving these out of all rows, by the place, keeps the
+    rows of hot keys apart, which a join by the keys would bring together."""
+    groups = rows.groupBy(*keys).agg(F.sum("count").alias("total"), F.first("__row").alias("__row"), F.first("start").alias("start"))
+    return groups.where("total = 1").select("__row", "start")
+
+
 def repeated_spans(docs: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
     """__row, start, end of stretches of ``docs`` (__row, __data) that repeats
     cover; they may overlap."""
@@ -352,8 +357,8 @@ def repeated_spans(docs: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
     # the three values of a piece's first row come from one row
     each = found.where("mixed").groupBy("key", "piece").agg(F.count("*").alias("count"), *(F.first(c).alias(c) for c in ("__row", "at", "n")))
     each = scratch.write(each)
-    many = each.where("count > 1").select(F.bitwise_not("key").alias("not_key"), F.col("piece").alias("same_piece"))
-    copies = found.where("mixed").join(many, (F.bitwise_not("key") == F.col("not_key")) & (F.col("piece") == F.col("same_piece")), "left_semi")
+    # all but those that occur once, by their place: no row of a hot piece meets another
+    copies = found.where("mixed").join(each.where("count = 1").select("__row", "at"), ["__row", "at"], "left_anti")
     large = each.groupBy("key").agg(F.count("*").alias("pieces")).where(F.col("pieces") > s.group).select(
         F.bitwise_not("key").alias("not_key"), F.lit(True).alias("large"))
     wanted = each.join(large, F.bitwise_not("key") == F.col("not_key"), "left").select(
