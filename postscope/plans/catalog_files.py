@@ -6,9 +6,9 @@ stream (T1), schema inference (S4), the ingest into day-partitioned Parquet
 Each call stages the events JSON lines (``adapters.events_json_lines``, the
 whole table) as text files with an ordinary distributed write into a folder
 under the shared folder named by ``spark.checkpoint.dir``, then runs the job
-on those files exactly as a user would on their own input. The folder of a
-query is named after the query and the session, so a repeated call rewrites it
-instead of adding another copy.
+on those files exactly as a user would on their own input. Each call has a
+folder of its own, as the frame it returns reads it lazily; the cluster clears
+the shared folder.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ _SESSION = uuid.uuid4().hex[:12]
 
 
 def staging(spark, name: str) -> str:
-    return shared_dir(spark, f"staging-{_SESSION}/{name}")
+    """A new folder for each call: a frame of an earlier call still reads its own."""
+    return shared_dir(spark, f"staging-{_SESSION}/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def stage_lines(spark, sf, name: str, parts: int | None = None) -> str:
@@ -133,11 +134,10 @@ def q_file_arrival_answers(spark, sf):
     from postscope.streaming.arrival import read_answers, start_file_arrival
 
     base = stage_lines(spark, sf, "arrival", A.STAGED_PARTS)
-    run = uuid.uuid4().hex  # a new checkpoint, so that the staged files are new to the stream
-    q = start_file_arrival(spark, f"{base}/input", f"{base}/output-{run}", f"{base}/checkpoint-{run}", K, max_files_per_trigger=64)
+    q = start_file_arrival(spark, f"{base}/input", f"{base}/output", f"{base}/checkpoint", K, max_files_per_trigger=64)
     q.awaitTermination()  # the available-now trigger ends by itself
     folder = F.regexp_extract("source_name", r"^(.*)/[^/]*$", 1).alias("folder")
-    return read_answers(spark, f"{base}/output-{run}").select(folder, "date", "top_user", "day_total_tweets")
+    return read_answers(spark, f"{base}/output").select(folder, "date", "top_user", "day_total_tweets")
 
 
 _INGEST_COUNTS = f"""

@@ -78,8 +78,13 @@ def day_summaries(posts: DataFrame, day_mode: str = "utc", strict: bool = False,
                   author: str = "user.username", by=()) -> DataFrame:
     """Per day: ``total`` (all posts with a valid day), ``day_total_tweets``
     (posts with an author) and ``top_author`` (arg-max, ties smallest)."""
+    return summaries_of_pairs(_pairs(posts, day_mode, strict, author, by), by)
+
+
+def summaries_of_pairs(pairs: DataFrame, by=()) -> DataFrame:
+    """``day_summaries`` from counts per (day, author), e.g. a stored rollup:
+    ``date, author, n``."""
     by = list(by)
-    pairs = _pairs(posts, day_mode, strict, author, by)
     named = F.col("author").isNotNull()
     key = F.when(named, F.struct((-F.col("n")).alias("neg"), F.col("author").alias("a")))
     return pairs.groupBy(*by, "date").agg(
