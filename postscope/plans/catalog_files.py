@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from postscope.functions import emoji as EM
-from postscope.plans.catalog import K, event_lines, events_posts, register
+from postscope.plans.catalog import K, ORACLE_SQL, event_lines, events_posts, load, register
 from postscope.plans.catalog_profiles import _LINES
 from postscope.plans.catalog_questions import USERNAME, sql_q1
 from postscope.session import shared_dir
@@ -211,3 +211,82 @@ def q_inferred_field_counts(spark, sf):
     base = stage_lines(spark, sf, "inferred")
     df = scan_posts_inferred(spark, f"{base}/input")
     return df.agg(*[F.count(F.col(c)).alias(c) for c in ("id", "date", "content")])
+
+
+def stage_documents(spark, sf, name: str) -> str:
+    """The documents as NDJSON records with their text, optional keys and, on
+    some, a key written twice; the folder of the files."""
+    path = f"{staging(spark, name)}/input"
+    did = F.col("id")
+    fields = F.to_json(F.struct("id", "content"))
+    rest = F.regexp_replace(F.to_json("v"), r"^\{", ",")
+    twice = F.when(did % A.DOC_REPEAT_MOD == 0, F.lit(',"lang":"x","lang":"y"')).otherwise(F.lit(""))
+    line = F.concat(F.regexp_replace(fields, r"\}$", ""), twice, rest)
+    A.documents_records(load(spark, sf, "documents")).select(line.alias("value")).write.text(path)
+    return path
+
+
+@register("truncation_profile_file", ORACLE_SQL["truncation_profile"])
+def q_truncation_profile_file(spark, sf):
+    """D1 + S3 over files: untyped records read from NDJSON, none lost to a
+    repeated key."""
+    from postscope.plans.profiles import truncation_profile
+    from postscope.sources.posts import scan_records
+
+    return truncation_profile(scan_records(spark, stage_documents(spark, sf, "truncation")))
+
+
+@register("retweet_profile_file", ORACLE_SQL["retweet_profile"])
+def q_retweet_profile_file(spark, sf):
+    """D2 + S3 over files."""
+    from postscope.plans.profiles import retweet_profile
+    from postscope.sources.posts import scan_records
+
+    return retweet_profile(scan_records(spark, stage_documents(spark, sf, "retweets")))
+
+
+@register("key_column_profile_file", ORACLE_SQL["key_column_profile"])
+def q_key_column_profile_file(spark, sf):
+    """D8 + S3 over files: every line that is a JSON value is a record."""
+    from postscope.plans.profiles import key_column_profile
+    from postscope.sources.posts import scan_records
+
+    return key_column_profile(scan_records(spark, f"{stage_lines(spark, sf, 'key_columns')}/input"))
+
+
+LINES_PER_CHUNK = 100
+
+
+@register("line_chunk_counts", f"""
+WITH c AS (SELECT line_no % {A.STAGED_PARTS} AS part, count(*) AS m FROM ({A.EVENTS_LINES_SQL}) x
+           WHERE NOT regexp_full_match(value, '[ \\t\\r\\n]*') GROUP BY 1),
+k AS (SELECT part, m, unnest(range(CAST(ceil(m / {LINES_PER_CHUNK}.0) AS BIGINT))) AS chunk FROM c)
+SELECT 'part=' || CAST(part AS VARCHAR) AS folder, CAST(0 AS BIGINT) AS block, chunk, least({LINES_PER_CHUNK}, m - chunk * {LINES_PER_CHUNK}) AS lines FROM k""")
+def q_line_chunk_counts(spark, sf):
+    """Chunks of consecutive lines per (file, input split), numbered where
+    they are read; the files are smaller than a split."""
+    from postscope.operators.aggregate import count_by
+    from postscope.sources.posts import scan_line_chunks
+
+    base = stage_lines(spark, sf, "line_chunks", A.STAGED_PARTS)
+    chunks = scan_line_chunks(spark, f"{base}/input/*/*", LINES_PER_CHUNK)
+    return count_by(chunks, F.regexp_extract("file", r"([^/]*)/[^/]*$", 1).alias("folder"), "block", "chunk", name="lines")
+
+
+@register("arrival_ledger_answers", f"""
+SELECT folder, false AS failed, date, top_user, day_total_tweets FROM ({ORACLE_SQL["file_arrival_answers"]}) a
+UNION ALL SELECT 'part=bad', true, NULL, NULL, NULL""")
+def q_arrival_ledger_answers(spark, sf):
+    """T1 with the ledger: one answer per staged file, an error row for a file
+    that can't be read, and nothing to do for a second run."""
+    from postscope.streaming.ledger import answer_arrivals, read_results
+
+    base = stage_lines(spark, sf, "arrival_ledger", A.STAGED_PARTS)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/input/part=bad/lines.json.gz")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(b"this is no gzip file"))
+    out.close()
+    answer_arrivals(spark, f"{base}/input", f"{base}/output", K, max_files=64)
+    answer_arrivals(spark, f"{base}/input", f"{base}/output", K, max_files=64)
+    folder = F.regexp_extract("source_name", r"^(.*)/[^/]*$", 1).alias("folder")
+    return read_results(spark, f"{base}/output").select(folder, F.col("error").isNotNull().alias("failed"), "date", "top_user", "day_total_tweets")

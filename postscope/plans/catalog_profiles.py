@@ -252,9 +252,8 @@ def q_corrupt_lines(spark, sf):
     return P.corrupt_lines(S.parse_posts_strict(event_lines(spark, sf)))
 
 
-# A VARIANT record has no repeated key.
-_RECORDS = f"""{_LINES}, ok AS (SELECT line_no, value FROM l WHERE json_valid(value)
-  AND (json_type(value) <> 'OBJECT' OR len(json_keys(value)) = len(list_distinct(json_keys(value)))))"""
+# Every line that is one JSON value is a record, also with a repeated key.
+_RECORDS = f"""{_LINES}, ok AS (SELECT line_no, value FROM l WHERE json_valid(value))"""
 _JSON_TYPE = """CASE WHEN json_type(value, '{p}') IS NULL THEN 'missing'
   WHEN json_type(value, '{p}') = 'NULL' THEN 'null'
   WHEN json_type(value, '{p}') = 'VARCHAR' THEN 'string'
@@ -318,6 +317,42 @@ def q_schema_drift(spark, sf):
     return P.schema_drift(records_from_text(event_lines(spark, sf))).select("field", "status")
 
 
+def _element_kind(elements: str, inner: str) -> str:
+    """SQL: the kind of an array's elements, or of a field of theirs, within one
+    record: null where none has a value, VARIANT where they differ."""
+    kinds = f"list_distinct(list_filter(list_transform({elements}, lambda x: {inner}), lambda t: t IS NOT NULL AND t <> 'NULL'))"
+    return f"CASE len({kinds}) WHEN 0 THEN NULL WHEN 1 THEN {kinds}[1] ELSE 'VARIANT' END"
+
+
+_NESTED_WANT = {
+    "$": "OBJECT", "$.id": "BIGINT", "$.date": "STRING", "$.content": "STRING", "$.user": "OBJECT", "$.user.id": "BIGINT",
+    "$.user.username": "STRING", "$.mentionedUsers": "ARRAY", "$.mentionedUsers[]": "OBJECT", "$.mentionedUsers[].username": "STRING"}
+_NESTED_KINDS = {p: f"json_type(value, '{p}')" for p in _NESTED_WANT if "[]" not in p} | {
+    "$[]": _element_kind("CASE WHEN json_type(value) = 'ARRAY' THEN CAST(value AS JSON[]) ELSE [] END", "json_type(x)"),
+    "$.mentionedUsers[]": _element_kind("coalesce(json_extract(value, '$.mentionedUsers[*]'), [])", "json_type(x)"),
+    "$.mentionedUsers[].username": _element_kind("coalesce(json_extract(value, '$.mentionedUsers[*]'), [])", "json_type(x, '$.username')"),
+}
+_NESTED_CELLS = " UNION ALL ".join(f"SELECT day, '{p}' AS path, {k} AS t FROM dated" for p, k in _NESTED_KINDS.items())
+
+
+@register("schema_drift_nested", f"""
+WITH {_RECORDS}, dated AS (SELECT value, try_cast(substring(json_extract_string(value, '$.date'), 1, 10) AS DATE) AS day FROM ok),
+cells AS (SELECT day, path, CASE t WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' ELSE t END AS kind FROM ({_NESTED_CELLS}) c WHERE t <> 'NULL'),
+met AS (SELECT day, path, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds, count(DISTINCT kind) AS k, count(*) AS n FROM cells GROUP BY day, path),
+w AS (SELECT * FROM (VALUES {", ".join(f"('{p}', '{k}')" for p, k in _NESTED_WANT.items())}) t(path, expected)),
+every AS (SELECT day, path FROM (SELECT DISTINCT day FROM dated) d, w UNION SELECT day, path FROM met)
+SELECT every.day, every.path, w.expected, coalesce(met.kinds, '') AS kinds, coalesce(met.n, 0) AS n,
+  CASE WHEN w.expected IS NULL THEN 'extra' WHEN met.k IS NULL THEN 'absent' WHEN met.k > 1 THEN 'mixed' WHEN met.kinds = w.expected THEN 'ok' ELSE 'different' END AS status
+FROM every LEFT JOIN w USING (path) LEFT JOIN met ON met.path = every.path AND met.day IS NOT DISTINCT FROM every.day""")
+def q_schema_drift_nested(spark, sf):
+    """D14 at any depth and per day written in the record: kinds met at every
+    path, array elements included, against the post schema."""
+    from postscope.sources.posts import records_from_text
+
+    day = F.try_to_date(F.substring(F.try_variant_get("v", "$.date", "string"), 1, 10), "yyyy-MM-dd")
+    return P.nested_drift(records_from_text(event_lines(spark, sf)).select("v", day.alias("day")), ["day"])
+
+
 # ---------------------------------------------------------------------------
 # Samples and sketches.
 

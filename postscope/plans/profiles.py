@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postscope.functions.days import parse_ts, utc_day
 from postscope.functions.handles import is_present, normalize_handle
@@ -32,8 +33,19 @@ def has_key(path: str, v: str = "v") -> Column:
     )
 
 
+def _with_content(records: DataFrame) -> DataFrame:
+    """The records with their text as ``content``: the column, or else the text
+    value of that key in ``v`` (records read with ``scan_records``)."""
+    if "content" in records.columns:
+        return records
+    value = F.try_variant_get("v", "$.content", "variant")
+    return records.withColumn("content", F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get("v", "$.content", "string")))
+
+
 def truncation_profile(records: DataFrame) -> DataFrame:
-    """D1 over (content, v): truncated flag, extended text present, ellipsis endings."""
+    """D1 over (content, v) or (v): truncated flag, extended text present,
+    ellipsis endings."""
+    records = _with_content(records)
     truncated = F.coalesce(F.try_variant_get("v", "$.truncated", "boolean"), F.lit(False))
     return records.agg(
         _n().alias("n_posts"),
@@ -46,7 +58,8 @@ def truncation_profile(records: DataFrame) -> DataFrame:
 
 
 def retweet_profile(records: DataFrame) -> DataFrame:
-    """D2 over (content, v): retweets by metadata and by text."""
+    """D2 over (content, v) or (v): retweets by metadata and by text."""
+    records = _with_content(records)
     meta, text = has_key("$.retweeted_status"), is_retweet_text("content")
     return records.agg(
         _n().alias("n_posts"),
@@ -133,30 +146,35 @@ def corrupt_lines(parsed: DataFrame) -> DataFrame:
 KEY_COLUMNS = ["date", "content", "mentionedUsers", "user.username", "user.id"]
 
 
-def json_type_of(v: Column) -> Column:
-    """type name of a VARIANT value: string, integer, number, boolean,
-    object, array, null; ``missing`` when there is no value."""
-    t = F.schema_of_variant(v)
+def json_type_name(kind: Column) -> Column:
+    """type name for the head of a VARIANT's schema (the part before ``<``):
+    string, integer, number, boolean, object, array, null; ``missing`` for null."""
     return (
-        F.when(v.isNull(), F.lit("missing"))
-        .when(F.is_variant_null(v), F.lit("null"))
-        .when(t == "STRING", F.lit("string"))
-        .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("integer"))
-        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), F.lit("number"))
-        .when(t == "BOOLEAN", F.lit("boolean"))
-        .when(t.startswith("OBJECT"), F.lit("object"))
-        .when(t.startswith("ARRAY"), F.lit("array"))
-        .otherwise(F.lower(t))
+        F.when(kind.isNull(), F.lit("missing"))
+        .when(kind == "VOID", F.lit("null"))
+        .when(kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("integer"))
+        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit("number"))
+        .otherwise(F.lower(kind))
     )
 
 
+def kind_of(v: Column) -> Column:
+    """The head of a VARIANT's schema: ``OBJECT``, ``ARRAY``, ``STRING``, ``VOID``, ..."""
+    return F.substring_index(F.schema_of_variant(v), "<", 1)
+
+
+def json_type_of(v: Column) -> Column:
+    """type name of a VARIANT value."""
+    return json_type_name(kind_of(v))
+
+
 def key_column_profile(records: DataFrame, columns=KEY_COLUMNS) -> DataFrame:
-    """Per key column and value type, the number of records."""
+    """Per key column and value type, the number of records. Each value's
+    schema is taken once; the names are given to the groups."""
     cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), json_type_of(F.try_variant_get("v", f"$.{c}", "variant")).alias("type"))
-        for c in columns
-    ])
-    return count_by(records.select(F.inline(cells)), "column", "type")
+        F.struct(F.lit(c).alias("column"), kind_of(F.try_variant_get("v", f"$.{c}", "variant")).alias("kind")) for c in columns])
+    kinds = count_by(records.select(F.inline(cells)), "column", "kind")
+    return kinds.groupBy("column", json_type_name(F.col("kind")).alias("type")).agg(F.sum("n").alias("n"))
 
 
 def identity_consistency(posts: DataFrame) -> DataFrame:
@@ -282,6 +300,93 @@ def schema_drift(records: DataFrame, expected=None) -> DataFrame:
     return obs.select(F.inline(rows)).select("field", "expected", "observed", status.alias("status"))
 
 
+def _paths_of(dtype, path: str = "$") -> dict[str, str]:
+    """Path -> kind of a schema and everything within it, in the words of a
+    VARIANT's schema; array elements are at ``path[]``."""
+    name = dtype.simpleString()
+    if isinstance(dtype, T.StructType):
+        out = {path: "OBJECT"}
+        for f in dtype.fields:
+            out |= _paths_of(f.dataType, f"{path}.{f.name}")
+        return out
+    if isinstance(dtype, T.ArrayType):
+        return {path: "ARRAY"} | _paths_of(dtype.elementType, f"{path}[]")
+    return {path: {"int": "BIGINT"}.get(name, name.upper())}
+
+
+def schema_paths(text: str) -> list[tuple[str, str]]:
+    """(path, kind) of the text of a VARIANT's schema, e.g.
+    ``OBJECT<a: BIGINT, b: ARRAY<STRING>>``. Names other than words are quoted
+    with backticks there."""
+    out, at = [], 0
+
+    def name() -> str:
+        nonlocal at
+        if text[at] != "`":
+            end = text.index(":", at)
+            found, at = text[at:end], end
+            return found
+        end = at + 1
+        while text[end] != "`" or text[end + 1 : end + 2] == "`":
+            end += 1 + (text[end] == "`")
+        found, at = text[at + 1 : end].replace("``", "`"), end + 1
+        return found
+
+    def value(path: str) -> None:
+        nonlocal at
+        end = at
+        while end < len(text) and text[end] not in "<>," or text[at:end].count("(") > text[at:end].count(")"):
+            end += 1
+        kind, at = text[at:end], end
+        out.append((path, kind))
+        if text[at : at + 1] != "<":
+            return
+        at += 1
+        if kind == "ARRAY":
+            value(f"{path}[]")
+        while text[at] != ">":
+            key = name()
+            at += 2  # ": "
+            value(f"{path}.{key}")
+            if text[at] == ",":
+                at += 2  # ", "
+        at += 1
+
+    value("$")
+    return out
+
+
+def nested_drift(records: DataFrame, by=(), expected=None) -> DataFrame:
+    """D14 at any depth: ``path, expected, kinds, n, status`` of every path of the
+    records (``v``) or of the expected schema, per group of ``by``.
+
+    ``kinds`` lists the kinds of values met there (JSON null is none), ``n`` the
+    records with such a value. ``status`` is ``ok``, ``different`` (one kind,
+    another one), ``mixed`` (several kinds), ``absent`` (expected and never met)
+    or ``extra`` (met and not expected). Elements of arrays are at ``path[]``;
+    within one record's array several kinds show as ``VARIANT``. Records are
+    grouped by their whole schema first, so each shape is taken apart once."""
+    from postscope.schema import POST
+
+    by = list(by)
+    want = _paths_of(expected or POST)
+    shapes = records.select(*by, F.schema_of_variant("v").alias("_shape")).groupBy(*by, "_shape").agg(_n().alias("_n"))
+    cells = F.udf(schema_paths, "array<struct<path: string, kind: string>>", useArrow=False)
+    met = shapes.select(*by, "_n", F.inline(cells("_shape"))).groupBy(*by, "path", "kind").agg(F.sum("_n").alias("n"))
+    integers = F.when(F.col("kind").isin("INT", "SMALLINT", "TINYINT"), F.lit("BIGINT")).otherwise(F.regexp_replace("kind", r"\(.*", ""))
+    given = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(None).cast("string").alias("kind"), F.lit(0).cast("long").alias("n")) for p in want])
+    every = met.where(F.col("kind") != "VOID").select(*by, "path", integers.alias("kind"), "n").unionByName(
+        shapes.select(*by).distinct().select(*by, F.inline(given)) if by else records.sparkSession.range(1).select(F.inline(given)))
+    found = every.groupBy(*by, "path").agg(F.array_sort(F.collect_set("kind")).alias("kinds"), F.sum("n").alias("n"))  # a handful of kinds
+    names = F.create_map(*[F.lit(x) for kv in want.items() for x in kv])
+    right = F.try_element_at(names, F.col("path"))
+    one = F.get(F.col("kinds"), 0)
+    status = (
+        F.when(right.isNull(), F.lit("extra")).when(F.size("kinds") == 0, F.lit("absent")).when(F.size("kinds") > 1, F.lit("mixed"))
+        .when(one == right, F.lit("ok")).otherwise(F.lit("different")))
+    return found.select(*by, "path", right.alias("expected"), F.array_join("kinds", ",").alias("kinds"), "n", status.alias("status"))
+
+
 def report(posts: DataFrame, records: DataFrame | None = None, year: int = 2021, k: int = 10,
            sample: int | None = None, seed: int = 42) -> dict[str, DataFrame]:
     """All profiles at once, as lazy DataFrames keyed by name (nothing runs

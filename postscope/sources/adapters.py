@@ -76,6 +76,7 @@ SECOND_SNIPPET_MOD = 37
 # Documents: which ids get an ellipsis ending or a retweet prefix.
 DOC_MOD, DOC_TRUNCATED, DOC_RETWEET = 10, 3, 7
 DOC_EXTRA_RETWEET_MOD = 31
+DOC_REPEAT_MOD = 9
 DOC_LONG_CHARS = 10000
 # Mention lists from lineitem.
 LINE_NULL_NAME, LINE_EMPTY_NAME = 7, 6

@@ -16,7 +16,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +35,7 @@ REASON_INVALID = "invalid_post"
 # Standard JSON only: Spark's reader accepts 'single-quoted' strings and
 # NaN/Infinity by default, which a JSON decoder rejects.
 JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def scan_posts(spark: SparkSession, path, schema=POST) -> DataFrame:
@@ -195,13 +200,27 @@ def scan_records(spark: SparkSession, path) -> DataFrame:
     return records_from_text(scan_lines(spark, path))
 
 
+@contextmanager
+def repeated_keys(spark: SparkSession):
+    """Frames built inside parse VARIANTs by the rule of JSON decoders: of a
+    repeated key the last value counts, at any depth. By default Spark refuses
+    the whole text. The setting is fixed in the parsing expression."""
+    before = spark.conf.get(REPEATED_KEYS)
+    spark.conf.set(REPEATED_KEYS, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(REPEATED_KEYS, before)
+
+
 def records_from_text(lines: DataFrame, column: str = "value") -> DataFrame:
     """One ``VARIANT`` per line that is a single JSON value. The line is parsed
-    within brackets, so text after the value shows. VARIANT has no repeated
-    keys: a line with one is no record (S2 reads it)."""
-    boxed = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
+    within brackets, so text after the value shows. Of a repeated key the last
+    value counts, so no valid line is lost."""
+    with repeated_keys(lines.sparkSession):
+        boxed = lines.select(F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]"))).alias("b"))
     one = F.when(F.try_variant_get("b", "$[1]", "variant").isNull(), F.try_variant_get("b", "$[0]", "variant"))
-    return lines.select(boxed.alias("b")).select(one.alias("v")).where(F.col("v").isNotNull())
+    return boxed.select(one.alias("v")).where(F.col("v").isNotNull())
 
 
 def write_result_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -281,3 +300,36 @@ def partition_by_day(df: DataFrame, day: Column, path: str, mode: str = "overwri
 def scan_lines_partitioned(spark: SparkSession, path, partitions: int) -> DataFrame:
     """The input split into a given number of partitions of lines."""
     return scan_lines(spark, path).repartition(partitions)
+
+
+def scan_line_chunks(spark: SparkSession, path, lines_per_chunk: int) -> DataFrame:
+    """The lines with their place: ``file``, ``block`` (start of the input
+    split in the file), ``chunk`` (of ``lines_per_chunk`` lines, counted from 0
+    in each block), ``line`` (number in the block, from 0) and ``value``.
+
+    A split is read by one task in order, so its lines are numbered as they
+    come, and nothing is shuffled; (file, block, chunk) names a bounded batch
+    of consecutive lines. Split sizes follow ``spark.sql.files.maxPartitionBytes``.
+    Blank lines are left out (S7)."""
+    if lines_per_chunk < 1:
+        raise ValueError("a chunk holds at least one line")
+    place = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = skip_blank_lines(spark.read.text(path).select(*place, "value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, seen = None, 0  # the block of the last line, and its lines so far
+        for batch in batches:
+            files = batch.column("file").dictionary_encode()
+            codes, starts = files.indices.to_numpy(), batch.column("block").to_numpy()
+            first = np.flatnonzero(np.diff(codes, prepend=-1) | np.diff(starts, prepend=-1))
+            sizes = np.diff(first, append=batch.num_rows)
+            number = np.arange(batch.num_rows) - np.repeat(first, sizes)
+            if batch.num_rows:
+                if (files[0].as_py(), int(starts[0])) == at:
+                    number[: sizes[0]] += seen
+                at, seen = (files[-1].as_py(), int(starts[-1])), int(number[-1]) + 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("file"), batch.column("block"), pa.array(number // lines_per_chunk), pa.array(number), batch.column("value")],
+                names=["file", "block", "chunk", "line", "value"])
+
+    return lines.mapInArrow(run, "file string, block long, chunk long, line long, value string")

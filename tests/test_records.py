@@ -1,0 +1,106 @@
+"""Untyped records (S3, D1, D2, D8, D14) and lines by chunk."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from postscope.plans import profiles as P
+from postscope.sources import posts as S
+
+
+def _records(spark, *lines):
+    return S.records_from_text(spark.createDataFrame([(x,) for x in lines], "value string"))
+
+
+def test_no_valid_line_vanishes(spark):
+    lines = ['{"a":1,"a":"x"}', '{"b":{"c":1,"c":[2],"d":3}}', '{"a":1}', "[1]", "5", '{"a":1} x', "{", ""]
+    got = [r[0] for r in _records(spark, *lines).select(F.to_json("v")).collect()]
+    assert got == ['{"a":"x"}', '{"b":{"c":[2],"d":3}}', '{"a":1}', "[1]", "5"]
+    assert spark.conf.get(S.REPEATED_KEYS) == "false"  # the session's own rule is back
+    assert spark.createDataFrame([('{"a":1,"a":2}',)], "s string").select(F.try_parse_json("s").isNull()).first()[0]
+
+
+def test_profiles_straight_from_a_path(spark, write_posts):
+    path = write_posts(['{"content":"RT @x: hi \u2026","truncated":true,"extended_tweet":{"n":1}}', '{"content":"a","content":"b \u2026"}',
+                        '{"content":5,"retweeted_status":{"id":1}}', '{"retweeted_status":null}'])
+    d1 = P.truncation_profile(S.scan_records(spark, path)).first()
+    assert (d1.n_posts, d1.n_truncated, d1.n_extended, d1.n_ellipsis) == (4, 1, 1, 2)
+    d2 = P.retweet_profile(S.scan_records(spark, path)).first()
+    assert (d2.n_posts, d2.n_retweet_meta, d2.n_retweet_text) == (4, 1, 1)
+    with_column = S.scan_records(spark, path).withColumn("content", F.lit("RT @own: text"))
+    assert P.retweet_profile(with_column).first().n_retweet_text == 4
+
+
+def test_type_names(spark):
+    rows = _records(spark, '{"x":1}', '{"x":1.5}', '{"x":"s"}', '{"x":true}', '{"x":null}', '{"x":[1]}', '{"x":{"y":1}}', "{}", '{"x":1e300}')
+    got = {(r.type, r.n) for r in P.key_column_profile(rows, ["x"]).collect()}
+    assert got == {("integer", 1), ("number", 2), ("string", 1), ("boolean", 1), ("null", 1), ("array", 1), ("object", 1), ("missing", 1)}
+
+
+@pytest.mark.parametrize("text, paths", [
+    ("BIGINT", [("$", "BIGINT")]),
+    ("OBJECT<>", [("$", "OBJECT")]),
+    ("ARRAY<ARRAY<DECIMAL(3,1)>>", [("$", "ARRAY"), ("$[]", "ARRAY"), ("$[][]", "DECIMAL(3,1)")]),
+    ("OBJECT<a: OBJECT<b: VOID>, `c, d``>`: STRING>", [("$", "OBJECT"), ("$.a", "OBJECT"), ("$.a.b", "VOID"), ("$.c, d`>", "STRING")]),
+])
+def test_schema_paths(text, paths):
+    assert P.schema_paths(text) == paths
+
+
+def test_schema_paths_read_what_spark_writes(spark):
+    line = '{"plain":1,"with space":{"a`b":[{"x":1.5},{"x":null}]},"<>":"s","":true,"é":[]}'
+    text = _records(spark, line).select(F.schema_of_variant("v")).first()[0]
+    paths = dict(P.schema_paths(text))
+    assert paths["$.plain"] == "BIGINT" and paths["$.with space.a`b[].x"].startswith("DECIMAL") and paths["$.<>"] == "STRING"
+    assert paths["$."] == "BOOLEAN" and paths["$.é[]"] == "VOID"
+
+
+def test_nested_drift(spark):
+    rows = _records(
+        spark, '{"id":1,"date":"d","user":{"id":"7","username":"u"},"mentionedUsers":[{"username":"m"},{"username":5}]}',
+        '{"id":2,"user":{"id":8,"username":null,"extra":{"deep":[1]}},"mentionedUsers":[]}', '{"id":"x","user":"str","mentionedUsers":null}')
+    got = {r.path: (r.kinds, r.n, r.status) for r in P.nested_drift(rows).collect()}
+    assert got == {
+        "$": ("OBJECT", 3, "ok"), "$.id": ("BIGINT,STRING", 3, "mixed"), "$.date": ("STRING", 1, "ok"), "$.content": ("", 0, "absent"),
+        "$.user": ("OBJECT,STRING", 3, "mixed"), "$.user.id": ("BIGINT,STRING", 2, "mixed"), "$.user.username": ("STRING", 1, "ok"),
+        "$.user.extra": ("OBJECT", 1, "extra"), "$.user.extra.deep": ("ARRAY", 1, "extra"), "$.user.extra.deep[]": ("BIGINT", 1, "extra"),
+        "$.mentionedUsers": ("ARRAY", 2, "ok"), "$.mentionedUsers[]": ("OBJECT", 1, "ok"), "$.mentionedUsers[].username": ("VARIANT", 1, "different")}
+    none = P.nested_drift(rows.limit(0)).collect()
+    assert {r.status for r in none} == {"absent"} and len(none) == 10
+
+
+def test_nested_drift_per_group(spark):
+    rows = _records(spark, '{"id":1}', '{"id":"x"}', '{"id":2}').select("v", F.when(F.try_variant_get("v", "$.id", "string") == "x", "b").otherwise("a").alias("g"))
+    got = {(r.g, r.path): r.status for r in P.nested_drift(rows, ["g"]).collect()}
+    assert got["a", "$.id"] == "ok" and got["b", "$.id"] == "different" and got["b", "$.user"] == "absent" and len(got) == 20
+
+
+def test_line_chunks(spark, tmp_path):
+    for i, n in enumerate((25, 0, 10, 1)):
+        with open(tmp_path / f"f{i}.txt", "w") as f:
+            f.writelines(f"{i}-{k}\n\n" for k in range(n))
+    df = S.scan_line_chunks(spark, str(tmp_path), 10)
+    rows = df.collect()
+    assert {r.value: (os.path.basename(r.file), r.block, r.chunk, r.line) for r in rows} == {
+        f"{i}-{k}": (f"f{i}.txt", 0, k // 10, k) for i, n in enumerate((25, 0, 10, 1)) for k in range(n)}
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        S.scan_line_chunks(spark, str(tmp_path), 0)
+
+
+def test_line_chunks_of_several_splits(spark, tmp_path):
+    """Blocks of one file number their own lines; together they are all lines."""
+    with open(tmp_path / "long.txt", "w") as f:
+        f.writelines(f"line {k:06d}\n" for k in range(20000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        df = S.scan_line_chunks(spark, str(tmp_path / "long.txt"), 1000)
+        blocks = df.groupBy("block").agg(F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.max("chunk").alias("c")).collect()
+        assert len(blocks) > 3 and all(r.a == 0 and r.b == r.n - 1 and r.c == (r.n - 1) // 1000 for r in blocks)
+        assert sum(r.n for r in blocks) == 20000
+        ordered = [r.value for r in df.orderBy("block", "line").collect()]
+        assert ordered == sorted(ordered)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
