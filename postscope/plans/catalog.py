@@ -69,3 +69,4 @@ from postscope.plans import catalog_questions  # noqa: E402,F401
 from postscope.plans import catalog_profiles  # noqa: E402,F401
 from postscope.plans import catalog_files  # noqa: E402,F401
 from postscope.plans import catalog_summaries  # noqa: E402,F401
+from postscope.plans import catalog_parity  # noqa: E402,F401
