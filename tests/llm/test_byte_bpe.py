@@ -1,14 +1,17 @@
 import base64
 import hashlib
+from functools import lru_cache
 
 import public_tokenizers as P
 import tiktoken
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from postscope.llm import byte_bpe
 from postscope.llm.queries import QUERIES, vocabulary
 
 
+@lru_cache
 def reference():
     with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -49,3 +52,33 @@ def test_split_characters_decode_to_their_bytes(spark):
     first = byte_bpe.decode(ids.withColumn("ids", F.slice("ids", 1, 1)), *vocabulary()).first()
     whole = byte_bpe.decode(ids, *vocabulary()).first()
     assert whole.text == "\U0001F680" and bytes(whole.data).startswith(bytes(first.data)) and "�" in first.text
+
+
+def test_the_named_rank_table_is_the_vocabulary():
+    """The vocabulary file has the ids of ``byte_bpe_50k.tiktoken``, token by token."""
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    codec = byte_bpe.Codec(*vocabulary())
+    assert {b: i for i, b in enumerate(codec.bytes) if i in set(ranks.values())} == ranks
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text() | st.text("ab <|endofx>'s\n\t19é中\U0001F680"), max_size=6))
+def test_any_text_encodes_as_tiktoken_does(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    codec, enc = byte_bpe.codec(*vocabulary()), reference()
+    want = [enc.encode_ordinary(t) for t in texts]
+    assert codec.encode(texts) == want
+    n, ids, data = codec.digests(texts)
+    assert n == [len(w) for w in want]
+    assert ids == [hashlib.sha256(" ".join(map(str, w)).encode()).hexdigest() for w in want]
+    assert data == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
+def test_remembered_pieces_are_bounded():
+    codec = byte_bpe.Codec(*vocabulary(), limit=10, chars=1000)
+    enc = reference()
+    for k in range(50):
+        text = f"word{k} another{k} " + "x" * (k * 40)
+        assert codec.encode([text, ""]) == [enc.encode_ordinary(text), []]
+        assert len(codec.pieces) <= 20
