@@ -7,7 +7,7 @@ from postscope.llm import line_dedup as L
 from postscope.llm.queries import QUERIES
 
 
-def brute(rows, percent=85, k=5):
+def brute(rows, percent=80, k=5):
     """Dropped lines per id, from all pairs of lines with a common shingle."""
     places = defaultdict(list)
     for i, t in rows:
