@@ -121,6 +121,22 @@ def q_run_event(spark, sf):
         F.col("metrics")["unique_emojis"].alias("unique_emojis"), *map(lines, ("malformed_json", "not_an_object", "invalid_post")))
 
 
+@register("run_event_integrity", f"""
+WITH l AS ({A.EVENTS_LENIENT_SQL}), x AS (SELECT value FROM ({A.EVENTS_LINES_SQL}) y WHERE NOT regexp_full_match(value, '[ \\t\\r\\n]*'))
+SELECT 'q1_time_execution' AS event, (SELECT count(DISTINCT {A.sql_utc_day()}) FROM l)::DOUBLE AS total_dates,
+  (SELECT count(*) FROM x)::DOUBLE AS n_posts, (SELECT count(*) FROM x)::DOUBLE - (SELECT count(date) FROM l) AS null_dates,
+  (SELECT count(*) FROM l WHERE date IS NOT NULL AND {A.sql_utc_ts()} IS NULL)::DOUBLE AS bad_dates,
+  (SELECT count(*) FROM x)::DOUBLE - (SELECT count("user") FROM l) AS null_users, 0.0::DOUBLE AS empty_usernames""")
+def q_run_event_integrity(spark, sf):
+    """O2 + D13: a logged run with the integrity counters of its posts, counted
+    by the job that answers."""
+    from postscope.plans.registry import run_logged
+
+    _, event = run_logged(spark, "q1", "time", f"{stage_lines(spark, sf, 'run_integrity')}/input", K, integrity=True)
+    names = ("total_dates", "n_posts", "null_dates", "bad_dates", "null_users", "empty_usernames")
+    return event.select("event", *(F.col("metrics")[n].alias(n) for n in names))
+
+
 @register("file_arrival_answers", f"""
 WITH d AS (SELECT line_no % {A.STAGED_PARTS} AS part, {A.sql_utc_day()} AS date, {USERNAME} AS author FROM ({A.EVENTS_LENIENT_SQL}) l),
 pairs AS (SELECT part, date, author, count(*) AS n FROM d WHERE date IS NOT NULL GROUP BY ALL),

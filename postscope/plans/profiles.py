@@ -16,7 +16,7 @@ from postscope.functions.days import parse_ts, utc_day
 from postscope.functions.handles import is_present, normalize_handle
 from postscope.functions.text import (
     any_null_in_list, ends_with_ellipsis, is_complex_token, is_retweet_text, mentions_in_text,
-    meta_mention_set, outside_year,
+    meta_mention_set,
 )
 from postscope.operators.aggregate import count_by, quantile, ratio, ties_at_cutoff, top_k
 from postscope.operators.extract import emoji_tokens
@@ -222,10 +222,10 @@ def emoji_complexity(posts: DataFrame, definition: str = "grapheme", top: int =
 def time_range(posts: DataFrame, year: int = 2021) -> DataFrame:
     """First and last UTC day, posts outside ``year`` (an
     unparsable date counts as outside)."""
-    return posts.select(utc_day(parse_ts("date")).alias("d"), outside_year("date", year).alias("o")).agg(
+    return posts.select(utc_day(parse_ts("date")).alias("d")).agg(
         F.min("d").alias("first_day"),
         F.max("d").alias("last_day"),
-        F.count_if("o").alias("n_outside_year"),
+        F.count_if(F.coalesce(F.year("d") != year, F.lit(True))).alias("n_outside_year"),
     )
 
 

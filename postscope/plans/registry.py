@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from postscope.operators.aggregate import top_k
 from postscope.plans import questions as Q
 from postscope.plans.events import append_event, event_frame
+from postscope.plans.profiles import observe_integrity
 from postscope.sources.posts import REASON_INVALID, REASON_MALFORMED, REASON_NOT_OBJECT, scan_posts, scan_posts_strict
 
 QUESTIONS = {
@@ -69,11 +70,13 @@ def _observed(question: str, strategy: str, posts: DataFrame, k: int) -> tuple[D
 
 
 def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time", path=None,
-               k: int = 10, log_path: str | None = None) -> tuple[list, DataFrame]:
+               k: int = 10, log_path: str | None = None, integrity: bool = False) -> tuple[list, DataFrame]:
     """O1-O3 around T2: the answer rows and the run's event (one row): context
     (file, question, strategy), steps, metrics (output rows and the
-    question's key count) and rejected lines by reason as errors. A failure is
-    recorded as an error event and raised."""
+    question's key count) and rejected lines by reason as errors. With
+    ``integrity`` the metrics also hold the integrity counters (D13) of the posts
+    that the question runs on; the same job counts them, but reads all fields of
+    the posts for it. A failure is recorded as an error event and raised."""
     marks = [("start", time.perf_counter())]
     context = {"file_path": path, "question": question, "strategy": strategy}
     metrics, errors, rows, failure = {}, [], [], None
@@ -90,11 +93,14 @@ def run_logged(spark: SparkSession, question: str = "q1", strategy: str = "time"
             posts = parsed.where(F.col("reject_reason").isNull())
         else:
             posts = scan_posts(spark, path)
+        counters = None
+        if integrity:
+            posts, counters = observe_integrity(posts, f"{question}_integrity")
         frame, keys = _observed(question, strategy, posts, k)
         marks.append(("build_query_plan", time.perf_counter()))
         rows = frame.collect()
         marks.append(("execution_collect", time.perf_counter()))
-        metrics = {**keys.get, "output_rows": len(rows)}
+        metrics = {**keys.get, "output_rows": len(rows), **(counters.get if counters else {})}
         if rejects is not None:
             errors = [(reason, f"{n} lines rejected", n) for reason, n in sorted(rejects.get.items()) if n]
     except Exception as e:  # recorded, then raised below

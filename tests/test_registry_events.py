@@ -110,3 +110,12 @@ def test_strict_lines_judged_per_question(spark, write_posts):
         '\t{"content":"%s"}' % e, '{"content":"%s"} trailing' % e, "\t ", '{"content":"%s"}{"content":"%s"}' % (e, e),
     ])
     assert [tuple(r) for r in registry.run(spark, "q2", "memory", p).collect()] == [(e, 5)]
+
+
+def test_event_with_integrity_counters(spark, write_posts):
+    path = write_posts([post("2021-02-12T10:00:00Z", "a"), post("no date", ""), post(None, None, "x"), "broken"])
+    rows, event = registry.run_logged(spark, "q1", "time", path, integrity=True)
+    plain_rows, plain = registry.run_logged(spark, "q1", "time", path)
+    metrics = event.first().metrics
+    assert rows == plain_rows and "n_posts" not in plain.first().metrics
+    assert (metrics["n_posts"], metrics["bad_dates"], metrics["null_dates"], metrics["empty_usernames"], metrics["total_dates"]) == (4, 1, 2, 1, 1)
