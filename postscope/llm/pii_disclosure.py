@@ -38,12 +38,15 @@ TERM = "term"
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
 
 # The base patterns. A separator inside a run is first replaced
-# by U+0001 (same length), so runs of any length match without backtracking;
+# by U+0001 (same length), so that runs match without nested repeats;
 # U+0001 in the text itself reads as U+0002, which no pattern knows either.
+# A match that begins with a run begins where the run does (or where the last
+# match ended), and gives nothing of it back: long runs are read once.
 JOINT = "\x01"
 DOT = r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])"
-EMAIL = f"[A-Za-z0-9._%+{JOINT}-]+@[A-Za-z0-9-]+{JOINT}[A-Za-z0-9{JOINT}-]*"
-IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+LOCAL = f"[A-Za-z0-9._%+{JOINT}-]"
+EMAIL = f"(?:(?<!{LOCAL})|\\G){LOCAL}++@[A-Za-z0-9-]++{JOINT}[A-Za-z0-9{JOINT}-]*+"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 GAP = r"(?<=[0-9])[\x20-](?=[0-9])"
 CARD = f"[0-9{JOINT}]{{13,}}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -59,21 +62,36 @@ class Settings:
 
 
 def located(text: Column, pattern: str | Column) -> Column:
-    """(start, end, value) of the leftmost non-overlapping matches."""
+    """(start, end, value) of the leftmost non-overlapping matches. Positions add
+    up within blocks of about the square root of the number of matches, and over
+    the blocks, as an array that grows is copied at every step."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found,
                         lambda gap, value: F.struct(F.length(gap).cast("long").alias("gap"), value.alias("value")))
     step = "struct<at:bigint,out:" + SPAN + ">"
-    return F.aggregate(
-        pieces, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out")).cast(step),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["value"])).cast("long").alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["gap"]).cast("long").alias("start"),
-                (acc["at"] + x["gap"] + F.length(x["value"])).cast("long").alias("end"),
-                x["value"].alias("value"))).cast(SPAN)).alias("out")).cast(step),
-        lambda acc: acc["out"])
+    zero = F.lit(0).cast("long")
+
+    def block(rows: Column, at: Column) -> Column:
+        return F.aggregate(
+            rows, F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")).cast(step),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + F.length(x["value"])).cast("long").alias("at"),
+                F.concat(acc["out"], F.array(F.struct(
+                    (acc["at"] + x["gap"]).cast("long").alias("start"),
+                    (acc["at"] + x["gap"] + F.length(x["value"])).cast("long").alias("end"),
+                    x["value"].alias("value"))).cast(SPAN)).alias("out")).cast(step),
+            lambda acc: acc["out"])
+
+    def in_blocks(rows: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(rows))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / size).cast("int")), lambda b: F.slice(rows, b * size + 1, size))
+        lengths = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda n, x: (n + x["gap"] + F.length(x["value"])).cast("long")))
+        starts = F.aggregate(lengths, F.array(zero), lambda out, n: F.concat(out, F.array((F.element_at(out, -1) + n).cast("long"))))
+        return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(lengths)), block))
+
+    # the one element of an array: the matches are found once
+    return F.transform(F.array(pieces), lambda rows: F.when(F.size(rows) <= 64, block(rows, zero)).otherwise(in_blocks(rows)))[0]
 
 
 def digits(value: Column) -> Column:
