@@ -12,9 +12,10 @@ ever making all pairs of a large group:
    of one chunk, testing only pairs that share a key and are not connected
    yet;
 3. where one cluster has several chunks, two unconnected items of different
-   chunks may still pass the test. At least one of them is outside the
-   cluster's largest component, so those items visit every chunk with an item
-   that shares a key and is in another component, and are tested there.
+   chunks may still pass the test. They meet again by the keys that
+   unconnected items share, which are few: once for all such keys with the
+   same least item (a family). A family of more than ``CHUNK`` items is dealt
+   into blocks, and its items outside its largest component visit every block.
 
 Connectivity is exact: every pair that shares a key is either tested or
 already connected.
@@ -262,26 +263,33 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
     if split.isEmpty():
         return found
 
-    label = split.join(found, "node", "left").select("node", "cluster", "chunk", F.coalesce("root", "node").alias("label"))
-    # the items of these clusters only, with where they are
-    some = scratch.write(items.join(label, "node"))
-    label = some.select("node", "cluster", "chunk", "label")
-    by_size = label.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    largest = by_size.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-    seen = some.select("node", "cluster", "chunk", "label", F.explode("keys").alias("key"))
-    # another component is there where its least or its greatest label differs
-    present = seen.groupBy(F.bitwise_not("key").alias("k"), F.col("chunk").alias("to")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    asking = seen.select(F.bitwise_not("key").alias("k"), F.bitwise_not("cluster").alias("c"), "node", "cluster", "chunk", "label").join(
-        largest.select(F.bitwise_not("cluster").alias("c"), "largest"), "c").where("label <> largest")
-    visits = scratch.write(asking.join(present, "k").where("`to` <> chunk and (low <> label or high <> label)").select("node", "cluster", "to").distinct())
-    if visits.isEmpty():
-        return found
-    crowd = visits.groupBy("cluster", "to").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("parts"))
-    hosts = label.join(crowd.withColumnRenamed("to", "chunk"), ["cluster", "chunk"]).select(
-        "node", "cluster", "chunk", "label", F.lit(False).alias("visitor"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    guests = visits.join(crowd, ["cluster", "to"]).join(label.select("node", "label"), "node").select(
-        "node", "cluster", F.col("to").alias("chunk"), "label", F.lit(True).alias("visitor"), F.pmod(F.xxhash64("node"), "parts").alias("part"))
-    rows = hosts.unionByName(guests).join(some.select("node", "keys", *payload), "node").select(
-        "cluster", "chunk", "part", "node", "keys", "label", "visitor", *payload)
-    more = scratch.write(_verify(rows, ["cluster", "chunk", "part"], payload, make))
+    label = split.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("label"))
+    some = scratch.write(items.join(label, "node"))  # the items of these clusters only
+    seen = some.select("node", "label", F.explode("keys").alias("key"))
+    # Keys with items that aren't connected yet, one of those with the same items.
+    # Keys with the same least item are a family: most of an item's keys are in few.
+    mixed = (seen.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"),
+                                     F.min("node").alias("family"), F.bit_xor(F.xxhash64("node")).alias("who"))
+             .where("low <> high").groupBy("family", "who", "n", "low", "high").agg(F.min("key").alias("key")).select("key", "family"))
+    asked = scratch.write(seen.join(mixed, "key").groupBy("family", "node", "label").agg(F.collect_list("key").alias("keys")))
+    by_size = asked.groupBy("family", "label").agg(F.count("*").alias("n"))
+    families = by_size.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    large = scratch.write(families.where(F.col("n") > CHUNK).select(
+        "family", "largest", F.ceil(F.col("n") / CHUNK).cast("long").alias("parts"), F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("long").alias("crowds")))
+    dealt = asked.join(large, "family", "left")
+    none = F.lit(0).cast("long")
+    groups = asked.count() // CHUNK + 1
+    # small families, about CHUNK rows of them at once
+    small = dealt.where("parts is null").select(
+        F.pmod(F.xxhash64("family"), F.lit(groups)).alias("group"), F.lit(-1).cast("long").alias("part"), none.alias("crowd"),
+        "node", "keys", "label", F.lit(False).alias("visitor"))
+    # the others in blocks; what is outside the largest component of its family visits all of them
+    dealt = dealt.where("parts is not null").withColumn("group", F.col("family"))
+    hosts = dealt.select("group", F.pmod(F.xxhash64("node"), "parts").alias("part"), F.explode(F.sequence(none, F.col("crowds") - 1)).alias("crowd"),
+                         "node", "keys", "label", F.lit(False).alias("visitor"))
+    guests = dealt.where("label <> largest").select(
+        "group", F.explode(F.sequence(none, F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("node", F.lit(1)), "crowds").alias("crowd"),
+        "node", "keys", "label", F.lit(True).alias("visitor"))
+    rows = small.unionByName(hosts).unionByName(guests).join(some.select("node", *payload), "node")
+    more = scratch.write(_verify(rows, ["group", "part", "crowd"], payload, make))
     return components(scratch, links.union(more))
