@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postscope.llm.common import arrow_map, texts
+from postscope.llm.common import arrow_map, per_task, texts
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -155,18 +155,15 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def with_codec(path: str, pattern: str, fn: Callable[[Codec, pa.RecordBatch], pa.RecordBatch], rows: int = 128):
-    """``fn`` over slices of the batches; what it remembers ends with the task."""
+    """``fn`` over slices of the batches; the codec ends with the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        try:
-            for batch in batches:
-                for at in range(0, batch.num_rows, rows):
-                    yield fn(c, batch.slice(at, rows))
-        finally:
-            c.forget()
-
-    return run
+        c = Codec(path, pattern)
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield fn(c, batch.slice(at, rows))
+
+    return per_task(run)
 
 
 def _lists(rows: Sequence, kind: pa.DataType) -> pa.ListArray:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.common import Scratch, mix
+from postscope.llm.common import Scratch, mix, per_task
 
 CHUNK = 400
 LEADERS = 8
@@ -61,7 +61,7 @@ def forest(edges: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes[at : at + 50_000], type=pa.int64()), pa.array(roots[at : at + 50_000], type=pa.int64())], names=["a", "b"])
 
-    return edges.select("a", "b").mapInArrow(run, "a long, b long").where("a <> b")
+    return edges.select("a", "b").mapInArrow(per_task(run), "a long, b long").where("a <> b")
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callabl
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select(*group, "node", "keys", "label", "visitor", *payload).repartition(parts, *group)
-    return dealt.sortWithinPartitions(*group, "visitor", "node").mapInArrow(run, "a long, b long")
+    return dealt.sortWithinPartitions(*group, "visitor", "node").mapInArrow(per_task(run), "a long, b long")
 
 
 def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
@@ -229,9 +229,9 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
             if len(edges):
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(edges[:, i])) for i in (0, 1)], names=["a", "b"])
 
-    local = postings.select("key", "node").mapInArrow(combine, "key long, node long")
+    local = postings.select("key", "node").mapInArrow(per_task(combine), "key long, node long")
     parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(reduce, "a long, b long")
+    return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(per_task(reduce), "a long, b long")
 
 
 def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],

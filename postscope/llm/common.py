@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,6 +24,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Hand what a finished task used back to the system: Python workers live
+    on for later tasks of any kind, and their allocators keep freed memory."""
+    del _powers[:]
+    _powers.extend([np.ones(1, dtype=np.uint64)] * 2)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
+def per_task(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, then ``give_back``."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema, rows: int = ROWS) -> DataFrame:
     """Apply ``fn`` to slices of at most ``rows`` rows of every Arrow batch."""
 
@@ -31,7 +55,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
             for at in range(0, batch.num_rows, rows):
                 yield fn(batch.slice(at, rows))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(per_task(run), schema)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postscope.llm.clusters import components, link, stars
-from postscope.llm.common import Scratch, mix, texts, word_hashes
+from postscope.llm.common import Scratch, mix, per_task, texts, word_hashes
 
 #: Odd multipliers, one per place in a shingle, and seeds of the further orders.
 PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -121,7 +121,7 @@ def members(docs: DataFrame, settings: Settings, text: str = "text") -> DataFram
             yield counted()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("__text")).mapInArrow(
-        run, "doc_id long, n long, key long, counted boolean")
+        per_task(run), "doc_id long, n long, key long, counted boolean")
 
 
 PACKED = "to int, back boolean, sigs binary, ns binary, counts binary, tokens binary, often binary"
@@ -203,7 +203,7 @@ def dealt(docs: DataFrame, hot: np.ndarray, ranges: int, settings: Settings, tex
         if sets:
             yield packed()
 
-    return docs.select(F.col(text).alias("__text")).mapInArrow(run, PACKED)
+    return docs.select(F.col(text).alias("__text")).mapInArrow(per_task(run), PACKED)
 
 
 def _runs(sorted_values: np.ndarray):
@@ -268,7 +268,7 @@ def counted(packed: DataFrame, ranges: int) -> DataFrame:
             if out:
                 yield _rows(out)
 
-    return packed.mapInArrow(run, PACKED)
+    return packed.mapInArrow(per_task(run), PACKED)
 
 
 def survivors(back: DataFrame, settings: Settings) -> DataFrame:
@@ -311,7 +311,7 @@ def survivors(back: DataFrame, settings: Settings) -> DataFrame:
                 pa.array([t[: k[i]].view(np.int64) for t, i in zip(own, mine, strict=True)], type=pa.list_(pa.int64()))],
                 names=["node", "n", "k", "tokens", "keys"])
 
-    return back.mapInArrow(run, "node long, n long, k long, tokens binary, keys array<long>")
+    return back.mapInArrow(per_task(run), "node long, n long, k long, tokens binary, keys array<long>")
 
 
 def test(percent: int) -> Callable[[dict], Callable[[int, int], bool]]:
