@@ -234,6 +234,105 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
     return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(per_task(reduce), "a long, b long")
 
 
+def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the nodes of each key as far as their marks are alike;
+    a key of more than ``CHUNK`` nodes is connected whole. Rows in order of the key."""
+    n = len(key)
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(first, append=n)
+    root, whole = np.arange(n), np.repeat(size > CHUNK, size)
+    root[whole] = np.repeat(first, size)[whole]
+    at, step, pairs = np.flatnonzero(~whole), 0, []
+    while len(at):
+        step += 1
+        at = at[at + step < n]
+        at = at[key[at + step] == key[at]]
+        hit = at[alike(mark[at], mark[at + step])]
+        pairs.append((hit, hit + step))
+    a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.empty(0, dtype=np.int64) for i in (0, 1))
+    while True:
+        low, before = np.minimum(root[a], root[b]), root.copy()
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    spoke = root != np.arange(n)
+    return node[spoke], node[root[spoke]]
+
+
+def alike_stars(postings: DataFrame, alike: Callable[[np.ndarray, np.ndarray], np.ndarray], flush: int = 1_000_000, most: int = 64) -> DataFrame:
+    """Edges (a, b) that connect all nodes with a common key and alike marks,
+    directly or through others.
+
+    ``postings``: key long, node long, mark long; ``alike`` tells which of two
+    arrays of marks (uint64) may belong to similar nodes and must hold where
+    either is 0. Connecting too much is harmless, so hot keys aren't compared: a
+    task sends one node, marked 0, of a key with more than ``most`` nodes there
+    (per ``flush`` postings), and a reducer connects a key of more than
+    ``CHUNK`` nodes whole, holding no more than a batch beside them."""
+
+    def ordered(key, node, mark):  # by key and node, each pair once, mark 0 first
+        order = np.lexsort((mark != 0, node, key))
+        key, node, mark = key[order], node[order], mark[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.empty(0, dtype=bool)
+        return key[new], node[new], mark[new]
+
+    def rows(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["key", "node", "mark"])
+
+    def combine(batches):
+        parts, held = [], 0
+
+        def out():
+            key, node, mark = ordered(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(first, append=len(key))
+            hot = np.repeat(size > most, size)
+            yield rows(key[~hot], node[~hot], mark[~hot])
+            if hot.any():
+                heads, centre = first[size > most], np.repeat(node[first], size)
+                spoke = hot & (node != centre)
+                a, b = node[spoke], centre[spoke]
+                own = mix(mix(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)  # an edge goes on as two nodes of a key of its own
+                none = np.zeros(len(heads) + 2 * len(a), dtype=np.uint64)
+                yield rows(*ordered(np.r_[key[heads], own, own], np.r_[node[heads], a, b], none))
+
+        for batch in batches:
+            parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)))
+            held += batch.num_rows
+            if held >= flush:
+                yield from out()
+                parts, held = [], 0
+        if held:
+            yield from out()
+
+    def reduce(batches):  # in order of the key
+        def edges(a, b):
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+            key, node, mark = now if held is None else (np.r_[x, y] for x, y in zip(held, now, strict=True))
+            end = np.searchsorted(key, key[-1])  # the last key may go on
+            if end:
+                yield edges(*_ties(*ordered(key[:end], node[:end], mark[:end]), alike))
+            held = ordered(key[end:], node[end:], mark[end:])
+            if len(held[0]) > CHUNK:
+                yield edges(*_ties(*held, alike))
+                held = held[0][:1], held[1][:1], np.zeros(1, dtype=np.uint64)
+        if held is not None:
+            yield edges(*_ties(*held, alike))
+
+    schema = "key long, node long, mark long"
+    local = postings.select("key", "node", "mark").mapInArrow(per_task(combine), schema)
+    parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(per_task(reduce), "a long, b long")
+
+
 def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
          make: Callable[[dict], Callable[[int, int], bool]]) -> DataFrame:
     """(node, root) of items connected by similar pairs that share a key.

@@ -4,11 +4,13 @@ Every line with a visible character takes part, stripped of white space at its
 ends. Lines link when the Jaccard similarity of their sets of
 ``Settings.shingle``-character shingles is at least ``percent`` / 100; equal
 lines always do. One-permutation MinHash signatures with densified empty bins
-are cut into bands; lines that share a band are candidates (at the threshold
-``1 - (1 - s ** rows) ** bands`` of them, 0.998 with the defaults), tested by
-exact Jaccard and united by distributed union-find (``clusters``). Of each
-component one occurrence stays: the first by (doc_id, null last; row key;
-line number).
+are cut into bands; lines that share a band (at the threshold
+``1 - (1 - s ** rows) ** bands`` of them, 0.999 with the defaults) are
+candidates unless their marks (one bit per bin, and the size of short lines)
+rule that out, which they wrongly do for about 1 of 5,000 pairs at the
+threshold. Candidates are tested by exact Jaccard and united by distributed
+union-find (``clusters``). Of each component one occurrence stays: the first
+by (doc_id, null last; row key; line number).
 
 Rows are addressed by a hash of (doc_id, text), so null and repeated ids are
 fine; rows that repeat id and text are the same occurrence and keep the same
@@ -31,20 +33,28 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.clusters import components, link, stars
+from postscope.llm.clusters import alike_stars, components, link
 from postscope.llm.common import Scratch, arrow_map, mix, texts
 
 SPACES = " \t\n\v\f\r"
 PLACES = (mix(np.arange(101, 133, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 EMPTY = np.uint32(0xFFFFFFFF)
 
+# A line's mark: 56 bits, one per bin; a flag (few bins were filled, the bits say little);
+# 7 bits of size class (of lines with fewer than ``KNOWN`` windows).
+BITS = 56
+FILLED = 44  #: least filled bins for bits that count
+KNOWN = 128
+UNKNOWN = 127
+STEP = np.log(1.05)  #: width of a size class
+
 
 @dataclass(frozen=True)
 class Settings:
     shingle: int = 5
     percent: int = 80
-    rows: int = 5
-    bands: int = 17
+    rows: int = 4
+    bands: int = 13
 
 
 def line_hash(line: str) -> int:
@@ -57,9 +67,9 @@ def lines_of(text: str) -> list[tuple[int, str]]:
     return [(i, s) for i, x in enumerate(text.split("\n")) if (s := x.strip(SPACES))]
 
 
-def band_keys(lines: list[str], settings: Settings) -> np.ndarray:
-    """One row of band keys per line; lines must have a shingle."""
-    k, bins = settings.shingle, settings.rows * settings.bands
+def band_keys(lines: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """One row of band keys, and the mark, of every line; lines must have a shingle."""
+    k, bins = settings.shingle, max(settings.rows * settings.bands, BITS)
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     n = len(chars) - k + 1
@@ -75,11 +85,20 @@ def band_keys(lines: list[str], settings: Settings) -> np.ndarray:
     last = np.cumsum(sizes)[:-1]
     for j in range(1, k):
         row[last - j] = len(lines) * bins
+    size = np.full(len(lines), UNKNOWN)
+    small = np.flatnonzero(sizes - k + 1 < KNOWN)
+    if len(small):
+        windows = sizes[small] - k + 1
+        of = np.repeat(small, windows)
+        at = np.arange(len(of)) + np.repeat(np.r_[0, np.cumsum(sizes)][small] - np.cumsum(windows) + windows, windows)
+        different = np.unique(of.astype(np.uint64) << np.uint64(32) | total[at]) >> np.uint64(32)
+        size[small] = np.floor(np.log(np.bincount(different.astype(np.int64), minlength=len(lines))[small]) / STEP)
     row += ((total >> np.uint32(16)) * np.uint32(bins) >> np.uint32(16)).view(np.int32)
     least = np.full((len(lines) + 1) * bins, EMPTY)
     np.minimum.at(least, row, total)
     least = least.reshape(-1, bins)[:-1]
     filled = least != EMPTY
+    few = filled.sum(axis=1) * BITS < FILLED * bins
     row, column = np.nonzero(~filled)
     attempt = 0
     while len(row):  # an empty bin takes another's value, along a fixed random path
@@ -88,11 +107,49 @@ def band_keys(lines: list[str], settings: Settings) -> np.ndarray:
         hit = filled[row, other]
         least[row[hit], column[hit]] = least[row[hit], other[hit]] + np.uint32(attempt)
         row, column = row[~hit], column[~hit]
-    bands = least.reshape(len(lines), settings.bands, settings.rows)
+    bits = (mix(least[:, :BITS].astype(np.uint64)) >> np.uint64(40) & np.uint64(1)) << np.arange(8, 8 + BITS, dtype=np.uint64)
+    mark = bits.sum(axis=1, dtype=np.uint64) | (few.astype(np.uint64) << np.uint64(7)) | size.astype(np.uint64)
+    bands = least[:, : settings.bands * settings.rows].reshape(len(lines), settings.bands, settings.rows)
     keys = np.arange(settings.bands, dtype=np.uint64) + np.zeros((len(lines), 1), dtype=np.uint64)
     for r in range(settings.rows):
         keys = mix(keys + bands[:, :, r])
-    return keys.view(np.int64)
+    return keys.view(np.int64), mark
+
+
+def limits(settings: Settings) -> tuple[int, int]:
+    """The least number of equal bits and the most size classes between lines
+    that may be similar. A bin's bits are equal with probability (1 + s) / 2;
+    the number is 3.7 standard deviations below the mean at the threshold."""
+    share = (1 + settings.percent / 100) / 2
+    return int(BITS * share - 3.7 * np.sqrt(BITS * share * (1 - share))), int(np.log(100 / settings.percent) / STEP) + 1
+
+
+def alike(settings: Settings) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether lines of two arrays of marks may be similar."""
+    wanted, apart = limits(settings)
+
+    def test(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, y = (a & np.uint64(127)).astype(np.int64), (b & np.uint64(127)).astype(np.int64)
+        sized = (x == UNKNOWN) | (y == UNKNOWN) | (np.abs(x - y) <= apart)
+        equal = BITS - np.bitwise_count((a ^ b) >> np.uint64(8)).astype(np.int64) >= wanted
+        return (a == 0) | (b == 0) | sized & (equal | ((a | b) & np.uint64(128) != 0))
+
+    return test
+
+
+def alike_pair(settings: Settings) -> Callable[[int, int], bool]:
+    """``alike`` of two marks given as numbers."""
+    wanted, apart = limits(settings)
+
+    def test(a: int, b: int) -> bool:
+        x, y = a & 127, b & 127
+        if a == 0 or b == 0:
+            return True
+        if x != UNKNOWN and y != UNKNOWN and abs(x - y) > apart:
+            return False
+        return bool((a | b) & 128) or BITS - ((a ^ b) >> 8).bit_count() >= wanted
+
+    return test
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
@@ -110,15 +167,16 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def postings(rows: DataFrame, settings: Settings) -> DataFrame:
-    """key, node for every band of every line, equal lines of a batch once."""
+    """key, node, mark for every band of every line, equal lines of a batch once."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = sorted({s for t in texts(batch, "__text") for _, s in lines_of(t) if len(s) >= settings.shingle})
-        keys = band_keys(lines, settings) if lines else np.empty((0, settings.bands), dtype=np.int64)
+        keys, mark = band_keys(lines, settings) if lines else (np.empty((0, settings.bands), dtype=np.int64), np.empty(0, dtype=np.uint64))
         nodes = np.repeat(np.fromiter(map(line_hash, lines), dtype=np.int64, count=len(lines)), settings.bands)
-        return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], names=["key", "node"])
+        marks = np.repeat(mark.view(np.int64), settings.bands)
+        return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes), pa.array(marks)], names=["key", "node", "mark"])
 
-    return arrow_map(rows, run, "key long, node long")
+    return arrow_map(rows, run, "key long, node long, mark long")
 
 
 def candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -134,22 +192,29 @@ def candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def with_keys(found: DataFrame, settings: Settings) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = batch.column("s").to_pylist()
-        keys = band_keys(lines, settings) if lines else np.empty((0, settings.bands), dtype=np.int64)
+        keys, mark = band_keys(lines, settings) if lines else (np.empty((0, settings.bands), dtype=np.int64), np.empty(0, dtype=np.uint64))
         offsets = np.arange(len(lines) + 1, dtype=np.int32) * settings.bands
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))], names=["node", "s", "keys"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))), pa.array(mark.view(np.int64))],
+                                          names=["node", "s", "keys", "mark"])
 
-    return arrow_map(found, run, "node long, s string, keys array<long>")
+    return arrow_map(found, run, "node long, s string, keys array<long>, mark long")
 
 
 def test(settings: Settings) -> Callable[[dict], Callable[[int, int], bool]]:
+    """Exact test of candidates; lines whose marks aren't alike are none."""
+    near = alike_pair(settings)
+
     def make(columns: dict):
         lines, k = columns["s"], settings.shingle
+        marks = [m & (1 << 64) - 1 for m in columns["mark"]]
 
         @lru_cache(maxsize=None)
         def grams(i: int) -> frozenset:
             return frozenset(lines[i][j : j + k] for j in range(len(lines[i]) - k + 1))
 
         def similar(x: int, y: int) -> bool:
+            if not near(marks[x], marks[y]):
+                return False
             a, b = grams(x), grams(y)
             if 100 * min(len(a), len(b)) < settings.percent * max(len(a), len(b)):
                 return False
@@ -168,12 +233,14 @@ def marked(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
     docs = docs.withColumn("__rid", F.xxhash64(F.col("doc_id").cast("long"), F.col(text)))
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "__rid", F.col(text).alias("__text"))
     seen = scratch.write(occurrences(rows))
-    cluster = scratch.write(components(scratch, stars(postings(rows.select("__text"), settings))))
+    cluster = scratch.write(components(scratch, alike_stars(postings(rows.select("__text"), settings), alike(settings))))
     items = scratch.write(with_keys(candidates(rows.select("__text"), cluster), settings))
-    found = link(scratch, items, cluster, ["s"], test(settings))
+    found = link(scratch, items, cluster, ["s", "mark"], test(settings))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "line")
     of_line = seen.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    united = scratch.write(of_line.join(found, "node", "left").select("node", "first", "n", F.coalesce("root", "node").alias("root")))
+    # lines that occur once and are like no other are left out at once
+    united = scratch.write(of_line.join(found, "node", "left").where("n > 1 or root is not null").select(
+        "node", "first", "n", F.coalesce("root", "node").alias("root")))
     kept = united.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
     verdict = scratch.write(united.select("node", F.bitwise_not("root").alias("k")).join(
         kept.select(F.bitwise_not("root").alias("k"), "keep"), "k").select("node", "keep"))

@@ -62,7 +62,47 @@ def test_banding_recall_and_precision():
         for _ in range(max(1, len(t) // 120)):
             c[rng.randrange(len(c))] = "#"
         near.append("".join(c))
-    a, b = L.band_keys(lines, s), L.band_keys(near, s)
+    (a, x), (b, y) = L.band_keys(lines, s), L.band_keys(near, s)
     assert ((a == b).any(axis=1)).mean() > 0.98
     assert not any(np.intersect1d(a[i], a[j]).size for i in range(0, 100) for j in range(i))
-    assert np.array_equal(L.band_keys([lines[5]], s)[0], a[5])  # whatever else is in the batch
+    alone = L.band_keys([lines[5]], s)
+    assert np.array_equal(alone[0][0], a[5]) and alone[1][0] == x[5]  # whatever else is in the batch
+    assert L.alike(s)(x, y).mean() > 0.98  # far from all of these pairs reach the threshold
+
+
+def test_marks_keep_pairs_at_the_threshold():
+    """Whatever the length, pairs just above the threshold have alike marks,
+    and unlike lines of the same words mostly haven't."""
+    rng, s = random.Random(7), L.Settings()
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    pairs, others = [], []
+    for _ in range(6000):
+        a = " ".join(rng.choice(words) for _ in range(rng.randrange(3, 90)))
+        b = a
+        while True:  # change words while the lines stay similar
+            at, size = rng.randrange(len(b)), rng.randrange(1, 6)
+            new = b[:at] + rng.choice(words)[:size] + b[at + size:]
+            test = L.test(s)({"s": [a, new], "mark": [0, 0]})
+            if len(new) < 5 or not test(0, 1):
+                break
+            b = new
+        pairs.append((a, b))
+        others.append(" ".join(rng.choice(words) for _ in range(rng.randrange(30, 90))))
+    marks = [L.band_keys(list(x), s)[1] for x in zip(*pairs, strict=True)]
+    assert L.alike(s)(*marks).mean() > 0.998
+    unlike = L.band_keys(others, s)[1]
+    assert L.alike(s)(unlike[1:], unlike[:-1]).mean() < 0.02
+    for x, y in (marks, (unlike[1:], unlike[:-1])):
+        assert L.alike(s)(x, y).tolist() == [L.alike_pair(s)(int(a), int(b)) for a, b in zip(x, y, strict=True)]
+
+
+def test_marks_count_repeated_shingles_once():
+    s = L.Settings()
+    _, mark = L.band_keys(["-" * 20, "-" * 100, "-" * 5000, "ab" * 40, "ab" * 4000], s)
+    for x, y in ((0, 1), (0, 2), (1, 2), (3, 4)):
+        assert L.alike(s)(mark[[x]], mark[[y]]).all()
+
+
+def test_repeated_shingles_link(spark):
+    docs = spark.createDataFrame([(1, "-" * 20), (2, "-" * 100), (3, "=" * 30), (4, "-" * 3000)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in L.dedup(docs).collect()) == [1, 3]

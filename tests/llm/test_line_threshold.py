@@ -28,5 +28,5 @@ def test_banding_recall_at_the_threshold():
     rng, s = random.Random(3), L.Settings()
     lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz      ") for _ in range(49)) for _ in range(4000)]
     near = [t[:20] + "#" + t[21:] for t in lines]  # 40 / 50 shingles
-    hit = (L.band_keys(lines, s) == L.band_keys(near, s)).any(axis=1)
+    hit = (L.band_keys(lines, s)[0] == L.band_keys(near, s)[0]).any(axis=1)
     assert 1 - (1 - (s.percent / 100) ** s.rows) ** s.bands >= 0.998 and np.mean(hit) >= 0.996

@@ -1,5 +1,6 @@
 """Linking against a brute force over all pairs that share a key."""
 
+import random
 from itertools import combinations
 
 import numpy as np
@@ -52,3 +53,39 @@ def test_matches_brute_force(spark, shape):
     assert cluster.groupBy("root").count().agg(F.max("count")).first()[0] > clusters.CHUNK
     found = {r.node: r.root for r in clusters.link(scratch, items, cluster, ["value"], near).collect()}
     assert {x: found.get(x, x) for x in keys} == brute(keys, value)
+
+
+def test_alike_stars(spark):
+    """Nodes of a key are connected as far as their marks are alike; keys with
+    very many nodes, in a task or at their reducer, are connected whole."""
+    rng = random.Random(9)
+    small = [(k, rng.randrange(1, 10**6), rng.randrange(1, 6)) for k in range(300) for _ in range(rng.randrange(1, 9))]
+    hot = [(1000, 10**7 + i, i) for i in range(1, 3001)]  # more than a task's and a reducer's bound
+    middle = [(1001, 2 * 10**7 + i, i) for i in range(1, 601)]  # beyond the reducer's bound only
+    rows = small + hot + middle + small[:50]
+    rng.shuffle(rows)
+    marks = lambda a, b: (a == b) | (a == 0) | (b == 0)
+    postings = spark.createDataFrame(rows, "key long, node long, mark long").repartition(16)
+    for flush, most in ((1_000_000, 64), (500, 20)):
+        edges = clusters.alike_stars(postings, marks, flush, most)
+        got = groups(edges.collect())
+        want = groups([(a, b) for k, a, x in small for l, b, y in small if k == l and x == y and a != b]
+                      + [(a, group[0][1]) for group in (hot, middle) for _, a, _ in group[1:]])
+        assert got == want
+
+
+def groups(edges):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    out = {}
+    for x in parent:
+        out.setdefault(find(x), set()).add(x)
+    return {frozenset(v) for v in out.values() if len(v) > 1}
