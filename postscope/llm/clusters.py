@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.common import Scratch, mix, per_task
+from postscope.llm.common import ROWS, Scratch, mix, per_task
 
 CHUNK = 400
 LEADERS = 8
@@ -98,9 +98,11 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], label: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], label: np.ndarray, side: np.ndarray | None = None,
+                near: Callable[[int, np.ndarray], np.ndarray] | None = None) -> list[tuple[int, int]]:
     """Links (x, y) that connect everything connectable: pairs that share a
-    key (and differ in ``side``), have different labels and are similar."""
+    key (and differ in ``side``), have different labels and are similar;
+    ``near`` rules out some that aren't, many at once."""
     label, links = label.copy(), []
     sizes = np.array([len(k) for k in keys])
     if not sizes.sum():
@@ -121,7 +123,11 @@ def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], lab
         good = label[rest] != label[x]
         if side is not None:
             good &= side[rest] != side[x]
-        rest = rest[good][np.argsort(-shared[good], kind="stable")]
+        rest, shared = rest[good], shared[good]
+        if near is not None and len(rest):
+            good = near(x, rest)
+            rest, shared = rest[good], shared[good]
+        rest = rest[np.argsort(-shared, kind="stable")]
         while len(rest):
             y = int(rest[0])
             if similar(x, y):
@@ -133,7 +139,8 @@ def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], lab
     return links
 
 
-def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callable[[dict], Callable[[int, int], bool]]) -> DataFrame:
+def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callable[[dict], Callable[[int, int], bool]],
+            near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """Links (a, b) within each group. ``rows``: the group columns (long),
     node, keys, label, visitor and the payload. A task takes its groups one
     after the other from sorted rows and holds one at a time."""
@@ -145,8 +152,8 @@ def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callabl
         visitor = part.column("visitor").to_numpy(zero_copy_only=False)
         keys = [np.asarray(k, dtype=np.int64) for k in part.column("keys").to_pylist()]
         _, label = np.unique(part.column("label").to_numpy(), return_inverse=True)
-        similar = make({c: part.column(c).to_pylist() for c in payload})
-        for x, y in local_links(keys, similar, label, visitor if visitor.any() else None):
+        columns = {c: part.column(c).to_pylist() for c in payload}
+        for x, y in local_links(keys, make(columns), label, visitor if visitor.any() else None, near and near(columns)):
             out[0].append(nodes[x])
             out[1].append(nodes[y])
 
@@ -234,15 +241,18 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
     return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(per_task(reduce), "a long, b long")
 
 
-def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect the nodes of each key as far as their marks are alike;
-    a key of more than ``CHUNK`` nodes is connected whole. Rows in order of the key."""
+def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[np.ndarray, np.ndarray], np.ndarray],
+          share: int, compared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, whole) for the nodes of each key. Nodes connected by alike marks
+    are a group; a group gives all its alike pairs or, if they are more than
+    ``share`` a node, or a mark is 0, edges that connect it (whole). A key of
+    more than ``compared`` nodes is connected whole. Rows in order of the key."""
     n = len(key)
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(first, append=n)
-    root, whole = np.arange(n), np.repeat(size > CHUNK, size)
-    root[whole] = np.repeat(first, size)[whole]
-    at, step, pairs = np.flatnonzero(~whole), 0, []
+    root, large = np.arange(n), np.repeat(size > compared, size)
+    root[large] = np.repeat(first, size)[large]
+    at, step, pairs = np.flatnonzero(~large), 0, []
     while len(at):
         step += 1
         at = at[at + step < n]
@@ -257,91 +267,130 @@ def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[
         root = root[root]
         if (root == before).all():
             break
-    spoke = root != np.arange(n)
-    return node[spoke], node[root[spoke]]
-
-
-def alike_stars(postings: DataFrame, alike: Callable[[np.ndarray, np.ndarray], np.ndarray], flush: int = 1_000_000, most: int = 64) -> DataFrame:
-    """Edges (a, b) that connect all nodes with a common key and alike marks,
-    directly or through others.
-
-    ``postings``: key long, node long, mark long; ``alike`` tells which of two
-    arrays of marks (uint64) may belong to similar nodes and must hold where
-    either is 0. Connecting too much is harmless, so hot keys aren't compared: a
-    task sends one node, marked 0, of a key with more than ``most`` nodes there
-    (per ``flush`` postings), and a reducer connects a key of more than
-    ``CHUNK`` nodes whole, holding no more than a batch beside them."""
-
-    def ordered(key, node, mark):  # by key and node, each pair once, mark 0 first
-        order = np.lexsort((mark != 0, node, key))
-        key, node, mark = key[order], node[order], mark[order]
-        new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.empty(0, dtype=bool)
-        return key[new], node[new], mark[new]
-
-    def rows(*columns):
-        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["key", "node", "mark"])
+    whole = np.bincount(root[a], minlength=n) > share * np.bincount(root, minlength=n)  # by root
+    whole[root[(mark == 0) | large]] = True
+    one = ~whole[root[a]]
+    spoke = np.flatnonzero(whole[root] & (root != np.arange(n)))
+    return (np.r_[node[a[one]], node[spoke]], np.r_[node[b[one]], node[root[spoke]]],
+            np.r_[np.zeros(int(one.sum()), dtype=bool), np.ones(len(spoke), dtype=bool)])
+
+
+def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]],
+                alike: Callable[[np.ndarray, np.ndarray], np.ndarray], share: int = 16, compared: int = 2000, flush: int = 1_000_000, most: int = 64) -> DataFrame:
+    """Candidates (a, b, whole) among nodes with a common key and alike marks.
+
+    ``post`` gives the postings of a batch of ``rows``: key (int64), node
+    (int64), mark (uint64). ``alike`` tells which of two arrays of marks may
+    belong to similar nodes and must hold where either is 0. Nodes of a key that
+    alike marks connect are a group; where it has at most ``share`` alike pairs
+    a node, all these pairs are given, so there are no more than ``share`` rows a
+    posting. Elsewhere (``whole``) edges are given that connect the group, directly or through others; connecting too
+    much is harmless, so hot keys aren't compared: a task sends one node, marked
+    0, of a key with more than ``most`` nodes there (per ``flush`` postings),
+    and a key of more than ``compared`` nodes is connected whole.
+    Postings travel packed by range of the key; a task holds its range, and the
+    number of ranges is that of the shuffle partitions."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def combine(batches):
-        parts, held = [], 0
+        held, size = [], 0
 
         def out():
-            key, node, mark = ordered(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
+            key, node, mark = (np.concatenate([p[i] for p in held]) for i in range(3))
+            order = np.argsort(key)
+            key, node, mark = key[order], node[order], mark[order]
             first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            size = np.diff(first, append=len(key))
-            hot = np.repeat(size > most, size)
-            yield rows(key[~hot], node[~hot], mark[~hot])
+            sizes = np.diff(first, append=len(key))
+            hot = np.repeat(sizes > most, sizes)
             if hot.any():
-                heads, centre = first[size > most], np.repeat(node[first], size)
-                spoke = hot & (node != centre)
-                a, b = node[spoke], centre[spoke]
+                # repeats of a node don't make a key hot
+                k, n, m = _ordered(key[hot], node[hot], mark[hot])
+                first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+                sizes = np.diff(first, append=len(k))
+                often = np.repeat(sizes > most, sizes)
+                heads, centre = first[sizes > most], np.repeat(n[first], sizes)
+                spoke = often & (n != centre)
+                a, b = n[spoke], centre[spoke]
                 own = mix(mix(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)  # an edge goes on as two nodes of a key of its own
                 none = np.zeros(len(heads) + 2 * len(a), dtype=np.uint64)
-                yield rows(*ordered(np.r_[key[heads], own, own], np.r_[node[heads], a, b], none))
+                key = np.r_[key[~hot], k[~often], k[heads], own, own]
+                node = np.r_[node[~hot], n[~often], n[heads], a, b]
+                mark = np.r_[mark[~hot], m[~often], none]
+            to = ((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(to, kind="stable")
+            cuts = np.searchsorted(to[order], np.arange(parts + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            columns = [c[order] for c in (key, node, mark)]
+            for part in full.tolist():
+                at = slice(cuts[part], cuts[part + 1])
+                yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int32()), *(pa.array([c[at].tobytes()], type=pa.binary()) for c in columns)],
+                                                 names=["to", "key", "node", "mark"])
 
         for batch in batches:
-            parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)))
-            held += batch.num_rows
-            if held >= flush:
-                yield from out()
-                parts, held = [], 0
-        if held:
+            for at in range(0, batch.num_rows, ROWS):
+                held.append(post(batch.slice(at, ROWS)))
+                size += len(held[-1][0])
+                if size >= flush:
+                    yield from out()
+                    held, size = [], 0
+        if size:
             yield from out()
 
-    def reduce(batches):  # in order of the key
-        def edges(a, b):
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        held = None
+    def reduce(batches):
+        held: dict[int, list] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
-            key, node, mark = now if held is None else (np.r_[x, y] for x, y in zip(held, now, strict=True))
-            end = np.searchsorted(key, key[-1])  # the last key may go on
-            if end:
-                yield edges(*_ties(*ordered(key[:end], node[:end], mark[:end]), alike))
-            held = ordered(key[end:], node[end:], mark[end:])
-            if len(held[0]) > CHUNK:
-                yield edges(*_ties(*held, alike))
-                held = held[0][:1], held[1][:1], np.zeros(1, dtype=np.uint64)
-        if held is not None:
-            yield edges(*_ties(*held, alike))
-
-    schema = "key long, node long, mark long"
-    local = postings.select("key", "node", "mark").mapInArrow(per_task(combine), schema)
-    parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(per_task(reduce), "a long, b long")
+            to = batch.column("to").to_pylist()
+            for i, part in enumerate(to):
+                held.setdefault(part, []).append([np.frombuffer(batch.column(c)[i].as_py(), dtype=kind) for c, kind in
+                                                  (("key", np.int64), ("node", np.int64), ("mark", np.uint64))])
+        for part in list(held):
+            found = held.pop(part)
+            key, node, mark = (np.concatenate([f[i] for f in found]) for i in range(3))
+            found.clear()
+            order = np.argsort(key)
+            same = key[order][1:] == key[order][:-1]
+            order = order[np.r_[False, same] | np.r_[same, False]]  # a key met once has no pairs
+            key, node, mark = _ordered(key[order], node[order], mark[order])
+            cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]) if len(key) else np.zeros(1, dtype=np.int64)
+            at = 0
+            while at < len(key):  # whole keys, about 50,000 postings at once
+                end = int(cuts[min(np.searchsorted(cuts, at + 50_000), len(cuts) - 1)])
+                a, b, whole = _ties(key[at:end], node[at:end], mark[at:end], alike, share, compared)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(whole)], names=["a", "b", "whole"])
+                at = end
+
+    local = rows.mapInArrow(per_task(combine), "to int, key binary, node binary, mark binary")
+    return local.repartitionById(parts, "to").mapInArrow(per_task(reduce), "a long, b long, whole boolean")
+
+
+def _ordered(key: np.ndarray, node: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By key and node, each pair once; of its marks 0 goes first."""
+    order = np.lexsort((mark != 0, node, key))
+    key, node, mark = key[order], node[order], mark[order]
+    new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.empty(0, dtype=bool)
+    return key[new], node[new], mark[new]
+
+
+def alike_stars(postings: DataFrame, alike: Callable[[np.ndarray, np.ndarray], np.ndarray], flush: int = 1_000_000, most: int = 64) -> DataFrame:
+    """Edges (a, b) that connect all nodes with a common key and alike marks,
+    directly or through others; ``postings``: key long, node long, mark long."""
+
+    def post(batch):
+        return batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+
+    return alike_pairs(postings.select("key", "node", "mark"), post, alike, 0, CHUNK, flush, most).select("a", "b")
 
 
 def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
-         make: Callable[[dict], Callable[[int, int], bool]]) -> DataFrame:
+         make: Callable[[dict], Callable[[int, int], bool]], near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """(node, root) of items connected by similar pairs that share a key.
 
     ``items``: node long (distinct), keys array<long> (distinct), and the
     payload columns; ``cluster``: node and root, the components of
     ``stars`` over the keys. Both should be written tables, as they are read
     repeatedly. ``make(columns)`` returns the exact
-    test of two rows of a group, given the payload columns as lists.
+    test of two rows of a group, given the payload columns as lists; ``near``
+    likewise which of many rows may be similar to one.
     """
     cluster = cluster.withColumnRenamed("root", "cluster")
     sizes = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
@@ -353,18 +402,18 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
                       # about LEADERS items of a cluster of several chunks are in all of them
                       ((chunks > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.greatest(F.floor(F.col("size") / LEADERS), F.lit(1))) == 0)).alias("leader")))
     member = scratch.write(member)
-    placed = items.join(member, "node")
+    placed = scratch.write(items.join(member, "node"))
     groups = placed.withColumn("chunk", F.explode(F.when(F.col("leader"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
     rows = groups.select("cluster", "chunk", "node", "keys", F.col("node").alias("label"), F.lit(False).alias("visitor"), *payload)
-    links = scratch.write(_verify(rows, ["cluster", "chunk"], payload, make))
+    links = scratch.write(_verify(rows, ["cluster", "chunk"], payload, make, near))
     found = components(scratch, links)
     split = member.where("chunks > 1")
     if split.isEmpty():
         return found
 
     label = split.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("label"))
-    some = scratch.write(items.join(label, "node"))  # the items of these clusters only
-    seen = some.select("node", "label", F.explode("keys").alias("key"))
+    some = placed.where("chunks > 1")  # the items of these clusters only
+    seen = some.select("node", "keys").join(label, "node").select("node", "label", F.explode("keys").alias("key"))
     # Keys with items that aren't connected yet, one of those with the same items.
     # Keys with the same least item are a family: most of an item's keys are in few.
     mixed = (seen.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"),
@@ -390,5 +439,5 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
         "group", F.explode(F.sequence(none, F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("node", F.lit(1)), "crowds").alias("crowd"),
         "node", "keys", "label", F.lit(True).alias("visitor"))
     rows = small.unionByName(hosts).unionByName(guests).join(some.select("node", *payload), "node")
-    more = scratch.write(_verify(rows, ["group", "part", "crowd"], payload, make))
+    more = scratch.write(_verify(rows, ["group", "part", "crowd"], payload, make, near))
     return components(scratch, links.union(more))

@@ -33,11 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.clusters import alike_stars, components, link
-from postscope.llm.common import Scratch, arrow_map, mix, texts
+from postscope.llm.clusters import alike_pairs, components, link
+from postscope.llm.common import Scratch, arrow_map, mix, per_task, texts
 
 SPACES = " \t\n\v\f\r"
+VISIBLE = r"[^ \t\n\x0B\f\r]"
 PLACES = (mix(np.arange(101, 133, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+FACTORS = mix(np.arange(201, 233, dtype=np.uint64)) | np.uint64(1)
 EMPTY = np.uint32(0xFFFFFFFF)
 
 # A line's mark: 56 bits, one per bin; a flag (few bins were filled, the bits say little);
@@ -166,17 +168,16 @@ def occurrences(rows: DataFrame) -> DataFrame:
     return arrow_map(rows, run, "doc_id long, rid long, line int, node long")
 
 
-def postings(rows: DataFrame, settings: Settings) -> DataFrame:
+def post(settings: Settings) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """key, node, mark for every band of every line, equal lines of a batch once."""
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines = sorted({s for t in texts(batch, "__text") for _, s in lines_of(t) if len(s) >= settings.shingle})
+    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lines = list({s for t in texts(batch, "__text") for _, s in lines_of(t) if len(s) >= settings.shingle})
         keys, mark = band_keys(lines, settings) if lines else (np.empty((0, settings.bands), dtype=np.int64), np.empty(0, dtype=np.uint64))
-        nodes = np.repeat(np.fromiter(map(line_hash, lines), dtype=np.int64, count=len(lines)), settings.bands)
-        marks = np.repeat(mark.view(np.int64), settings.bands)
-        return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes), pa.array(marks)], names=["key", "node", "mark"])
+        nodes = np.fromiter(map(line_hash, lines), dtype=np.int64, count=len(lines))
+        return keys.reshape(-1), np.repeat(nodes, settings.bands), np.repeat(mark, settings.bands)
 
-    return arrow_map(rows, run, "key long, node long, mark long")
+    return run
 
 
 def candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -226,6 +227,84 @@ def test(settings: Settings) -> Callable[[dict], Callable[[int, int], bool]]:
     return make
 
 
+def similar(a: list[str], b: list[str], settings: Settings) -> np.ndarray:
+    """The exact test of up to 256 pairs (a[i], b[i]) at once; lines must have a shingle."""
+    k, lines = settings.shingle, a + b
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    n = len(chars) - k + 1
+    total = chars[:n] * FACTORS[0]
+    for j in range(1, k):
+        total += chars[j : n + j] * FACTORS[j]
+    own = np.ones(n, dtype=bool)  # windows that don't leave their line
+    last = np.cumsum(sizes)[:-1]
+    for j in range(1, k):
+        own[last - j] = False
+    pair = np.repeat(np.tile(np.arange(len(a), dtype=np.uint64), 2), sizes)[:n]
+    total = mix(total) >> np.uint64(8) | pair << np.uint64(56)
+    cut = int(sizes[: len(a)].sum())
+
+    def distinct(x: np.ndarray) -> np.ndarray:
+        x = np.sort(x)
+        return x[np.r_[True, x[1:] != x[:-1]]]
+
+    def by_pair(x: np.ndarray) -> np.ndarray:
+        return np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=len(a))
+
+    x, y = distinct(total[:cut][own[:cut]]), distinct(total[cut:][own[cut:]])
+    merged = np.sort(np.concatenate([x, y]), kind="stable")
+    both = by_pair(merged[1:][merged[1:] == merged[:-1]])
+    return 100 * both >= settings.percent * (by_pair(x) + by_pair(y) - both)
+
+
+def tested(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) of similar lines; ``lines``: node, s."""
+
+    def run(batches):
+        for batch in batches:
+            ids, texts_ = ([batch.column(c) for c in x] for x in (("a", "b"), ("s", "t")))
+            one, other = (t.to_pylist() for t in texts_)
+            hit, at, size = np.zeros(batch.num_rows, dtype=bool), 0, 0
+            for i in range(batch.num_rows):  # up to 256 pairs, about a million characters at once
+                size += len(one[i]) + len(other[i])
+                if size >= 1_000_000 or i - at == 255 or i == batch.num_rows - 1:
+                    hit[at : i + 1] = similar(one[at : i + 1], other[at : i + 1], settings)
+                    at, size = i + 1, 0
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in ids], names=["a", "b"])
+
+    both = (pairs.join(lines.select(F.col("node").alias("a"), "s"), "a")
+            .join(lines.select(F.col("node").alias("b"), F.col("s").alias("t")), "b"))
+    return both.select("a", "b", "s", "t").mapInArrow(per_task(run), "a long, b long")
+
+
+def components_of_lines(scratch: Scratch, rows: DataFrame, settings: Settings) -> DataFrame:
+    """(node, root) of lines connected by similar pairs. Pairs that share a
+    band with few pairs are tested one by one; the lines of bands with many are
+    linked in groups (``clusters.link``)."""
+    found = scratch.write(alike_pairs(rows, post(settings), alike(settings)))
+    pairs = scratch.write(found.where("not whole").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    cluster = scratch.write(components(scratch, found.where("whole").select("a", "b")))
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(cluster.select("node")).distinct()
+    lines = scratch.write(candidates(rows, nodes))
+    links = scratch.write(tested(pairs, lines, settings))
+    if not cluster.isEmpty():
+        items = scratch.write(with_keys(lines.join(cluster.select("node"), "node", "left_semi"), settings))
+        more = link(scratch, items, cluster, ["s", "mark"], test(settings), near(settings))
+        links = links.union(more.select("node", "root"))
+    return components(scratch, links)
+
+
+def near(settings: Settings) -> Callable[[dict], Callable[[int, np.ndarray], np.ndarray]]:
+    """``alike`` of one line and others of a group."""
+    alike_ = alike(settings)
+
+    def make(columns: dict):
+        marks = np.array(columns["mark"], dtype=np.int64).view(np.uint64)
+        return lambda x, rest: alike_(marks[x], marks[rest])
+
+    return make
+
+
 def marked(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """Every column of ``docs`` plus ``__lines`` (lines with a visible
     character) and ``__drops`` (array of the line numbers to drop)."""
@@ -233,9 +312,7 @@ def marked(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
     docs = docs.withColumn("__rid", F.xxhash64(F.col("doc_id").cast("long"), F.col(text)))
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "__rid", F.col(text).alias("__text"))
     seen = scratch.write(occurrences(rows))
-    cluster = scratch.write(components(scratch, alike_stars(postings(rows.select("__text"), settings), alike(settings))))
-    items = scratch.write(with_keys(candidates(rows.select("__text"), cluster), settings))
-    found = link(scratch, items, cluster, ["s", "mark"], test(settings))
+    found = components_of_lines(scratch, rows.select("__text"), settings)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "line")
     of_line = seen.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     # lines that occur once and are like no other are left out at once
@@ -248,7 +325,7 @@ def marked(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
              .select("rid", "line").distinct().groupBy("rid").agg(F.collect_list("line").alias("__drops")))
     drops = scratch.write(drops)
     scratch.keep(drops)
-    lines = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: F.trim(F.translate(x, SPACES, " ")) != ""))
+    lines = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: x.rlike(VISIBLE)))
     return docs.join(drops.withColumnRenamed("rid", "__rid"), "__rid", "left").drop("__rid").withColumns(
         {"__lines": lines, "__drops": F.coalesce("__drops", F.array().cast("array<int>"))})
 

@@ -106,3 +106,32 @@ def test_marks_count_repeated_shingles_once():
 def test_repeated_shingles_link(spark):
     docs = spark.createDataFrame([(1, "-" * 20), (2, "-" * 100), (3, "=" * 30), (4, "-" * 3000)], "doc_id long, text string")
     assert sorted(r.doc_id for r in L.dedup(docs).collect()) == [1, 3]
+
+
+def test_chains_of_candidates_are_tested_by_pair(spark, monkeypatch):
+    """Bands of few lines give pairs; a long chain of candidates, of which only
+    some are similar, isn't gathered into one cluster to be linked in chunks."""
+    rng = random.Random(11)
+    line, rows = "".join(rng.choice("abcdefghijklmnop ") for _ in range(150)), []
+    for i in range(600):  # each line like the one before, at about the threshold
+        rows.append((i, line))
+        at, size = rng.randrange(0, 130), 10 + i % 6
+        line = line[:at] + "".join(rng.choice("abcdefghijklmnop") for _ in range(size)) + line[at + size:]
+
+    def refuse(*_):
+        raise AssertionError("these lines need no chunks")
+
+    monkeypatch.setattr(L, "link", refuse)
+    drops = brute(rows)
+    got = L.marked(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert 100 < sum(drops.values()) < 600
+    differ = sum(len(r["__drops"]) != drops[r.doc_id] for r in got)
+    assert differ <= 6  # banding misses 1 pair of 1,000 at the threshold, marks 1 of 5,000
+
+
+def test_pairs_at_once_match_the_test_of_one():
+    rng, s = random.Random(12), L.Settings()
+    a = ["".join(rng.choice("abé\U0001f600 ") for _ in range(rng.randrange(5, 90))) for _ in range(256)]
+    b = [x if i % 5 == 0 else x[: rng.randrange(5, len(x) + 1)] + "z" * (i % 3) for i, x in enumerate(a)]
+    want = [L.test(s)({"s": [x, y], "mark": [0, 0]})(0, 1) for x, y in zip(a, b, strict=True)]
+    assert L.similar(a, b, s).tolist() == want and 0 < sum(want) < 256

@@ -89,3 +89,17 @@ def groups(edges):
     for x in parent:
         out.setdefault(find(x), set()).add(x)
     return {frozenset(v) for v in out.values() if len(v) > 1}
+
+
+def test_groups_of_few_pairs_are_given_as_pairs(spark):
+    """Of a key's groups of alike marks, one of few pairs gives them all, one of
+    many is connected."""
+    few, many = [(1, 100 + i, 1 + i // 3) for i in range(30)], [(1, 1000 + i, 99) for i in range(60)]
+    postings = spark.createDataFrame(few + many, "key long, node long, mark long").repartition(4)
+
+    def post(batch):
+        return batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+
+    found = clusters.alike_pairs(postings, post, lambda a, b: (a == b) | (a == 0) | (b == 0)).collect()
+    assert {(r.a, r.b) for r in found if not r.whole} == {(a, b) for _, a, x in few for _, b, y in few if x == y and a < b}
+    assert groups([(r.a, r.b) for r in found if r.whole]) == {frozenset(a for _, a, _ in many)}
