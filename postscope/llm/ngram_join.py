@@ -51,7 +51,8 @@ from postscope.llm.common import Scratch, mix, per_task, texts, word_hashes
 PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 HOT = 64
-LAST = 0xFFFF  # frequency written for tokens at and beyond it; hot tokens too
+WIDE = 6  #: bytes of a shared token
+LAST = 0xFF  # frequency class of hot tokens, beyond all others
 
 
 @dataclass(frozen=True)
@@ -133,17 +134,18 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=k) for i, k in enumerate(kinds)], names=NAMES)
 
 
-def _pack(tokens: np.ndarray) -> bytes:
-    """The low five bytes of each token. With the range that is 40 bits and
+def _pack(tokens: np.ndarray, width: int = 5) -> bytes:
+    """The low five (``width``) bytes of each token. With the range that is 40 bits and
     the logarithm of the number of ranges, which grows with the corpus: two
     given sets of a thousand tokens share a false one once in 10 ** 7 pairs
-    (50 ranges) or less."""
-    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+    (50 ranges) or less. Afterwards tokens are mixed with their range and kept
+    in ``WIDE`` bytes, where such sets share a false one once in 10 ** 8 pairs."""
+    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), dtype=np.uint8)
-    out[:, :5] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 5)
+def _unpack(data: bytes, width: int = 5) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(-1, width)
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
@@ -178,7 +180,7 @@ def dealt(docs: DataFrame, hot: np.ndarray, ranges: int, settings: Settings, tex
             for d in np.unique(to).tolist():
                 mine = np.flatnonzero(to == d)
                 out.append((d, True, sigs[mine].tobytes(), ns[mine].tobytes(), _counts(hot_counts[mine]),
-                            np.concatenate([hot_tokens[i] for i in mine]).tobytes(), None))
+                            _pack(np.concatenate([hot_tokens[i] for i in mine]), WIDE), None))
             tokens, owner = tokens[~is_hot], owner[~is_hot]
             r = ((tokens >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
             order = np.argsort(r, kind="stable")
@@ -206,6 +208,11 @@ def dealt(docs: DataFrame, hot: np.ndarray, ranges: int, settings: Settings, tex
     return docs.select(F.col(text).alias("__text")).mapInArrow(per_task(run), PACKED)
 
 
+def _class(df: np.ndarray) -> np.ndarray:
+    """A frequency in one byte: itself up to 64, then eight classes an octave."""
+    return np.where(df <= 64, df, np.minimum(16 + 8 * np.log2(np.maximum(df, 1)), LAST - 1)).astype(np.uint8)
+
+
 def _runs(sorted_values: np.ndarray):
     """(value, start, end) of each run."""
     if not len(sorted_values):
@@ -254,7 +261,7 @@ def counted(packed: DataFrame, ranges: int) -> DataFrame:
             df = np.empty(len(tokens), dtype=np.int64)
             df[order] = often
             shared = df > 1
-            owner, tokens, df = owner[shared], tokens[shared], np.minimum(df[shared], LAST - 1).astype(np.uint16)
+            owner, tokens, df = owner[shared], tokens[shared], _class(df[shared])
             to = (sigs.view(np.uint64) % np.uint64(ranges)).astype(np.int32)
             order = np.lexsort((owner, to[owner]))
             owner, tokens, df = owner[order], tokens[order], df[order]
@@ -264,7 +271,7 @@ def counted(packed: DataFrame, ranges: int) -> DataFrame:
                 cuts = np.flatnonzero(np.diff(who, prepend=-1))
                 high = np.uint64(r) << np.uint64(40)  # ranges differ: no mix-up among the low bytes of two ranges
                 out.append((d, True, sigs[who[cuts]].tobytes(), None, _counts(np.diff(cuts, append=b - a)),
-                            mix(tokens[a:b] ^ mix(np.array([high | np.uint64(1)]))).tobytes(), df[a:b].tobytes()))
+                            _pack(mix(tokens[a:b] ^ mix(np.array([high | np.uint64(1)]))), WIDE), df[a:b].tobytes()))
             if out:
                 yield _rows(out)
 
@@ -281,12 +288,12 @@ def survivors(back: DataFrame, settings: Settings) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 sigs, counts = np.frombuffer(row["sigs"], dtype=np.int64), _read_counts(row)
-                tokens = np.frombuffer(row["tokens"], dtype=np.uint64)
+                tokens = _unpack(row["tokens"], WIDE)
                 if row["ns"] is not None:
                     info.append((sigs, np.frombuffer(row["ns"], dtype=np.uint32)))
-                    df = np.full(len(tokens), LAST, dtype=np.uint16)
+                    df = np.full(len(tokens), LAST, dtype=np.uint8)
                 else:
-                    df = np.frombuffer(row["often"], dtype=np.uint16)
+                    df = np.frombuffer(row["often"], dtype=np.uint8)
                 parts.append((np.repeat(sigs, counts), tokens, df))
         if not info:
             return
@@ -307,7 +314,7 @@ def survivors(back: DataFrame, settings: Settings) -> DataFrame:
             mine = alive[at : at + 512].tolist()
             own = [tokens[ends[i] - shared[i] : ends[i]] for i in mine]
             yield pa.RecordBatch.from_arrays([
-                pa.array(sigs[mine]), pa.array(ns[mine]), pa.array(k[mine]), pa.array([t.tobytes() for t in own], type=pa.binary()),
+                pa.array(sigs[mine]), pa.array(ns[mine]), pa.array(k[mine]), pa.array([_pack(t, WIDE) for t in own], type=pa.binary()),
                 pa.array([t[: k[i]].view(np.int64) for t, i in zip(own, mine, strict=True)], type=pa.list_(pa.int64()))],
                 names=["node", "n", "k", "tokens", "keys"])
 
@@ -323,11 +330,11 @@ def test(percent: int) -> Callable[[dict], Callable[[int, int], bool]]:
 
         @lru_cache(maxsize=None)
         def whole(i: int) -> frozenset:
-            return frozenset(np.frombuffer(raw[i], dtype=np.uint64).tolist())
+            return frozenset(_unpack(raw[i], WIDE).tolist())
 
         @lru_cache(maxsize=None)
         def first(i: int) -> tuple[frozenset, ...]:
-            t = np.frombuffer(raw[i], dtype=np.uint64)
+            t = _unpack(raw[i], WIDE)
             return tuple(frozenset(t[np.argsort(mix(t ^ s))[: ks[i]]].tolist()) for s in SEEDS)
 
         def similar(x: int, y: int) -> bool:
@@ -343,6 +350,16 @@ def test(percent: int) -> Callable[[dict], Callable[[int, int], bool]]:
     return make
 
 
+def near(percent: int) -> Callable[[dict], Callable[[int, np.ndarray], np.ndarray]]:
+    """Sets whose size allows the similarity with one."""
+
+    def make(columns: dict):
+        ns = np.array(columns["n"], dtype=np.int64)
+        return lambda x, rest: 100 * np.minimum(ns[x], ns[rest]) >= percent * np.maximum(ns[x], ns[rest])
+
+    return make
+
+
 def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by
     links, the row's own for an empty set) of every row."""
@@ -363,7 +380,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -
     del packed, back  # the dealt tokens' files may go
     postings = items.select(F.explode("keys").alias("key"), "node")
     cluster = scratch.write(components(scratch, stars(postings)))
-    found = link(scratch, items, cluster, ["n", "k", "tokens"], test(settings.percent))
+    found = link(scratch, items, cluster, ["n", "k", "tokens"], test(settings.percent), near(settings.percent))
     rooted = sets.join(found.withColumnRenamed("node", "sig"), "sig", "left").select("sig", F.coalesce("root", "sig").alias("root"), "least")
     rooted = scratch.write(rooted)
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

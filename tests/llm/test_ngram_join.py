@@ -107,3 +107,23 @@ def test_word_hashes():
     a = word_hashes(b" ab cd\nab\tabc ")
     assert len(a) == 4 and a[0] == a[2] and len(set(a.tolist())) == 3
     assert np.array_equal(word_hashes(b"xx yy"), word_hashes(b"zzzzzz xx yy")[1:]) and len(word_hashes(b" ")) == 0
+
+
+def test_shared_tokens_go_back_in_seven_bytes(spark):
+    """Six of the token and one of its frequency, which keeps the order."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 3, 40))) for i in range(9)], "doc_id long, text string")
+    s = ngram_join.Settings()
+    packed = ngram_join.dealt(docs, np.empty(0, dtype=np.uint64), 4, s).repartitionById(4, "to")
+    back = ngram_join.counted(packed, 4).where("back and often is not null").collect()
+    assert back and all(len(r.tokens) == 6 * len(r.often) and sum(ngram_join._read_counts(r.asDict())) == len(r.often) for r in back)
+    classes = ngram_join._class(np.arange(1, 1 << 20)).astype(int)
+    assert (np.diff(classes) >= 0).all() and classes[0] == 1 and classes[-1] < ngram_join.LAST
+    assert np.array_equal(ngram_join._unpack(ngram_join._pack(np.array([1 << 47, 5], dtype=np.uint64), 6), 6), [1 << 47, 5])
+
+
+@pytest.mark.parametrize("percent", [60, 75])
+def test_sizes_ruled_out_at_once_are_those_of_the_test(percent):
+    ns = [1, 3, 4, 5, 75, 100, 134]
+    near = ngram_join.near(percent)({"n": ns})
+    for x in range(len(ns)):
+        assert near(x, np.arange(len(ns))).tolist() == [100 * min(ns[x], y) >= percent * max(ns[x], y) for y in ns]
