@@ -381,9 +381,9 @@ def alike_stars(postings: DataFrame, alike: Callable[[np.ndarray, np.ndarray], n
     return alike_pairs(postings.select("key", "node", "mark"), post, alike, 0, CHUNK, flush, most).select("a", "b")
 
 
-def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
-         make: Callable[[dict], Callable[[int, int], bool]], near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
-    """(node, root) of items connected by similar pairs that share a key.
+def links_of(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
+             make: Callable[[dict], Callable[[int, int], bool]], near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
+    """Edges (a, b) that connect items as far as similar pairs that share a key do.
 
     ``items``: node long (distinct), keys array<long> (distinct), and the
     payload columns; ``cluster``: node and root, the components of
@@ -406,11 +406,11 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
     groups = placed.withColumn("chunk", F.explode(F.when(F.col("leader"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
     rows = groups.select("cluster", "chunk", "node", "keys", F.col("node").alias("label"), F.lit(False).alias("visitor"), *payload)
     links = scratch.write(_verify(rows, ["cluster", "chunk"], payload, make, near))
-    found = components(scratch, links)
     split = member.where("chunks > 1")
     if split.isEmpty():
-        return found
+        return links
 
+    found = components(scratch, links)
     label = split.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("label"))
     some = placed.where("chunks > 1")  # the items of these clusters only
     seen = some.select("node", "keys").join(label, "node").select("node", "label", F.explode("keys").alias("key"))
@@ -440,4 +440,10 @@ def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[s
         "node", "keys", "label", F.lit(True).alias("visitor"))
     rows = small.unionByName(hosts).unionByName(guests).join(some.select("node", *payload), "node")
     more = scratch.write(_verify(rows, ["group", "part", "crowd"], payload, make, near))
-    return components(scratch, links.union(more))
+    return links.union(more)
+
+
+def link(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
+         make: Callable[[dict], Callable[[int, int], bool]], near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
+    """(node, root) of the items that ``links_of`` connects."""
+    return components(scratch, links_of(scratch, items, cluster, payload, make, near))

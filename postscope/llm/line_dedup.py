@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postscope.llm.clusters import alike_pairs, components, link
+from postscope.llm.clusters import alike_pairs, components, links_of
 from postscope.llm.common import Scratch, arrow_map, mix, per_task, texts
 
 SPACES = " \t\n\v\f\r"
@@ -280,7 +280,7 @@ def tested(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
 def components_of_lines(scratch: Scratch, rows: DataFrame, settings: Settings) -> DataFrame:
     """(node, root) of lines connected by similar pairs. Pairs that share a
     band with few pairs are tested one by one; the lines of bands with many are
-    linked in groups (``clusters.link``)."""
+    linked in groups (``clusters.links_of``)."""
     found = scratch.write(alike_pairs(rows, post(settings), alike(settings)))
     pairs = scratch.write(found.where("not whole").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     cluster = scratch.write(components(scratch, found.where("whole").select("a", "b")))
@@ -289,8 +289,7 @@ def components_of_lines(scratch: Scratch, rows: DataFrame, settings: Settings) -
     links = scratch.write(tested(pairs, lines, settings))
     if not cluster.isEmpty():
         items = scratch.write(with_keys(lines.join(cluster.select("node"), "node", "left_semi"), settings))
-        more = link(scratch, items, cluster, ["s", "mark"], test(settings), near(settings))
-        links = links.union(more.select("node", "root"))
+        links = links.union(links_of(scratch, items, cluster, ["s", "mark"], test(settings), near(settings)))
     return components(scratch, links)
 
 

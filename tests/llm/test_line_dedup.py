@@ -121,7 +121,7 @@ def test_chains_of_candidates_are_tested_by_pair(spark, monkeypatch):
     def refuse(*_):
         raise AssertionError("these lines need no chunks")
 
-    monkeypatch.setattr(L, "link", refuse)
+    monkeypatch.setattr(L, "links_of", refuse)
     drops = brute(rows)
     got = L.marked(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
     assert 100 < sum(drops.values()) < 600
