@@ -64,12 +64,13 @@ def forest(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").mapInArrow(per_task(run), "a long, b long").where("a <> b")
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with m, the least v of u. The join key is the complement
-    of u, so both sides are exchanged anew and a node with very many
-    neighbours can be split by the skew join."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("k"), "m")
-    return edges.withColumn("k", F.bitwise_not("u")).join(least, "k").drop("k")
+def _with_least(edges: DataFrame, key: str, of: str) -> DataFrame:
+    """Edges (a, b) with m, the least b of the a that equals ``key`` (null: it
+    hangs on nothing). The join key is the complement, so both sides are
+    exchanged anew and a node with very many neighbours can be split by the
+    skew join."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.bitwise_not("a").alias("k"), "m")
+    return edges.withColumn("k", F.bitwise_not(key)).join(least, "k", of).drop("k")
 
 
 def _stars_only(edges: DataFrame) -> bool:
@@ -88,10 +89,12 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     now = scratch.write(forest(edges).distinct())
     del edges  # its shuffle files may go
     while not _stars_only(now):
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        small = _with_least(scratch.write(large)).select(
-            F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b")))).alias("e")
+        # large star: each node hangs on the least node that its own one hangs on; small
+        # star: what a node hangs on hangs on the least of them. One written step, as
+        # the exchanges of the first are read twice.
+        large = _with_least(now, "b", "left").select("a", F.coalesce("m", "b").alias("b"))
+        small = _with_least(large, "a", "inner").select(
+            F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         ).select("e.*").where("a <> b").distinct()
         now = scratch.write(small)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
@@ -99,10 +102,12 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
 
 
 def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], label: np.ndarray, side: np.ndarray | None = None,
-                near: Callable[[int, np.ndarray], np.ndarray] | None = None) -> list[tuple[int, int]]:
+                near: Callable[[int, np.ndarray], np.ndarray] | None = None,
+                many: Callable[[int, np.ndarray], np.ndarray] | None = None) -> list[tuple[int, int]]:
     """Links (x, y) that connect everything connectable: pairs that share a
     key (and differ in ``side``), have different labels and are similar;
-    ``near`` rules out some that aren't, many at once."""
+    ``near`` rules out some that aren't, many at once, and ``many``, where
+    given, is ``similar`` of one item and several others."""
     label, links = label.copy(), []
     sizes = np.array([len(k) for k in keys])
     if not sizes.sum():
@@ -128,6 +133,17 @@ def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], lab
             good = near(x, rest)
             rest, shared = rest[good], shared[good]
         rest = rest[np.argsort(-shared, kind="stable")]
+        step = 8
+        while many is not None and len(rest):
+            some, rest = rest[:step], rest[step:]
+            hit = some[many(x, some)]
+            for y in hit.tolist():
+                if label[y] != label[x]:
+                    links.append((x, y))
+                    label[label == label[y]] = label[x]
+            if len(hit):
+                rest = rest[label[rest] != label[x]]
+            step *= 8
         while len(rest):
             y = int(rest[0])
             if similar(x, y):
@@ -140,7 +156,8 @@ def local_links(keys: list[np.ndarray], similar: Callable[[int, int], bool], lab
 
 
 def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callable[[dict], Callable[[int, int], bool]],
-            near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
+            near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None,
+            many: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """Links (a, b) within each group. ``rows``: the group columns (long),
     node, keys, label, visitor and the payload. A task takes its groups one
     after the other from sorted rows and holds one at a time."""
@@ -153,7 +170,7 @@ def _verify(rows: DataFrame, group: list[str], payload: list[str], make: Callabl
         keys = [np.asarray(k, dtype=np.int64) for k in part.column("keys").to_pylist()]
         _, label = np.unique(part.column("label").to_numpy(), return_inverse=True)
         columns = {c: part.column(c).to_pylist() for c in payload}
-        for x, y in local_links(keys, make(columns), label, visitor if visitor.any() else None, near and near(columns)):
+        for x, y in local_links(keys, make(columns), label, visitor if visitor.any() else None, near and near(columns), many and many(columns)):
             out[0].append(nodes[x])
             out[1].append(nodes[y])
 
@@ -316,7 +333,7 @@ def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarr
                 key = np.r_[key[~hot], k[~often], k[heads], own, own]
                 node = np.r_[node[~hot], n[~often], n[heads], a, b]
                 mark = np.r_[mark[~hot], m[~often], none]
-            to = ((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+            to = ((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
             order = np.argsort(to, kind="stable")
             cuts = np.searchsorted(to[order], np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts))
@@ -382,7 +399,8 @@ def alike_stars(postings: DataFrame, alike: Callable[[np.ndarray, np.ndarray], n
 
 
 def links_of(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: list[str],
-             make: Callable[[dict], Callable[[int, int], bool]], near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
+             make: Callable[[dict], Callable[[int, int], bool]], near: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None,
+             many: Callable[[dict], Callable[[int, np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """Edges (a, b) that connect items as far as similar pairs that share a key do.
 
     ``items``: node long (distinct), keys array<long> (distinct), and the
@@ -390,7 +408,7 @@ def links_of(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: li
     ``stars`` over the keys. Both should be written tables, as they are read
     repeatedly. ``make(columns)`` returns the exact
     test of two rows of a group, given the payload columns as lists; ``near``
-    likewise which of many rows may be similar to one.
+    likewise which of many rows may be similar to one, ``many`` which are.
     """
     cluster = cluster.withColumnRenamed("root", "cluster")
     sizes = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
@@ -405,7 +423,7 @@ def links_of(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: li
     placed = scratch.write(items.join(member, "node"))
     groups = placed.withColumn("chunk", F.explode(F.when(F.col("leader"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
     rows = groups.select("cluster", "chunk", "node", "keys", F.col("node").alias("label"), F.lit(False).alias("visitor"), *payload)
-    links = scratch.write(_verify(rows, ["cluster", "chunk"], payload, make, near))
+    links = scratch.write(_verify(rows, ["cluster", "chunk"], payload, make, near, many))
     split = member.where("chunks > 1")
     if split.isEmpty():
         return links
@@ -439,7 +457,7 @@ def links_of(scratch: Scratch, items: DataFrame, cluster: DataFrame, payload: li
         "group", F.explode(F.sequence(none, F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("node", F.lit(1)), "crowds").alias("crowd"),
         "node", "keys", "label", F.lit(True).alias("visitor"))
     rows = small.unionByName(hosts).unionByName(guests).join(some.select("node", *payload), "node")
-    more = scratch.write(_verify(rows, ["group", "part", "crowd"], payload, make, near))
+    more = scratch.write(_verify(rows, ["group", "part", "crowd"], payload, make, near, many))
     return links.union(more)
 
 

@@ -23,9 +23,10 @@ here are reserved).
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,8 @@ class Settings:
 
 
 def line_hash(line: str) -> int:
-    value = xxhash.xxh3_64_intdigest(line.encode())
+    """What Spark's ``xxhash64`` gives."""
+    value = xxhash.xxh64_intdigest(line.encode(), seed=42)
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -93,7 +95,8 @@ def band_keys(lines: list[str], settings: Settings) -> tuple[np.ndarray, np.ndar
         windows = sizes[small] - k + 1
         of = np.repeat(small, windows)
         at = np.arange(len(of)) + np.repeat(np.r_[0, np.cumsum(sizes)][small] - np.cumsum(windows) + windows, windows)
-        different = np.unique(of.astype(np.uint64) << np.uint64(32) | total[at]) >> np.uint64(32)
+        found = np.sort(of.astype(np.uint64) << np.uint64(32) | total[at])  # np.unique hashes, which takes longer
+        different = found[np.r_[True, found[1:] != found[:-1]]] >> np.uint64(32)
         size[small] = np.floor(np.log(np.bincount(different.astype(np.int64), minlength=len(lines))[small]) / STEP)
     row += ((total >> np.uint32(16)) * np.uint32(bins) >> np.uint32(16)).view(np.int32)
     least = np.full((len(lines) + 1) * bins, EMPTY)
@@ -154,18 +157,19 @@ def alike_pair(settings: Settings) -> Callable[[int, int], bool]:
     return test
 
 
-def occurrences(rows: DataFrame) -> DataFrame:
-    """doc_id, rid, line, node (the line's hash) of every line."""
+def stripped(line):
+    """``line`` without white space at its ends. Ends are looked at first, as
+    ``btrim`` with characters walks the whole line."""
+    line = F.trim(line)
+    more = reduce(operator.or_, [end(F.lit(c)) for c in SPACES.replace(" ", "") for end in (line.startswith, line.endswith)])
+    return F.when(more, F.btrim(line, F.lit(SPACES))).otherwise(line)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [lines_of(t) for t in texts(batch, "__text")]
-        of = np.repeat(np.arange(len(found)), [len(f) for f in found])
-        return pa.RecordBatch.from_arrays(
-            [batch.column("__id").take(pa.array(of)), batch.column("__rid").take(pa.array(of)),
-             pa.array([i for f in found for i, _ in f], type=pa.int32()), pa.array([line_hash(s) for f in found for _, s in f], type=pa.int64())],
-            names=["doc_id", "rid", "line", "node"])
 
-    return arrow_map(rows, run, "doc_id long, rid long, line int, node long")
+def occurrences(rows: DataFrame) -> DataFrame:
+    """doc_id, rid, line, node (the line's hash) of every line."""
+    each = rows.select(F.col("__id").alias("doc_id"), F.col("__rid").alias("rid"), F.posexplode(F.split("__text", "\n", -1)).alias("line", "s"))
+    return each.select("doc_id", "rid", "line", stripped(F.col("s")).alias("s")).where("s <> ''").select(
+        "doc_id", "rid", "line", F.xxhash64("s").alias("node"))
 
 
 def post(settings: Settings) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -180,12 +184,34 @@ def post(settings: Settings) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.
     return run
 
 
+def sketch(nodes: DataFrame, most: int = 29) -> np.ndarray:
+    """A table of bits, set at the upper bits of every node: 8 to 16 bits a
+    node, 2 ** ``most`` (64 MB) at most."""
+    bits = min(max((nodes.count() * 8).bit_length(), 16), most)
+    place = F.shiftrightunsigned("node", 64 - bits)
+    words = nodes.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(node, {64 - bits}) & 63 as int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def may_hold(bits: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """False where a ``sketch`` shows that it wasn't made with the node."""
+    place = nodes.view(np.uint64) >> np.uint64(64 - (len(bits) * 64).bit_length() + 1)
+    return bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) != 0
+
+
 def candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, line text of the distinct lines that are in ``nodes``."""
+    """node, line text of the distinct lines that are in ``nodes``. Most others
+    stay in their task, by a sketch of the nodes."""
+    bits = sketch(nodes)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines = sorted({s for t in texts(batch, "__text") for _, s in lines_of(t) if len(s) >= 1})
-        return pa.RecordBatch.from_arrays([pa.array([line_hash(s) for s in lines], type=pa.int64()), pa.array(lines, type=pa.string())], names=["node", "s"])
+        lines = list({s for t in texts(batch, "__text") for _, s in lines_of(t)})
+        found = np.fromiter(map(line_hash, lines), dtype=np.int64, count=len(lines))
+        hit = np.flatnonzero(may_hold(bits, found))
+        return pa.RecordBatch.from_arrays([pa.array(found[hit]), pa.array([lines[i] for i in hit.tolist()], type=pa.string())], names=["node", "s"])
 
     return arrow_map(rows, run, "node long, s string").join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -227,21 +253,55 @@ def test(settings: Settings) -> Callable[[dict], Callable[[int, int], bool]]:
     return make
 
 
-def similar(a: list[str], b: list[str], settings: Settings) -> np.ndarray:
-    """The exact test of up to 256 pairs (a[i], b[i]) at once; lines must have a shingle."""
-    k, lines = settings.shingle, a + b
+def windows(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every window of ``k`` characters of the joined lines, and
+    whether it stays in its line; the lines have a window each."""
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     n = len(chars) - k + 1
     total = chars[:n] * FACTORS[0]
     for j in range(1, k):
         total += chars[j : n + j] * FACTORS[j]
-    own = np.ones(n, dtype=bool)  # windows that don't leave their line
-    last = np.cumsum(sizes)[:-1]
+    own = np.ones(n, dtype=bool)
+    last = np.cumsum([len(s) for s in lines])[:-1]
     for j in range(1, k):
         own[last - j] = False
-    pair = np.repeat(np.tile(np.arange(len(a), dtype=np.uint64), 2), sizes)[:n]
-    total = mix(total) >> np.uint64(8) | pair << np.uint64(56)
+    return mix(total), own
+
+
+def many(settings: Settings) -> Callable[[dict], Callable[[int, np.ndarray], np.ndarray]]:
+    """The exact test of one line of a group and several others at once."""
+
+    def make(columns: dict):
+        lines = columns["s"]
+        total, own = windows(lines, settings.shingle)
+        owner = np.repeat(np.arange(len(lines)), [len(s) for s in lines])[: len(total)][own]
+        _, gram = np.unique(total[own], return_inverse=True)
+        order = np.lexsort((gram, owner))
+        owner, gram = owner[order], gram[order]
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (gram[1:] != gram[:-1])]
+        owner, gram = owner[new], gram[new]
+        size = np.bincount(owner, minlength=len(lines))
+        sets = np.split(gram, np.cumsum(size)[:-1])
+        seen = np.zeros(len(gram), dtype=np.int64)
+
+        def similar(x: int, rest: np.ndarray) -> np.ndarray:
+            seen[sets[x]] = 1
+            starts = np.cumsum(size[rest]) - size[rest]
+            both = np.add.reduceat(seen[np.concatenate([sets[y] for y in rest.tolist()])], starts)
+            seen[sets[x]] = 0
+            return 100 * both >= settings.percent * (size[x] + size[rest] - both)
+
+        return similar
+
+    return make
+
+
+def similar(a: list[str], b: list[str], settings: Settings) -> np.ndarray:
+    """The exact test of up to 256 pairs (a[i], b[i]) at once; lines must have a shingle."""
+    total, own = windows(a + b, settings.shingle)
+    sizes = np.fromiter(map(len, a + b), dtype=np.int64, count=2 * len(a))
+    pair = np.repeat(np.tile(np.arange(len(a), dtype=np.uint64), 2), sizes)[: len(total)]
+    total = total >> np.uint64(8) | pair << np.uint64(56)
     cut = int(sizes[: len(a)].sum())
 
     def distinct(x: np.ndarray) -> np.ndarray:
@@ -272,8 +332,8 @@ def tested(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
                     at, size = i + 1, 0
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in ids], names=["a", "b"])
 
-    both = (pairs.join(lines.select(F.col("node").alias("a"), "s"), "a")
-            .join(lines.select(F.col("node").alias("b"), F.col("s").alias("t")), "b"))
+    both = (pairs.join(lines.select(F.col("node").alias("a"), "s").hint("shuffle_hash"), "a")
+            .join(lines.select(F.col("node").alias("b"), F.col("s").alias("t")).hint("shuffle_hash"), "b"))
     return both.select("a", "b", "s", "t").mapInArrow(per_task(run), "a long, b long")
 
 
@@ -285,11 +345,11 @@ def components_of_lines(scratch: Scratch, rows: DataFrame, settings: Settings) -
     pairs = scratch.write(found.where("not whole").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     cluster = scratch.write(components(scratch, found.where("whole").select("a", "b")))
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(cluster.select("node")).distinct()
-    lines = scratch.write(candidates(rows, nodes))
+    lines = scratch.write(candidates(rows, scratch.write(nodes)))
     links = scratch.write(tested(pairs, lines, settings))
     if not cluster.isEmpty():
         items = scratch.write(with_keys(lines.join(cluster.select("node"), "node", "left_semi"), settings))
-        links = links.union(links_of(scratch, items, cluster, ["s", "mark"], test(settings), near(settings)))
+        links = links.union(links_of(scratch, items, cluster, ["s", "mark"], test(settings), near(settings), many(settings)))
     return components(scratch, links)
 
 
@@ -318,14 +378,15 @@ def marked(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
     united = scratch.write(of_line.join(found, "node", "left").where("n > 1 or root is not null").select(
         "node", "first", "n", F.coalesce("root", "node").alias("root")))
     kept = united.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
-    verdict = scratch.write(united.select("node", F.bitwise_not("root").alias("k")).join(
-        kept.select(F.bitwise_not("root").alias("k"), "keep"), "k").select("node", "keep"))
+    verdict = united.select("node", F.bitwise_not("root").alias("k")).join(
+        kept.select(F.bitwise_not("root").alias("k"), "keep"), "k").select("node", "keep")
     drops = (seen.join(verdict, "node").where(~place.eqNullSafe(F.col("keep")))
-             .select("rid", "line").distinct().groupBy("rid").agg(F.collect_list("line").alias("__drops")))
+             .groupBy("rid").agg(F.collect_set("line").alias("__drops")))
     drops = scratch.write(drops)
     scratch.keep(drops)
     lines = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: x.rlike(VISIBLE)))
-    return docs.join(drops.withColumnRenamed("rid", "__rid"), "__rid", "left").drop("__rid").withColumns(
+    # the texts needn't be sorted for this
+    return docs.join(drops.withColumnRenamed("rid", "__rid").hint("shuffle_hash"), "__rid", "left").drop("__rid").withColumns(
         {"__lines": lines, "__drops": F.coalesce("__drops", F.array().cast("array<int>"))})
 
 
