@@ -300,21 +300,15 @@ def similar(a: list[str], b: list[str], settings: Settings) -> np.ndarray:
     """The exact test of up to 256 pairs (a[i], b[i]) at once; lines must have a shingle."""
     total, own = windows(a + b, settings.shingle)
     sizes = np.fromiter(map(len, a + b), dtype=np.int64, count=2 * len(a))
-    pair = np.repeat(np.tile(np.arange(len(a), dtype=np.uint64), 2), sizes)[: len(total)]
-    total = total >> np.uint64(8) | pair << np.uint64(56)
-    cut = int(sizes[: len(a)].sum())
-
-    def distinct(x: np.ndarray) -> np.ndarray:
-        x = np.sort(x)
-        return x[np.r_[True, x[1:] != x[:-1]]]
-
-    def by_pair(x: np.ndarray) -> np.ndarray:
-        return np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=len(a))
-
-    x, y = distinct(total[:cut][own[:cut]]), distinct(total[cut:][own[cut:]])
-    merged = np.sort(np.concatenate([x, y]), kind="stable")
-    both = by_pair(merged[1:][merged[1:] == merged[:-1]])
-    return 100 * both >= settings.percent * (by_pair(x) + by_pair(y) - both)
+    # pair, 55 bits of the hash, side: one sort brings the two sides together
+    head = np.arange(len(a), dtype=np.uint64) << np.uint64(56)
+    found = (total >> np.uint64(8) & ~np.uint64(1) | np.repeat(np.r_[head, head | np.uint64(1)], sizes)[: len(total)])[own]
+    found.sort()
+    found = found[np.r_[True, found[1:] != found[:-1]]]
+    both = np.flatnonzero(found[1:] ^ np.uint64(1) == found[:-1])
+    cuts = np.r_[np.searchsorted(found, head), len(found)]
+    common = np.diff(np.searchsorted(both, cuts))
+    return 100 * common >= settings.percent * (np.diff(cuts) - common)
 
 
 def tested(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
@@ -332,8 +326,8 @@ def tested(pairs: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
                     at, size = i + 1, 0
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in ids], names=["a", "b"])
 
-    both = (pairs.join(lines.select(F.col("node").alias("a"), "s").hint("shuffle_hash"), "a")
-            .join(lines.select(F.col("node").alias("b"), F.col("s").alias("t")).hint("shuffle_hash"), "b"))
+    both = (pairs.join(lines.select(F.col("node").alias("a"), "s"), "a")
+            .join(lines.select(F.col("node").alias("b"), F.col("s").alias("t")), "b"))
     return both.select("a", "b", "s", "t").mapInArrow(per_task(run), "a long, b long")
 
 
