@@ -14,6 +14,7 @@ listed column may not be called like one of them.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
@@ -74,6 +75,8 @@ class Codec:
     """One vocabulary file: encoder, remembered pieces, token bytes."""
 
     def __init__(self, path: str, pattern: str, limit: int = 200_000, chars: int = 4_000_000):
+        # A task has one core; threads of the library would each keep memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -1,5 +1,8 @@
 import base64
 import hashlib
+import os
+import subprocess
+import sys
 from functools import lru_cache
 
 import public_tokenizers as P
@@ -82,3 +85,18 @@ def test_remembered_pieces_are_bounded():
         text = f"word{k} another{k} " + "x" * (k * 40)
         assert codec.encode([text, ""]) == [enc.encode_ordinary(text), []]
         assert len(codec.pieces) <= 20
+
+
+def test_encoding_starts_no_threads():
+    """A task has one core, and each thread of the library keeps memory of its own."""
+    code = """
+import os
+from postscope.llm import byte_bpe
+from postscope.llm.queries import vocabulary
+codec = byte_bpe.Codec(*vocabulary())
+before = len(os.listdir("/proc/self/task"))
+codec.encode([" ".join(f"word{k}" for k in range(9000))])
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    assert subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout.strip() == "0"
