@@ -34,6 +34,8 @@ from postscope.llm.common import ROWS, Scratch, mix, per_task
 
 CHUNK = 400
 LEADERS = 8
+CROWD = 256  #: a key of more nodes is compared by itself, in blocks of ``BLOCK`` pairs
+BLOCK = 1 << 18
 
 
 def forest(edges: DataFrame) -> DataFrame:
@@ -258,6 +260,55 @@ def stars(postings: DataFrame, flush: int = 1_000_000) -> DataFrame:
     return local.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(per_task(reduce), "a long, b long")
 
 
+def _blank(mark: np.ndarray) -> np.ndarray:
+    """Whether a mark (a number, or a row of them) is 0."""
+    return mark == 0 if mark.ndim == 1 else ~mark.any(axis=1)
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (the least node of each one's component) after edges (a, b) more."""
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        low = np.minimum(x, y)
+        root = root.copy()
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _crowd(mark: np.ndarray, alike: Callable[[np.ndarray, np.ndarray], np.ndarray], share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(root, whole, a, b) of the nodes of one key: components by alike marks,
+    whether a node's one has more than ``share`` alike pairs a node, and the
+    pairs of the others. What a whole component has inside isn't compared any
+    more, so pairs stay few."""
+    n = len(mark)
+    root, whole, pairs = np.arange(n), np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
+    a, b, at = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), 0
+    while at < n:
+        end = min(n, at + max(1, BLOCK // (n - at)))
+        rest = np.arange(at, n)
+        if whole[at:end].all() and (root[at:end] == root[at]).all():
+            rest = rest[root[rest] != root[at]]
+        x, y = np.repeat(np.arange(at, end), len(rest)), np.tile(rest, end - at)
+        good = (x < y) & ~(whole[x] & (root[x] == root[y]))
+        x, y = x[good], y[good]
+        hit = alike(mark[x], mark[y])
+        x, y, at = x[hit], y[hit], end
+        if not len(x):
+            continue
+        a, b = np.r_[a, x], np.r_[b, y]
+        pairs += np.bincount(x, minlength=n)
+        root = _joined(root, x, y)
+        dense = np.bincount(root, pairs, n) > share * np.bincount(root, minlength=n)
+        dense[root[whole]] = True
+        whole = dense[root]
+        a, b = a[~whole[a]], b[~whole[a]]
+    return root, whole, a, b
+
+
 def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[np.ndarray, np.ndarray], np.ndarray],
           share: int, compared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(a, b, whole) for the nodes of each key. Nodes connected by alike marks
@@ -267,9 +318,9 @@ def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[
     n = len(key)
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(first, append=n)
-    root, large = np.arange(n), np.repeat(size > compared, size)
+    root, large, dense = np.arange(n), np.repeat(size > compared, size), np.zeros(n, dtype=bool)
     root[large] = np.repeat(first, size)[large]
-    at, step, pairs = np.flatnonzero(~large), 0, []
+    at, step, pairs = np.flatnonzero(~large & np.repeat(size <= CROWD, size)), 0, []
     while len(at):
         step += 1
         at = at[at + step < n]
@@ -277,15 +328,14 @@ def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[
         hit = at[alike(mark[at], mark[at + step])]
         pairs.append((hit, hit + step))
     a, b = (np.concatenate([p[i] for p in pairs]) if pairs else np.empty(0, dtype=np.int64) for i in (0, 1))
-    while True:
-        low, before = np.minimum(root[a], root[b]), root.copy()
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
-        if (root == before).all():
-            break
+    root = _joined(root, a, b)
+    for i in np.flatnonzero((size > CROWD) & (size <= compared)).tolist():
+        span = slice(first[i], first[i] + size[i])
+        own, dense[span], x, y = _crowd(mark[span], alike, share)
+        root[span] = own + first[i]
+        a, b = np.r_[a, x + first[i]], np.r_[b, y + first[i]]
     whole = np.bincount(root[a], minlength=n) > share * np.bincount(root, minlength=n)  # by root
-    whole[root[(mark == 0) | large]] = True
+    whole[root[_blank(mark) | large | dense]] = True
     one = ~whole[root[a]]
     spoke = np.flatnonzero(whole[root] & (root != np.arange(n)))
     return (np.r_[node[a[one]], node[spoke]], np.r_[node[b[one]], node[root[spoke]]],
@@ -293,11 +343,11 @@ def _ties(key: np.ndarray, node: np.ndarray, mark: np.ndarray, alike: Callable[[
 
 
 def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]],
-                alike: Callable[[np.ndarray, np.ndarray], np.ndarray], share: int = 16, compared: int = 2000, flush: int = 1_000_000, most: int = 64) -> DataFrame:
+                alike: Callable[[np.ndarray, np.ndarray], np.ndarray], share: int = 16, compared: int = 1 << 15, flush: int = 1_000_000, most: int = 1024) -> DataFrame:
     """Candidates (a, b, whole) among nodes with a common key and alike marks.
 
     ``post`` gives the postings of a batch of ``rows``: key (int64), node
-    (int64), mark (uint64). ``alike`` tells which of two arrays of marks may
+    (int64), mark (uint64, or a row of several). ``alike`` tells which of two arrays of marks may
     belong to similar nodes and must hold where either is 0. Nodes of a key that
     alike marks connect are a group; where it has at most ``share`` alike pairs
     a node, all these pairs are given, so there are no more than ``share`` rows a
@@ -305,8 +355,9 @@ def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarr
     much is harmless, so hot keys aren't compared: a task sends one node, marked
     0, of a key with more than ``most`` nodes there (per ``flush`` postings),
     and a key of more than ``compared`` nodes is connected whole.
-    Postings travel packed by range of the key; a task holds its range, and the
-    number of ranges is that of the shuffle partitions."""
+    Postings travel packed by range of the key, with 32 bits of it inside the
+    range (two keys that meet are compared as one, which is harmless); a task
+    holds its range, and the number of ranges is that of the shuffle partitions."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def combine(batches):
@@ -329,11 +380,13 @@ def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarr
                 spoke = often & (n != centre)
                 a, b = n[spoke], centre[spoke]
                 own = mix(mix(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)  # an edge goes on as two nodes of a key of its own
-                none = np.zeros(len(heads) + 2 * len(a), dtype=np.uint64)
+                none = np.zeros((len(heads) + 2 * len(a), *mark.shape[1:]), dtype=np.uint64)
                 key = np.r_[key[~hot], k[~often], k[heads], own, own]
                 node = np.r_[node[~hot], n[~often], n[heads], a, b]
-                mark = np.r_[mark[~hot], m[~often], none]
-            to = ((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
+                mark = np.concatenate([mark[~hot], m[~often], none])
+            mixed = mix(key.view(np.uint64))
+            key = mixed.astype(np.uint32)
+            to = ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
             order = np.argsort(to, kind="stable")
             cuts = np.searchsorted(to[order], np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts))
@@ -359,10 +412,11 @@ def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarr
             to = batch.column("to").to_pylist()
             for i, part in enumerate(to):
                 held.setdefault(part, []).append([np.frombuffer(batch.column(c)[i].as_py(), dtype=kind) for c, kind in
-                                                  (("key", np.int64), ("node", np.int64), ("mark", np.uint64))])
+                                                  (("key", np.uint32), ("node", np.int64), ("mark", np.uint64))])
         for part in list(held):
             found = held.pop(part)
             key, node, mark = (np.concatenate([f[i] for f in found]) for i in range(3))
+            mark = mark if len(mark) == len(key) else mark.reshape(len(key), -1)
             found.clear()
             order = np.argsort(key)
             same = key[order][1:] == key[order][:-1]
@@ -382,7 +436,7 @@ def alike_pairs(rows: DataFrame, post: Callable[[pa.RecordBatch], tuple[np.ndarr
 
 def _ordered(key: np.ndarray, node: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By key and node, each pair once; of its marks 0 goes first."""
-    order = np.lexsort((mark != 0, node, key))
+    order = np.lexsort((~_blank(mark), node, key))
     key, node, mark = key[order], node[order], mark[order]
     new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.empty(0, dtype=bool)
     return key[new], node[new], mark[new]

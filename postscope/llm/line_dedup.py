@@ -44,7 +44,9 @@ FACTORS = mix(np.arange(201, 233, dtype=np.uint64)) | np.uint64(1)
 EMPTY = np.uint32(0xFFFFFFFF)
 
 # A line's mark: 56 bits, one per bin; a flag (few bins were filled, the bits say little);
-# 7 bits of size class (of lines with fewer than ``KNOWN`` windows).
+# 7 bits of size class (of lines with fewer than ``KNOWN`` windows). A second number has, of
+# lines of known size, 64 bits, each whether an odd number of different windows falls on it,
+# and of others another bit per bin and 7 bits of size class of the first ``KNOWN`` windows.
 BITS = 56
 FILLED = 44  #: least filled bins for bits that count
 KNOWN = 128
@@ -73,6 +75,14 @@ def lines_of(text: str) -> list[tuple[int, str]]:
 
 def band_keys(lines: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """One row of band keys, and the mark, of every line; lines must have a shingle."""
+    keys, marks = keys_and_marks(lines, settings)
+    return keys, marks[:, 0]
+
+
+def keys_and_marks(lines: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """``band_keys`` with both numbers of the mark, as a row; no lines give no rows."""
+    if not lines:
+        return np.empty((0, settings.bands), dtype=np.int64), np.empty((0, 2), dtype=np.uint64)
     k, bins = settings.shingle, max(settings.rows * settings.bands, BITS)
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
@@ -96,8 +106,10 @@ def band_keys(lines: list[str], settings: Settings) -> tuple[np.ndarray, np.ndar
         of = np.repeat(small, windows)
         at = np.arange(len(of)) + np.repeat(np.r_[0, np.cumsum(sizes)][small] - np.cumsum(windows) + windows, windows)
         found = np.sort(of.astype(np.uint64) << np.uint64(32) | total[at])  # np.unique hashes, which takes longer
-        different = found[np.r_[True, found[1:] != found[:-1]]] >> np.uint64(32)
-        size[small] = np.floor(np.log(np.bincount(different.astype(np.int64), minlength=len(lines))[small]) / STEP)
+        different = found[np.r_[True, found[1:] != found[:-1]]]
+        counts = np.bincount((different >> np.uint64(32)).astype(np.int64), minlength=len(lines))[small]
+        size[small] = np.floor(np.log(counts) / STEP)
+        odd = np.bitwise_xor.reduceat(np.uint64(1) << (mix(different & np.uint64(EMPTY)) >> np.uint64(58)), np.cumsum(counts) - counts)
     row += ((total >> np.uint32(16)) * np.uint32(bins) >> np.uint32(16)).view(np.int32)
     least = np.full((len(lines) + 1) * bins, EMPTY)
     np.minimum.at(least, row, total)
@@ -112,13 +124,19 @@ def band_keys(lines: list[str], settings: Settings) -> tuple[np.ndarray, np.ndar
         hit = filled[row, other]
         least[row[hit], column[hit]] = least[row[hit], other[hit]] + np.uint32(attempt)
         row, column = row[~hit], column[~hit]
-    bits = (mix(least[:, :BITS].astype(np.uint64)) >> np.uint64(40) & np.uint64(1)) << np.arange(8, 8 + BITS, dtype=np.uint64)
-    mark = bits.sum(axis=1, dtype=np.uint64) | (few.astype(np.uint64) << np.uint64(7)) | size.astype(np.uint64)
+    values, places = mix(least[:, :BITS].astype(np.uint64)), np.arange(8, 8 + BITS, dtype=np.uint64)
+    bits, more = (((values >> np.uint64(at) & np.uint64(1)) << places).sum(axis=1, dtype=np.uint64) for at in (40, 41))
+    mark = bits | (few.astype(np.uint64) << np.uint64(7)) | size.astype(np.uint64)
+    if len(small):
+        more[small] = odd
+    if len(large := np.flatnonzero(sizes - k + 1 >= KNOWN)):
+        part = np.sort(total[np.r_[0, last][large][:, None] + np.arange(KNOWN)], axis=1)
+        more[large] |= np.floor(np.log(1 + (part[:, 1:] != part[:, :-1]).sum(axis=1)) / STEP).astype(np.uint64)
     bands = least[:, : settings.bands * settings.rows].reshape(len(lines), settings.bands, settings.rows)
     keys = np.arange(settings.bands, dtype=np.uint64) + np.zeros((len(lines), 1), dtype=np.uint64)
     for r in range(settings.rows):
         keys = mix(keys + bands[:, :, r])
-    return keys.view(np.int64), mark
+    return keys.view(np.int64), np.stack([mark, more], axis=1)
 
 
 def limits(settings: Settings) -> tuple[int, int]:
@@ -142,6 +160,35 @@ def alike(settings: Settings) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     return test
 
 
+def alike_rows(settings: Settings) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """``alike`` of two arrays of whole marks (``keys_and_marks``). Of lines of
+    known size the second numbers differ in no more bits than their sets in
+    windows, of which similar lines have no more than ``most`` says; of long
+    lines a bin's two bits are both equal with probability (1 + 3 s) / 4, and the
+    least number is taken as in ``limits``. A line of known size isn't similar to
+    one whose first windows are too many."""
+    first, apart, share = alike(settings), limits(settings)[1], settings.percent / 100
+    both = (1 + 3 * share) / 4
+    wanted = int(BITS * both - 3.7 * np.sqrt(BITS * both * (1 - both)))
+    upper = np.exp((np.arange(UNKNOWN) + 1) * STEP)  # of a class of sizes
+    most = ((1 - share) / (1 + share) * (upper[:, None] + upper) + 1e-6).astype(np.int64)
+
+    def test(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = first(a[:, 0], b[:, 0])
+        at = np.flatnonzero(out & (a[:, 0] != 0) & (b[:, 0] != 0))
+        a, b = a[at], b[at]
+        x, y = (a[:, 0] & np.uint64(127)).astype(np.int64), (b[:, 0] & np.uint64(127)).astype(np.int64)
+        more, some, one = a[:, 1] ^ b[:, 1], x != UNKNOWN, y != UNKNOWN
+        differ = np.bitwise_count(more).astype(np.int64) <= most[x % UNKNOWN, y % UNKNOWN]
+        equal = BITS - np.bitwise_count(((a[:, 0] ^ b[:, 0]) | more) >> np.uint64(8)).astype(np.int64) >= wanted
+        equal |= (a[:, 0] | b[:, 0]) & np.uint64(128) != 0
+        beyond = (np.where(some, b[:, 1], a[:, 1]) & np.uint64(127)).astype(np.int64) - np.minimum(x, y)
+        out[at] = np.where(some & one, differ, np.where(some | one, beyond <= apart, equal))
+        return out
+
+    return test
+
+
 def alike_pair(settings: Settings) -> Callable[[int, int], bool]:
     """``alike`` of two marks given as numbers."""
     wanted, apart = limits(settings)
@@ -173,13 +220,13 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def post(settings: Settings) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """key, node, mark for every band of every line, equal lines of a batch once."""
+    """key, node, whole mark for every band of every line, equal lines of a batch once."""
 
     def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lines = list({s for t in texts(batch, "__text") for _, s in lines_of(t) if len(s) >= settings.shingle})
-        keys, mark = band_keys(lines, settings) if lines else (np.empty((0, settings.bands), dtype=np.int64), np.empty(0, dtype=np.uint64))
+        keys, marks = keys_and_marks(lines, settings)
         nodes = np.fromiter(map(line_hash, lines), dtype=np.int64, count=len(lines))
-        return keys.reshape(-1), np.repeat(nodes, settings.bands), np.repeat(mark, settings.bands)
+        return keys.reshape(-1), np.repeat(nodes, settings.bands), np.repeat(marks, settings.bands, axis=0)
 
     return run
 
@@ -219,12 +266,13 @@ def candidates(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def with_keys(found: DataFrame, settings: Settings) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = batch.column("s").to_pylist()
-        keys, mark = band_keys(lines, settings) if lines else (np.empty((0, settings.bands), dtype=np.int64), np.empty(0, dtype=np.uint64))
+        keys, marks = keys_and_marks(lines, settings)
         offsets = np.arange(len(lines) + 1, dtype=np.int32) * settings.bands
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))), pa.array(mark.view(np.int64))],
-                                          names=["node", "s", "keys", "mark"])
+        mark, more = (pa.array(np.ascontiguousarray(marks[:, i]).view(np.int64)) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))), mark, more],
+                                          names=["node", "s", "keys", "mark", "more"])
 
-    return arrow_map(found, run, "node long, s string, keys array<long>, mark long")
+    return arrow_map(found, run, "node long, s string, keys array<long>, mark long, more long")
 
 
 def test(settings: Settings) -> Callable[[dict], Callable[[int, int], bool]]:
@@ -335,7 +383,7 @@ def components_of_lines(scratch: Scratch, rows: DataFrame, settings: Settings) -
     """(node, root) of lines connected by similar pairs. Pairs that share a
     band with few pairs are tested one by one; the lines of bands with many are
     linked in groups (``clusters.links_of``)."""
-    found = scratch.write(alike_pairs(rows, post(settings), alike(settings)))
+    found = scratch.write(alike_pairs(rows, post(settings), alike_rows(settings)))
     pairs = scratch.write(found.where("not whole").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     cluster = scratch.write(components(scratch, found.where("whole").select("a", "b")))
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(cluster.select("node")).distinct()
@@ -343,17 +391,17 @@ def components_of_lines(scratch: Scratch, rows: DataFrame, settings: Settings) -
     links = scratch.write(tested(pairs, lines, settings))
     if not cluster.isEmpty():
         items = scratch.write(with_keys(lines.join(cluster.select("node"), "node", "left_semi"), settings))
-        links = links.union(links_of(scratch, items, cluster, ["s", "mark"], test(settings), near(settings), many(settings)))
+        links = links.union(links_of(scratch, items, cluster, ["s", "mark", "more"], test(settings), near(settings), many(settings)))
     return components(scratch, links)
 
 
 def near(settings: Settings) -> Callable[[dict], Callable[[int, np.ndarray], np.ndarray]]:
-    """``alike`` of one line and others of a group."""
-    alike_ = alike(settings)
+    """``alike_rows`` of one line and others of a group."""
+    alike_ = alike_rows(settings)
 
     def make(columns: dict):
-        marks = np.array(columns["mark"], dtype=np.int64).view(np.uint64)
-        return lambda x, rest: alike_(marks[x], marks[rest])
+        marks = np.stack([np.array(columns[c], dtype=np.int64).view(np.uint64) for c in ("mark", "more")], axis=1)
+        return lambda x, rest: alike_(np.broadcast_to(marks[x], (len(rest), 2)), marks[rest])
 
     return make
 
