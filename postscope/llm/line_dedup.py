@@ -6,9 +6,10 @@ ends. Lines link when the Jaccard similarity of their sets of
 lines always do. One-permutation MinHash signatures with densified empty bins
 are cut into bands; lines that share a band (at the threshold
 ``1 - (1 - s ** rows) ** bands`` of them, 0.999 with the defaults) are
-candidates unless their marks (one bit per bin, and the size of short lines)
-rule that out, which they wrongly do for about 1 of 5,000 pairs at the
-threshold. Candidates are tested by exact Jaccard and united by distributed
+candidates unless their marks rule that out: bits of the bins (one each, two
+for long lines), which wrongly do so for about 1 of 5,000 pairs at the threshold by
+either count, and the size and the window parities of short lines, which never
+do. Candidates are tested by exact Jaccard and united by distributed
 union-find (``clusters``). Of each component one occurrence stays: the first
 by (doc_id, null last; row key; line number).
 
